@@ -1,0 +1,34 @@
+"""Exact top-k per group without sending a whole group to one task.
+
+Stage 1 ranks inside (group, salt) where the salt is a hash of the row, so a group
+with a huge number of rows is spread over ``salt_buckets`` tasks; stage 2 ranks the at
+most ``salt_buckets * k`` survivors of each group.  The global top-k of a group is a
+subset of the union of the per-salt top-k lists, so the result is exact.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+
+def top_k_per_group(df: DataFrame, group_cols, order_cols, k: int, salt_cols,
+                    salt_buckets: int = 64, rank_col: str = "rank") -> DataFrame:
+    """Rows of ``df`` that rank <= k in their group by ``order_cols`` (a total order).
+
+    ``salt_cols``: columns that identify a row inside its group (hashed for the salt).
+    Adds ``rank_col`` (1-based).
+    """
+    group_cols = list(group_cols)
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in salt_cols]), F.lit(salt_buckets))
+    w1 = Window.partitionBy(*group_cols, "_salt").orderBy(*order_cols)
+    stage1 = (df.withColumn("_salt", salt)
+                .withColumn("_r1", F.row_number().over(w1))
+                .filter(F.col("_r1") <= k)
+                .drop("_r1", "_salt"))
+    w2 = Window.partitionBy(*group_cols).orderBy(*order_cols)
+    return (stage1.withColumn(rank_col, F.row_number().over(w2))
+                  .filter(F.col(rank_col) <= k))
+
+
+__all__ = ["top_k_per_group"]

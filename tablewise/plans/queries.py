@@ -365,3 +365,79 @@ def bounded_sample_q(spark, sf_dir):
 
 __all__ = ["QUERIES", "ORACLES", "register", "load", "rounded", "ROUND_VALUE_SQL", "AT",
            "GRAIN", "N_DAYS", "corrupted_orders", "CORRUPT_ORDERS_SQL"]
+
+
+# ---------------------------------------------------------------- B12-B18: features
+
+from tablewise.operators.features import category_table, encode, plan_features  # noqa: E402
+
+MAX_CATS = 62
+
+
+def _cat_code_sql(table_alias: str, col: str, ranked: str = "t", counts: str = "m") -> str:
+    return (f"CAST(CASE WHEN {table_alias}.{col} IS NULL THEN {counts}_{col}.m + 1 "
+            f"WHEN {ranked}_{col}.code IS NOT NULL THEN {ranked}_{col}.code "
+            f"ELSE {counts}_{col}.m END AS DOUBLE) AS {col}")
+
+
+def _topk_cte(src: str, cols) -> str:
+    freq = " UNION ALL ".join(
+        f"SELECT '{c}' AS col, CAST({c} AS VARCHAR) AS value, count(*) AS n FROM {src} "
+        f"WHERE {c} IS NOT NULL GROUP BY 2" for c in cols)
+    return (f"f AS ({freq}), "
+            f"r AS (SELECT col, value, n, row_number() OVER (PARTITION BY col ORDER BY n DESC, value)"
+            f" - 1 AS code FROM f), "
+            f"t AS (SELECT * FROM r WHERE code < {MAX_CATS}), "
+            f"m AS (SELECT col, count(*) AS m FROM t GROUP BY col)")
+
+
+def _encoded_sql(src: str, key: str, nums, cats) -> str:
+    joins = []
+    for c in cats:
+        joins.append(f"LEFT JOIN (SELECT value, code FROM t WHERE col = '{c}') AS t_{c} "
+                     f"ON t_{c}.value = CAST(e.{c} AS VARCHAR)")
+        joins.append(f"CROSS JOIN (SELECT m FROM m WHERE col = '{c}') AS m_{c}")
+    sel = [f"e.{key}"] + [f"CAST(e.{c} AS DOUBLE) AS {c}" for c in nums] + \
+          [_cat_code_sql("e", c) for c in cats]
+    return (f"WITH {_topk_cte(src, cats)} SELECT {', '.join(sel)} FROM {src} AS e "
+            + " ".join(joins))
+
+
+@register("feature_table", _encoded_sql("events", "event_id", ["user_id", "value"],
+                                        ["event_type", "props"]))
+def feature_table(spark, sf_dir):
+    """Events as model features (ids and times dropped, text as codes)."""
+    ev = load(spark, sf_dir, "events")
+    plan = plan_features(ev, keep=["event_id"], max_categories=MAX_CATS)
+    return encode(ev, plan, keep=["event_id"], vector_col=None)
+
+
+_EV_NULLED_SQL = ("(SELECT event_id, " + ", ".join(
+    f"CASE WHEN {_hit_sql('event_id', c)} AND {uhash_sql('event_id', f'{SALT}:null:{c}')} < 0.5 "
+    f"THEN NULL WHEN {_hit_sql('event_id', c)} THEN round({c} + {_gauss_sql('event_id', c)}, 2) "
+    f"ELSE CAST({c} AS DOUBLE) END AS {c}" for c in ("user_id", "value")) + " FROM events)")
+
+
+@register("null_indicator", f"""
+SELECT event_id,
+  coalesce(user_id, 0.0) AS user_id, CASE WHEN user_id IS NULL THEN 1.0 ELSE 0.0 END AS user_id__isnull,
+  coalesce(value, 0.0) AS value, CASE WHEN value IS NULL THEN 1.0 ELSE 0.0 END AS value__isnull
+FROM {_EV_NULLED_SQL} AS s
+""")
+def null_indicator(spark, sf_dir):
+    """Corrupted numbers -> filled value + null indicator."""
+    ev = load(spark, sf_dir, "events").select("event_id", "user_id", "value")
+    bad = X.corrupt(ev, ["user_id", "value"], "event_id", frac=0.5, null_share=0.5,
+                    scheme="gauss", salt=SALT)
+    plan = plan_features(bad, keep=["event_id"])
+    return encode(bad, plan, keep=["event_id"], vector_col=None)
+
+
+@register("category_topk", f"""
+WITH {_topk_cte('part', ['p_name', 'p_brand', 'p_type'])}
+SELECT col AS "column", value, n, CAST(code AS INTEGER) AS code FROM t
+""")
+def category_topk(spark, sf_dir):
+    """The 62 most frequent values per text column with their codes."""
+    part = load(spark, sf_dir, "part")
+    return category_table(part, ["p_name", "p_brand", "p_type"], MAX_CATS)
