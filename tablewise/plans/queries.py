@@ -441,3 +441,130 @@ def category_topk(spark, sf_dir):
     """The 62 most frequent values per text column with their codes."""
     part = load(spark, sf_dir, "part")
     return category_table(part, ["p_name", "p_brand", "p_type"], MAX_CATS)
+
+
+# ---------------------------------------------------------------- E: suggestions
+
+from tablewise.operators.suggest import (SUGGESTION_FIELDS, check_suggestions,  # noqa: E402
+                                         grouped, suggest)
+from tablewise.plans.oracle_sql import SUGGEST_KINDS, suggest_sql  # noqa: E402
+
+_FIELDS_SQL = ", ".join(SUGGESTION_FIELDS)
+
+
+def _suggest_query(table_fn, rule=None, with_rule=False):
+    def q(spark, sf_dir):
+        s = suggest(table_fn(spark, sf_dir))
+        if rule:
+            s = s.filter(F.col("rule") == rule)
+        cols = SUGGESTION_FIELDS + (["rule"] if with_rule else [])
+        return s.select(*cols)
+    return q
+
+
+def _orders(spark, sf_dir):
+    return load(spark, sf_dir, "orders")
+
+
+def _part(spark, sf_dir):
+    return load(spark, sf_dir, "part")
+
+
+def _events_k(spark, sf_dir):
+    ev = load(spark, sf_dir, "events")
+    return ev.select("event_id", F.get_json_object("props", "$.k").alias("k"), "event_type")
+
+
+_EVENTS_K_SQL = ("(SELECT event_id, json_extract_string(props, '$.k') AS k, event_type "
+                 "FROM events)")
+
+
+def _rule_sql(src, kinds, rule=None, extra=""):
+    where = f"WHERE rule = '{rule}'" if rule else ""
+    return f"SELECT {_FIELDS_SQL}{extra} FROM ({suggest_sql(src, kinds)}) AS s {where}"
+
+
+register("suggest_complete", _rule_sql("orders", SUGGEST_KINDS["orders"], "complete"))(
+    _suggest_query(_orders, "complete"))
+register("suggest_retain_completeness",
+         _rule_sql(f"({CORRUPT_ORDERS_SQL})", SUGGEST_KINDS["orders"], "completeness"))(
+    _suggest_query(corrupted_orders, "completeness"))
+register("suggest_type", _rule_sql(_EVENTS_K_SQL, SUGGEST_KINDS["events_k"], "type"))(
+    _suggest_query(_events_k, "type"))
+register("suggest_categorical", _rule_sql("orders", SUGGEST_KINDS["orders"], "categorical"))(
+    _suggest_query(_orders, "categorical"))
+register("suggest_fractional_categorical",
+         _rule_sql("part", SUGGEST_KINDS["part"], "fractional_categorical"))(
+    _suggest_query(_part, "fractional_categorical"))
+register("suggestions_flat", _rule_sql("orders", SUGGEST_KINDS["orders"], extra=", rule"))(
+    _suggest_query(_orders, with_rule=True))
+
+
+@register("suggest_non_negative", f"""
+SELECT 'customer' AS "table", * FROM ({_rule_sql('customer', SUGGEST_KINDS['customer'], 'non_negative')}) AS a
+UNION ALL
+SELECT 'lineitem', * FROM ({_rule_sql('lineitem', SUGGEST_KINDS['lineitem'], 'non_negative')}) AS b
+""")
+def suggest_non_negative(spark, sf_dir):
+    """E9 on two tables (customer has negative balances, so no rule for c_acctbal)."""
+    parts = []
+    for t in ("customer", "lineitem"):
+        s = suggest(load(spark, sf_dir, t)).filter(F.col("rule") == "non_negative")
+        parts.append(s.select(F.lit(t).alias("table"), *SUGGESTION_FIELDS))
+    return parts[0].unionByName(parts[1])
+
+
+@register("suggestions_grouped", f"""
+SELECT column_name AS "column", count(*) AS n_suggestions,
+       string_agg(code_for_constraint, '; ' ORDER BY code_for_constraint) AS codes
+FROM ({suggest_sql('orders', SUGGEST_KINDS['orders'])}) AS s GROUP BY column_name
+""")
+def suggestions_grouped(spark, sf_dir):
+    """Suggestions grouped by column."""
+    g = grouped(suggest(_orders(spark, sf_dir)))
+    return g.select("column", F.size("suggestions").cast("bigint").alias("n_suggestions"),
+                    F.array_join(F.transform("suggestions", lambda s: s["codeForConstraint"]),
+                                 "; ").alias("codes"))
+
+
+def _check_sql():
+    kinds = SUGGEST_KINDS["orders"]
+    longs = " UNION ALL ".join(
+        f"SELECT '{c}' AS col, CAST({c} AS VARCHAR) AS v, "
+        f"{'TRY_CAST(' + c + ' AS DOUBLE)' if k in ('integral', 'fractional') else 'NULL::DOUBLE'} AS d "
+        f"FROM bad" for c, k in kinds)
+    vals = " UNION ALL ".join(
+        f"SELECT DISTINCT '{c}' AS col, CAST({c} AS VARCHAR) AS value FROM orders "
+        f"WHERE {c} IS NOT NULL" for c, k in kinds if k == "string")
+    return f"""
+WITH rules AS ({suggest_sql('orders', kinds)}),
+bad AS ({CORRUPT_ORDERS_SQL}),
+vals AS ({vals}),
+long AS ({longs})
+SELECT r.column_name, r.rule,
+  round(avg(CASE r.rule
+    WHEN 'complete' THEN CASE WHEN l.v IS NOT NULL THEN 1.0 ELSE 0.0 END
+    WHEN 'completeness' THEN CASE WHEN l.v IS NOT NULL THEN 1.0 ELSE 0.0 END
+    WHEN 'non_negative' THEN CASE WHEN l.v IS NULL OR l.d >= 0 THEN 1.0 ELSE 0.0 END
+    WHEN 'categorical' THEN CASE WHEN l.v IS NULL OR l.v IN
+        (SELECT value FROM vals WHERE vals.col = r.column_name) THEN 1.0 ELSE 0.0 END
+  END), 4) + 0.0 AS pass_fraction,
+  avg(CASE r.rule
+    WHEN 'complete' THEN CASE WHEN l.v IS NOT NULL THEN 1.0 ELSE 0.0 END
+    WHEN 'completeness' THEN CASE WHEN l.v IS NOT NULL THEN 1.0 ELSE 0.0 END
+    WHEN 'non_negative' THEN CASE WHEN l.v IS NULL OR l.d >= 0 THEN 1.0 ELSE 0.0 END
+    WHEN 'categorical' THEN CASE WHEN l.v IS NULL OR l.v IN
+        (SELECT value FROM vals WHERE vals.col = r.column_name) THEN 1.0 ELSE 0.0 END
+  END) >= max(r.min_fraction) AS passed
+FROM rules r JOIN long l ON l.col = r.column_name
+GROUP BY r.column_name, r.rule
+"""
+
+
+@register("check_suggestions", _check_sql())
+def check_suggestions_q(spark, sf_dir):
+    """Rules learnt on clean orders, checked on corrupted orders."""
+    rules = suggest(_orders(spark, sf_dir))
+    res = check_suggestions(corrupted_orders(spark, sf_dir), rules)
+    return res.select("column_name", "rule",
+                      (F.round("pass_fraction", 4) + F.lit(0.0)).alias("pass_fraction"), "passed")
