@@ -100,9 +100,10 @@ def corrupt_column(df: DataFrame, column: str, key, kind: str, frac: float = 0.5
 
 
 def corrupt(df: DataFrame, columns, key: str, frac: float = 0.5, null_share: float = 0.5,
-            scheme: str = "gauss", salt=7) -> DataFrame:
+            scheme: str = "gauss", salt=7, only_where: Column | None = None) -> DataFrame:
     """Corrupt ``columns`` of ``df``; half of the hit rows become null, the rest
-    get a text suffix or numeric noise depending on the column type.
+    get a text suffix or numeric noise depending on the column type.  ``only_where``
+    limits the damage to rows meeting a condition (e.g. the newest day of a slice).
 
     Types are kept where the noise allows it (shift keeps integers; gauss turns integers
     into doubles, as adding a real-valued noise does).
@@ -117,6 +118,8 @@ def corrupt(df: DataFrame, columns, key: str, frac: float = 0.5, null_share: flo
             out.append(c)
             continue
         hit = hit_expr(key, name, frac, salt)
+        if only_where is not None:
+            hit = hit & F.coalesce(only_where, F.lit(False))
         to_null = hit & null_coin(key, name, null_share, salt)
         dtype = f.dataType
         if isinstance(dtype, StringType):

@@ -568,3 +568,112 @@ def check_suggestions_q(spark, sf_dir):
     res = check_suggestions(corrupted_orders(spark, sf_dir), rules)
     return res.select("column_name", "rule",
                       (F.round("pass_fraction", 4) + F.lit(0.0)).alias("pass_fraction"), "passed")
+
+
+# ---------------------------------------------------------------- M4-M8, M11: metrics
+
+from tablewise.operators.metrics import confusion, metric_rows, rates, roc_auc  # noqa: E402
+
+
+@register("confusion_metrics", """
+WITH c AS (SELECT count_if(quality = 1 AND toxic = 1) AS tp, count_if(quality = 0 AND toxic = 1) AS fp,
+                  count_if(quality = 1 AND toxic = 0) AS fn, count_if(quality = 0 AND toxic = 0) AS tn
+           FROM labels),
+r AS (SELECT
+  coalesce((tp + tn) / nullif(CAST(tp + fp + fn + tn AS DOUBLE), 0), 0.0) AS accuracy,
+  coalesce(tp / nullif(CAST(tp + fp AS DOUBLE), 0), 0.0) AS precision,
+  coalesce(tp / nullif(CAST(tp + fn AS DOUBLE), 0), 0.0) AS recall,
+  coalesce(2 * tp / nullif(CAST(2 * tp + fp + fn AS DOUBLE), 0), 0.0) AS f1_score FROM c)
+SELECT 'labels' AS "table", 'MLMetric' AS type, NULL::VARCHAR AS "column", metric,
+       round(value, 6) AS value
+FROM (UNPIVOT r ON accuracy, precision, recall, f1_score INTO NAME metric VALUE value)
+""")
+def confusion_metrics(spark, sf_dir):
+    """M5-M8 + M11: quality is the truth, toxic the prediction."""
+    lab = load(spark, sf_dir, "labels")
+    r = rates(confusion(lab, "quality", "toxic"))
+    rows = metric_rows(r, ["accuracy", "precision", "recall", "f1_score"], "labels")
+    return rows.withColumn("value", F.round("value", 6))
+
+
+@register("roc_auc", """
+WITH s AS (SELECT CAST(d.n_chars AS DOUBLE) AS score, l.quality AS y
+           FROM labels l JOIN documents d ON l.doc_id = d.doc_id),
+g AS (SELECT score, count_if(y = 1) AS pos, count_if(y = 0) AS neg FROM s
+      WHERE score IS NOT NULL GROUP BY score),
+r AS (SELECT *, coalesce(sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING
+                                        AND 1 PRECEDING), 0) AS below FROM g)
+SELECT round(sum(pos * (below + 0.5 * neg)) / (sum(pos) * sum(neg)), 6) AS roc_auc FROM r
+""")
+def roc_auc_q(spark, sf_dir):
+    """M4: AUC of document length as a score for quality (labels joined to documents)."""
+    lab = load(spark, sf_dir, "labels").select("doc_id", "quality")
+    docs = load(spark, sf_dir, "documents").select("doc_id", "n_chars")
+    scored = lab.join(docs, "doc_id")
+    return roc_auc(scored, "quality", "n_chars", buckets=16).select(
+        F.round("roc_auc", 6).alias("roc_auc"))
+
+
+# ---------------------------------------------------------------- M1-M3, M9-M12, J1-J3
+# No SQL equivalent (a trained model): row checks here, identities in tests.
+
+from tablewise.operators.drift import DriftParams, drift_model  # noqa: E402
+from tablewise.plans.jobs import RunConfig, drift_report, quality_report, table_report  # noqa: E402
+
+DRIFT_DAY = dt.datetime(2024, 1, 30)
+DRIFT_PARAMS = DriftParams(max_iter=10, max_depth=4)
+
+
+def _drifted_events(spark, sf_dir):
+    """Newest day against the two before, day grain; half of value / event_type of the
+    newest day corrupted (nulls, noise, suffixes)."""
+    ev = load(spark, sf_dir, "events")
+    sl = slice_days(ev, "ts", DRIFT_DAY, "day", 3)
+    bad = X.corrupt(sl, ["value", "event_type"], "event_id", 0.5, scheme="gauss", salt=SALT,
+                    only_where=F.col("label") == 1)
+    return sample_by_class(bad, "label", SAMPLE_FRAC, SEED, method="hash", key="event_id")
+
+
+def _drift_result(spark, sf_dir, with_shap):
+    s = _drifted_events(spark, sf_dir).cache()
+    return drift_model(s, "event_id", "events", exclude=["ts"], params=DRIFT_PARAMS,
+                       with_shap=with_shap)
+
+
+@register("drift_model_metrics")
+def drift_model_metrics(spark, sf_dir):
+    """AUC, accuracy, precision, recall, F1 of the day-vs-day classifier."""
+    return _drift_result(spark, sf_dir, with_shap=False).metrics
+
+
+@register("shap_mean_abs")
+def shap_mean_abs_q(spark, sf_dir):
+    """Mean |SHAP| per source column (corrupted columns come first)."""
+    m = _drift_result(spark, sf_dir, with_shap=True).metrics
+    return m.filter(F.col("type") == "SHAP")
+
+
+def _events_cfg(**kw):
+    base = dict(table="events", ts_col="ts", key="event_id", grain="day", n_days=3,
+                sample_frac=SAMPLE_FRAC, seed=SEED, max_iter=10, max_depth=4,
+                run_ts="2024-01-31 00:00:00", path="events")
+    base.update(kw)
+    return RunConfig(**base)
+
+
+@register("drift_report")
+def drift_report_q(spark, sf_dir):
+    """Newest day against the day before, on the clean table."""
+    return drift_report(load(spark, sf_dir, "events"), _events_cfg()).rows()
+
+
+@register("quality_report")
+def quality_report_q(spark, sf_dir):
+    """Suggestions + profile of one day, then the three-day drift model."""
+    return quality_report(load(spark, sf_dir, "events"), _events_cfg(at="2024-01-30")).rows()
+
+
+@register("table_report")
+def table_report_q(spark, sf_dir):
+    """Suggestions + profile of a whole table."""
+    return table_report(load(spark, sf_dir, "orders"), "orders").rows()
