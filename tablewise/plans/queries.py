@@ -677,3 +677,56 @@ def quality_report_q(spark, sf_dir):
 def table_report_q(spark, sf_dir):
     """Suggestions + profile of a whole table."""
     return table_report(load(spark, sf_dir, "orders"), "orders").rows()
+
+
+# ---------------------------------------------------------------- A: sources and sinks
+
+from tablewise.session import shared_dir  # noqa: E402
+from tablewise.sources.readers import read_csv, write_csv  # noqa: E402
+from tablewise.sources.sinks import PROFILE_METRIC, append_metrics, profile_exposition  # noqa: E402
+
+
+def _esc_sql(x: str) -> str:
+    return f"replace(replace(replace({x}, '\\', '\\\\'), '\"', '\\\"'), chr(10), '\\n')"
+
+
+@register("exposition_lines", f"""
+WITH p AS (SELECT 'region' AS tbl, * FROM ({profile_sql('region', TABLE_COLUMNS['region'])}) AS a
+           UNION ALL
+           SELECT 'nation', * FROM ({profile_sql('nation', TABLE_COLUMNS['nation'])}) AS b)
+SELECT '{PROFILE_METRIC}{{table="' || {_esc_sql('tbl')} || '",entity="' || {_esc_sql('entity')}
+       || '",instance="' || {_esc_sql('instance')} || '",name="' || {_esc_sql('name')} || '"}} '
+       || CAST(CAST(round(value, 6) AS DECIMAL(38,6)) AS VARCHAR) AS line
+FROM p
+""")
+def exposition_lines_q(spark, sf_dir):
+    """Profile metrics of region and nation as exposition text lines."""
+    out = None
+    for t in ("region", "nation"):
+        lines = profile_exposition(rounded(profile(load(spark, sf_dir, t), approx_distinct=False)), t)
+        out = lines if out is None else out.unionByName(lines)
+    return out
+
+
+@register("csv_roundtrip", "SELECT * FROM nation")
+def csv_roundtrip(spark, sf_dir):
+    """A4: nation written as CSV (header, no index) to the shared folder, read back typed."""
+    nation = load(spark, sf_dir, "nation")
+    path = shared_dir(spark, "csv-nation")
+    write_csv(nation, path)
+    return read_csv(spark, path, nation.schema)
+
+
+@register("metrics_append", f"""
+SELECT 'region' AS "table", * FROM ({profile_sql('region', TABLE_COLUMNS['region'])}) AS a
+UNION ALL
+SELECT 'nation', * FROM ({profile_sql('nation', TABLE_COLUMNS['nation'])}) AS b
+""")
+def metrics_append(spark, sf_dir):
+    """A5: metric rows of two tables appended to one table partitioned by ``table``."""
+    path = shared_dir(spark, "metrics")
+    for t in ("region", "nation"):
+        rows = rounded(profile(load(spark, sf_dir, t), approx_distinct=False))
+        append_metrics(rows.withColumn("table", F.lit(t)), path)
+    back = spark.read.parquet(path)
+    return back.select("table", "entity", "instance", "name", "value")
