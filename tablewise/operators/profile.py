@@ -107,27 +107,51 @@ def _long_from_wide(wide: DataFrame, specs: list[MetricSpec], keys: list[str]) -
             .filter(F.col("value").isNotNull()))
 
 
+def _is_sketch(spec: MetricSpec) -> bool:
+    return spec.name == M_APPROX_DISTINCT
+
+
 def run_specs(df: DataFrame, specs: list[MetricSpec], group_by=None,
-              chunk: int = 256) -> DataFrame:
-    """One shared-scan aggregate per chunk of metrics -> long metric rows.
+              chunk: int = 256, sketches: str = "separate") -> DataFrame:
+    """Shared-scan aggregates -> long metric rows.
 
     Only successful (non-null) metrics appear, as in the reference's success table.
+
+    ``sketches="separate"`` (default) runs the HLL++ sketches in their own aggregate:
+    HLL++ is an imperative aggregate, and one of them in an aggregate switches the
+    whole aggregate (all ~50 other metrics) out of whole-stage codegen.  Two passes -
+    one codegen'd, one with only the sketches - measured 20 % faster than one
+    interpreted pass on lineitem sf0.1.  ``"shared"`` keeps a single pass (for storage
+    where a second read of the columns costs more than the CPU).
     """
+    if sketches == "separate":
+        plain = [s for s in specs if not _is_sketch(s)]
+        sk = [s for s in specs if _is_sketch(s)]
+        groups = [g for g in (plain, sk) if g]
+    else:
+        groups = [specs]
     keys = list(group_by or [])
+    parts = []
+    for group in groups:
+        parts += _run_group(df, group, keys, chunk)
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _run_group(df: DataFrame, specs: list[MetricSpec], keys: list, chunk: int) -> list:
     parts = []
     for start in range(0, len(specs), chunk):
         part = specs[start:start + chunk]
         aggs = [s.expr.alias(f"_m{i}") for i, s in enumerate(part)]
         wide = df.groupBy(*[qcol(k) for k in keys]).agg(*aggs) if keys else df.agg(*aggs)
         parts.append(_long_from_wide(wide, part, keys))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return parts
 
 
 def profile(df: DataFrame, columns=None, approx_distinct: bool = True, rsd: float = 0.05,
-            group_by=None, chunk: int = 256) -> DataFrame:
+            group_by=None, chunk: int = 256, sketches: str = "separate") -> DataFrame:
     """D10-D12 (and D16 with ``group_by``): long metric table of ``df``.
 
     Columns: ``[*group_by,] entity, instance, name, value``.
@@ -135,7 +159,7 @@ def profile(df: DataFrame, columns=None, approx_distinct: bool = True, rsd: floa
     keys = list(group_by or [])
     schema = StructType([f for f in df.schema.fields if f.name not in keys])
     specs = metric_specs(schema, columns, approx_distinct, rsd)
-    return run_specs(df, specs, keys, chunk)
+    return run_specs(df, specs, keys, chunk, sketches)
 
 
 def label_counts(df: DataFrame, label_col: str = "label", extra=()) -> DataFrame:

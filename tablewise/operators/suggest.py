@@ -79,10 +79,13 @@ def column_profile(df: DataFrame, columns=None, rsd: float = 0.05) -> DataFrame:
     """
     fields = [f for f in df.schema.fields if columns is None or f.name in set(columns)]
     aggs = [F.count(F.lit(1)).alias("_n")]
+    # HLL sketches in their own aggregate keep the rest in whole-stage codegen
+    sketches = [F.approx_count_distinct(qcol(f.name), rsd).alias(f"ad{i}")
+                for i, f in enumerate(fields)]
     for i, f in enumerate(fields):
         c = qcol(f.name)
         kind = _kind(f.dataType)
-        aggs += [F.count(c).alias(f"nn{i}"), F.approx_count_distinct(c, rsd).alias(f"ad{i}")]
+        aggs += [F.count(c).alias(f"nn{i}")]
         if kind in ("integral", "fractional"):
             aggs.append(F.min(c.cast("double")).alias(f"mn{i}"))
         elif kind == "string":
@@ -90,10 +93,15 @@ def column_profile(df: DataFrame, columns=None, rsd: float = 0.05) -> DataFrame:
             is_int = t.rlike(INTEGRAL_PATTERN)
             is_frac = ~is_int & t.rlike(FRACTIONAL_PATTERN)
             is_bool = F.lower(t).isin(*BOOLEAN_VALUES)
-            aggs += [F.min(t.try_cast("double")).alias(f"mn{i}"),
+            # cast only text that reads as a number: a failing cast costs an exception
+            numeric = F.when(t.rlike(NUMBER_PATTERN), t.cast("double"))
+            aggs += [F.min(numeric).alias(f"mn{i}"),
                      F.count_if(is_int).alias(f"ci{i}"), F.count_if(is_frac).alias(f"cf{i}"),
                      F.count_if(is_bool).alias(f"cb{i}")]
-    wide = df.agg(*aggs)
+    plain = df.agg(*aggs)
+    sk = df.agg(*sketches)
+    # two one-row aggregates side by side
+    wide = plain.withColumn("_k", F.lit(1)).join(sk.withColumn("_k", F.lit(1)), "_k")
 
     def num_or_null(name, typ):
         return F.col(name).cast(typ) if name in wide.columns else F.lit(None).cast(typ)
@@ -304,12 +312,18 @@ def suggest(df: DataFrame, columns=None, th: Thresholds = Thresholds(),
     The profile has one row per column, so it is brought to the driver (bounded by the
     schema, not the data) and the histogram columns are chosen from it.
     """
+    spark = df.sparkSession
     prof_df = column_profile(df, columns, rsd)
     rows = prof_df.collect()
-    prof = df.sparkSession.createDataFrame(rows, prof_df.schema)
+    # one row per column: a single partition avoids a task per empty slice
+    prof = spark.createDataFrame(rows, prof_df.schema).coalesce(1)
     low = [r["column"] for r in rows
            if r["kind"] == "string" and r["approx_distinct"] <= th.max_histogram_values]
-    hist = histograms(df, low)
+    hist_df = histograms(df, low)
+    # at most about max_histogram_values rows per chosen column (the HLL estimate is
+    # within a few percent): bounded, so it is brought over once instead of being
+    # recomputed by each rule that reads it
+    hist = spark.createDataFrame(hist_df.collect(), hist_df.schema).coalesce(1)
     return rules_from_profile(prof, hist, th)
 
 

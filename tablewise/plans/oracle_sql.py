@@ -116,7 +116,8 @@ def suggest_sql(src: str, kinds) -> str:
             t = f"trim({c})"
             prof.append(
                 f"SELECT '{c}' AS col, 'string' AS kind, count(*) AS n, count({c}) AS non_null, "
-                f"count(DISTINCT {c}) AS nd, min(TRY_CAST({t} AS DOUBLE)) AS minimum, "
+                f"count(DISTINCT {c}) AS nd, "
+                f"min(CASE WHEN regexp_full_match({t}, '{_NUM_RE}') THEN TRY_CAST({t} AS DOUBLE) END) AS minimum, "
                 f"count_if(regexp_full_match({t}, '{_INT_RE}')) AS n_int, "
                 f"count_if(NOT regexp_full_match({t}, '{_INT_RE}') AND regexp_full_match({t}, '{_FRAC_RE}')) AS n_frac, "
                 f"count_if(lower({t}) IN ('true', 'false')) AS n_bool FROM {src}")
