@@ -25,6 +25,7 @@ from tablewise.operators.metrics import (ACCURACY, F1, PRECISION, RECALL, ROC_AU
 from tablewise.operators.profile import qcol
 from tablewise.operators.sampling import bounded_sample, stratified_split
 from tablewise.operators.shap import mean_abs_shap, shap_values
+from tablewise.session import ensure_checkpoint_dir
 
 
 @dataclass(frozen=True)
@@ -40,6 +41,7 @@ class DriftParams:
     shap_rows: int | None = 5000  # the reference's SHAP row cap; None = every test row
     auc_buckets: int = 1024
     with_accuracy: bool = True
+    rows_per_partition: int = 250_000   # training partitions ~ rows / this (narrow coalesce)
 
 
 @dataclass
@@ -68,6 +70,7 @@ def drift_model(labelled: DataFrame, key: str, table: str, label_col: str = "lab
     is missing or there are no usable features (the reference failed there).
     """
     spark = labelled.sparkSession
+    ensure_checkpoint_dir(spark)   # GBT cuts its lineage there every 10 iterations
     plan = plan_features(labelled, label_col=label_col, exclude=set(exclude) | {key},
                          exclude_prefixes=exclude_prefixes,
                          max_categories=params.max_categories,
@@ -80,7 +83,11 @@ def drift_model(labelled: DataFrame, key: str, table: str, label_col: str = "lab
     enc = encode(labelled, plan, keep=[key, label_col], vector_col="features")
     enc = enc.withColumn(label_col, qcol(label_col).cast("double"))
     split = stratified_split(enc, label_col, key, params.test_share, params.seed)
-    data = split.persist(StorageLevel.MEMORY_AND_DISK)
+    # every boosting level is a pass over the data: small slices should not pay for
+    # dozens of near-empty tasks per pass; large ones keep their partitioning
+    n_rows = sum(counts.values())
+    n_parts = max(1, -(-n_rows // params.rows_per_partition))
+    data = split.coalesce(n_parts).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         from pyspark.ml.classification import GBTClassifier
         gbt = GBTClassifier(featuresCol="features", labelCol=label_col,

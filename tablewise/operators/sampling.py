@@ -80,9 +80,11 @@ def stratified_split(df: DataFrame, label_col: str, key: str, test_share: float
        map-side combined aggregate of at most classes x 2^bits rows;
     2. on that small table find, per class, the boundary bucket where the running
        count reaches the quota, and how many rows are still needed inside it;
-    3. rows below the boundary are test, above are train (a broadcast join of one row
-       per class); only rows *in* the boundary bucket (about n / 2^bits of them) are
+    3. rows below the boundary are test, above are train (a join with one row per
+       class); only rows *in* the boundary bucket (about n / 2^bits of them) are
        ranked with a window.
+
+    ``key`` must identify rows (duplicates of one key share a hash and a bucket).
     """
     lab = qcol(label_col)
     h = portable_hash(key, f"split:{seed}")
@@ -104,8 +106,10 @@ def stratified_split(df: DataFrame, label_col: str, key: str, test_share: float
               .select("_lab",
                       F.col("_s._b").alias("_cut_b"),
                       (F.col("_s._need") - (F.col("_s._cum") - F.col("_s._cnt"))).alias("_left")))
-    # classes whose quota is 0 have no boundary: every row is train
-    joined = base.join(F.broadcast(cut), base[label_col].eqNullSafe(cut["_lab"]), "left")
+    # one row per class; no broadcast hint: the class count of an arbitrary stratify
+    # column is not bounded, so AQE decides from the runtime size.  Classes whose quota
+    # is 0 have no boundary: every row is train.
+    joined = base.join(cut, base[label_col].eqNullSafe(cut["_lab"]), "left")
     below = F.col("_cut_b").isNotNull() & (F.col("_b") < F.col("_cut_b"))
     at_cut = F.col("_cut_b").isNotNull() & (F.col("_b") == F.col("_cut_b"))
 

@@ -48,11 +48,18 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; set a scratch one only if none is configured."""
+    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+
+    Only a local-mode session without one gets a scratch folder (tests, laptops); on a
+    cluster a machine-local folder would be lost with its executor, so an unset folder
+    is an error there.
+    """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, S3, ...)")
         d = tempfile.mkdtemp(prefix="tablewise-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
