@@ -43,7 +43,12 @@ SCHEMES = {
 
 def choose_columns(df: DataFrame, k: int, exclude=(), seed: int = 42) -> list[str]:
     """``k`` columns drawn without replacement (schema only, no data read)."""
-    pool = [c for c in df.columns if c not in set(exclude)]
+    return choose_columns_from(df.columns, k, exclude, seed)
+
+
+def choose_columns_from(columns, k: int, exclude=(), seed: int = 42) -> list[str]:
+    """X1 on a list of column names (same draw as :func:`choose_columns`)."""
+    pool = [c for c in columns if c not in set(exclude)]
     k = min(k, len(pool))
     rng = np.random.default_rng(seed)
     return [str(c) for c in rng.choice(pool, size=k, replace=False)] if k else []
@@ -154,6 +159,6 @@ def make_dirty(df: DataFrame, key: str, frac: float = 0.3, scheme: str = "gauss"
     return corrupt(df, cols, key, frac=frac, scheme=scheme, salt=salt), cols
 
 
-__all__ = ["choose_columns", "corrupt", "corrupt_column", "make_dirty", "hit_expr",
+__all__ = ["choose_columns", "choose_columns_from", "corrupt", "corrupt_column", "make_dirty", "hit_expr",
            "null_coin", "suffix_expr", "gauss_noise", "shift_noise", "SCHEMES",
            "SUFFIX_ALPHABET"]

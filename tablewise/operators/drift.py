@@ -71,11 +71,15 @@ def drift_model(labelled: DataFrame, key: str, table: str, label_col: str = "lab
     """
     spark = labelled.sparkSession
     ensure_checkpoint_dir(spark)   # GBT cuts its lineage there every 10 iterations
+    counts = {r[0]: r[1] for r in labelled.groupBy(qcol(label_col)).count().collect()}
+    # Spark caps the bins of a tree at the number of training rows and needs every
+    # categorical feature (kept values + other + null) to fit in them
+    n_rows = sum(counts.values())
+    n_train = n_rows - int(n_rows * params.test_share + 0.5)
+    max_cats = max(1, min(params.max_categories, n_train - 3))
     plan = plan_features(labelled, label_col=label_col, exclude=set(exclude) | {key},
-                         exclude_prefixes=exclude_prefixes,
-                         max_categories=params.max_categories,
+                         exclude_prefixes=exclude_prefixes, max_categories=max_cats,
                          high_card_ratio=params.high_card_ratio, keep=[key])
-    counts = {r[0]: r[1] for r in labelled.groupBy(qcol(label_col)).count().collect()}
     notes = {"class_counts": counts, "dropped": plan.dropped}
     if not plan.slots or counts.get(1, 0) < 2 or counts.get(0, 0) < 2:
         return DriftResult(_null_metrics(spark, table, params, ts, path), plan, notes=notes)
@@ -85,7 +89,6 @@ def drift_model(labelled: DataFrame, key: str, table: str, label_col: str = "lab
     split = stratified_split(enc, label_col, key, params.test_share, params.seed)
     # every boosting level is a pass over the data: small slices should not pay for
     # dozens of near-empty tasks per pass; large ones keep their partitioning
-    n_rows = sum(counts.values())
     n_parts = max(1, -(-n_rows // params.rows_per_partition))
     data = split.coalesce(n_parts).persist(StorageLevel.MEMORY_AND_DISK)
     try:

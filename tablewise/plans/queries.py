@@ -730,3 +730,82 @@ def metrics_append(spark, sf_dir):
         append_metrics(rows.withColumn("table", F.lit(t)), path)
     back = spark.read.parquet(path)
     return back.select("table", "entity", "instance", "name", "value")
+
+
+# ---------------------------------------------------------------- more surface
+
+from tablewise.functions.timeslice import hhmm  # noqa: E402
+from tablewise.sources.sinks import ML_METRIC, ml_exposition  # noqa: E402
+
+_CONF_SQL = ORACLES["confusion_metrics"]
+
+
+@register("ml_exposition_lines", f"""
+SELECT '{ML_METRIC}{{table="' || {_esc_sql('"table"')} || '",metric_type="' || {_esc_sql('type')}
+       || '",column="' || {_esc_sql("coalesce(\"column\", '')")} || '",metric="' || {_esc_sql('metric')}
+       || '"}} ' || CAST(CAST(round(value, 6) AS DECIMAL(38,6)) AS VARCHAR) AS line
+FROM ({_CONF_SQL}) AS m
+""")
+def ml_exposition_lines(spark, sf_dir):
+    """A9 + A10: model metric rows as exposition lines; the null column label is empty."""
+    return ml_exposition(confusion_metrics(spark, sf_dir))
+
+
+_DIRTY_COLS = X.choose_columns_from(["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+                                     "o_orderdate", "o_orderpriority"],
+                                    X.SCHEMES["shift"][3], exclude={"o_orderkey"}, seed=SEED)
+
+
+def _dirty_sql():
+    key = "o_orderkey"
+    kinds = dict(SUGGEST_KINDS["orders"])
+    sel = []
+    for c, _ in SUGGEST_KINDS["orders"]:
+        if c not in _DIRTY_COLS:
+            sel.append(ts_text_sql(c) + f" AS {c}" if kinds[c] == "other" else c)
+            continue
+        nul = f"{_hit_sql(key, c, 0.3)} AND {uhash_sql(key, f'{SALT}:null:{c}')} < 0.5"
+        if kinds[c] == "string":
+            changed = f"coalesce({c}, 'None') || {_suffix_sql(key, c, 5)}"
+        elif kinds[c] in ("integral", "fractional"):
+            changed = f"{c} + 100 + {hash_sql(key, f'{SALT}:shift:{c}')} % 900"
+        else:
+            changed = None
+        out = ts_text_sql(c) if kinds[c] == "other" else c
+        if changed is None:
+            sel.append(f"CASE WHEN {nul} THEN NULL ELSE {out} END AS {c}")
+        else:
+            sel.append(f"CASE WHEN {nul} THEN NULL WHEN {_hit_sql(key, c, 0.3)} THEN {changed} "
+                       f"ELSE {c} END AS {c}")
+    # integer columns that may hold nulls are compared as doubles (a nullable integer
+    # column turns into floats in pandas on one side only)
+    outer = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" if kinds[c] == "integral" else c
+                      for c, _ in SUGGEST_KINDS["orders"])
+    return f"SELECT {outer} FROM (SELECT " + ", ".join(sel) + " FROM orders) AS d"
+
+
+@register("make_dirty_orders", _dirty_sql())
+def make_dirty_orders(spark, sf_dir):
+    """X1 + X2-X4, X6 ("shift" scheme): up to 5 seeded columns, 30 % of rows each;
+    nulls, 5-character suffixes (a null reads as "None"), integer shifts in [100, 1000)."""
+    o = load(spark, sf_dir, "orders")
+    bad, cols = X.make_dirty(o, "o_orderkey", frac=0.3, scheme="shift", seed=SEED, salt=SALT)
+    assert sorted(cols) == sorted(_DIRTY_COLS)
+    return bad.select(F.col("o_orderkey").cast("double"), F.col("o_custkey").cast("double"),
+                      "o_orderstatus", "o_totalprice",
+                      ts_text("o_orderdate").alias("o_orderdate"), "o_orderpriority")
+
+
+_MINUTE = dt.datetime(2024, 1, 30, 7, 13)
+
+
+@register("slice_minute_all_days", f"""
+SELECT event_id, {ts_text_sql('ts')} AS ts, strftime(ts, '%H:%M') AS hhmm,
+       CASE WHEN ts >= {_ts_lit(_MINUTE)} THEN 1 ELSE 0 END AS label
+FROM events
+WHERE ({' OR '.join(f"(ts >= {_ts_lit(_MINUTE - dt.timedelta(days=i))} AND ts < {_ts_lit(_MINUTE - dt.timedelta(days=i) + dt.timedelta(minutes=1))})" for i in range(30))})
+""")
+def slice_minute_all_days(spark, sf_dir):
+    """B2 + B5 + B6 at the reference's grain: the same HH:mm on 30 days, 30 pushed ranges."""
+    sl = slice_days(load(spark, sf_dir, "events"), "ts", _MINUTE, "minute", 30)
+    return sl.select("event_id", ts_text("ts").alias("ts"), hhmm("ts").alias("hhmm"), "label")
