@@ -113,14 +113,10 @@ def classification_report(scored: DataFrame, table: str, label_col: str = "label
     """M4-M8 + M11: metric rows of a scored frame (AUC, [accuracy,] precision, recall, F1)."""
     r = rates(confusion(scored, label_col, pred_col))
     auc = roc_auc(scored, label_col, score_col, buckets)
-    names = [ROC_AUC] + ([ACCURACY] if with_accuracy else []) + [PRECISION, RECALL, F1]
-    wide = _one_row_join(auc, r)
-    return metric_rows(wide, names, table, ts=ts, path=path)
-
-
-def _one_row_join(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Side by side of two single-row aggregates (a join on a constant key)."""
-    return a.withColumn("_k", F.lit(1)).join(b.withColumn("_k", F.lit(1)), "_k").drop("_k")
+    names = ([ACCURACY] if with_accuracy else []) + [PRECISION, RECALL, F1]
+    # two one-row aggregates -> long rows each, then a union (no join needed)
+    return (metric_rows(auc, [ROC_AUC], table, ts=ts, path=path)
+            .unionByName(metric_rows(r, names, table, ts=ts, path=path)))
 
 
 __all__ = ["confusion", "rates", "roc_auc", "metric_rows", "classification_report",

@@ -34,7 +34,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (BooleanType, DecimalType, DoubleType, FloatType, IntegralType,
-                               NumericType, StringType)
+                               NumericType, StringType, StructType)
 
 from tablewise.functions.mathx import floor_to
 from tablewise.operators.profile import qcol
@@ -98,10 +98,13 @@ def column_profile(df: DataFrame, columns=None, rsd: float = 0.05) -> DataFrame:
             aggs += [F.min(numeric).alias(f"mn{i}"),
                      F.count_if(is_int).alias(f"ci{i}"), F.count_if(is_frac).alias(f"cf{i}"),
                      F.count_if(is_bool).alias(f"cb{i}")]
+    # two one-row aggregates (bounded by the column count) merged on the driver, then
+    # handed back as a one-partition local frame
     plain = df.agg(*aggs)
     sk = df.agg(*sketches)
-    # two one-row aggregates side by side
-    wide = plain.withColumn("_k", F.lit(1)).join(sk.withColumn("_k", F.lit(1)), "_k")
+    schema = StructType(plain.schema.fields + sk.schema.fields)
+    wide = df.sparkSession.createDataFrame(
+        [tuple(plain.first()) + tuple(sk.first())], schema).coalesce(1)
 
     def num_or_null(name, typ):
         return F.col(name).cast(typ) if name in wide.columns else F.lit(None).cast(typ)
