@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tablewise.functions.hashing import portable_hash, unit_hash
 from tablewise.operators.profile import qcol
+from tablewise.session import ensure_checkpoint_dir
 
 
 def sample_by_class(df: DataFrame, label_col: str = "label", fraction=0.5, seed: int = 42,
@@ -70,55 +71,119 @@ def union_all(frames) -> DataFrame:
 
 def stratified_split(df: DataFrame, label_col: str, key: str, test_share: float = 0.2,
                      seed: int = 42, bucket_bits: int = 16,
-                     out_col: str = "is_test") -> DataFrame:
+                     out_col: str = "is_test", max_classes: int = 100_000) -> DataFrame:
     """mark ``round(n_c * test_share)`` rows of each class ``c`` as test rows.
 
-    The test rows of a class are those with the smallest ``(hash(key), key)``.  Exact,
-    and no global sort:
-
-    1. hash -> bucket (top ``bucket_bits`` bits); count rows per (class, bucket) - a
-       map-side combined aggregate of at most classes x 2^bits rows;
-    2. on that small table find, per class, the boundary bucket where the running
-       count reaches the quota, and how many rows are still needed inside it;
-    3. rows below the boundary are test, above are train (a join with one row per
-       class); only rows *in* the boundary bucket (about n / 2^bits of them) are
-       ranked with a window.
-
-    ``key`` must identify rows (duplicates of one key share a hash and a bucket).
+    The test rows of a class are the first ones in the order ``(hash(key), key)``.
+    Exact, with no global sort, and no task ranks more than its own input split even
+    when one key (a group of copies) holds a large share of the rows:
+
+    1. hash -> bucket (top ``bucket_bits`` bits); rows per (class, bucket): a map-side
+       combined aggregate of at most classes x 2^bits rows, checkpointed.  Per class,
+       the boundary bucket where the running count reaches the quota (one row per class).
+    2. rows of the boundary buckets only: rows per (class, hash, key) and, per class,
+       the boundary key and how many of its rows are still needed.
+    3. one narrow pass: earlier buckets / keys are test, later ones train.  Only when
+       the boundary key is duplicated are its rows split by input partition: per-partition
+       counts give offsets, and a row is test when offset + its index inside its own
+       partition (ordered by a hash of its content) is below the number still needed.
+       Rows with equal content are interchangeable.
+
+    The per-class tables (at most ``max_classes`` rows, checked) reach the driver and are
+    broadcast back; a shuffle join on the class would send a whole class to one task.
+    The input should be a deterministic scan or a persisted frame (step 3 reads its
+    partition ids).
     """
-    lab = qcol(label_col)
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
     h = portable_hash(key, f"split:{seed}")
-    shift = 32 - bucket_bits
-    base = df.withColumns({"_h": h, "_b": F.shiftright(h, shift)})
-
-    counts = base.groupBy(lab.alias("_lab"), F.col("_b")).agg(F.count(F.lit(1)).alias("_cnt"))
-    per_class = Window.partitionBy("_lab").orderBy("_b").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    totals = Window.partitionBy("_lab")
-    cum = (counts
-           .withColumn("_cum", F.sum("_cnt").over(per_class))
-           .withColumn("_n", F.sum("_cnt").over(totals))
-           .withColumn("_need", F.round(F.col("_n") * F.lit(float(test_share))).cast("long")))
-    # boundary bucket: the first bucket whose running count reaches the quota
-    cut = (cum.filter(F.col("_cum") >= F.col("_need"))
-              .groupBy("_lab")
-              .agg(F.min_by(F.struct("_b", "_cum", "_cnt", "_need"), F.col("_b")).alias("_s"))
-              .select("_lab",
-                      F.col("_s._b").alias("_cut_b"),
-                      (F.col("_s._need") - (F.col("_s._cum") - F.col("_s._cnt"))).alias("_left")))
-    # one row per class; no broadcast hint: the class count of an arbitrary stratify
-    # column is not bounded, so AQE decides from the runtime size.  Classes whose quota
-    # is 0 have no boundary: every row is train.
-    joined = base.join(cut, base[label_col].eqNullSafe(cut["_lab"]), "left")
-    below = F.col("_cut_b").isNotNull() & (F.col("_b") < F.col("_cut_b"))
-    at_cut = F.col("_cut_b").isNotNull() & (F.col("_b") == F.col("_cut_b"))
-
-    rest = joined.filter(~at_cut).withColumn(out_col, below)
-    w = Window.partitionBy("_lab", "_b").orderBy("_h", qcol(key))
-    edge = (joined.filter(at_cut)
-            .withColumn(out_col, F.row_number().over(w) <= F.col("_left")))
+    base = df.withColumns({"_lab": qcol(label_col), "_h": h,
+                           "_b": F.shiftright(h, 32 - bucket_bits), "_k": qcol(key)})
+
+    counts = base.groupBy("_lab", "_b").agg(F.count(F.lit(1)).alias("_cnt")) \
+        .checkpoint(eager=True)
+    n_classes = counts.select("_lab").distinct().count()
+    if n_classes > max_classes:
+        raise ValueError(f"{n_classes} classes in {label_col!r}; at most {max_classes}")
+    cut1 = _local(_boundary(counts, ["_b"], F.round(F.col("_n") * F.lit(float(test_share)))))
+    if cut1 is None:
+        return df.withColumn(out_col, F.lit(False))
+
+    edge = base.join(cut1, base["_lab"].eqNullSafe(cut1["_lab_c"]) &
+                     (base["_b"] == cut1["_cut_b"]))
+    keys = edge.groupBy("_lab", "_h", "_k").agg(F.count(F.lit(1)).alias("_cnt"),
+                                                 F.first("_left").alias("_need1"))
+    cut2 = _local(_boundary(keys, ["_h", "_k"], F.col("_need1")),
+                  rename={"_lab_c": "_lab_d", "_left": "_left2", "_cnt": "_cnt2"})
+
+    j = (base.join(cut1, base["_lab"].eqNullSafe(cut1["_lab_c"]), "left")
+             .join(cut2, base["_lab"].eqNullSafe(cut2["_lab_d"]), "left"))
+    h_, k_, b_ = F.col("_h"), F.col("_k"), F.col("_b")
+    in_cut = F.col("_cut_b").isNotNull() & (b_ == F.col("_cut_b"))
+    before_key = (h_ < F.col("_cut_h")) | ((h_ == F.col("_cut_h")) & (k_ < F.col("_cut_k")))
+    at_key = in_cut & (h_ == F.col("_cut_h")) & (k_ == F.col("_cut_k"))
+    # boundary key with one row: that row is test (at least one row is still needed)
+    single = at_key & (F.col("_cnt2") == 1)
+    is_test = (F.col("_cut_b").isNotNull() & (b_ < F.col("_cut_b"))) | \
+        (in_cut & before_key) | single
     cols = df.columns + [out_col]
-    return rest.select(*cols).unionByName(edge.select(*cols))
+    dup_classes = cut2.filter(F.col("_cnt2") > 1).count() > 0
+    if not dup_classes:
+        return j.withColumn(out_col, is_test).select(*cols)
+
+    dup_at = at_key & (F.col("_cnt2") > 1)
+    rest = j.filter(~dup_at).withColumn(out_col, is_test).select(*cols)
+    dup = j.filter(dup_at).select(
+        *df.columns, "_lab", "_left2", F.spark_partition_id().alias("_pid"),
+        F.xxhash64(*[qcol(c) for c in df.columns]).alias("_r"))
+    per_part = dup.groupBy("_lab", "_pid").agg(F.count(F.lit(1)).alias("_pc"))
+    w_off = Window.partitionBy("_lab").orderBy("_pid").rowsBetween(
+        Window.unboundedPreceding, -1)
+    # classes x input partitions rows
+    offsets = F.broadcast(per_part.withColumn(
+        "_off", F.coalesce(F.sum("_pc").over(w_off), F.lit(0)))
+        .select(F.col("_lab").alias("_lab_o"), F.col("_pid").alias("_pid_o"), "_off")
+        .checkpoint(eager=True))
+    j3 = dup.join(offsets, dup["_lab"].eqNullSafe(F.col("_lab_o")) &
+                  (dup["_pid"] == F.col("_pid_o")))
+    w_in = Window.partitionBy("_lab", "_pid").orderBy("_r")
+    lvl3 = j3.withColumn(out_col, F.col("_off") + F.row_number().over(w_in) <= F.col("_left2"))
+    return rest.unionByName(lvl3.select(*cols))
+
+
+def _local(small: DataFrame, rename: dict | None = None):
+    """A per-class table (bounded by the class check) as a broadcast local frame."""
+    rows = small.collect()
+    if not rows:
+        return None
+    out = small.sparkSession.createDataFrame(rows, small.schema)
+    for a, b in (rename or {}).items():
+        out = out.withColumnRenamed(a, b)
+    return F.broadcast(out.coalesce(1))
+
+
+def _boundary(counts: DataFrame, order, need) -> DataFrame:
+    """Per class (``_lab``) on a small counts table: the first entry (in ``order``) whose
+    running count reaches ``need``, and how many of its rows are still needed.
+
+    ``need`` may refer to ``_n`` (the class total).  Returns ``_lab_c``, ``_cut<o>`` for
+    each order column, ``_cnt`` (rows of that entry) and ``_left``.  Classes needing 0
+    rows get no row.
+    """
+    run = Window.partitionBy("_lab").orderBy(*order).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    c = (counts.withColumn("_cum", F.sum("_cnt").over(run))
+               .withColumn("_n", F.sum("_cnt").over(Window.partitionBy("_lab")))
+               .withColumn("_need", need.cast("long")))
+    first = F.min_by(F.struct(*[F.col(o) for o in order], "_cum", "_cnt", "_need"),
+                     F.struct(*[F.col(o) for o in order]))
+    picked = (c.filter((F.col("_need") > 0) & (F.col("_cum") >= F.col("_need")))
+               .groupBy("_lab").agg(first.alias("_s")))
+    return picked.select(F.col("_lab").alias("_lab_c"),
+                         *[F.col(f"_s.{o}").alias(f"_cut{o}") for o in order],
+                         F.col("_s._cnt").alias("_cnt"),
+                         (F.col("_s._need") - (F.col("_s._cum") - F.col("_s._cnt")))
+                         .alias("_left"))
 
 
 def bounded_sample(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:

@@ -344,3 +344,22 @@ def test_jdbc_options():
     assert o["numPartitions"] == "4" and "password" not in o
     with pytest.raises(ValueError):
         jdbc_options("jdbc:x://h/db", "t", partition_column="id")
+
+
+def test_stratified_split_with_a_hot_key(spark):
+    """A third of the rows share one key: counts stay exact, and the split equals the
+    order (hash(key), key) on the distinct keys."""
+    rng = np.random.default_rng(11)
+    n = 3000
+    keys = np.where(np.arange(n) < n // 3, 7, np.arange(n) + 100)
+    pdf = pd.DataFrame({"k": keys, "y": (rng.uniform(0, 1, n) < 0.3).astype(int),
+                        "v": rng.normal(size=n)})
+    df = spark.createDataFrame(pdf).repartition(6, "v")
+    for bits in (1, 16):
+        out = stratified_split(df, "y", "k", 0.2, 42, bucket_bits=bits).toPandas()
+        assert len(out) == n
+        for y, g in out.groupby("y"):
+            assert g["is_test"].sum() == math.floor(len(g) * 0.2 + 0.5)
+        # keys fully on one side, except at most one boundary key per class
+        mixed = out.groupby(["y", "k"])["is_test"].nunique()
+        assert (mixed > 1).groupby(level=0).sum().max() <= 1
