@@ -79,8 +79,8 @@ def stratified_split(df: DataFrame, label_col: str, key: str, test_share: float
     when one key (a group of copies) holds a large share of the rows:
 
     1. hash -> bucket (top ``bucket_bits`` bits); rows per (class, bucket): a map-side
-       combined aggregate of at most classes x 2^bits rows, checkpointed.  Per class,
-       the boundary bucket where the running count reaches the quota (one row per class).
+       combined aggregate of at most classes x 2^bits rows.  Per class, the boundary
+       bucket where the running count reaches the quota (one row per class).
     2. rows of the boundary buckets only: rows per (class, hash, key) and, per class,
        the boundary key and how many of its rows are still needed.
     3. one narrow pass: earlier buckets / keys are test, later ones train.  Only when
@@ -89,8 +89,9 @@ def stratified_split(df: DataFrame, label_col: str, key: str, test_share: float
        partition (ordered by a hash of its content) is below the number still needed.
        Rows with equal content are interchangeable.
 
-    The per-class tables (at most ``max_classes`` rows, checked) reach the driver and are
-    broadcast back; a shuffle join on the class would send a whole class to one task.
+    The per-class tables (at most ``max_classes`` rows: collected with that limit and
+    checked) reach the driver and are broadcast back; a shuffle join on the class would
+    send a whole class to one task.
     The input should be a deterministic scan or a persisted frame (step 3 reads its
     partition ids).
     """
@@ -100,12 +101,9 @@ def stratified_split(df: DataFrame, label_col: str, key: str, test_share: float
     base = df.withColumns({"_lab": qcol(label_col), "_h": h,
                            "_b": F.shiftright(h, 32 - bucket_bits), "_k": qcol(key)})
 
-    counts = base.groupBy("_lab", "_b").agg(F.count(F.lit(1)).alias("_cnt")) \
-        .checkpoint(eager=True)
-    n_classes = counts.select("_lab").distinct().count()
-    if n_classes > max_classes:
-        raise ValueError(f"{n_classes} classes in {label_col!r}; at most {max_classes}")
-    cut1 = _local(_boundary(counts, ["_b"], F.round(F.col("_n") * F.lit(float(test_share)))))
+    counts = base.groupBy("_lab", "_b").agg(F.count(F.lit(1)).alias("_cnt"))
+    cut1, _ = _local(_boundary(counts, ["_b"], F.round(F.col("_n") * F.lit(float(test_share)))),
+                     max_classes, label_col)
     if cut1 is None:
         return df.withColumn(out_col, F.lit(False))
 
@@ -113,8 +111,9 @@ def stratified_split(df: DataFrame, label_col: str, key: str, test_share: float
                      (base["_b"] == cut1["_cut_b"]))
     keys = edge.groupBy("_lab", "_h", "_k").agg(F.count(F.lit(1)).alias("_cnt"),
                                                  F.first("_left").alias("_need1"))
-    cut2 = _local(_boundary(keys, ["_h", "_k"], F.col("_need1")),
-                  rename={"_lab_c": "_lab_d", "_left": "_left2", "_cnt": "_cnt2"})
+    cut2, cut2_rows = _local(_boundary(keys, ["_h", "_k"], F.col("_need1")), max_classes,
+                             label_col, rename={"_lab_c": "_lab_d", "_left": "_left2",
+                                                "_cnt": "_cnt2"})
 
     j = (base.join(cut1, base["_lab"].eqNullSafe(cut1["_lab_c"]), "left")
              .join(cut2, base["_lab"].eqNullSafe(cut2["_lab_d"]), "left"))
@@ -127,8 +126,7 @@ def stratified_split(df: DataFrame, label_col: str, key: str, test_share: float
     is_test = (F.col("_cut_b").isNotNull() & (b_ < F.col("_cut_b"))) | \
         (in_cut & before_key) | single
     cols = df.columns + [out_col]
-    dup_classes = cut2.filter(F.col("_cnt2") > 1).count() > 0
-    if not dup_classes:
+    if not any(r["_cnt"] > 1 for r in cut2_rows):
         return j.withColumn(out_col, is_test).select(*cols)
 
     dup_at = at_key & (F.col("_cnt2") > 1)
@@ -151,15 +149,18 @@ def stratified_split(df: DataFrame, label_col: str, key: str, test_share: float
     return rest.unionByName(lvl3.select(*cols))
 
 
-def _local(small: DataFrame, rename: dict | None = None):
-    """A per-class table (bounded by the class check) as a broadcast local frame."""
-    rows = small.collect()
+def _local(small: DataFrame, max_rows: int, label_col: str, rename: dict | None = None):
+    """A per-class table as (broadcast local frame, rows); at most ``max_rows`` rows are
+    ever brought over - more classes than that is an error."""
+    rows = small.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        raise ValueError(f"more than {max_rows} classes in {label_col!r}")
     if not rows:
-        return None
+        return None, rows
     out = small.sparkSession.createDataFrame(rows, small.schema)
     for a, b in (rename or {}).items():
         out = out.withColumnRenamed(a, b)
-    return F.broadcast(out.coalesce(1))
+    return F.broadcast(out.coalesce(1)), rows
 
 
 def _boundary(counts: DataFrame, order, need) -> DataFrame:
