@@ -48,7 +48,8 @@ class RunConfig:
     exclude: tuple = ()
     exclude_prefixes: tuple = ()
     run_ts: str | None = None        # time stamp on metric rows (M12); None = now
-    path: str | None = None          # source path written on metric rows
+    path: str | None = None          # source path (written on metric rows too)
+    source_format: str = "parquet"   # any Spark format; "jdbc" reads ``table`` via options
     source_options: dict = field(default_factory=dict, hash=False, compare=False)
 
     @classmethod
@@ -73,6 +74,18 @@ class RunConfig:
                 vals[f.name] = raw.replace("T", " ") if f.name == "run_ts" else raw
         return replace(cls(**vals), **overrides)
 
+    def load(self, spark: SparkSession) -> DataFrame:
+        """The source table: ``source_format`` + ``path`` / ``source_options``
+        (credentials only from ``source_options``, never from defaults)."""
+        from tablewise.sources.readers import read_jdbc, read_path
+        if self.source_format == "jdbc":
+            opts = dict(self.source_options)
+            url = opts.pop("url")
+            return read_jdbc(spark, url, opts.pop("dbtable", self.table), **opts)
+        if not self.path:
+            raise ValueError("RunConfig.path is needed for a path-based source")
+        return read_path(spark, self.path, self.source_format, **self.source_options)
+
     def drift_params(self) -> DriftParams:
         return DriftParams(max_iter=self.max_iter, max_depth=self.max_depth, seed=self.seed,
                            test_share=self.test_share, shap_rows=self.shap_rows)

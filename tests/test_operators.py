@@ -363,3 +363,19 @@ def test_stratified_split_with_a_hot_key(spark):
         # keys fully on one side, except at most one boundary key per class
         mixed = out.groupby(["y", "k"])["is_test"].nunique()
         assert (mixed > 1).groupby(level=0).sum().max() <= 1
+
+
+def test_run_config_loads_and_runs_a_job(spark, sf001):
+    from tablewise.plans.jobs import RunConfig, drift_report, table_report
+    cfg = RunConfig(table="events", ts_col="ts", key="event_id", grain="day",
+                    path=f"{sf001}/events.parquet", max_iter=3, max_depth=3,
+                    run_ts="2024-01-31 00:00:00")
+    df = cfg.load(spark)
+    assert df.count() == 1000
+    rows = drift_report(df, cfg, with_shap=False).rows().collect()
+    sections = {r["section"] for r in rows}
+    assert sections == {"profile", "counts", "drift"}
+    t = table_report(df, "events").rows()
+    assert t.filter("section = 'suggestions'").count() > 0
+    with pytest.raises(ValueError):
+        RunConfig(path=None).load(spark)
