@@ -190,8 +190,10 @@ def feature_columns(df: DataFrame, plan: FeaturePlan) -> list:
         if slot.endswith("__isnull"):
             out.append(F.when(c.isNull(), F.lit(1.0)).otherwise(F.lit(0.0)).alias(slot))
         elif src in plan.arrays:
-            out.append(F.coalesce(F.size(c).cast("double"), F.lit(0.0)).alias(slot)
-                       if src in plan.null_flags else F.size(c).cast("double").alias(slot))
+            # size(null) is -1 under the legacy (non-ANSI) setting: guard it explicitly
+            length = F.when(c.isNotNull(), F.size(c)).cast("double")
+            out.append((F.coalesce(length, F.lit(0.0)) if src in plan.null_flags else length)
+                       .alias(slot))
         elif src in plan.numeric:
             d = c.cast("double")
             out.append((F.coalesce(d, F.lit(0.0)) if src in plan.null_flags else d).alias(slot))

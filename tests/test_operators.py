@@ -379,3 +379,25 @@ def test_run_config_loads_and_runs_a_job(spark, sf001):
     assert t.filter("section = 'suggestions'").count() > 0
     with pytest.raises(ValueError):
         RunConfig(path=None).load(spark)
+
+
+@pytest.mark.parametrize("fmt", ["orc", "json", "parquet"])
+def test_read_path_formats(spark, sf001, fmt):
+    from tablewise.session import shared_dir
+    from tablewise.sources.readers import read_path
+    nation = spark.read.parquet(f"{sf001}/nation.parquet")
+    path = shared_dir(spark, f"fmt-{fmt}")
+    nation.write.format(fmt).save(path)
+    back = read_path(spark, path, fmt, schema=nation.schema)
+    assert sorted(back.collect()) == sorted(nation.collect())
+
+
+def test_array_length_features(spark):
+    from tablewise.operators.features import encode, plan_features
+    df = spark.createDataFrame([(1, [1.0, 2.0], 0), (2, None, 1), (3, [], 0), (4, [3.0], 1)],
+                               "id long, emb array<double>, label int")
+    plan = plan_features(df, keep=["id"])
+    assert plan.arrays == ["emb"] and plan.null_flags == ["emb"]
+    rows = {r["id"]: (r["emb"], r["emb__isnull"]) for r in
+            encode(df, plan, keep=["id"], vector_col=None).collect()}
+    assert rows == {1: (2.0, 0.0), 2: (0.0, 1.0), 3: (0.0, 0.0), 4: (1.0, 0.0)}
