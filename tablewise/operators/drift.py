@@ -103,8 +103,10 @@ def drift_model(labelled: DataFrame, key: str, table: str, label_col: str = "lab
         test = data.filter(F.col("is_test"))
         scored = model.transform(test).withColumn(
             "score", vector_to_array("probability")[1])
+        n_test = n_rows - n_train
         metrics = classification_report(scored, table, label_col, "prediction", "score",
-                                        params.with_accuracy, params.auc_buckets, ts, path)
+                                        params.with_accuracy, params.auc_buckets, ts, path,
+                                        rows_hint=n_test)
         metrics = _materialise(metrics)
         shap_df = None
         if with_shap:

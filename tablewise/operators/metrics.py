@@ -60,9 +60,18 @@ def score_bucket_splits(g: DataFrame, score_col: str, buckets: int) -> list:
     return sorted({float(v) for v in (q or []) if v is not None})
 
 
+SMALL_ROWS = 250_000
+
+
 def roc_auc(scored: DataFrame, label_col: str = "label", score_col: str = "score",
-            buckets: int = 1024) -> DataFrame:
-    """M4: one row ``roc_auc`` (null when a class is missing)."""
+            buckets: int = 1024, rows_hint: int | None = None) -> DataFrame:
+    """M4: one row ``roc_auc`` (null when a class is missing).
+
+    ``rows_hint``: a known upper bound on the scored rows; at most ``SMALL_ROWS`` means
+    one range (one window over at most that many distinct scores) and no quantile job.
+    """
+    if rows_hint is not None and rows_hint <= SMALL_ROWS:
+        buckets = 1
     y = qcol(label_col).cast("int")
     s = qcol(score_col).cast("double")
     g = (scored.select(s.alias("_s"), y.alias("_y")).filter(F.col("_s").isNotNull())
@@ -109,10 +118,11 @@ def metric_rows(wide: DataFrame, names, table: str, mtype: str = ML_METRIC_TYPE,
 def classification_report(scored: DataFrame, table: str, label_col: str = "label",
                           pred_col: str = "prediction", score_col: str = "score",
                           with_accuracy: bool = True, buckets: int = 1024,
-                          ts=None, path: str | None = None) -> DataFrame:
+                          ts=None, path: str | None = None,
+                          rows_hint: int | None = None) -> DataFrame:
     """M4-M8 + M11: metric rows of a scored frame (AUC, [accuracy,] precision, recall, F1)."""
     r = rates(confusion(scored, label_col, pred_col))
-    auc = roc_auc(scored, label_col, score_col, buckets)
+    auc = roc_auc(scored, label_col, score_col, buckets, rows_hint)
     names = ([ACCURACY] if with_accuracy else []) + [PRECISION, RECALL, F1]
     # two one-row aggregates -> long rows each, then a union (no join needed)
     return (metric_rows(auc, [ROC_AUC], table, ts=ts, path=path)

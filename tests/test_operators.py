@@ -401,3 +401,12 @@ def test_array_length_features(spark):
     rows = {r["id"]: (r["emb"], r["emb__isnull"]) for r in
             encode(df, plan, keep=["id"], vector_col=None).collect()}
     assert rows == {1: (2.0, 0.0), 2: (0.0, 1.0), 3: (0.0, 0.0), 4: (1.0, 0.0)}
+
+
+def test_auc_rows_hint_same_result(spark, sf01):
+    lab = spark.read.parquet(f"{sf01}/labels.parquet")
+    docs = spark.read.parquet(f"{sf01}/documents.parquet").select("doc_id", "n_chars")
+    scored = lab.join(docs, "doc_id")
+    a = roc_auc(scored, "quality", "n_chars", buckets=8).first()[0]
+    b = roc_auc(scored, "quality", "n_chars", buckets=8, rows_hint=1000).first()[0]
+    assert a == pytest.approx(b, abs=1e-12)
