@@ -71,17 +71,22 @@ def _kind(dtype) -> str:
     return "other"
 
 
-def column_profile(df: DataFrame, columns=None, rsd: float = 0.05) -> DataFrame:
-    """E1 + E2: one row per column, from one aggregate over ``df``.
+def column_profile(df: DataFrame, columns=None, rsd: float = 0.05,
+                   sketch_all: bool = False) -> DataFrame:
+    """E1 + E2: one row per column, from one codegen'd aggregate over ``df`` plus one
+    aggregate of HLL sketches (a sketch in the first would switch all of it out of
+    whole-stage codegen).
 
     Columns: column, kind, n, non_null, completeness, approx_distinct, minimum,
-    n_integral, n_fractional, n_boolean, inferred_type.
+    n_integral, n_fractional, n_boolean, inferred_type.  The rules only use the distinct
+    count of text columns (histogram choice), so only those are sketched unless
+    ``sketch_all``; other columns get a null ``approx_distinct``.
     """
     fields = [f for f in df.schema.fields if columns is None or f.name in set(columns)]
     aggs = [F.count(F.lit(1)).alias("_n")]
-    # HLL sketches in their own aggregate keep the rest in whole-stage codegen
     sketches = [F.approx_count_distinct(qcol(f.name), rsd).alias(f"ad{i}")
-                for i, f in enumerate(fields)]
+                for i, f in enumerate(fields)
+                if sketch_all or _kind(f.dataType) == "string"]
     for i, f in enumerate(fields):
         c = qcol(f.name)
         kind = _kind(f.dataType)
@@ -101,10 +106,13 @@ def column_profile(df: DataFrame, columns=None, rsd: float = 0.05) -> DataFrame:
     # two one-row aggregates (bounded by the column count) merged on the driver, then
     # handed back as a one-partition local frame
     plain = df.agg(*aggs)
-    sk = df.agg(*sketches)
-    schema = StructType(plain.schema.fields + sk.schema.fields)
-    wide = df.sparkSession.createDataFrame(
-        [tuple(plain.first()) + tuple(sk.first())], schema).coalesce(1)
+    fields_all = list(plain.schema.fields)
+    values = tuple(plain.first())
+    if sketches:
+        sk = df.agg(*sketches)
+        fields_all += list(sk.schema.fields)
+        values += tuple(sk.first())
+    wide = df.sparkSession.createDataFrame([values], StructType(fields_all)).coalesce(1)
 
     def num_or_null(name, typ):
         return F.col(name).cast(typ) if name in wide.columns else F.lit(None).cast(typ)
@@ -115,7 +123,7 @@ def column_profile(df: DataFrame, columns=None, rsd: float = 0.05) -> DataFrame:
         structs.append(F.struct(
             F.lit(f.name).alias("column"), F.lit(kind).alias("kind"),
             F.col("_n").alias("n"), F.col(f"nn{i}").alias("non_null"),
-            F.col(f"ad{i}").alias("approx_distinct"),
+            num_or_null(f"ad{i}", "bigint").alias("approx_distinct"),
             num_or_null(f"mn{i}", "double").alias("minimum"),
             num_or_null(f"ci{i}", "bigint").alias("n_integral"),
             num_or_null(f"cf{i}", "bigint").alias("n_fractional"),
