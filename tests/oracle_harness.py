@@ -42,7 +42,7 @@ def _canon(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "<null>"
-        return repr(round(v, 9))
+        return repr(v + 0.0)      # exact (only a negative zero is folded)
     if hasattr(v, "item"):
         return _canon(v.item())
     return str(v)
