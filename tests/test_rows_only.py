@@ -1,0 +1,30 @@
+"""Queries without a SQL oracle: they run on the smallest tables and keep their schema."""
+
+import pytest
+
+from tablewise.plans.queries import ORACLES, QUERIES
+
+EXPECTED = {
+    "drift_model_metrics": ["table", "type", "column", "metric", "value"],
+    "shap_mean_abs": ["table", "type", "column", "metric", "value"],
+    "drift_report": ["section", "table", "type", "column", "metric", "value"],
+    "quality_report": ["section", "table", "type", "column", "metric", "value"],
+    "table_report": ["section", "table", "type", "column", "metric", "value"],
+}
+
+
+def test_rows_only_set_is_known():
+    assert set(QUERIES) - set(ORACLES) == set(EXPECTED)
+
+
+@pytest.mark.parametrize("name", sorted(EXPECTED))
+def test_rows_only_query(spark, sf001, name):
+    df = QUERIES[name](spark, sf001)
+    rows = df.collect()
+    assert df.columns == EXPECTED[name]
+    assert len(rows) > 0
+    if name == "drift_model_metrics":
+        assert [r["metric"] for r in rows] == ["roc_auc", "accuracy", "precision", "recall",
+                                                "f1_score"]
+    if name == "shap_mean_abs":
+        assert all(r["value"] >= 0 for r in rows)
