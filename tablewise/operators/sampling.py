@@ -71,7 +71,8 @@ def union_all(frames) -> DataFrame:
 
 def stratified_split(df: DataFrame, label_col: str, key: str, test_share: float = 0.2,
                      seed: int = 42, bucket_bits: int = 16,
-                     out_col: str = "is_test", max_classes: int = 100_000) -> DataFrame:
+                     out_col: str = "is_test", max_classes: int = 100_000,
+                     max_window_rows: int = 1_000_000) -> DataFrame:
     """mark ``round(n_c * test_share)`` rows of each class ``c`` as test rows.
 
     The test rows of a class are the first ones in the order ``(hash(key), key)``.
@@ -81,8 +82,10 @@ def stratified_split(df: DataFrame, label_col: str, key: str, test_share: float
     1. hash -> bucket (top ``bucket_bits`` bits); rows per (class, bucket): a map-side
        combined aggregate of at most classes x 2^bits rows.  Per class, the boundary
        bucket where the running count reaches the quota (one row per class).
-    2. rows of the boundary buckets only: rows per (class, hash, key) and, per class,
-       the boundary key and how many of its rows are still needed.
+    2. if every boundary bucket holds at most ``max_window_rows`` rows (known from step
+       1), they are ranked directly by ``(hash, key, content hash)`` with a window in the
+       final pass.  Otherwise: rows of the boundary buckets only, rows per (class, hash,
+       key) and, per class, the boundary key and how many of its rows are still needed.
     3. one narrow pass: earlier buckets / keys are test, later ones train.  Only when
        the boundary key is duplicated are its rows split by input partition: per-partition
        counts give offsets, and a row is test when offset + its index inside its own
@@ -102,10 +105,23 @@ def stratified_split(df: DataFrame, label_col: str, key: str, test_share: float
                            "_b": F.shiftright(h, 32 - bucket_bits), "_k": qcol(key)})
 
     counts = base.groupBy("_lab", "_b").agg(F.count(F.lit(1)).alias("_cnt"))
-    cut1, _ = _local(_boundary(counts, ["_b"], F.round(F.col("_n") * F.lit(float(test_share)))),
-                     max_classes, label_col)
+    cut1, cut1_rows = _local(_boundary(counts, ["_b"],
+                                       F.round(F.col("_n") * F.lit(float(test_share)))),
+                             max_classes, label_col)
     if cut1 is None:
         return df.withColumn(out_col, F.lit(False))
+    cols = df.columns + [out_col]
+
+    if max(r["_cnt"] for r in cut1_rows) <= max_window_rows:
+        # boundary buckets are small (checked): rank them in place
+        j = base.join(cut1, base["_lab"].eqNullSafe(cut1["_lab_c"]), "left")
+        has = F.col("_cut_b").isNotNull()
+        at = has & (F.col("_b") == F.col("_cut_b"))
+        rest = j.filter(~at).withColumn(out_col, has & (F.col("_b") < F.col("_cut_b")))
+        w = Window.partitionBy("_lab", "_b").orderBy(
+            "_h", "_k", F.xxhash64(*[qcol(c) for c in df.columns]))
+        edge = j.filter(at).withColumn(out_col, F.row_number().over(w) <= F.col("_left"))
+        return rest.select(*cols).unionByName(edge.select(*cols))
 
     edge = base.join(cut1, base["_lab"].eqNullSafe(cut1["_lab_c"]) &
                      (base["_b"] == cut1["_cut_b"]))
@@ -125,7 +141,6 @@ def stratified_split(df: DataFrame, label_col: str, key: str, test_share: float
     single = at_key & (F.col("_cnt2") == 1)
     is_test = (F.col("_cut_b").isNotNull() & (b_ < F.col("_cut_b"))) | \
         (in_cut & before_key) | single
-    cols = df.columns + [out_col]
     if not any(r["_cnt"] > 1 for r in cut2_rows):
         return j.withColumn(out_col, is_test).select(*cols)
 

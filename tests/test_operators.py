@@ -201,9 +201,11 @@ def test_stratified_split_exact(spark, bits):
     assert len(out) == 1000 and out["k"].is_unique
     for y, g in out.groupby("y"):
         assert g["is_test"].sum() == math.floor(len(g) * 0.2 + 0.5)
-    # same rows as ranking the hash directly
+    # same rows as ranking the hash directly, and through the boundary-key path
     out2 = stratified_split(df, "y", "k", 0.2, 42, bucket_bits=20).toPandas()
     assert set(out.loc[out.is_test, "k"]) == set(out2.loc[out2.is_test, "k"])
+    out3 = stratified_split(df, "y", "k", 0.2, 42, bucket_bits=bits, max_window_rows=0).toPandas()
+    assert set(out.loc[out.is_test, "k"]) == set(out3.loc[out3.is_test, "k"])
 
 
 def test_hash_sample_is_reproducible(spark, sf01):
@@ -355,8 +357,9 @@ def test_stratified_split_with_a_hot_key(spark):
     pdf = pd.DataFrame({"k": keys, "y": (rng.uniform(0, 1, n) < 0.3).astype(int),
                         "v": rng.normal(size=n)})
     df = spark.createDataFrame(pdf).repartition(6, "v")
-    for bits in (1, 16):
-        out = stratified_split(df, "y", "k", 0.2, 42, bucket_bits=bits).toPandas()
+    for bits, window_rows in ((1, 10), (16, 10), (16, 1_000_000)):
+        out = stratified_split(df, "y", "k", 0.2, 42, bucket_bits=bits,
+                               max_window_rows=window_rows).toPandas()
         assert len(out) == n
         for y, g in out.groupby("y"):
             assert g["is_test"].sum() == math.floor(len(g) * 0.2 + 0.5)
