@@ -86,17 +86,16 @@ def stratified_split(df: DataFrame, label_col: str, key: str, test_share: float
        1), they are ranked directly by ``(hash, key, content hash)`` with a window in the
        final pass.  Otherwise: rows of the boundary buckets only, rows per (class, hash,
        key) and, per class, the boundary key and how many of its rows are still needed.
-    3. one narrow pass: earlier buckets / keys are test, later ones train.  Only when
-       the boundary key is duplicated are its rows split by input partition: per-partition
-       counts give offsets, and a row is test when offset + its index inside its own
-       partition (ordered by a hash of its content) is below the number still needed.
-       Rows with equal content are interchangeable.
+    3. one narrow pass: earlier buckets / keys are test, later ones train.  A duplicated
+       boundary key is ranked by a hash of the row content (window, when it has at most
+       ``max_window_rows`` rows); a larger group of copies is checkpointed and split by
+       partition: per-partition counts give offsets, and a row is test when offset + its
+       index inside its own partition is below the number still needed.  Rows with equal
+       content are interchangeable.
 
     The per-class tables (at most ``max_classes`` rows: collected with that limit and
     checked) reach the driver and are broadcast back; a shuffle join on the class would
     send a whole class to one task.
-    The input should be a deterministic scan or a persisted frame (step 3 reads its
-    partition ids).
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
@@ -146,9 +145,17 @@ def stratified_split(df: DataFrame, label_col: str, key: str, test_share: float
 
     dup_at = at_key & (F.col("_cnt2") > 1)
     rest = j.filter(~dup_at).withColumn(out_col, is_test).select(*cols)
-    dup = j.filter(dup_at).select(
-        *df.columns, "_lab", "_left2", F.spark_partition_id().alias("_pid"),
-        F.xxhash64(*[qcol(c) for c in df.columns]).alias("_r"))
+    dup = j.filter(dup_at).select(*df.columns, "_lab", "_left2",
+                                  F.xxhash64(*[qcol(c) for c in df.columns]).alias("_r"))
+    if all(r["_cnt"] <= max_window_rows for r in cut2_rows):
+        # duplicated boundary keys with few rows (checked): rank them by content hash
+        w_dup = Window.partitionBy("_lab").orderBy("_r")
+        lvl3 = dup.withColumn(out_col, F.row_number().over(w_dup) <= F.col("_left2"))
+        return rest.unionByName(lvl3.select(*cols))
+
+    # a large group of copies: written once to the shared folder so that its partition
+    # ids are the same for the counting job and the assignment job
+    dup = dup.checkpoint(eager=True).withColumn("_pid", F.spark_partition_id())
     per_part = dup.groupBy("_lab", "_pid").agg(F.count(F.lit(1)).alias("_pc"))
     w_off = Window.partitionBy("_lab").orderBy("_pid").rowsBetween(
         Window.unboundedPreceding, -1)
