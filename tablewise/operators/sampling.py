@@ -210,14 +210,16 @@ def _boundary(counts: DataFrame, order, need) -> DataFrame:
 
 
 def bounded_sample(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
-    """the ``min(n, rows)`` rows with the smallest ``(hash(key), key)``.
+    """the ``min(n, rows)`` rows with the smallest ``(hash(key), key)``; rows sharing
+    a key are ordered by a hash of their content, so the sample is the same on every run.
 
     Planned as ``TakeOrderedAndProject``: each task keeps its own ``n`` best rows, so
     memory is bounded by ``n`` whatever the table size.
     """
     h = portable_hash(key, f"bounded:{seed}")
-    return (df.withColumn("_h", h).orderBy(F.col("_h"), qcol(key)).limit(int(n))
-              .drop("_h"))
+    r = F.xxhash64(*[qcol(c) for c in df.columns])
+    return (df.withColumns({"_h": h, "_r": r}).orderBy("_h", qcol(key), "_r").limit(int(n))
+              .drop("_h", "_r"))
 
 
 @contextmanager
