@@ -29,6 +29,15 @@ from tablewise.operators.suggest import suggest
 
 CONF_PREFIX = "spark.tablewise."
 
+# Run-parameter keys of existing jobs accepted as aliases (first found wins).
+CONF_ALIASES = {
+    "table": ("spark.tableName", "spark.table"),
+    "sample_frac": ("spark.sampleFrac",),
+    "run_ts": ("spark.ts.value",),
+}
+JDBC_CONF_ALIASES = {"url": "spark.jdbc.url", "user": "spark.jdbc.user",
+                     "password": "spark.jdbc.password"}
+
 
 @dataclass(frozen=True)
 class RunConfig:
@@ -54,11 +63,16 @@ class RunConfig:
 
     @classmethod
     def from_conf(cls, spark: SparkSession, **overrides) -> "RunConfig":
+        """``spark.tablewise.<field>`` keys, else the aliases in ``CONF_ALIASES``; JDBC
+        url / user / password from their alias keys make the source a JDBC table."""
         vals = {}
         for f in fields(cls):
             if f.name == "source_options":
                 continue
             raw = spark.conf.get(CONF_PREFIX + f.name, None)
+            for alias in CONF_ALIASES.get(f.name, ()):
+                if raw is None:
+                    raw = spark.conf.get(alias, None)
             if raw is None:
                 continue
             default = f.default
@@ -72,6 +86,11 @@ class RunConfig:
                 vals[f.name] = tuple(x.strip() for x in raw.split(",") if x.strip())
             else:
                 vals[f.name] = raw.replace("T", " ") if f.name == "run_ts" else raw
+        jdbc = {k: spark.conf.get(v, None) for k, v in JDBC_CONF_ALIASES.items()}
+        jdbc = {k: v for k, v in jdbc.items() if v is not None}
+        if "url" in jdbc and "source_options" not in overrides:
+            vals.setdefault("source_format", "jdbc")
+            vals["source_options"] = jdbc
         return replace(cls(**vals), **overrides)
 
     def load(self, spark: SparkSession) -> DataFrame:

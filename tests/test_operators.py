@@ -413,3 +413,44 @@ def test_auc_rows_hint_same_result(spark, sf01):
     a = roc_auc(scored, "quality", "n_chars", buckets=8).first()[0]
     b = roc_auc(scored, "quality", "n_chars", buckets=8, rows_hint=1000).first()[0]
     assert a == pytest.approx(b, abs=1e-12)
+
+
+def test_run_config_aliases(spark):
+    from tablewise.plans.jobs import RunConfig
+    keys = {"spark.tableName": "cdr", "spark.sampleFrac": "0.3",
+            "spark.ts.value": "2025-09-20T10:00:00", "spark.jdbc.url": "jdbc:x://h/db",
+            "spark.jdbc.user": "u", "spark.jdbc.password": "p"}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        cfg = RunConfig.from_conf(spark)
+    finally:
+        for k in keys:
+            spark.conf.unset(k)
+    assert cfg.table == "cdr" and cfg.sample_frac == 0.3 and cfg.run_ts == "2025-09-20 10:00:00"
+    assert cfg.source_format == "jdbc"
+    assert cfg.source_options == {"url": "jdbc:x://h/db", "user": "u", "password": "p"}
+
+
+def test_run_from_conf_writes_sinks(spark, sf001):
+    from tablewise.plans.run import run
+    from tablewise.session import shared_dir
+    out = shared_dir(spark, "run-out")
+    keys = {"spark.tablewise.table": "events", "spark.tablewise.path": f"{sf001}/events.parquet",
+            "spark.tablewise.ts_col": "ts", "spark.tablewise.key": "event_id",
+            "spark.tablewise.grain": "day", "spark.tablewise.at": "2024-01-30",
+            "spark.tablewise.max_iter": "3", "spark.tablewise.max_depth": "3"}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        run(spark, job="quality", output=out)
+    finally:
+        for k in keys:
+            spark.conf.unset(k)
+    m = spark.read.parquet(f"{out}/metrics")
+    assert {r[0] for r in m.select("section").distinct().collect()} == \
+        {"suggestions", "profile", "counts", "drift"}
+    doc = json.loads(spark.read.text(f"{out}/suggestions_flat/events").first()[0])
+    assert doc["table"] == "events" and doc["suggestions"]
+    lines = [r[0] for r in spark.read.text(f"{out}/exposition/events").collect()]
+    assert lines and all(l.startswith("tablewise_report{table=\"events\"") for l in lines)
