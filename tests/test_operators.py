@@ -269,8 +269,7 @@ def test_drift_detects_corruption(spark, sf01):
     m = {(r["type"], r["column"] or r["metric"]): r["value"] for r in res.metrics.collect()}
     assert m[("MLMetric", "roc_auc")] > 0.7
     shap = {k[1]: v for k, v in m.items() if k[0] == "SHAP"}
-    top2 = sorted(shap, key=shap.get, reverse=True)[:2]
-    assert "event_type" in top2
+    assert shap["event_type"] > shap["user_id"] and shap["value"] > shap["user_id"]
     # additivity: sum of SHAP + expected value = log-odds of the model
     sv = res.shap.toPandas()
     raw = res.scored.select("event_id", "rawPrediction").toPandas()
@@ -281,7 +280,7 @@ def test_drift_detects_corruption(spark, sf01):
     clean = drift_model(sl.cache(), "event_id", "events", exclude=["ts"], params=params,
                         with_shap=False)
     auc = [r["value"] for r in clean.metrics.collect() if r["metric"] == "roc_auc"][0]
-    assert 0.3 < auc < 0.7
+    assert 0.35 < auc < 0.65
 
 
 def test_drift_single_class_gives_null_metrics(spark, sf01):
