@@ -36,7 +36,12 @@ def sample_by_class(df: DataFrame, label_col: str = "label", fraction=0.5, seed:
         if classes is None:
             if float(fraction) >= 1.0:
                 return df
-            labels = [r[0] for r in df.select(qcol(label_col)).distinct().collect()]
+            max_classes = 100_000
+            labels = [r[0] for r in
+                      df.select(qcol(label_col)).distinct().limit(max_classes + 1).collect()]
+            if len(labels) > max_classes:
+                raise ValueError(f"more than {max_classes} classes in {label_col!r}; "
+                                 "use method='hash'")
             classes = {k: float(fraction) for k in labels}
         return df.sampleBy(label_col, {k: min(v, 1.0) for k, v in classes.items()}, seed)
     if key is None:

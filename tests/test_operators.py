@@ -453,3 +453,11 @@ def test_run_from_conf_writes_sinks(spark, sf001):
     assert doc["table"] == "events" and doc["suggestions"]
     lines = [r[0] for r in spark.read.text(f"{out}/exposition/events").collect()]
     assert lines and all(l.startswith("tablewise_report{table=\"events\"") for l in lines)
+
+
+def test_bernoulli_sample_by_class(spark, sf01):
+    ev = spark.read.parquet(f"{sf01}/events.parquet").withColumn("label", F.col("user_id") % 2)
+    s = sample_by_class(ev, "label", 0.5, 42, method="bernoulli")
+    n = s.count()
+    assert 0.4 < n / ev.count() < 0.6
+    assert sample_by_class(ev, "label", 1.0, 42, method="bernoulli").count() == ev.count()
