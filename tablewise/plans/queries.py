@@ -636,8 +636,12 @@ def _drifted_events(spark, sf_dir):
 
 def _drift_result(spark, sf_dir, with_shap):
     s = _drifted_events(spark, sf_dir).cache()
-    return drift_model(s, "event_id", "events", exclude=["ts"], params=DRIFT_PARAMS,
-                       with_shap=with_shap)
+    try:
+        # the metric rows come back materialised, so the sample can be released
+        return drift_model(s, "event_id", "events", exclude=["ts"], params=DRIFT_PARAMS,
+                           with_shap=with_shap)
+    finally:
+        s.unpersist()
 
 
 @register("drift_model_metrics")
