@@ -461,3 +461,15 @@ def test_bernoulli_sample_by_class(spark, sf01):
     n = s.count()
     assert 0.4 < n / ev.count() < 0.6
     assert sample_by_class(ev, "label", 1.0, 42, method="bernoulli").count() == ev.count()
+
+
+def test_tree_profile_matches(spark, sf01):
+    li = spark.read.parquet(f"{sf01}/lineitem.parquet").repartition(16)
+    flat = _as_map(profile(li))
+    tree = _as_map(profile(li, tree_shards=4))
+    assert flat.keys() == tree.keys()
+    for k, v in flat.items():
+        if k[1] == "ApproxCountDistinct":
+            assert tree[k] == pytest.approx(v, rel=0.1)
+        else:
+            assert tree[k] == pytest.approx(v, rel=1e-9)
