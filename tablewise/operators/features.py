@@ -148,7 +148,10 @@ def plan_features(df: DataFrame, label_col: str = "label", exclude=(), exclude_p
 
     if cat_cols:
         src = df.select(*[_text_of(df, c, plan) for c in cat_cols])
-        top = category_table(src, cat_cols, max_categories).collect()
+        # salted top-k groups hold distinct values / salts rows: keep them near 1M
+        max_nd = max(stats.get(f"nd::{c}") or 0 for c in cat_cols)
+        salts = max(64, -(-max_nd // 1_000_000))
+        top = category_table(src, cat_cols, max_categories, salt_buckets=salts).collect()
         by_col = {c: [] for c in cat_cols}
         for r in sorted(top, key=lambda r: (r["column"], r["code"])):
             by_col[r["column"]].append(r["value"])
