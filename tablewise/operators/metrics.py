@@ -61,14 +61,20 @@ def score_bucket_splits(g: DataFrame, score_col: str, buckets: int) -> list:
 
 
 SMALL_ROWS = 250_000
+RANGE_ROWS = 1_000_000     # distinct scores per range (one window each)
+MAX_BUCKETS = 100_000      # split points brought to the driver
 
 
 def roc_auc(scored: DataFrame, label_col: str = "label", score_col: str = "score",
-            buckets: int = 1024, rows_hint: int | None = None) -> DataFrame:
+            buckets: int = 1024, rows_hint: int | None = None,
+            range_rows: int = RANGE_ROWS) -> DataFrame:
     """M4: one row ``roc_auc`` (null when a class is missing).
 
     ``rows_hint``: a known upper bound on the scored rows; at most ``SMALL_ROWS`` means
     one range (one window over at most that many distinct scores) and no quantile job.
+    Without it the distinct scores are counted first and the number of ranges is raised
+    so that each holds about ``range_rows`` of them at most (``buckets`` is the minimum
+    once there is more than one range).
     """
     if rows_hint is not None and rows_hint <= SMALL_ROWS:
         buckets = 1
@@ -77,6 +83,12 @@ def roc_auc(scored: DataFrame, label_col: str = "label", score_col: str = "score
     g = (scored.select(s.alias("_s"), y.alias("_y")).filter(F.col("_s").isNotNull())
          .groupBy("_s").agg(F.count_if(F.col("_y") == 1).alias("_pos"),
                             F.count_if(F.col("_y") == 0).alias("_neg")))
+    if buckets > 1 and rows_hint is None:
+        # ranges of at most ~1M distinct scores each (one counting job, bounded output)
+        n_distinct = g.count()
+        buckets = min(MAX_BUCKETS, max(buckets, -(-n_distinct // range_rows)))
+        if n_distinct <= range_rows:
+            buckets = 1
     splits = score_bucket_splits(g, "_s", buckets)
     if splits:
         # bucket = number of split points <= score (binary search in the JVM)
