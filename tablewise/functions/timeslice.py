@@ -56,11 +56,15 @@ def slice_start(at: dt.datetime, grain: str) -> dt.datetime:
 
 
 def _lit_for(col_type, value: dt.datetime) -> Column:
+    """Slot bound as a literal of the column's type, built from text: text -> timestamp_ntz
+    is zone-free, text -> timestamp reads the wall clock in the session zone.  (A Python
+    datetime literal would be read in the Python process's zone instead.)"""
+    text = F.lit(value.strftime("%Y-%m-%d %H:%M:%S.%f"))
     if isinstance(col_type, TimestampNTZType) or col_type is None:
-        return F.lit(value).cast("timestamp_ntz")
+        return text.cast("timestamp_ntz")
     if isinstance(col_type, TimestampType):
-        return F.lit(value.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp")
-    return F.lit(value)
+        return text.cast("timestamp")
+    return text.cast("timestamp_ntz")
 
 
 def slice_ranges(at: dt.datetime, grain: str = "minute", n_days: int = 1):

@@ -63,10 +63,13 @@ def slice_days(df: DataFrame, ts_col: str, at, grain: str = "minute", n_days: in
 
 
 def newest_slot(df: DataFrame, ts_col: str, lenient: bool = True):
-    """Newest time of the column.  Reads one column (A3); on parquet without a
-    filter the max can come from footers (aggregate pushdown)."""
+    """Newest time of the column as a wall-clock ``datetime``.  Reads one column
+    (A3); on parquet without a filter the max can come from footers (aggregate
+    pushdown).  The value is formatted by Spark (session zone for zoned timestamps), so
+    the slot ranges built from it mean the same wall clock."""
     df, c, _ = _with_time(df.select(qcol(ts_col)), ts_col, lenient)
-    return df.agg(F.max(c).alias("m")).first()["m"]
+    text = df.agg(F.date_format(F.max(c), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("m")).first()["m"]
+    return None if text is None else dt.datetime.strptime(text, "%Y-%m-%d %H:%M:%S.%f")
 
 
 def latest_slice(df: DataFrame, ts_col: str, grain: str = "minute", n_days: int = 2,

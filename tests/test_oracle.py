@@ -32,3 +32,17 @@ def test_every_query_has_callable():
     q = e.queries()
     assert set(e.oracle_sql()) <= set(q)
     assert all(callable(f) for f in q.values())
+
+
+@pytest.mark.parametrize("name", ["slice_at_hour", "slice_three_days", "latest_slice",
+                                  "slice_minute_all_days", "label_counts", "corrupt_mixed"])
+def test_time_queries_do_not_depend_on_the_session_zone(spark, con, sf01, name):
+    """Slot literals are built from text: the same rows under any session time zone."""
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        sp = QUERIES[name](spark, sf01).toPandas()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    ok, msg = compare(sp, con.execute(ORACLES[name]).df())
+    assert ok, msg
