@@ -29,12 +29,26 @@ def final_plan(df) -> str:
     text = text.split("+- == Initial Plan ==")[0]
     text = re.sub(r"#\d+L?", "", text)
     text = re.sub(r"\[plan_id=\d+\]", "", text)
-    lines = [line[:160] for line in text.splitlines()]
+    lines = []
+    for line in text.splitlines():
+        if "FileScan" in line:
+            head = line.split(" Batched:")[0]
+            pushed = re.search(r"PushedFilters: (\[.*?\])(, ReadSchema|$)", line)
+            schema = re.search(r"ReadSchema: (\S+)", line)
+            lines.append(head[:160])
+            indent = " " * (len(head) - len(head.lstrip()) + 6)
+            if pushed:
+                lines.append(f"{indent}PushedFilters: {pushed.group(1)[:300]}")
+            if schema:
+                lines.append(f"{indent}ReadSchema: {schema.group(1)[:200]}")
+        else:
+            lines.append(line[:160])
     return "\n".join(lines)
 
 
 def main():
-    spark = get_spark("local[8]", 8, extra={"spark.ui.showConsoleProgress": "false"})
+    spark = get_spark("local[8]", 8, extra={"spark.ui.showConsoleProgress": "false",
+                                            "spark.sql.maxMetadataStringLength": "100000"})
     out = ["# Physical plans of key queries (sf0.01, local[8], after AQE)", "",
            "Generated by `tests/plan_report.py`. `*(n)` marks whole-stage codegen.", ""]
     for name, why in KEY.items():
