@@ -72,7 +72,7 @@ def _kind(dtype) -> str:
 
 
 def column_profile(df: DataFrame, columns=None, rsd: float = 0.05,
-                   sketch_all: bool = False) -> DataFrame:
+                   sketch_all: bool = False, chunk: int = 256) -> DataFrame:
     """E1 + E2: one row per column, from one codegen'd aggregate over ``df`` plus one
     aggregate of HLL sketches (a sketch in the first would switch all of it out of
     whole-stage codegen).
@@ -80,7 +80,8 @@ def column_profile(df: DataFrame, columns=None, rsd: float = 0.05,
     Columns: column, kind, n, non_null, completeness, approx_distinct, minimum,
     n_integral, n_fractional, n_boolean, inferred_type.  The rules only use the distinct
     count of text columns (histogram choice), so only those are sketched unless
-    ``sketch_all``; other columns get a null ``approx_distinct``.
+    ``sketch_all``; other columns get a null ``approx_distinct``.  Wide tables are cut
+    into aggregates of at most ``chunk`` expressions, each reading only its columns.
     """
     fields = [f for f in df.schema.fields if columns is None or f.name in set(columns)]
     aggs = [F.count(F.lit(1)).alias("_n")]
@@ -103,15 +104,14 @@ def column_profile(df: DataFrame, columns=None, rsd: float = 0.05,
             aggs += [F.min(numeric).alias(f"mn{i}"),
                      F.count_if(is_int).alias(f"ci{i}"), F.count_if(is_frac).alias(f"cf{i}"),
                      F.count_if(is_bool).alias(f"cb{i}")]
-    # two one-row aggregates (bounded by the column count) merged on the driver, then
+    # one-row aggregates (bounded by the column count) merged on the driver, then
     # handed back as a one-partition local frame
-    plain = df.agg(*aggs)
-    fields_all = list(plain.schema.fields)
-    values = tuple(plain.first())
-    if sketches:
-        sk = df.agg(*sketches)
-        fields_all += list(sk.schema.fields)
-        values += tuple(sk.first())
+    fields_all, values = [], ()
+    for group in (aggs, sketches):
+        for start in range(0, len(group), chunk):
+            part = df.agg(*group[start:start + chunk])
+            fields_all += list(part.schema.fields)
+            values += tuple(part.first())
     wide = df.sparkSession.createDataFrame([values], StructType(fields_all)).coalesce(1)
 
     def num_or_null(name, typ):

@@ -474,3 +474,10 @@ def test_tree_profile_matches(spark, sf01):
             assert tree[k] == pytest.approx(v, rel=0.1)
         else:
             assert tree[k] == pytest.approx(v, rel=1e-9)
+
+
+def test_column_profile_chunks_agree(spark, sf01):
+    from tablewise.operators.suggest import column_profile
+    o = spark.read.parquet(f"{sf01}/orders.parquet")
+    key = lambda rows: sorted(tuple(r) for r in rows)
+    assert key(column_profile(o, chunk=3).collect()) == key(column_profile(o).collect())
