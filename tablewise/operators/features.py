@@ -126,7 +126,9 @@ def plan_features(df: DataFrame, label_col: str = "label", exclude=(), exclude_p
             aggs.append(F.count(c).alias(f"nn::{name}"))
         elif kind in ("text", "time"):
             aggs.append(F.approx_count_distinct(c).alias(f"nd::{name}"))
-    stats = df.agg(*aggs).first().asDict()
+    stats = {}
+    for start in range(0, len(aggs), 256):       # bounded aggregates for wide tables
+        stats.update(df.agg(*aggs[start:start + 256]).first().asDict())
     rows = stats["_rows"] or 0
 
     cat_cols = []

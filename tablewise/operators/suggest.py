@@ -352,8 +352,9 @@ def grouped(suggestions: DataFrame) -> DataFrame:
             ).alias("suggestions")))
 
 
-def check_suggestions(df: DataFrame, suggestions) -> DataFrame:
-    """Share of rows of ``df`` meeting each suggested predicate, in one scan.
+def check_suggestions(df: DataFrame, suggestions, chunk: int = 256) -> DataFrame:
+    """Share of rows of ``df`` meeting each suggested predicate, one scan per
+    ``chunk`` predicates.
 
     ``suggestions``: a suggestion frame (collected - it is one row per constraint) or a
     list of rows.  Returns column_name, rule, code_for_constraint, min_fraction,
@@ -364,17 +365,22 @@ def check_suggestions(df: DataFrame, suggestions) -> DataFrame:
         return df.sparkSession.createDataFrame(
             [], "column_name string, rule string, code_for_constraint string, "
                 "min_fraction double, pass_fraction double, passed boolean")
-    aggs = [F.avg(F.expr(r["sql_predicate"]).cast("double")).alias(f"p{i}")
-            for i, r in enumerate(rows)]
-    wide = df.agg(*aggs)
-    structs = [F.struct(F.lit(r["column_name"]).alias("column_name"), F.lit(r["rule"]).alias("rule"),
-                        F.lit(r["code_for_constraint"]).alias("code_for_constraint"),
-                        F.lit(float(r["min_fraction"])).alias("min_fraction"),
-                        F.col(f"p{i}").alias("pass_fraction"))
-               for i, r in enumerate(rows)]
-    return (wide.select(F.inline(F.array(*structs)))
-            .withColumn("passed", F.coalesce(F.col("pass_fraction") >= F.col("min_fraction"),
-                                             F.lit(True))))
+    out = None
+    for start in range(0, len(rows), chunk):
+        part = rows[start:start + chunk]
+        aggs = [F.avg(F.expr(r["sql_predicate"]).cast("double")).alias(f"p{i}")
+                for i, r in enumerate(part)]
+        wide = df.agg(*aggs)
+        structs = [F.struct(F.lit(r["column_name"]).alias("column_name"),
+                            F.lit(r["rule"]).alias("rule"),
+                            F.lit(r["code_for_constraint"]).alias("code_for_constraint"),
+                            F.lit(float(r["min_fraction"])).alias("min_fraction"),
+                            F.col(f"p{i}").alias("pass_fraction"))
+                   for i, r in enumerate(part)]
+        res = wide.select(F.inline(F.array(*structs)))
+        out = res if out is None else out.unionByName(res)
+    return out.withColumn("passed", F.coalesce(F.col("pass_fraction") >= F.col("min_fraction"),
+                                               F.lit(True)))
 
 
 __all__ = ["column_profile", "histograms", "rules_from_profile", "suggest", "flat", "grouped",
