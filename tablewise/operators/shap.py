@@ -34,6 +34,7 @@ from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 from tablewise.operators.profile import qcol
 from tablewise.session import shared_dir
 
+# Type and metric name of the SHAP rows of the metric table.
 SHAP_TYPE = "SHAP"
 SHAP_METRIC = "shap_mean_abs"
 
