@@ -23,6 +23,7 @@ sum(phi) + expected_value == 2 * margin.
 
 from __future__ import annotations
 
+import sys
 from math import factorial
 
 import numpy as np
@@ -136,6 +137,10 @@ def shap_values(df: DataFrame, model, slot_names, slot_sources, keep=(), spark=N
     and schedules the rows, NumPy works a batch at a time.
     """
     spark = spark or df.sparkSession
+    # the batch function and the helpers it calls travel by value: Python workers need
+    # numpy and pandas, not this package on their path
+    from pyspark import cloudpickle
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     leaves = model_leaves(model, spark)
     sources = list(dict.fromkeys(slot_sources))
     src_index = np.array([sources.index(s) for s in slot_sources])
