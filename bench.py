@@ -18,7 +18,6 @@ import json
 import os
 import re
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -57,21 +56,17 @@ def extra_queries():
 def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    scratch = tempfile.mkdtemp(prefix="bench-")
     spark = (SparkSession.builder.master(f"local[{cpus}]").appName("tablewise-bench")
              .config("spark.sql.shuffle.partitions", str(max(2 * cpus, 8)))
              .config("spark.sql.adaptive.enabled", "true")
              .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
              .config("spark.sql.session.timeZone", "UTC")
              .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-             .config("spark.sql.parquet.aggregatePushdown", "true")
              .config("spark.ui.enabled", "false")
              .config("spark.ui.showConsoleProgress", "false")
              .config("spark.driver.memory", "16g")
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", os.path.join(scratch, "ckpt"))
 
     from tablewise.plans.queries import QUERIES
     qs = dict(QUERIES)

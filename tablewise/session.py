@@ -8,6 +8,8 @@ only when the session does not already carry one.
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -20,8 +22,6 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
-    # min/max/count answered from parquet footers when a scan has no filter
-    "spark.sql.parquet.aggregatePushdown": "true",
 }
 
 
@@ -47,23 +47,27 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
+_SCRATCH: dict[str, str] = {}     # application id -> scratch folder of a local session
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    Only a local-mode session without one gets a scratch folder (tests, laptops); on a
-    cluster a machine-local folder would be lost with its executor, so an unset folder
-    is an error there.
+    Only a local-mode session without one gets a scratch folder (tests, laptops; removed
+    when the process ends); on a cluster a machine-local folder would be lost with its
+    executor, so an unset folder is an error there.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    d = (spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+         or _SCRATCH.get(sc.applicationId))
     if not d:
-        if not spark.sparkContext.master.startswith("local"):
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, S3, ...)")
         d = tempfile.mkdtemp(prefix="tablewise-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
+        _SCRATCH[sc.applicationId] = d
+        atexit.register(shutil.rmtree, d, ignore_errors=True)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
     return d
 
 
@@ -74,9 +78,4 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme (for pure-Python readers used in tests only)."""
-    return path[5:] if path.startswith("file:") else path
-
-
-__all__ = ["get_spark", "ensure_checkpoint_dir", "shared_dir", "local_path", "DEFAULT_CONF"]
+__all__ = ["get_spark", "ensure_checkpoint_dir", "shared_dir", "DEFAULT_CONF"]

@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -24,9 +23,6 @@ def spark():
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
-    # tests only: a scratch checkpoint folder when the session has none
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tw-test-ckpt-"))
     yield s
     s.stop()
 
