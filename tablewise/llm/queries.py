@@ -1,6 +1,6 @@
 """All corpus queries: importing the operator modules fills the registries."""
 
-from tablewise.llm import bpe
+from tablewise.llm import bpe, minhash_dedup, toxicity
 from tablewise.llm.common import ORACLES, QUERIES
 
-__all__ = ["QUERIES", "ORACLES", "bpe"]
+__all__ = ["QUERIES", "ORACLES", "bpe", "minhash_dedup", "toxicity"]
