@@ -15,11 +15,12 @@ import base64
 import hashlib
 import re
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewise.llm.common import ID, TEXT, keyed, load, register, small_batches
+from tablewise.llm.common import ID, keyed, load, register, small_batches
 
 SEGMENT_CHARS = 1 << 16
 ASCII_SPACE = re.compile(r"[ \t\n\r\x0b\x0c]")
@@ -95,10 +96,10 @@ def decode(tokens: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_i
 
 
 def round_trip(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id",
-               text_col: str = "text") -> DataFrame:
-    """Encode and decode in one pass and keep digests only: ``id_col, n_tokens, ids_sha256``
-    (decimal ids joined by a space), ``decoded_sha256``, ``lossless`` (the bytes are the
-    text's).  Same ids as :func:`encode` without moving them back to the JVM."""
+               text_col: str = "text", with_ids: bool = False) -> DataFrame:
+    """Encode and decode in one pass and keep digests: ``id_col, n_tokens, ids_sha256`` (decimal
+    ids joined by a space), ``decoded_sha256``, ``lossless`` (the bytes are the text's), and
+    with ``with_ids`` the ``token_ids``."""
     small_batches(docs.sparkSession)
     data = read_rank_file(rank_file)
 
@@ -106,7 +107,7 @@ def round_trip(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc
         enc, dec = codec(data, pattern)
         names: list[str] = []
         for b in batches:
-            n, a, d, same = [], [], [], []
+            n, a, d, same, lists = [], [], [], [], []
             for text in b.column(1).to_pylist():
                 ids = enc(text)
                 while ids and len(names) <= max(ids):
@@ -116,14 +117,18 @@ def round_trip(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc
                 a.append(hashlib.sha256(" ".join([names[i] for i in ids]).encode()).hexdigest())
                 d.append(hashlib.sha256(raw).hexdigest())
                 same.append(raw == text.encode())
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(n, pa.int64()), pa.array(a, pa.string()),
-                 pa.array(d, pa.string()), pa.array(same, pa.bool_())],
-                [ID, "n_tokens", "ids_sha256", "decoded_sha256", "lossless"])
-
-    out = keyed(docs, id_col, text_col).mapInArrow(
-        run, f"{ID} bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string, "
-             "lossless boolean")
+                if with_ids:
+                    lists.append(np.array(ids, np.int32))
+            arrays = [b.column(0), pa.array(n, pa.int64()), pa.array(a, pa.string()),
+                      pa.array(d, pa.string()), pa.array(same, pa.bool_())]
+            if with_ids:
+                arrays.append(pa.array(lists, pa.list_(pa.int32())))
+            yield pa.RecordBatch.from_arrays(arrays, columns)
+
+    schema = (f"{ID} bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string, "
+              "lossless boolean" + ", token_ids array<int>" * with_ids)
+    columns = [c.split()[0] for c in schema.split(", ")]
+    out = keyed(docs, id_col, text_col).mapInArrow(run, schema)
     return out.withColumnRenamed(ID, id_col)
 
 
@@ -139,4 +144,4 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(load(spark, sf_dir, "documents"), path, pattern)
 
 
-__all__ = ["encode", "decode", "round_trip", "segments", "codec", "default_rank_file", "TEXT"]
+__all__ = ["encode", "decode", "round_trip", "segments", "codec", "default_rank_file"]

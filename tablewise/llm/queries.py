@@ -1,6 +1,7 @@
 """All corpus queries: importing the operator modules fills the registries."""
 
-from tablewise.llm import bpe, minhash_dedup, toxicity
+from tablewise.llm import bpe, decontaminate, minhash_dedup, suffix_dedup, toxicity
 from tablewise.llm.common import ORACLES, QUERIES
 
-__all__ = ["QUERIES", "ORACLES", "bpe", "minhash_dedup", "toxicity"]
+__all__ = ["QUERIES", "ORACLES", "bpe", "decontaminate", "minhash_dedup", "suffix_dedup",
+           "toxicity"]

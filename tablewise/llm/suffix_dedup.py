@@ -39,8 +39,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tablewise.llm.common import (ID, NO_ID, TEXT, cut, keyed, load, register, small_batches)
+from tablewise.llm.common import (ID, NO_ID, TEXT, column, cut, keyed, load, register, small_batches)
 
 LENGTH = 100
 GRAM = 24
@@ -231,12 +232,17 @@ def removed_bytes(text: bytes, owned, todo, suffix_owned, parse, length: int):
 
 
 def deduplicate(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                length: int = LENGTH, with_kept: bool = False) -> DataFrame:
+                length: int = LENGTH, with_kept: bool = False,
+                carry: tuple[str, ...] = ()) -> DataFrame:
     """``id_col, n_bytes, n_removed, n_spans, kept_sha256`` of every row; ``with_kept`` adds the
-    remaining bytes as ``kept`` and the removed ``spans`` (start, end)."""
-    spark = documents.sparkSession
-    small_batches(spark)
+    remaining bytes as ``kept`` and the removed ``spans`` (start, end).  The columns named in
+    ``carry`` travel along as the struct ``row``."""
+    small_batches(documents.sparkSession)
     docs = keyed(documents, id_col, text_col).withColumn(ID, F.coalesce(ID, F.lit(NO_ID)))
+    rows = documents.select(
+        F.coalesce(column(id_col).cast("bigint"), F.lit(NO_ID)).alias(ID),
+        F.coalesce(column(text_col).cast("string"), F.lit("")).alias(TEXT),
+        *([F.struct(*[column(c) for c in carry]).alias("row")] if carry else []))
 
     found = owners(dictionary_rows(docs, length), "e")
     found = found.selectExpr("owner", "e", "count(*) over (partition by g) > 1 as open")
@@ -265,17 +271,24 @@ def deduplicate(documents: DataFrame, id_col: str = "doc_id", text_col: str = "t
             arrays = [b.column(0), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()),
                       pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.string())]
             names = [ID, "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+            if carry:
+                arrays.append(b.column(5))
+                names.append("row")
             if with_kept:
                 arrays += [pa.array(cols[4], pa.binary()),
                            pa.array(cols[5], pa.list_(pa.list_(pa.int64())))]
                 names += ["kept", "spans"]
             yield pa.RecordBatch.from_arrays(arrays, names)
 
-    schema = f"{ID} bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
+    schema = T.StructType().add(ID, "bigint").add("n_bytes", "bigint").add(
+        "n_removed", "bigint").add("n_spans", "bigint").add("kept_sha256", "string")
+    if carry:
+        schema = schema.add(rows.schema["row"])
     if with_kept:
-        schema += ", kept binary, spans array<array<bigint>>"
-    out = (docs.join(owned, ID, "left").join(suffix_owned, ID, "left")
-           .select(ID, TEXT, "owned", "todo", "suffix_owned").mapInArrow(run, schema))
+        schema = schema.add("kept", "binary").add("spans", "array<array<bigint>>")
+    out = (rows.join(owned, ID, "left").join(suffix_owned, ID, "left")
+           .select(ID, TEXT, "owned", "todo", "suffix_owned", *(["row"] if carry else []))
+           .mapInArrow(run, schema))
     return (out.withColumn(ID, F.nullif(F.col(ID), F.lit(NO_ID)))
             .withColumnRenamed(ID, id_col))
 
