@@ -7,12 +7,14 @@
    for long texts, and certain for sets that fit into the sketch), so they meet in an inverted list
    of one of their ``size - c + 1`` globally rarest values; other values get no list.
 3. A list of at most ``SMALL_LIST`` classes gives its pairs.  In a longer list (a family of
-   near copies) the class with the fewest shingles of its own is the centre, and each member is
-   paired with it.  Members that do not end up in the centre's component are paired with the
-   members of other components, if their sizes allow a link at all: a class of n shingles of
-   which u occur in any other class of such lists can only be linked to sets of at most
-   ``u * (1 + t) / t - n`` shingles.  That bound is exact, and it drops the members
-   which differ too much from everything else, so nothing is paired for the sake of it.
+   near copies) the class with the fewest shingles of its own is the centre ``c`` and is compared
+   with each member, first dropping members whose own shingles (in no other class of such lists)
+   are too many for any link.  Let X fail against c.  A link X - Y then needs a shared
+   shingle outside c, or a Y smaller than c with both overlaps with c large: if X and Y shared only
+   shingles of c and Y were not smaller, Y could not be nearer to X than c is.  So the next
+   lists are the shingles outside c shared by members of different components, one of
+   them failed; they are short, or they are families in turn and get a centre of their own.  This is
+   exact, and linear in the family instead of quadratic.
 4. The sketch of the union estimates the similarity of a pair; hopeless pairs are dropped (the
    threshold loses a link with a probability below 1e-6).
 5. The rest is verified on the full shingle sets of the whole texts.
@@ -42,6 +44,7 @@ SKETCH = 32
 SHARED = 12               # sketch values that two sets of similarity 0.8 share, and far more
 SMALL_LIST = 32
 ESTIMATE = 0.4            # pairs estimated below this are dropped
+FAMILY_DEPTH = 4          # rounds of centres before the rest of a family is paired
 CENTRE_ROWS = 512         # pairs of one centre that one task verifies
 MEMO = 200_000
 
@@ -152,22 +155,18 @@ def shared_sizes(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
         ID, (F.col("n") - F.coalesce("own", F.lit(0))).alias("u"))
 
 
-def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, percent: int,
-             words: int) -> DataFrame:
-    """The pairs ``(a, b)`` that are links: union-sketch estimate, then the full sets."""
-    one, two = (reps.select(F.col(ID).alias(x), F.col("sketch").alias(f"s{x}")) for x in "ab")
-    hopeful = cut(pairs.join(one, "a").join(two, "b")
-                  .where(estimate("sa", "sb") >= ESTIMATE).select("a", "b"), "minhash-pairs")
-    ids = hopeful.select(F.explode(F.array("a", "b")).alias(ID)).distinct()
-    texts = cut(docs.join(cut(ids, "minhash-ids"), ID).groupBy(ID).agg(F.min(TEXT).alias(TEXT)),
-                "minhash-texts")
+def compared(pairs: DataFrame, docs: DataFrame, words: int, extras: bool = False) -> DataFrame:
+    """``a, b, na, nb, both`` on the full shingle sets of the pairs' texts; ``extras`` adds the
+    shingles of b that a does not have."""
+    ids = cut(pairs.select(F.explode(F.array("a", "b")).alias(ID)).distinct(), "minhash-ids")
+    texts = cut(docs.join(ids, ID).groupBy(ID).agg(F.min(TEXT).alias(TEXT)), "minhash-texts")
     # a centre with many members is copied to several tasks, each with a share of them
-    parts = (hopeful.groupBy("a").agg(F.count("*").alias("n"))
+    parts = (pairs.groupBy("a").agg(F.count("*").alias("n"))
              .select("a", F.ceil(F.col("n") / CENTRE_ROWS).cast("int").alias("parts")))
     left = (parts.join(texts.select(F.col(ID).alias("a"), F.col(TEXT).alias("ta")), "a")
             .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
             .select("a", "part", "ta"))
-    right = (hopeful.join(parts, "a")
+    right = (pairs.join(parts, "a")
              .withColumn("part", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int"))
              .select("a", "part", "b")
              .join(texts.select(F.col(ID).alias("b"), F.col(TEXT).alias("tb")), "b"))
@@ -176,19 +175,107 @@ def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, percent: int,
         shingles = shingler(words)
         last_text, last = None, None
         for batch in batches:
-            keep = []
-            for i, (ta, tb) in enumerate(zip(batch.column(2).to_pylist(),
-                                             batch.column(3).to_pylist())):
+            na, nb, both, extra = [], [], [], []
+            for ta, tb in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 if ta != last_text:
                     last_text, last = ta, shingles(ta)
                 other = shingles(tb)
-                both = len(np.intersect1d(last, other, assume_unique=True))
-                if 100 * both >= percent * (len(last) + len(other) - both):
-                    keep.append(i)
-            yield batch.select(["a", "b"]).take(pa.array(keep, pa.int64()))
+                na.append(len(last))
+                nb.append(len(other))
+                both.append(len(np.intersect1d(last, other, assume_unique=True)))
+                if extras:
+                    extra.append(np.setdiff1d(other, last, assume_unique=True))
+            arrays = [batch.column(0), batch.column(1), pa.array(na, pa.int64()),
+                      pa.array(nb, pa.int64()), pa.array(both, pa.int64())]
+            if extras:
+                arrays.append(pa.array(extra, pa.list_(pa.int64())))
+            yield pa.RecordBatch.from_arrays(arrays, columns)
+
+    schema = ("a bigint, b bigint, na bigint, nb bigint, both bigint"
+              + ", extra array<bigint>" * extras)
+    columns = [c.split()[0] for c in schema.split(", ")]
+    return right.join(left, ["a", "part"]).select("a", "b", "ta", "tb").mapInArrow(check, schema)
+
 
-    return (right.join(left, ["a", "part"]).select("a", "b", "ta", "tb")
-            .mapInArrow(check, "a bigint, b bigint"))
+def is_link(percent: int):
+    return F.expr(f"100 * both >= {percent} * (na + nb - both)")
+
+
+def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, percent: int,
+             words: int) -> DataFrame:
+    """The pairs ``(a, b)`` that are links: union-sketch estimate, then the full sets."""
+    one, two = (reps.select(F.col(ID).alias(x), F.col("sketch").alias(f"s{x}")) for x in "ab")
+    hopeful = cut(pairs.distinct().join(one, "a").join(two, "b")
+                  .where(estimate("sa", "sb") >= ESTIMATE).select("a", "b"), "minhash-pairs")
+    return cut(compared(hopeful, docs, words).where(is_link(percent)).select("a", "b"),
+               "minhash-links")
+
+
+def pairs_within(lists: DataFrame, percent: int) -> DataFrame:
+    """Pairs of the members ``key, __id, n, component, failed`` of short lists: sizes allow a
+    link, components differ, one of the two failed against its centre."""
+    other = lists.select("key", F.col(ID).alias("b"), F.col("n").alias("nb"),
+                         F.col("component").alias("cb"), F.col("failed").alias("fb"))
+    return (lists.join(other, "key")
+            .where(f"{ID} < b and component <> cb and (failed or fb) "
+                   f"and 100 * least(n, nb) >= {percent} * greatest(n, nb)")
+            .select(F.col(ID).alias("a"), "b"))
+
+
+def family_links(members: DataFrame, links: DataFrame, docs: DataFrame, reps: DataFrame,
+                 percent: int, words: int) -> DataFrame:
+    """Links among the ``members(key, __id, n, own)`` of long lists (see step 3), added to
+    ``links``; only links between different components are looked for."""
+    members = members.withColumn("failed", F.lit(True))
+    for depth in range(FAMILY_DEPTH):
+        centre = (members.groupBy("key").agg(F.min(F.struct(~F.col("failed"), "own", ID)).alias("c"))
+                  .select("key", F.col(f"c.{ID}").alias("a")))
+        star = (members.join(centre, "key").where(f"{ID} <> a")
+                .select("a", F.col(ID).alias("b")).distinct())
+        star = cut(compared(cut(star, "minhash-star"), docs, words, extras=True)
+                   .withColumn("failed", ~is_link(percent)), "minhash-star")
+        links = links.unionByName(star.where("not failed").select("a", "b"))
+        found = components(links).withColumnRenamed("node", "b")
+        star = cut(star.join(found, "b", "left")
+                   .withColumn("component", F.coalesce("component", "b")), "minhash-star")
+
+        # smaller than the centre, and both overlap with it enough
+        small = (star.where(f"failed and 100 * both >= {percent} * nb")
+                 .withColumn("most", F.expr(f"cast(floor(both * {100 + percent} / {percent} "
+                                            "- nb + 1e-9) as bigint)"))
+                 .withColumn("least", F.expr(f"cast(ceil({percent} * nb / 100) as bigint)"))
+                 .where("most >= least")
+                 .select("a", "b", "nb", "both", "component",
+                         F.explode(F.sequence("least", "most")).alias("ny")))
+        other = star.select("a", F.col("b").alias("y"), F.col("nb").alias("ny"),
+                            F.col("both").alias("by"), F.col("component").alias("cy"))
+        smaller = (small.join(other, ["a", "ny"])
+                   .where(f"component <> cy and by * {100 + percent} >= {percent} * (nb + ny)")
+                   .select(F.least("b", "y").alias("a"), F.greatest("b", "y").alias("b")))
+
+        # shingles outside the centre
+        rows = (star.select("a", "b", "nb", "component", "failed",
+                            F.size("extra").cast("bigint").alias("own"),
+                            F.explode("extra").alias("s"))
+                .select(F.struct("a", "s").alias("key"), F.col("b").alias(ID),
+                        F.col("nb").alias("n"), "own", "component", "failed"))
+        keys = (rows.groupBy("key").agg(F.count("*").alias("length"), F.max("failed").alias("f"),
+                                        F.min("component").alias("c0"),
+                                        F.max("component").alias("c1"))
+                .where("length > 1 and f and c0 < c1").select("key", "length"))
+        rows = cut(rows.join(keys, "key"), "minhash-lists")
+        short = pairs_within(rows.where(F.col("length") <= SMALL_LIST).drop("length"), percent)
+        links = links.unionByName(verified(
+            cut(short.unionByName(smaller), "minhash-candidates"), docs, reps, percent, words))
+        members = rows.where(F.col("length") > SMALL_LIST).drop("length")
+        if members.isEmpty():
+            return links
+    # families nested deeper than FAMILY_DEPTH: what failed against everything else
+    found = components(links).withColumnRenamed("node", ID)
+    members = (members.drop("component").join(found, ID, "left")
+               .withColumn("component", F.coalesce("component", ID)))
+    return links.unionByName(verified(cut(pairs_within(members, percent), "minhash-candidates"),
+                                      docs, reps, percent, words))
 
 
 def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -207,43 +294,20 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
                .join(classes, ["c1", "c2", "n"]).select(ID, "rep"))
 
     lists = inverted_lists(reps, percent)
-    few = lists.where(F.col("length") <= SMALL_LIST).select("v", ID, "n")
-    mate = few.select("v", F.col(ID).alias("b"), F.col("n").alias("nb"))
-    sizes = (f"100 * least({{0}}, {{1}}) >= {percent} * greatest({{0}}, {{1}})").format
-    pairs = (few.join(mate, "v").where(f"{ID} < b and {sizes('n', 'nb')}")
-             .select(F.col(ID).alias("a"), "b"))
-    long = lists.where(F.col("length") > SMALL_LIST).select("v", ID, "n")
-    links = None
+    alone = F.col(ID).alias("component")
+    few = (lists.where(F.col("length") <= SMALL_LIST)
+           .select(F.col("v").alias("key"), ID, "n", alone, F.lit(True).alias("failed")))
+    links = verified(cut(pairs_within(few, percent), "minhash-candidates"), docs, reps,
+                     percent, words)
+    long = lists.where(F.col("length") > SMALL_LIST).select(F.col("v").alias("key"), ID, "n")
     family = cut(long.groupBy(ID).agg(F.min("n").alias("n")), "minhash-family")
     if not family.isEmpty():
-        reach = shared_sizes(docs, family, words)
         # the largest set that a class can still be linked to
         most = F.floor(F.col("u") * (100 + percent) / percent - F.col("n") + 1e-9)
-        long = cut(long.join(reach, ID).withColumn("most", most)
-                   .where(F.col("most") * 100 >= F.col("n") * percent), "minhash-long")
-        centre = (long.groupBy("v").agg(F.min(F.struct(F.col("n") - F.col("u"), ID)).alias("c"))
-                  .select("v", F.col(f"c.{ID}").alias("a")))
-        star = (long.join(centre, "v").where(f"{ID} <> a").select("a", F.col(ID).alias("b")))
-        first = cut(pairs.unionByName(star).distinct(), "minhash-candidates")
-        links = cut(verified(first, docs, reps, percent, words), "minhash-links")
-        joined = cut(long.join(components(links).withColumnRenamed("node", ID), ID, "left")
-                     .withColumn("component", F.coalesce("component", F.col(ID))),
-                     "minhash-long")
-        heads = joined.join(centre.withColumnRenamed("a", "head"), "v")
-        heads = heads.join(joined.select("v", F.col(ID).alias("head"),
-                                         F.col("component").alias("main")), ["v", "head"])
-        rest = heads.where("component <> main").select("v", ID, "n", "most", "component")
-        other = joined.select("v", F.col(ID).alias("b"), F.col("n").alias("nb"),
-                              F.col("most").alias("mb"), F.col("component").alias("cb"))
-        more = (rest.join(other, "v")
-                .where(f"component <> cb and nb <= most and n <= mb and {sizes('n', 'nb')}")
-                .select(F.least(ID, "b").alias("a"), F.greatest(ID, "b").alias("b")).distinct()
-                .join(first, ["a", "b"], "left_anti"))
-        more = cut(more, "minhash-candidates")
-        if not more.isEmpty():
-            links = links.unionByName(verified(more, docs, reps, percent, words))
-    else:
-        links = verified(cut(pairs.distinct(), "minhash-candidates"), docs, reps, percent, words)
+        long = (long.join(shared_sizes(docs, family, words), ID)
+                .where(most * 100 >= F.col("n") * percent)
+                .withColumn("own", F.col("n") - F.col("u")).drop("u"))
+        links = family_links(cut(long, "minhash-long"), links, docs, reps, percent, words)
     found = components(links)
 
     groups = (members.join(found.withColumnRenamed("node", "rep"), "rep", "left")
