@@ -48,7 +48,7 @@ def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     out = suffix_dedup.deduplicate(docs, with_kept=True, carry=tuple(docs.columns))
     text = F.when(F.col(f"row.{TEXT}").isNull(), F.lit(None).cast("string")).when(
         F.col("n_removed") == 0, F.col(f"row.{TEXT}")).otherwise(
-        F.replace(F.decode(F.col("kept"), F.lit("UTF-8")), F.lit("\ufffd"), F.lit("")))
+        F.col("kept_text"))
     edited = out.select("row.*", text.alias("__kept"), "n_removed")
     columns = [F.col("__kept").alias(TEXT) if c == TEXT
                else F.when(F.col("n_removed") > 0, F.length("__kept")).otherwise(F.col(c))

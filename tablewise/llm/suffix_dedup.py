@@ -235,7 +235,8 @@ def deduplicate(documents: DataFrame, id_col: str = "doc_id", text_col: str = "t
                 length: int = LENGTH, with_kept: bool = False,
                 carry: tuple[str, ...] = ()) -> DataFrame:
     """``id_col, n_bytes, n_removed, n_spans, kept_sha256`` of every row; ``with_kept`` adds the
-    remaining bytes as ``kept`` and the removed ``spans`` (start, end).  The columns named in
+    remaining bytes as ``kept``, the same as text without characters that lost some of their
+    bytes (``kept_text``), and the removed ``spans`` (start, end).  The columns named in
     ``carry`` travel along as the struct ``row``."""
     small_batches(documents.sparkSession)
     docs = keyed(documents, id_col, text_col).withColumn(ID, F.coalesce(ID, F.lit(NO_ID)))
@@ -276,16 +277,19 @@ def deduplicate(documents: DataFrame, id_col: str = "doc_id", text_col: str = "t
                 names.append("row")
             if with_kept:
                 arrays += [pa.array(cols[4], pa.binary()),
+                           pa.array([k.decode("utf-8", "ignore") for k in cols[4]], pa.string()),
                            pa.array(cols[5], pa.list_(pa.list_(pa.int64())))]
-                names += ["kept", "spans"]
+                names += ["kept", "kept_text", "spans"]
             yield pa.RecordBatch.from_arrays(arrays, names)
 
-    schema = T.StructType().add(ID, "bigint").add("n_bytes", "bigint").add(
-        "n_removed", "bigint").add("n_spans", "bigint").add("kept_sha256", "string")
+    schema = T.StructType([T.StructField(c, T.LongType()) for c in
+                           (ID, "n_bytes", "n_removed", "n_spans")])
+    schema = schema.add("kept_sha256", T.StringType())
     if carry:
         schema = schema.add(rows.schema["row"])
     if with_kept:
-        schema = schema.add("kept", "binary").add("spans", "array<array<bigint>>")
+        schema = (schema.add("kept", T.BinaryType()).add("kept_text", T.StringType())
+                  .add("spans", T.ArrayType(T.ArrayType(T.LongType()))))
     out = (rows.join(owned, ID, "left").join(suffix_owned, ID, "left")
            .select(ID, TEXT, "owned", "todo", "suffix_owned", *(["row"] if carry else []))
            .mapInArrow(run, schema))
