@@ -14,8 +14,9 @@ Parse
 Dictionary and parse
     The dictionary is the set of distinct phrases (trigger hash, phrase hash), each with the first
     document that holds it: one pre-aggregated row per phrase and task is shuffled.  All windows
-    of a later occurrence of a phrase are repeats.  Of first occurrences, only phrases whose
-    trigger stands in another dictionary phrase too can hold a repeated window.
+    of a later occurrence of a phrase are repeats.  A window reaches at least ``(length - GRAM) / 2``
+    bytes beyond its trigger on one side, so in first occurrences only those on a side that
+    another dictionary phrase shares (trigger and that many bytes) can be repeats.
 Order
     For these phrases the suffixes that start at their window starts, cut at ``length`` bytes
     (deeper comparison cannot matter), are brought together by trigger and suffix hash and ranked by
@@ -55,6 +56,7 @@ def parser(length: int, gram: int = GRAM):
     size = CHUNK + 2 * length
     inverse = np.uint64(pow(int(base), -1, 2 ** 64))
     cache: dict[str, np.ndarray] = {}
+    reach = (length - gram + 1) // 2
 
     def powers(n):
         have = len(cache["up"]) if cache else 0
@@ -93,7 +95,8 @@ def parser(length: int, gram: int = GRAM):
             yield at, data[at:at + CHUNK + length - 1]
 
     def phrases(text: bytes):
-        """``(first start, last start, trigger hash, phrase hash)`` arrays."""
+        """Arrays: first start, last start, trigger position, trigger hash, phrase hash, and the
+        two 32-bit hashes of the trigger with the bytes beside it (left, right)."""
         found = []
         for at, data in chunks(text):
             sums, down = prefixes(data)
@@ -106,17 +109,28 @@ def parser(length: int, gram: int = GRAM):
             trigger = (low[first] & np.uint64(0xFFFFFFFF)).astype(np.int64)
             body = (sums[last + length] - sums[first]) * down[first]
             shape = (((last - first) << 20) + (trigger - first)).astype(np.uint64)
-            found.append((first + at, last + at, grams[trigger].view(np.int64),
-                          mix(body ^ mix(shape)).view(np.int64)))
+            phrase = mix(body ^ mix(shape))
+            # a phrase without windows on a side has nothing to share there
+            left, right = phrase >> np.uint64(32), phrase & np.uint64(0xFFFFFFFF)
+            has = trigger - first >= reach
+            t = trigger[has]
+            left[has] = mix((sums[t + gram] - sums[t - reach]) * down[t - reach]) >> np.uint64(32)
+            has = last > trigger - reach
+            t = trigger[has]
+            right[has] = mix((sums[t + length - reach + 1] - sums[t]) * down[t]) >> np.uint64(32)
+            found.append((first + at, last + at, trigger + at, grams[trigger].view(np.int64),
+                          phrase.view(np.int64), (left << np.uint64(32) | right).view(np.int64)))
         if not found:
             none = np.empty(0, np.int64)
-            return none, none, none, none
+            return (none,) * 6
         return tuple(np.concatenate(x) for x in zip(*found))
 
-    def suffixes(text: bytes, first, last):
-        """Hashes of the ``length``-byte strings at the starts ``first[i]..last[i]``: starts,
-        phrase numbers, hashes."""
-        n = last - first + 1
+    def suffixes(text: bytes, first, last, trigger, on_left, on_right):
+        """Hashes of the ``length``-byte strings that start in ``first[i]..last[i]``, of those
+        that reach left of the trigger and of the others as told: starts, phrase numbers, hashes."""
+        first = np.where(on_left, first, np.maximum(first, trigger - reach + 1))
+        last = np.where(on_right, last, np.minimum(last, trigger - reach))
+        n = np.maximum(last - first + 1, 0)
         which = np.repeat(np.arange(len(first)), n)
         starts = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first, n)
         out = np.empty(len(starts), np.int64)
@@ -136,83 +150,89 @@ def first_rows(values):
     return np.sort(np.unique(values, return_index=True)[1])
 
 
-def owners(rows: DataFrame, value: str) -> DataFrame:
+def owners(rows: DataFrame, value: str, *also: str) -> DataFrame:
     """``g, value, owner``: the smallest id of each pair.  ``rows`` are pre-aggregated per task;
     they go by ``g`` so that what shares a trigger is together for the next step."""
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (rows.repartition(parts, "g").groupBy("g", value)
-            .agg(F.min("owner").alias("owner")))
+            .agg(F.min("owner").alias("owner"), *[F.min(c).alias(c) for c in also]))
 
 
-def sender(value: str):
-    """Collects ``(g, value, owner)`` rows and sends each pair once per flush."""
+def sender(names: list[str]):
+    """Collects rows ``g, value, owner, ...`` and sends each pair of the first two once per flush."""
     held: list = []
 
     def flush():
-        g, e, d = (np.concatenate(x) for x in zip(*held))
+        cols = [np.concatenate(x) for x in zip(*held)]
         held.clear()
-        order = np.lexsort((d, g, e))
-        g, e, d = g[order], e[order], d[order]
-        new = np.ones(len(g), bool)
-        new[1:] = (g[1:] != g[:-1]) | (e[1:] != e[:-1])
-        return pa.RecordBatch.from_arrays([pa.array(g[new]), pa.array(e[new]), pa.array(d[new])],
-                                          ["g", value, "owner"])
+        order = np.lexsort((cols[2], cols[0], cols[1]))
+        cols = [c[order] for c in cols]
+        new = np.ones(len(order), bool)
+        new[1:] = (cols[0][1:] != cols[0][:-1]) | (cols[1][1:] != cols[1][:-1])
+        return pa.RecordBatch.from_arrays([pa.array(c[new]) for c in cols], names)
 
-    def add(g, e, doc):
-        held.append((g, e, np.full(len(g), doc, np.int64)))
-        return len(g)
-
-    return held, add, flush
+    return held, flush
 
 
 def dictionary_rows(docs: DataFrame, length: int) -> DataFrame:
-    """``g, e, owner``: trigger and phrase hash of the phrases of every text."""
+    """``g, e, owner, sides``: trigger and phrase hash of the phrases of every text."""
     def run(batches):
         phrases, _ = parser(length)
-        held, add, flush = sender("e")
+        held, flush = sender(["g", "e", "owner", "sides"])
         rows = 0
         for b in batches:
             for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                _, _, g, e = phrases(text.encode())
-                if len(g):
-                    rows += add(g, e, doc)
+                _, _, _, g, e, sides = phrases(text.encode())
+                held.append((g, e, np.full(len(g), doc, np.int64), sides))
+                rows += len(g)
                 if rows >= FLUSH_ROWS:
                     yield flush()
                     rows = 0
-        if held:
+        if rows:
             yield flush()
 
-    return docs.mapInArrow(run, "g bigint, e bigint, owner bigint")
+    return docs.mapInArrow(run, "g bigint, e bigint, owner bigint, sides bigint")
+
+
+def open_suffixes(data: bytes, todo_left, todo_right, parse, own=None):
+    """``g, starts, hashes`` of the windows that may be repeats, in first occurrences (``own``: only
+    of these phrase numbers)."""
+    phrases, suffixes = parse
+    first, last, trigger, g, e, _ = phrases(data) if own is None else own[0]
+    at = first_rows(e) if own is None else own[1]
+    on_left = np.isin(e[at], np.array(todo_left or [], np.int64))
+    on_right = np.isin(e[at], np.array(todo_right or [], np.int64))
+    some = on_left | on_right
+    at = at[some]
+    starts, which, s = suffixes(data, first[at], last[at], trigger[at], on_left[some],
+                                on_right[some])
+    return g[at][which], starts, s
 
 
 def suffix_rows(docs: DataFrame, length: int) -> DataFrame:
-    """``g, s, owner``: trigger and hash of the window suffixes of the ``open`` phrases."""
+    """``g, s, owner``: trigger and hash of the windows that may be repeats."""
     def run(batches):
-        phrases, suffixes = parser(length)
-        held, add, flush = sender("s")
+        parse = parser(length)
+        held, flush = sender(["g", "s", "owner"])
         rows = 0
         for b in batches:
-            for doc, text, todo in zip(*(b.column(i).to_pylist() for i in range(3))):
-                data = text.encode()
-                first, last, g, e = phrases(data)
-                at = first_rows(e)
-                at = at[np.isin(e[at], np.array(todo, np.int64))]
-                if len(at):
-                    _, which, s = suffixes(data, first[at], last[at])
-                    rows += add(g[at][which], s, doc)
+            for doc, text, left, right in zip(*(b.column(i).to_pylist() for i in range(4))):
+                g, _, s = open_suffixes(text.encode(), left, right, parse)
+                held.append((g, s, np.full(len(g), doc, np.int64)))
+                rows += len(g)
                 if rows >= FLUSH_ROWS:
                     yield flush()
                     rows = 0
-        if held:
+        if rows:
             yield flush()
 
     return docs.mapInArrow(run, "g bigint, s bigint, owner bigint")
 
 
-def removed_bytes(text: bytes, owned, todo, suffix_owned, parse, length: int):
+def removed_bytes(text: bytes, owned, todo_left, todo_right, suffix_owned, parse, length: int):
     """Boolean mask of the removed bytes of one text."""
-    phrases, suffixes = parse
-    first, last, _, e = phrases(text)
+    found = parse[0](text)
+    first, last, e = found[0], found[1], found[4]
     cover = np.zeros(len(text) + 1, np.int32)
     if len(e):
         kept = np.zeros(len(e), bool)
@@ -220,9 +240,9 @@ def removed_bytes(text: bytes, owned, todo, suffix_owned, parse, length: int):
         kept &= np.isin(e, np.array(owned or [], np.int64))
         np.add.at(cover, first[~kept], 1)
         np.add.at(cover, last[~kept] + length, -1)
-        at = np.flatnonzero(kept & np.isin(e, np.array(todo or [], np.int64)))
-        if len(at):
-            starts, _, s = suffixes(text, first[at], last[at])
+        _, starts, s = open_suffixes(text, todo_left, todo_right, parse,
+                                     (found, np.flatnonzero(kept)))
+        if len(s):
             stays = np.zeros(len(s), bool)
             stays[first_rows(s)] = True
             stays &= np.isin(s, np.array(suffix_owned or [], np.int64))
@@ -245,14 +265,19 @@ def deduplicate(documents: DataFrame, id_col: str = "doc_id", text_col: str = "t
         F.coalesce(column(text_col).cast("string"), F.lit("")).alias(TEXT),
         *([F.struct(*[column(c) for c in carry]).alias("row")] if carry else []))
 
-    found = owners(dictionary_rows(docs, length), "e")
-    found = found.selectExpr("owner", "e", "count(*) over (partition by g) > 1 as open")
+    found = owners(dictionary_rows(docs, length), "e", "sides").selectExpr(
+        "g", "e", "owner", "shiftright(sides, 32) as l", "sides & 4294967295L as r")
+    found = found.selectExpr("owner", "e", "count(*) over (partition by g, l) > 1 as on_left",
+                             "count(*) over (partition by g, r) > 1 as on_right")
     owned = cut(found.groupBy(F.col("owner").alias(ID)).agg(
         F.collect_list("e").alias("owned"),
-        F.collect_list(F.when(F.col("open"), F.col("e"))).alias("todo")), "suffix-phrases")
+        F.collect_list(F.when(F.col("on_left"), F.col("e"))).alias("todo_left"),
+        F.collect_list(F.when(F.col("on_right"), F.col("e"))).alias("todo_right")),
+        "suffix-phrases")
 
-    open_docs = docs.join(owned.where(F.size("todo") > 0).select(ID, "todo"), ID)
-    ranked = owners(suffix_rows(open_docs.select(ID, TEXT, "todo"), length), "s")
+    todo = owned.where("size(todo_left) + size(todo_right) > 0").drop("owned")
+    open_docs = docs.join(todo, ID).select(ID, TEXT, "todo_left", "todo_right")
+    ranked = owners(suffix_rows(open_docs, length), "s")
     suffix_owned = ranked.groupBy(F.col("owner").alias(ID)).agg(
         F.collect_list("s").alias("suffix_owned"))
 
@@ -260,9 +285,9 @@ def deduplicate(documents: DataFrame, id_col: str = "doc_id", text_col: str = "t
         parse = parser(length)
         for b in batches:
             cols: list[list] = [[] for _ in range(6)]
-            for text, mine, todo, suffix in zip(*(b.column(i).to_pylist() for i in range(1, 5))):
+            for text, *lists in zip(*(b.column(i).to_pylist() for i in range(1, 6))):
                 data = text.encode()
-                gone = removed_bytes(data, mine, todo, suffix, parse, length)
+                gone = removed_bytes(data, *lists, parse, length)
                 edges = np.flatnonzero(np.diff(np.concatenate([[0], gone.view(np.int8), [0]])))
                 kept = np.frombuffer(data, np.uint8)[~gone].tobytes()
                 for col, v in zip(cols, (len(data), int(gone.sum()), len(edges) // 2,
@@ -273,7 +298,7 @@ def deduplicate(documents: DataFrame, id_col: str = "doc_id", text_col: str = "t
                       pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.string())]
             names = [ID, "n_bytes", "n_removed", "n_spans", "kept_sha256"]
             if carry:
-                arrays.append(b.column(5))
+                arrays.append(b.column(6))
                 names.append("row")
             if with_kept:
                 arrays += [pa.array(cols[4], pa.binary()),
@@ -291,7 +316,8 @@ def deduplicate(documents: DataFrame, id_col: str = "doc_id", text_col: str = "t
         schema = (schema.add("kept", T.BinaryType()).add("kept_text", T.StringType())
                   .add("spans", T.ArrayType(T.ArrayType(T.LongType()))))
     out = (rows.join(owned, ID, "left").join(suffix_owned, ID, "left")
-           .select(ID, TEXT, "owned", "todo", "suffix_owned", *(["row"] if carry else []))
+           .select(ID, TEXT, "owned", "todo_left", "todo_right", "suffix_owned",
+                   *(["row"] if carry else []))
            .mapInArrow(run, schema))
     return (out.withColumn(ID, F.nullif(F.col(ID), F.lit(NO_ID)))
             .withColumnRenamed(ID, id_col))
