@@ -45,13 +45,6 @@ def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                        F.coalesce(column(text_col).cast("string"), F.lit("")).alias(TEXT))
 
 
-def text_digest(c: Column) -> Column:
-    """128 bits of a text as a struct of two longs (two hash families)."""
-    return F.struct(F.xxhash64(c).alias("a"),
-                    F.conv(F.substring(F.md5(c.cast("binary")), 1, 15), 16, 10)
-                    .cast("bigint").alias("b"))
-
-
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: the lineage ends here, a lost
     executor cannot force a recomputation, and the size of the table is known to the
@@ -62,6 +55,26 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def id_bounds(docs: DataFrame, rows: int, most: int = 4096) -> tuple[int | None, list[int]]:
+    """Smallest id, and the first ids of the further ranges of about ``rows`` rows each.  The
+    list is bounded by ``most``; larger tables get larger ranges."""
+    n, low = docs.agg(F.count("*"), F.min(ID)).first()
+    parts = min(most, -(-n // rows))
+    if parts < 2:
+        return low, []
+    shares = ", ".join(f"{i / parts:.8f}d" for i in range(1, parts))
+    found = docs.agg(F.expr(f"percentile_approx({ID}, array({shares}), {max(10_000, 20 * parts)})"))
+    return low, sorted({b for b in found.first()[0] if b > low})
+
+
+def bucket_of(key: Column, bounds: list[int]) -> Column:
+    """Number of the range that holds a key."""
+    if not bounds:
+        return F.lit(0)
+    return F.size(F.filter(F.array(*[F.lit(b).cast("bigint") for b in bounds]),
+                           lambda b: b <= key))
+
+
 def small_batches(spark: SparkSession, rows: int = 256) -> None:
     """Bound the rows of an Arrow batch, as rows hold whole texts."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -70,4 +83,4 @@ def small_batches(spark: SparkSession, rows: int = 256) -> None:
 
 
 __all__ = ["ID", "TEXT", "NO_ID", "QUERIES", "ORACLES", "register", "load", "column", "keyed",
-           "text_digest", "cut", "small_batches", "ensure_checkpoint_dir", "shared_dir"]
+           "cut", "id_bounds", "bucket_of", "small_batches", "ensure_checkpoint_dir", "shared_dir"]
