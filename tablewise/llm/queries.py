@@ -1,7 +1,8 @@
 """All corpus queries: importing the operator modules fills the registries."""
 
-from tablewise.llm import (bpe, decontaminate, minhash_dedup, suffix_dedup, toxicity, winnowing)
+from tablewise.llm import (bpe, decontaminate, minhash_dedup, suffix_dedup, token_output,
+                           toxicity, winnowing)
 from tablewise.llm.common import ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES", "bpe", "decontaminate", "minhash_dedup", "suffix_dedup",
-           "toxicity", "winnowing"]
+           "token_output", "toxicity", "winnowing"]
