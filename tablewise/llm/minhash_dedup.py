@@ -43,6 +43,7 @@ WORDS = 5
 SKETCH = 32
 SHARED = 12               # sketch values that two sets of similarity 0.8 share, and far more
 SMALL_LIST = 32
+DEEP_LIST = 256           # the same for the lists inside a family, which have stricter conditions
 ESTIMATE = 0.4            # pairs estimated below this are dropped
 FAMILY_DEPTH = 4          # rounds of centres before the rest of a family is paired
 CENTRE_ROWS = 512         # pairs of one centre that one task verifies
@@ -160,6 +161,7 @@ def compared(pairs: DataFrame, docs: DataFrame, words: int, extras: bool = False
     shingles of b that a does not have."""
     ids = cut(pairs.select(F.explode(F.array("a", "b")).alias(ID)).distinct(), "minhash-ids")
     texts = cut(docs.join(ids, ID).groupBy(ID).agg(F.min(TEXT).alias(TEXT)), "minhash-texts")
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # a centre with many members is copied to several tasks, each with a share of them
     parts = (pairs.groupBy("a").agg(F.count("*").alias("n"))
              .select("a", F.ceil(F.col("n") / CENTRE_ROWS).cast("int").alias("parts")))
@@ -168,7 +170,7 @@ def compared(pairs: DataFrame, docs: DataFrame, words: int, extras: bool = False
             .select("a", "part", "ta"))
     right = (pairs.join(parts, "a")
              .withColumn("part", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int"))
-             .select("a", "part", "b")
+             .select("a", "part", "b").repartition(tasks, "a", "part")
              .join(texts.select(F.col(ID).alias("b"), F.col(TEXT).alias("tb")), "b"))
 
     def check(batches):
@@ -212,62 +214,72 @@ def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, percent: int,
 
 
 def pairs_within(lists: DataFrame, percent: int) -> DataFrame:
-    """Pairs of the members ``key, __id, n, component, failed`` of short lists: sizes allow a
-    link, components differ, one of the two failed against its centre."""
+    """Pairs of the members ``key, __id, n, most, component, failed`` of short lists: sizes allow
+    a link, components differ, one of the two failed against its centre."""
     other = lists.select("key", F.col(ID).alias("b"), F.col("n").alias("nb"),
-                         F.col("component").alias("cb"), F.col("failed").alias("fb"))
+                         F.col("most").alias("mb"), F.col("component").alias("cb"),
+                         F.col("failed").alias("fb"))
     return (lists.join(other, "key")
-            .where(f"{ID} < b and component <> cb and (failed or fb) "
+            .where(f"{ID} < b and component <> cb and (failed or fb) and nb <= most and n <= mb "
                    f"and 100 * least(n, nb) >= {percent} * greatest(n, nb)")
             .select(F.col(ID).alias("a"), "b"))
 
 
 def family_links(members: DataFrame, links: DataFrame, docs: DataFrame, reps: DataFrame,
                  percent: int, words: int) -> DataFrame:
-    """Links among the ``members(key, __id, n, own)`` of long lists (see step 3), added to
+    """Links among the ``members(key, __id, n, own, most)`` of long lists (see step 3), added to
     ``links``; only links between different components are looked for."""
+    sizes = members.select(F.col(ID).alias("b"), "most").distinct()
     members = members.withColumn("failed", F.lit(True))
     for depth in range(FAMILY_DEPTH):
-        centre = (members.groupBy("key").agg(F.min(F.struct(~F.col("failed"), "own", ID)).alias("c"))
-                  .select("key", F.col(f"c.{ID}").alias("a")))
+        best = F.min(F.struct((~F.col("failed")).alias("late"), "own", F.col(ID).alias("a")))
+        centre = members.groupBy("key").agg(best.alias("c"))
+        # lists with a common member take the better centre of the two (it need not be in a list
+        # to be compared with all of it), so a family has one centre and not one per list
+        mine = members.join(centre, "key").groupBy(ID).agg(F.min("c").alias("c"))
+        centre = (members.select("key", ID).join(mine, ID).groupBy("key")
+                  .agg(F.min("c").alias("c")).select("key", F.col("c.a").alias("a")))
         star = (members.join(centre, "key").where(f"{ID} <> a")
                 .select("a", F.col(ID).alias("b")).distinct())
         star = cut(compared(cut(star, "minhash-star"), docs, words, extras=True)
                    .withColumn("failed", ~is_link(percent)), "minhash-star")
         links = links.unionByName(star.where("not failed").select("a", "b"))
         found = components(links).withColumnRenamed("node", "b")
-        star = cut(star.join(found, "b", "left")
+        star = cut(star.join(found, "b", "left").join(sizes, "b")
                    .withColumn("component", F.coalesce("component", "b")), "minhash-star")
 
         # smaller than the centre, and both overlap with it enough
         small = (star.where(f"failed and 100 * both >= {percent} * nb")
-                 .withColumn("most", F.expr(f"cast(floor(both * {100 + percent} / {percent} "
+                 .withColumn("high", F.expr(f"cast(floor(both * {100 + percent} / {percent} "
                                             "- nb + 1e-9) as bigint)"))
-                 .withColumn("least", F.expr(f"cast(ceil({percent} * nb / 100) as bigint)"))
-                 .where("most >= least")
+                 .withColumn("high", F.least("high", "most"))
+                 .withColumn("low", F.expr(f"cast(ceil({percent} * nb / 100) as bigint)"))
+                 .where("high >= low")
                  .select("a", "b", "nb", "both", "component",
-                         F.explode(F.sequence("least", "most")).alias("ny")))
+                         F.explode(F.sequence("low", "high")).alias("ny")))
         other = star.select("a", F.col("b").alias("y"), F.col("nb").alias("ny"),
-                            F.col("both").alias("by"), F.col("component").alias("cy"))
+                            F.col("both").alias("by"), F.col("most").alias("my"),
+                            F.col("component").alias("cy"))
         smaller = (small.join(other, ["a", "ny"])
-                   .where(f"component <> cy and by * {100 + percent} >= {percent} * (nb + ny)")
+                   .where(f"component <> cy and nb <= my "
+                          f"and by * {100 + percent} >= {percent} * (nb + ny)")
                    .select(F.least("b", "y").alias("a"), F.greatest("b", "y").alias("b")))
 
         # shingles outside the centre
-        rows = (star.select("a", "b", "nb", "component", "failed",
+        rows = (star.select("a", "b", "nb", "most", "component", "failed",
                             F.size("extra").cast("bigint").alias("own"),
                             F.explode("extra").alias("s"))
                 .select(F.struct("a", "s").alias("key"), F.col("b").alias(ID),
-                        F.col("nb").alias("n"), "own", "component", "failed"))
+                        F.col("nb").alias("n"), "own", "most", "component", "failed"))
         keys = (rows.groupBy("key").agg(F.count("*").alias("length"), F.max("failed").alias("f"),
                                         F.min("component").alias("c0"),
                                         F.max("component").alias("c1"))
                 .where("length > 1 and f and c0 < c1").select("key", "length"))
         rows = cut(rows.join(keys, "key"), "minhash-lists")
-        short = pairs_within(rows.where(F.col("length") <= SMALL_LIST).drop("length"), percent)
+        short = pairs_within(rows.where(F.col("length") <= DEEP_LIST).drop("length"), percent)
         links = links.unionByName(verified(
             cut(short.unionByName(smaller), "minhash-candidates"), docs, reps, percent, words))
-        members = rows.where(F.col("length") > SMALL_LIST).drop("length")
+        members = rows.where(F.col("length") > DEEP_LIST).drop("length")
         if members.isEmpty():
             return links
     # families nested deeper than FAMILY_DEPTH: what failed against everything else
@@ -296,7 +308,8 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     lists = inverted_lists(reps, percent)
     alone = F.col(ID).alias("component")
     few = (lists.where(F.col("length") <= SMALL_LIST)
-           .select(F.col("v").alias("key"), ID, "n", alone, F.lit(True).alias("failed")))
+           .select(F.col("v").alias("key"), ID, "n", F.lit(2 ** 62).alias("most"), alone,
+                   F.lit(True).alias("failed")))
     links = verified(cut(pairs_within(few, percent), "minhash-candidates"), docs, reps,
                      percent, words)
     long = lists.where(F.col("length") > SMALL_LIST).select(F.col("v").alias("key"), ID, "n")
@@ -306,6 +319,7 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
         most = F.floor(F.col("u") * (100 + percent) / percent - F.col("n") + 1e-9)
         long = (long.join(shared_sizes(docs, family, words), ID)
                 .where(most * 100 >= F.col("n") * percent)
+                .withColumn("most", most.cast("bigint"))
                 .withColumn("own", F.col("n") - F.col("u")).drop("u"))
         links = family_links(cut(long, "minhash-long"), links, docs, reps, percent, words)
     found = components(links)
