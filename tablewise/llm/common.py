@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +18,7 @@ from tablewise.session import ensure_checkpoint_dir, shared_dir
 ID = "__id"
 TEXT = "__text"
 NO_ID = -2 ** 63               # sorts rows without an id first
+FLUSH_ROWS = 400_000           # rows pre-aggregated in a task before they are sent
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -82,5 +85,35 @@ def small_batches(spark: SparkSession, rows: int = 256) -> None:
         spark.conf.set(key, str(rows))
 
 
+def first_rows(values):
+    """Index of the first occurrence of every distinct value."""
+    return np.sort(np.unique(values, return_index=True)[1])
+
+
+def owners(rows: DataFrame, value: str, *also: str) -> DataFrame:
+    """``g, value, owner``: the smallest id of each pair.  ``rows`` are pre-aggregated per task;
+    they go by ``g`` so that what shares a trigger is together for the next step."""
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (rows.repartition(parts, "g").groupBy("g", value)
+            .agg(F.min("owner").alias("owner"), *[F.min(c).alias(c) for c in also]))
+
+
+def sender(names: list[str]):
+    """Collects rows ``g, value, owner, ...`` and sends each pair of the first two once per flush."""
+    held: list = []
+
+    def flush():
+        cols = [np.concatenate(x) for x in zip(*held)]
+        held.clear()
+        order = np.lexsort((cols[2], cols[0], cols[1]))
+        cols = [c[order] for c in cols]
+        new = np.ones(len(order), bool)
+        new[1:] = (cols[0][1:] != cols[0][:-1]) | (cols[1][1:] != cols[1][:-1])
+        return pa.RecordBatch.from_arrays([pa.array(c[new]) for c in cols], names)
+
+    return held, flush
+
+
 __all__ = ["ID", "TEXT", "NO_ID", "QUERIES", "ORACLES", "register", "load", "column", "keyed",
-           "cut", "id_bounds", "bucket_of", "small_batches", "ensure_checkpoint_dir", "shared_dir"]
+           "cut", "id_bounds", "bucket_of", "small_batches", "first_rows",
+           "owners", "sender", "FLUSH_ROWS", "ensure_checkpoint_dir", "shared_dir"]

@@ -42,12 +42,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewise.llm.common import (ID, NO_ID, TEXT, column, cut, keyed, load, register, small_batches)
+from tablewise.llm.common import (FLUSH_ROWS, ID, NO_ID, TEXT, column, cut, first_rows, keyed,
+                                  load, owners, register, sender, small_batches)
 
 LENGTH = 100
 GRAM = 24
 CHUNK = 1 << 20           # window starts handled at once, bounds the memory of a long text
-FLUSH_ROWS = 400_000      # dictionary rows pre-aggregated before they are sent
 
 
 def parser(length: int, gram: int = GRAM):
@@ -145,35 +145,6 @@ def parser(length: int, gram: int = GRAM):
     return phrases, suffixes
 
 
-def first_rows(values):
-    """Index of the first occurrence of every distinct value."""
-    return np.sort(np.unique(values, return_index=True)[1])
-
-
-def owners(rows: DataFrame, value: str, *also: str) -> DataFrame:
-    """``g, value, owner``: the smallest id of each pair.  ``rows`` are pre-aggregated per task;
-    they go by ``g`` so that what shares a trigger is together for the next step."""
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (rows.repartition(parts, "g").groupBy("g", value)
-            .agg(F.min("owner").alias("owner"), *[F.min(c).alias(c) for c in also]))
-
-
-def sender(names: list[str]):
-    """Collects rows ``g, value, owner, ...`` and sends each pair of the first two once per flush."""
-    held: list = []
-
-    def flush():
-        cols = [np.concatenate(x) for x in zip(*held)]
-        held.clear()
-        order = np.lexsort((cols[2], cols[0], cols[1]))
-        cols = [c[order] for c in cols]
-        new = np.ones(len(order), bool)
-        new[1:] = (cols[0][1:] != cols[0][:-1]) | (cols[1][1:] != cols[1][:-1])
-        return pa.RecordBatch.from_arrays([pa.array(c[new]) for c in cols], names)
-
-    return held, flush
-
-
 def dictionary_rows(docs: DataFrame, length: int) -> DataFrame:
     """``g, e, owner, sides``: trigger and phrase hash of the phrases of every text."""
     def run(batches):
