@@ -1,8 +1,8 @@
 """All corpus queries: importing the operator modules fills the registries."""
 
-from tablewise.llm import (bpe, decontaminate, license_scan, minhash_dedup, suffix_dedup, token_output,
-                           toxicity, winnowing)
+from tablewise.llm import (bpe, decontaminate, license_scan, minhash_dedup, substring_dedup,
+                           suffix_dedup, token_output, toxicity, winnowing)
 from tablewise.llm.common import ORACLES, QUERIES
 
-__all__ = ["QUERIES", "ORACLES", "bpe", "decontaminate", "license_scan", "minhash_dedup", "suffix_dedup",
-           "token_output", "toxicity", "winnowing"]
+__all__ = ["QUERIES", "ORACLES", "bpe", "decontaminate", "license_scan", "minhash_dedup",
+           "substring_dedup", "suffix_dedup", "token_output", "toxicity", "winnowing"]
