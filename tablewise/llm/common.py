@@ -20,6 +20,8 @@ TEXT = "__text"
 NO_ID = -2 ** 63               # sorts rows without an id first
 FLUSH_ROWS = 400_000           # rows pre-aggregated in a task before they are sent
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -51,10 +53,16 @@ def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: the lineage ends here, a lost
     executor cannot force a recomputation, and the size of the table is known to the
-    planner (it decides whether a join may broadcast it)."""
+    planner (it decides whether a join may broadcast it).  Shuffle files of the write are
+    removed when it is done, as nothing will read them again."""
     spark = df.sparkSession
     path = shared_dir(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -92,7 +100,7 @@ def first_rows(values):
 
 def owners(rows: DataFrame, value: str, *also: str) -> DataFrame:
     """``g, value, owner``: the smallest id of each pair.  ``rows`` are pre-aggregated per task;
-    they go by ``g`` so that what shares a trigger is together for the next step."""
+    they go by ``g`` so that what shares it is together for the next step."""
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (rows.repartition(parts, "g").groupBy("g", value)
             .agg(F.min("owner").alias("owner"), *[F.min(c).alias(c) for c in also]))

@@ -47,6 +47,8 @@ from tablewise.llm.common import (FLUSH_ROWS, ID, NO_ID, TEXT, column, cut, firs
 
 LENGTH = 100
 GRAM = 24
+SAMPLE = 64               # one document in so many tells which triggers are common
+COMMON = 4096             # at most so many of them
 CHUNK = 1 << 20           # window starts handled at once, bounds the memory of a long text
 
 
@@ -145,8 +147,30 @@ def parser(length: int, gram: int = GRAM):
     return phrases, suffixes
 
 
+def common_triggers(docs: DataFrame, length: int) -> list[int]:
+    """Trigger hashes that stand in many documents (with different surroundings, or they would be
+    one phrase), found in a sample of the documents: at most ``COMMON`` numbers.  The list only
+    says how rows are dealt; it changes no result."""
+    def run(batches):
+        phrases, _ = parser(length)
+        for b in batches:
+            found = [np.unique(phrases(t.encode())[3]) for t in b.column(0).to_pylist()]
+            g, n = np.unique(np.concatenate([np.empty(0, np.int64), *found]), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(g), pa.array(n)], ["g", "n"])
+
+    sample = docs.where(F.pmod(F.xxhash64(ID), F.lit(SAMPLE)) == 0)
+    least = max(8, sample.count() // 500)
+    return [r.g for r in sample.select(TEXT).mapInArrow(run, "g bigint, n bigint").groupBy("g")
+            .agg(F.sum("n").alias("n")).where(f"n >= {least}").orderBy(F.desc("n"), "g")
+            .limit(COMMON).collect()]
+
+
 def dictionary_rows(docs: DataFrame, length: int) -> DataFrame:
-    """``g, e, owner, sides``: trigger and phrase hash of the phrases of every text."""
+    """``g, e, owner, sides``: trigger and phrase hash of the phrases of every text.  Phrases of a
+    common trigger go by their own hash (``g = e``) and count as shared on both sides unseen, so
+    no task gathers all surroundings of a very frequent string."""
+    common = np.array(sorted(common_triggers(docs, length)), np.int64)
+
     def run(batches):
         phrases, _ = parser(length)
         held, flush = sender(["g", "e", "owner", "sides"])
@@ -154,6 +178,7 @@ def dictionary_rows(docs: DataFrame, length: int) -> DataFrame:
         for b in batches:
             for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 _, _, _, g, e, sides = phrases(text.encode())
+                g = np.where(np.isin(g, common), e, g)
                 held.append((g, e, np.full(len(g), doc, np.int64), sides))
                 rows += len(g)
                 if rows >= FLUSH_ROWS:
@@ -181,14 +206,14 @@ def open_suffixes(data: bytes, todo_left, todo_right, parse, own=None):
 
 
 def suffix_rows(docs: DataFrame, length: int) -> DataFrame:
-    """``g, s, owner``: trigger and hash of the windows that may be repeats."""
+    """``g, s, owner``: window hash and trigger hash of the windows that may be repeats."""
     def run(batches):
         parse = parser(length)
         held, flush = sender(["g", "s", "owner"])
         rows = 0
         for b in batches:
             for doc, text, left, right in zip(*(b.column(i).to_pylist() for i in range(4))):
-                g, _, s = open_suffixes(text.encode(), left, right, parse)
+                s, _, g = open_suffixes(text.encode(), left, right, parse)
                 held.append((g, s, np.full(len(g), doc, np.int64)))
                 rows += len(g)
                 if rows >= FLUSH_ROWS:
@@ -238,8 +263,9 @@ def deduplicate(documents: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     found = owners(dictionary_rows(docs, length), "e", "sides").selectExpr(
         "g", "e", "owner", "shiftright(sides, 32) as l", "sides & 4294967295L as r")
-    found = found.selectExpr("owner", "e", "count(*) over (partition by g, l) > 1 as on_left",
-                             "count(*) over (partition by g, r) > 1 as on_right")
+    found = found.selectExpr(
+        "owner", "e", "g = e or count(*) over (partition by g, l) > 1 as on_left",
+        "g = e or count(*) over (partition by g, r) > 1 as on_right")
     owned = cut(found.groupBy(F.col("owner").alias(ID)).agg(
         F.collect_list("e").alias("owned"),
         F.collect_list(F.when(F.col("on_left"), F.col("e"))).alias("todo_left"),
@@ -250,7 +276,7 @@ def deduplicate(documents: DataFrame, id_col: str = "doc_id", text_col: str = "t
     open_docs = docs.join(todo, ID).select(ID, TEXT, "todo_left", "todo_right")
     ranked = owners(suffix_rows(open_docs, length), "s")
     suffix_owned = ranked.groupBy(F.col("owner").alias(ID)).agg(
-        F.collect_list("s").alias("suffix_owned"))
+        F.collect_list("g").alias("suffix_owned"))
 
     def run(batches):
         parse = parser(length)
