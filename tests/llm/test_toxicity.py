@@ -63,18 +63,18 @@ def test_held_out_quality_and_documents_counts(spark, sf01):
 
 
 def test_idf_counts_all_documents(spark):
-    docs = [(i, "vile word here" if i % 3 == 0 else "plain text here") for i in range(60)]
-    docs += [(100 + i, "vile") for i in range(40)] + [(200, None), (201, "")]
-    labels = [(i, int(i % 3 == 0)) for i in range(60)] + [(0, 1), (None, 1), (5, None)]
+    docs = [(i, "vile word here" if i % 5 == 0 else "plain text here") for i in range(400)]
+    docs += [(1000 + i, "vile") for i in range(40)] + [(2000, None), (2001, "")]
+    labels = [(i, int(i % 5 == 0)) for i in range(400)] + [(0, 1), (None, 1), (5, None)]
     d = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
     model = op.fit(d, spark.createDataFrame(labels, "doc_id long, toxic int"))
-    n, df = len(docs), 60
+    n, df = len(docs), 120
     assert math.isclose(model.idf[model.vocabulary["vile"]], math.log((1 + n) / (1 + df)) + 1e-6)
     got = {r.doc_id: r for r in op.score(d, model).collect()}
-    assert got[100].score > 0.5 > got[1].score and got[200].score == got[201].score == got[1].score
-    assert got[100].nearest_cosine > 0 and got[100].nearest_id % 3 == 0
-    marked = op.with_score(d, model).where("doc_id = 100").first()
-    assert marked.toxicity == got[100].score
+    assert got[1000].score > 0.5 > got[1].score and got[2000].score == got[2001].score == got[1].score
+    assert got[1000].nearest_cosine > 0 and got[1000].nearest_id % 5 == 0
+    marked = op.with_score(d, model).where("doc_id = 1000").first()
+    assert marked.toxicity == got[1000].score
 
 
 def test_scores_do_not_use_ids_or_other_columns(spark, sf001):
