@@ -1,23 +1,25 @@
-"""Sampling, splitting, unions and caching.
+"""Sampling and splitting.
 
 ``sample_by_class``   per-class sample in one pass (F1-F3)
 ``stratified_split``  exact per-class test share without a global sort (F4)
 ``bounded_sample``    the ``n`` rows with the smallest hash: a top-k, bounded memory (F5)
-``union_all``         union by name (F2, F6)
-``persisted``         persist / unpersist in try-finally (F7)
+
+Unions (F2, F6) are ``unionByName`` and caching (F7) is ``persist`` / ``unpersist`` where the jobs
+need them.
 """
 
 from __future__ import annotations
 
-from contextlib import contextmanager
-
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablewise.functions.hashing import portable_hash, unit_hash
+from tablewise.functions.hashing import portable_hash, row_key, unit_hash
 from tablewise.operators.profile import qcol
-from tablewise.session import ensure_checkpoint_dir
+from tablewise.session import written
+
+SMALL_CLASSES = 100_000     # per-class tables of at most so many rows are broadcast
+SALTS = 64                  # larger ones are joined with a salt
+COPIES_BLOCK = 100_000      # equal rows written by one task
 
 
 def sample_by_class(df: DataFrame, label_col: str = "label", fraction=0.5, seed: int = 42,
@@ -33,20 +35,13 @@ def sample_by_class(df: DataFrame, label_col: str = "label", fraction=0.5, seed:
     if isinstance(fraction, dict):
         classes = {k: float(v) for k, v in fraction.items()}
     if method == "bernoulli":
-        if classes is None:
-            if float(fraction) >= 1.0:
-                return df
-            max_classes = 100_000
-            labels = [r[0] for r in
-                      df.select(qcol(label_col)).distinct().limit(max_classes + 1).collect()]
-            if len(labels) > max_classes:
-                raise ValueError(f"more than {max_classes} classes in {label_col!r}; "
-                                 "use method='hash'")
-            classes = {k: float(fraction) for k in labels}
-        return df.sampleBy(label_col, {k: min(v, 1.0) for k, v in classes.items()}, seed)
+        if classes is not None:
+            return df.sampleBy(label_col, {k: min(v, 1.0) for k, v in classes.items()}, seed)
+        # one fraction for all classes: no list of classes is needed
+        return df if float(fraction) >= 1.0 else df.sample(float(fraction), seed)
     if key is None:
         raise ValueError("hash sampling needs a key column")
-    u = unit_hash(key, f"sample:{seed}")
+    u = unit_hash(key_text(df, key), f"sample:{seed}")
     if classes is None:
         frac = float(fraction)
         return df if frac >= 1.0 else df.filter(u < F.lit(frac))
@@ -59,183 +54,137 @@ def sample_by_class(df: DataFrame, label_col: str = "label", fraction=0.5, seed:
     return df.filter((thr >= F.lit(1.0)) | (u < thr))
 
 
-def split_by_label(df: DataFrame, label_col: str = "label"):
-    """(current, previous) parts."""
-    lab = qcol(label_col)
-    return df.filter(lab == 1), df.filter(lab == 0)
+def key_text(df: DataFrame, key) -> Column:
+    """The key as text, never null: a row without a key is identified by its content."""
+    c = qcol(key) if isinstance(key, str) else key
+    return F.coalesce(c.cast("string"), F.concat(F.lit("null|"), row_key(
+        *[qcol(x) for x in df.columns])))
 
 
-def union_all(frames) -> DataFrame:
-    """Union by column name (UNION ALL)."""
-    frames = list(frames)
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
-    return out
+def content_hash(df: DataFrame) -> Column:
+    return F.xxhash64(*[qcol(c) for c in df.columns])
 
 
 def stratified_split(df: DataFrame, label_col: str, key: str, test_share: float = 0.2,
-                     seed: int = 42, bucket_bits: int = 16,
-                     out_col: str = "is_test", max_classes: int = 100_000,
-                     max_window_rows: int = 1_000_000) -> DataFrame:
+                     seed: int = 42, out_col: str = "is_test") -> DataFrame:
     """mark ``round(n_c * test_share)`` rows of each class ``c`` as test rows.
 
-    The test rows of a class are the first ones in the order ``(hash(key), key)``.
-    Exact, with no global sort, and no task ranks more than its own input split even
-    when one key (a group of copies) holds a large share of the rows:
-
-    1. hash -> bucket (top ``bucket_bits`` bits); rows per (class, bucket): a map-side
-       combined aggregate of at most classes x 2^bits rows.  Per class, the boundary
-       bucket where the running count reaches the quota (one row per class).
-    2. if every boundary bucket holds at most ``max_window_rows`` rows (known from step
-       1), they are ranked directly by ``(hash, key, content hash)`` with a window in the
-       final pass.  Otherwise: rows of the boundary buckets only, rows per (class, hash,
-       key) and, per class, the boundary key and how many of its rows are still needed.
-    3. one narrow pass: earlier buckets / keys are test, later ones train.  A duplicated
-       boundary key is ranked by a hash of the row content (window, when it has at most
-       ``max_window_rows`` rows); a larger group of copies is checkpointed and split by
-       partition: per-partition counts give offsets, and a row is test when offset + its
-       index inside its own partition is below the number still needed.  Rows with equal
-       content are interchangeable.
-
-    The per-class tables (at most ``max_classes`` rows: collected with that limit and
-    checked) reach the driver and are broadcast back; a shuffle join on the class would
-    send a whole class to one task.
+    The test rows of a class are the first ones in the order ``(hash of the key, key, hash of
+    the content)``, at every size and under any partitioning; rows without a key are ordered by
+    their content.  There is no global sort, and no task ranks a class or a group of copies:
+
+    1. rows per (class, upper 16 bits of the hash), a map-side combined count; the entry at
+       which the running count reaches the quota is the class's boundary, and only its
+       rows are looked at further;
+    2. they are refined by the next part of the order (lower 16 bits, key, then the content
+       hash in parts of 16 bits) until the boundary entry of every class is needed as a whole or
+       consists of equal rows: each step counts at most 65,536 entries a class;
+    3. one pass compares each row with its class's boundary.  Of equal rows at the boundary
+       the needed number is test: they are counted and written out again, as they are
+       interchangeable.
+
+    The boundary table has one row per class.  It is written to the shared folder and joined; it
+    is broadcast when it has at most ``SMALL_CLASSES`` rows, else joined with a salt, so that a
+    large class does not meet in one task.
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    h = portable_hash(key, f"split:{seed}")
-    base = df.withColumns({"_lab": qcol(label_col), "_h": h,
-                           "_b": F.shiftright(h, 32 - bucket_bits), "_k": qcol(key)})
-
-    counts = base.groupBy("_lab", "_b").agg(F.count(F.lit(1)).alias("_cnt"))
-    cut1, cut1_rows = _local(_boundary(counts, ["_b"],
-                                       F.round(F.col("_n") * F.lit(float(test_share)))),
-                             max_classes, label_col)
-    if cut1 is None:
-        return df.withColumn(out_col, F.lit(False))
-    cols = df.columns + [out_col]
-
-    if max(r["_cnt"] for r in cut1_rows) <= max_window_rows:
-        # boundary buckets are small (checked): rank them in place
-        j = base.join(cut1, base["_lab"].eqNullSafe(cut1["_lab_c"]), "left")
-        has = F.col("_cut_b").isNotNull()
-        at = has & (F.col("_b") == F.col("_cut_b"))
-        rest = j.filter(~at).withColumn(out_col, has & (F.col("_b") < F.col("_cut_b")))
-        w = Window.partitionBy("_lab", "_b").orderBy(
-            "_h", "_k", F.xxhash64(*[qcol(c) for c in df.columns]))
-        edge = j.filter(at).withColumn(out_col, F.row_number().over(w) <= F.col("_left"))
-        return rest.select(*cols).unionByName(edge.select(*cols))
-
-    edge = base.join(cut1, base["_lab"].eqNullSafe(cut1["_lab_c"]) &
-                     (base["_b"] == cut1["_cut_b"]))
-    keys = edge.groupBy("_lab", "_h", "_k").agg(F.count(F.lit(1)).alias("_cnt"),
-                                                 F.first("_left").alias("_need1"))
-    cut2, cut2_rows = _local(_boundary(keys, ["_h", "_k"], F.col("_need1")), max_classes,
-                             label_col, rename={"_lab_c": "_lab_d", "_left": "_left2",
-                                                "_cnt": "_cnt2"})
-
-    j = (base.join(cut1, base["_lab"].eqNullSafe(cut1["_lab_c"]), "left")
-             .join(cut2, base["_lab"].eqNullSafe(cut2["_lab_d"]), "left"))
-    h_, k_, b_ = F.col("_h"), F.col("_k"), F.col("_b")
-    in_cut = F.col("_cut_b").isNotNull() & (b_ == F.col("_cut_b"))
-    before_key = (h_ < F.col("_cut_h")) | ((h_ == F.col("_cut_h")) & (k_ < F.col("_cut_k")))
-    at_key = in_cut & (h_ == F.col("_cut_h")) & (k_ == F.col("_cut_k"))
-    # boundary key with one row: that row is test (at least one row is still needed)
-    single = at_key & (F.col("_cnt2") == 1)
-    is_test = (F.col("_cut_b").isNotNull() & (b_ < F.col("_cut_b"))) | \
-        (in_cut & before_key) | single
-    if not any(r["_cnt"] > 1 for r in cut2_rows):
-        return j.withColumn(out_col, is_test).select(*cols)
-
-    dup_at = at_key & (F.col("_cnt2") > 1)
-    rest = j.filter(~dup_at).withColumn(out_col, is_test).select(*cols)
-    dup = j.filter(dup_at).select(*df.columns, "_lab", "_left2",
-                                  F.xxhash64(*[qcol(c) for c in df.columns]).alias("_r"))
-    if all(r["_cnt"] <= max_window_rows for r in cut2_rows):
-        # duplicated boundary keys with few rows (checked): rank them by content hash
-        w_dup = Window.partitionBy("_lab").orderBy("_r")
-        lvl3 = dup.withColumn(out_col, F.row_number().over(w_dup) <= F.col("_left2"))
-        return rest.unionByName(lvl3.select(*cols))
-
-    # a large group of copies: written once to the shared folder so that its partition
-    # ids are the same for the counting job and the assignment job
-    dup = dup.checkpoint(eager=True).withColumn("_pid", F.spark_partition_id())
-    per_part = dup.groupBy("_lab", "_pid").agg(F.count(F.lit(1)).alias("_pc"))
-    w_off = Window.partitionBy("_lab").orderBy("_pid").rowsBetween(
-        Window.unboundedPreceding, -1)
-    # classes x input partitions rows
-    offsets = F.broadcast(per_part.withColumn(
-        "_off", F.coalesce(F.sum("_pc").over(w_off), F.lit(0)))
-        .select(F.col("_lab").alias("_lab_o"), F.col("_pid").alias("_pid_o"), "_off")
-        .checkpoint(eager=True))
-    j3 = dup.join(offsets, dup["_lab"].eqNullSafe(F.col("_lab_o")) &
-                  (dup["_pid"] == F.col("_pid_o")))
-    w_in = Window.partitionBy("_lab", "_pid").orderBy("_r")
-    lvl3 = j3.withColumn(out_col, F.col("_off") + F.row_number().over(w_in) <= F.col("_left2"))
-    return rest.unionByName(lvl3.select(*cols))
-
-
-def _local(small: DataFrame, max_rows: int, label_col: str, rename: dict | None = None):
-    """A per-class table as (broadcast local frame, rows); at most ``max_rows`` rows are
-    ever brought over - more classes than that is an error."""
-    rows = small.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        raise ValueError(f"more than {max_rows} classes in {label_col!r}")
-    if not rows:
-        return None, rows
-    out = small.sparkSession.createDataFrame(rows, small.schema)
-    for a, b in (rename or {}).items():
-        out = out.withColumnRenamed(a, b)
-    return F.broadcast(out.coalesce(1)), rows
-
-
-def _boundary(counts: DataFrame, order, need) -> DataFrame:
-    """Per class (``_lab``) on a small counts table: the first entry (in ``order``) whose
-    running count reaches ``need``, and how many of its rows are still needed.
-
-    ``need`` may refer to ``_n`` (the class total).  Returns ``_lab_c``, ``_cut<o>`` for
-    each order column, ``_cnt`` (rows of that entry) and ``_left``.  Classes needing 0
-    rows get no row.
-    """
-    run = Window.partitionBy("_lab").orderBy(*order).rowsBetween(
+    h = portable_hash(key_text(df, key), f"split:{seed}")
+    base = df.withColumns({"_lab": qcol(label_col), "_h": h, "_k": key_text(df, key),
+                           "_r": content_hash(df)})
+    parts = [F.shiftright("_h", 16), F.col("_h").bitwiseAND(F.lit(0xFFFF)), F.col("_k")] + [
+        F.shiftright("_r", s).bitwiseAND(F.lit(0xFFFF)) for s in (48, 32, 16, 0)]
+    # the last 64 bits are compared as unsigned parts, so the order is the same in step 3
+    names = [f"_p{i}" for i in range(len(parts))]
+
+    counts = base.groupBy("_lab", parts[0].alias("_p")).agg(F.count(F.lit(1)).alias("_cnt"))
+    total = F.sum("_cnt").over(Window.partitionBy("_lab"))
+    counts = counts.withColumn("_need", F.round(total * F.lit(float(test_share))).cast("bigint"))
+    edge = written(_boundary(counts).withColumnRenamed("_p", names[0]), "split")
+    for i in range(1, len(parts)):
+        if edge.where("_need < _cnt").isEmpty():
+            break
+        # classes that are not settled yet: the rows of their boundary entry
+        open_ = edge.where("_need < _cnt").select(F.col("_lab").alias("_c"), *names[:i], "_need")
+        rows = base.select("_lab", *[p.alias(n) for p, n in zip(parts[:i + 1], names)])
+        rows = _with_class(rows, open_, names[:i])
+        counts = rows.groupBy("_lab", *names[:i], "_need", F.col(names[i]).alias("_p")).agg(
+            F.count(F.lit(1)).alias("_cnt"))
+        fine = _boundary(counts, names[:i]).withColumnRenamed("_p", names[i])
+        settled = edge.where("_need >= _cnt").withColumn(
+            names[i], F.lit(None).cast(fine.schema[names[i]].dataType))
+        edge = written(settled.unionByName(fine), "split")
+    used = [n for n in names if n in edge.columns]
+
+    rows = base.withColumns(dict(zip(used, parts)))
+    rows = _with_class(rows, edge.select(F.col("_lab").alias("_c"), "_need", "_cnt", *[
+        F.col(n).alias("_b" + n) for n in used]), [], how="left")
+    before, same = F.lit(False), F.lit(True)
+    for n in used:
+        cut = F.col("_b" + n)
+        before = before | (same & cut.isNotNull() & (F.col(n) < cut))
+        same = same & (cut.isNull() | (F.col(n) == cut))
+    has = F.col("_need").isNotNull()
+    rows = rows.withColumns({"_before": F.coalesce(has & before, F.lit(False)),
+                             "_same": F.coalesce(has & same, F.lit(False))})
+    whole = F.col("_same") & (F.col("_need") >= F.col("_cnt"))
+    split = F.col("_same") & (F.col("_need") < F.col("_cnt"))
+    out = rows.where(~split).withColumn(out_col, F.col("_before") | whole)
+    if edge.where("_need < _cnt").isEmpty():
+        return out.select(*[qcol(c) for c in df.columns], qcol(out_col))
+    equal = (rows.where(split).groupBy("_lab", "_need")
+             .agg(F.first(F.struct(*[qcol(c) for c in df.columns])).alias("_row"),
+                  F.count(F.lit(1)).alias("_n")))
+    # n equal rows again, in blocks that different tasks write
+    equal = (equal.withColumn("_block", F.explode(F.sequence(F.lit(0), F.col("_n") - 1,
+                                                             F.lit(COPIES_BLOCK))))
+             .repartition("_block")
+             .withColumn("_i", F.explode(F.sequence(
+                 "_block", F.least(F.col("_block") + COPIES_BLOCK, F.col("_n")) - 1)))
+             .withColumn(out_col, F.col("_i") < F.col("_need")))
+    names_out = [F.col("_row").getField(c).alias(c) for c in df.columns]
+    return (out.select(*[qcol(c) for c in df.columns], qcol(out_col))
+            .unionByName(equal.select(*names_out, qcol(out_col))))
+
+
+def _with_class(rows: DataFrame, classes: DataFrame, on: list, how: str = "inner") -> DataFrame:
+    """``rows`` with the columns of their class (``_lab`` = ``_c``, null-safe) and equal ``on``."""
+    classes = classes.withColumnsRenamed({n: "_on" + n for n in on})
+    match = F.col("_lab").eqNullSafe(F.col("_c"))
+    for n in on:
+        match = match & (F.col(n) == F.col("_on" + n))
+    if classes.count() <= SMALL_CLASSES:
+        joined = rows.join(F.broadcast(classes), match, how)
+    else:
+        salted = classes.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        rows = rows.withColumn("_s", F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int"))
+        joined = rows.join(salted, match & (F.col("_s") == F.col("_salt")), how).drop("_s", "_salt")
+    return joined.drop("_c", *["_on" + n for n in on])
+
+
+def _boundary(counts: DataFrame, group=()) -> DataFrame:
+    """Per class on a counts table ``_lab, *group, _need, _p, _cnt``: the first entry ``_p``
+    whose running count reaches ``_need``, with what is still needed of it as ``_need``.
+    Classes that need no row get none."""
+    run = Window.partitionBy("_lab").orderBy("_p").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    c = (counts.withColumn("_cum", F.sum("_cnt").over(run))
-               .withColumn("_n", F.sum("_cnt").over(Window.partitionBy("_lab")))
-               .withColumn("_need", need.cast("long")))
-    first = F.min_by(F.struct(*[F.col(o) for o in order], "_cum", "_cnt", "_need"),
-                     F.struct(*[F.col(o) for o in order]))
-    picked = (c.filter((F.col("_need") > 0) & (F.col("_cum") >= F.col("_need")))
-               .groupBy("_lab").agg(first.alias("_s")))
-    return picked.select(F.col("_lab").alias("_lab_c"),
-                         *[F.col(f"_s.{o}").alias(f"_cut{o}") for o in order],
-                         F.col("_s._cnt").alias("_cnt"),
-                         (F.col("_s._need") - (F.col("_s._cum") - F.col("_s._cnt")))
-                         .alias("_left"))
+    c = counts.withColumn("_cum", F.sum("_cnt").over(run))
+    hit = c.where((F.col("_need") > 0) & (F.col("_cum") >= F.col("_need"))
+                  & (F.col("_cum") - F.col("_cnt") < F.col("_need")))
+    return hit.select("_lab", *group, "_p", "_cnt",
+                      (F.col("_need") - F.col("_cum") + F.col("_cnt")).alias("_need"))
 
 
 def bounded_sample(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
     """the ``min(n, rows)`` rows with the smallest ``(hash(key), key)``; rows sharing
-    a key are ordered by a hash of their content, so the sample is the same on every run.
+    a key, and rows without one, are ordered by their content, so the sample is the same on
+    every run.
 
     Planned as ``TakeOrderedAndProject``: each task keeps its own ``n`` best rows, so
     memory is bounded by ``n`` whatever the table size.
     """
-    h = portable_hash(key, f"bounded:{seed}")
-    r = F.xxhash64(*[qcol(c) for c in df.columns])
-    return (df.withColumns({"_h": h, "_r": r}).orderBy("_h", qcol(key), "_r").limit(int(n))
-              .drop("_h", "_r"))
-
-
-@contextmanager
-def persisted(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK):
-    """``with persisted(df) as d: ...`` - cached inside, released afterwards."""
-    d = df.persist(level)
-    try:
-        yield d
-    finally:
-        d.unpersist()
+    k = key_text(df, key)
+    return (df.withColumns({"_h": portable_hash(k, f"bounded:{seed}"), "_k": k,
+                            "_r": content_hash(df)})
+            .orderBy("_h", "_k", "_r").limit(int(n)).drop("_h", "_k", "_r"))
 
 
-__all__ = ["sample_by_class", "split_by_label", "union_all", "stratified_split",
-           "bounded_sample", "persisted"]
+__all__ = ["sample_by_class", "stratified_split", "bounded_sample", "key_text", "content_hash"]

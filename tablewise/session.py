@@ -13,7 +13,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -78,4 +78,12 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-__all__ = ["get_spark", "ensure_checkpoint_dir", "shared_dir", "DEFAULT_CONF"]
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared folder: computed once, safe from lost executors, and of a
+    size that the planner knows."""
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+__all__ = ["get_spark", "ensure_checkpoint_dir", "shared_dir", "written", "DEFAULT_CONF"]

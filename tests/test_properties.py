@@ -33,17 +33,15 @@ def test_auc_property(spark, n, levels, buckets, seed):
 
 @SETTINGS
 @given(n=st.integers(1, 400), classes=st.integers(1, 4), dup=st.floats(0, 0.6),
-       share=st.sampled_from([0.1, 0.2, 0.5]), bits=st.sampled_from([1, 4, 16]),
-       window=st.sampled_from([0, 1_000_000]), seed=st.integers(0, 10_000))
-def test_split_property(spark, n, classes, dup, share, bits, window, seed):
+       share=st.sampled_from([0.1, 0.2, 0.5]), seed=st.integers(0, 10_000))
+def test_split_property(spark, n, classes, dup, share, seed):
     rng = np.random.default_rng(seed)
     keys = np.arange(n) + 1000
     keys[: int(n * dup)] = 5          # a group of copies of one key
     pdf = pd.DataFrame({"k": keys, "y": rng.integers(0, classes, n),
                         "v": rng.integers(0, 5, n)})
     df = spark.createDataFrame(pdf).repartition(3)
-    out = stratified_split(df, "y", "k", share, 42, bucket_bits=bits,
-                           max_window_rows=window).toPandas()
+    out = stratified_split(df, "y", "k", share, 42).toPandas()
     assert len(out) == n
     for _, g in out.groupby("y"):
         assert g["is_test"].sum() == math.floor(len(g) * share + 0.5)
