@@ -25,8 +25,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (ByteType, DoubleType, IntegerType, LongType, NumericType, ShortType,
-                               StringType, StructField, StructType)
+from pyspark.sql.types import DoubleType, NumericType, StringType, StructField, StructType
 
 from tablewise.functions.mathx import ratio_or_null
 
@@ -113,17 +112,15 @@ def _is_sketch(spec: MetricSpec) -> bool:
 
 
 def run_specs(df: DataFrame, specs: list[MetricSpec], group_by=None,
-              chunk: int = 256, sketches: str = "separate") -> DataFrame:
+              chunk: int = 256, sketches: str = "shared") -> DataFrame:
     """Shared-scan aggregates -> long metric rows.
 
     Only successful (non-null) metrics appear, as in the reference's success table.
 
-    ``sketches="separate"`` (default) runs the HLL++ sketches in their own aggregate:
-    HLL++ is an imperative aggregate, and one of them in an aggregate switches the
-    whole aggregate (all ~50 other metrics) out of whole-stage codegen.  Two passes -
-    one codegen'd, one with only the sketches - measured 20 % faster than one
-    interpreted pass on lineitem sf0.1.  ``"shared"`` keeps a single pass (for storage
-    where a second read of the columns costs more than the CPU).
+    ``sketches="shared"`` (default) reads the table once.  An HLL++ sketch is an imperative
+    aggregate and takes the whole aggregate out of whole-stage codegen; ``"separate"`` runs the
+    sketches in an aggregate of their own, for cached or local tables, where a second
+    read costs less than that (measured 20 % faster on lineitem sf0.1).
     """
     if sketches == "separate":
         plain = [s for s in specs if not _is_sketch(s)]
@@ -152,90 +149,22 @@ def _run_group(df: DataFrame, specs: list[MetricSpec], keys: list, chunk: int) -
 
 
 def profile(df: DataFrame, columns=None, approx_distinct: bool = True, rsd: float = 0.05,
-            group_by=None, chunk: int = 256, sketches: str = "separate",
-            tree_shards: int | None = None) -> DataFrame:
+            group_by=None, chunk: int = 256, sketches: str = "shared") -> DataFrame:
     """D10-D12 (and D16 with ``group_by``): long metric table of ``df``.
 
     Columns: ``[*group_by,] entity, instance, name, value``.
-
-    ``tree_shards``: for scans with a very large number of tasks, merge the per-task
-    partial states in ``tree_shards`` groups first and only then globally (see
-    :func:`profile_tree`).
     """
-    if tree_shards and not group_by:
-        return profile_tree(df, columns, approx_distinct, tree_shards, chunk)
     keys = list(group_by or [])
     schema = StructType([f for f in df.schema.fields if f.name not in keys])
     specs = metric_specs(schema, columns, approx_distinct, rsd)
     return run_specs(df, specs, keys, chunk, sketches)
 
 
-def _tree_parts(name: str, c: Column, kind: str, lg_k: int):
-    """(partial aggregates, final expression over their merged values) of one metric."""
-    d = c.cast("double")
-    if name == M_COMPLETENESS:
-        return [F.count(c), F.count(F.lit(1))], lambda p: ratio_or_null(F.sum(p[0]), F.sum(p[1]))
-    if name == M_APPROX_DISTINCT:
-        # the sketch takes int, bigint, string or binary: other types by their text form
-        arg = {"int": c.cast("int"), "bigint": c, "string": c}.get(kind, c.cast("string"))
-        return ([F.hll_sketch_agg(arg, lg_k)],
-                lambda p: F.hll_sketch_estimate(F.hll_union_agg(p[0])))
-    if name == M_MINIMUM:
-        return [F.min(d)], lambda p: F.min(p[0])
-    if name == M_MAXIMUM:
-        return [F.max(d)], lambda p: F.max(p[0])
-    if name == M_MEAN:
-        return [F.sum(d), F.count(d)], lambda p: F.try_divide(F.sum(p[0]), F.sum(p[1]))
-    if name == M_SUM:
-        return [F.sum(d)], lambda p: F.sum(p[0])
-    if name == M_MAX_LENGTH:
-        return [F.max(F.length(c))], lambda p: F.max(p[0])
-    if name == M_MIN_LENGTH:
-        return [F.min(F.length(c))], lambda p: F.min(p[0])
-    raise ValueError(name)
-
-
-def profile_tree(df: DataFrame, columns=None, approx_distinct: bool = True,
-                 shards: int = 1000, chunk: int = 256, lg_k: int = 12) -> DataFrame:
-    """Two-level profile for scans with hundreds of thousands of tasks.
-
-    A global aggregate sends one partial row per map task to a single final task.  Here
-    the partial states are grouped by ``spark_partition_id() % shards`` (one row per
-    task and shard, merged by ``shards`` reducers), and only ``shards`` rows reach the
-    final merge.  Distinct counts use mergeable DataSketches HLL sketches
-    (``hll_sketch_agg`` / ``hll_union_agg``, ``lg_k`` = log2 of the register count), so
-    their estimates differ slightly from the HLL++ ones of :func:`profile`.
-    """
-    specs = metric_specs(StructType(df.schema.fields), columns, approx_distinct)
-    def sketch_kind(t):
-        if isinstance(t, (ByteType, ShortType, IntegerType)):
-            return "int"
-        if isinstance(t, LongType):
-            return "bigint"
-        return "string" if isinstance(t, StringType) else "other"
-
-    kinds = {f.name: sketch_kind(f.dataType) for f in df.schema.fields}
-    parts = []
-    for start in range(0, len(specs), chunk):
-        block = specs[start:start + chunk]
-        partial, finals, k = [], [], 0
-        for i, sp in enumerate(block):
-            if sp.name == M_SIZE:
-                aggs, fin = [F.count(F.lit(1))], (lambda p: F.sum(p[0]))
-            else:
-                aggs, fin = _tree_parts(sp.name, qcol(sp.instance), kinds[sp.instance], lg_k)
-            names = [f"_p{k + j}" for j in range(len(aggs))]
-            partial += [a.alias(n) for a, n in zip(aggs, names)]
-            finals.append(fin([F.col(n) for n in names]).alias(f"_m{i}"))
-            k += len(aggs)
-        shard = (F.spark_partition_id() % F.lit(int(shards))).alias("_shard")
-        level1 = df.groupBy(shard).agg(*partial)
-        wide = level1.agg(*finals)
-        parts.append(_long_from_wide(wide, block, []))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+def metric_frame(spark, specs: list[MetricSpec], values) -> DataFrame:
+    """Metric table (one partition) from values already at hand, one per spec."""
+    rows = [(s.entity, s.instance, s.name, float(v)) for s, v in zip(specs, values)
+            if v is not None]
+    return spark.createDataFrame(rows, METRIC_SCHEMA).coalesce(1)
 
 
 def label_counts(df: DataFrame, label_col: str = "label", extra=()) -> DataFrame:
@@ -249,15 +178,5 @@ def label_counts(df: DataFrame, label_col: str = "label", extra=()) -> DataFrame
                   F.count_if(lab == 0).alias("n_previous"), *extra)
 
 
-def class_counts(df: DataFrame, label_col: str = "label") -> DataFrame:
-    """Rows per class."""
-    return df.groupBy(qcol(label_col).alias(label_col)).agg(F.count(F.lit(1)).alias("n"))
-
-
-def max_value(df: DataFrame, c: str):
-    """The newest value of one column; the scan reads that column only."""
-    return df.select(qcol(c)).agg(F.max(qcol(c)).alias("m")).first()["m"]
-
-
-__all__ = ["profile", "profile_tree", "metric_specs", "run_specs", "label_counts", "class_counts", "max_value",
-           "MetricSpec", "qcol", "METRIC_SCHEMA"]
+__all__ = ["profile", "metric_specs", "run_specs", "metric_frame", "label_counts", "MetricSpec",
+           "qcol", "METRIC_SCHEMA"]

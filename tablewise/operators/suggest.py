@@ -24,7 +24,8 @@ E10 the suggestion record (7 text fields) plus ``rule``, ``min_fraction``, ``val
 E13 ``check_suggestions``: share of rows meeting each predicate on other data, one scan
 
 Everything after E1/E3 works on frames with one row per column (or per histogram
-value), so rule evaluation costs nothing next to the two scans.
+value), so rule evaluation costs nothing next to the two scans; ``profile_and_suggest`` shares
+the first of them with the metric profile.
 """
 
 from __future__ import annotations
@@ -37,7 +38,8 @@ from pyspark.sql.types import (BooleanType, DecimalType, DoubleType, FloatType,
                                NumericType, StringType, StructType)
 
 from tablewise.functions.mathx import floor_to
-from tablewise.operators.profile import qcol
+from tablewise.operators.profile import metric_frame, metric_specs, qcol
+from tablewise.session import written
 
 # Text patterns of the type inference.
 INTEGRAL_PATTERN = r"^[+-]?[0-9]+$"
@@ -71,27 +73,17 @@ def _kind(dtype) -> str:
     return "other"
 
 
-def column_profile(df: DataFrame, columns=None, rsd: float = 0.05,
-                   sketch_all: bool = False, chunk: int = 256) -> DataFrame:
-    """E1 + E2: one row per column, from one codegen'd aggregate over ``df`` plus one
-    aggregate of HLL sketches (a sketch in the first would switch all of it out of
-    whole-stage codegen).
-
-    Columns: column, kind, n, non_null, completeness, approx_distinct, minimum,
-    n_integral, n_fractional, n_boolean, inferred_type.  The rules only use the distinct
-    count of text columns (histogram choice), so only those are sketched unless
-    ``sketch_all``; other columns get a null ``approx_distinct``.  Wide tables are cut
-    into aggregates of at most ``chunk`` expressions, each reading only its columns.
-    """
-    fields = [f for f in df.schema.fields if columns is None or f.name in set(columns)]
+def profile_aggregates(df: DataFrame, columns=None, rsd: float = 0.05,
+                       sketch_all: bool = False) -> list[Column]:
+    """E1 + E2 as aggregate expressions over ``df``.  The rules only use the distinct count of
+    text columns (histogram choice), so only those are sketched unless ``sketch_all``."""
     aggs = [F.count(F.lit(1)).alias("_n")]
-    sketches = [F.approx_count_distinct(qcol(f.name), rsd).alias(f"ad{i}")
-                for i, f in enumerate(fields)
-                if sketch_all or _kind(f.dataType) == "string"]
-    for i, f in enumerate(fields):
+    for i, f in enumerate(_profiled(df, columns)):
         c = qcol(f.name)
         kind = _kind(f.dataType)
         aggs += [F.count(c).alias(f"nn{i}")]
+        if sketch_all or kind == "string":
+            aggs.append(F.approx_count_distinct(c, rsd).alias(f"ad{i}"))
         if kind in ("integral", "fractional"):
             aggs.append(F.min(c.cast("double")).alias(f"mn{i}"))
         elif kind == "string":
@@ -104,15 +96,39 @@ def column_profile(df: DataFrame, columns=None, rsd: float = 0.05,
             aggs += [F.min(numeric).alias(f"mn{i}"),
                      F.count_if(is_int).alias(f"ci{i}"), F.count_if(is_frac).alias(f"cf{i}"),
                      F.count_if(is_bool).alias(f"cb{i}")]
-    # one-row aggregates (bounded by the column count) merged on the driver, then
-    # handed back as a one-partition local frame
-    fields_all, values = [], ()
-    for group in (aggs, sketches):
-        for start in range(0, len(group), chunk):
-            part = df.agg(*group[start:start + chunk])
-            fields_all += list(part.schema.fields)
-            values += tuple(part.first())
-    wide = df.sparkSession.createDataFrame([values], StructType(fields_all)).coalesce(1)
+    return aggs
+
+
+def _profiled(df: DataFrame, columns=None) -> list:
+    return [f for f in df.schema.fields if columns is None or f.name in set(columns)]
+
+
+def one_row(df: DataFrame, aggs: list[Column], chunk: int = 256):
+    """``(schema, values)`` of global aggregates, in one scan (very wide tables: one per ``chunk``
+    expressions, each reading only its columns).  One row, bounded by the column count."""
+    fields, values = [], ()
+    for start in range(0, len(aggs), chunk):
+        part = df.agg(*aggs[start:start + chunk])
+        fields += list(part.schema.fields)
+        values += tuple(part.first())
+    return StructType(fields), values
+
+
+def column_profile(df: DataFrame, columns=None, rsd: float = 0.05,
+                   sketch_all: bool = False, chunk: int = 256) -> DataFrame:
+    """E1 + E2: one row per column, from one aggregate over ``df``.
+
+    Columns: column, kind, n, non_null, completeness, approx_distinct, minimum,
+    n_integral, n_fractional, n_boolean, inferred_type.
+    """
+    schema, values = one_row(df, profile_aggregates(df, columns, rsd, sketch_all), chunk)
+    return profile_frame(df, schema, values, columns)
+
+
+def profile_frame(df: DataFrame, schema: StructType, values, columns=None) -> DataFrame:
+    """The column profile from the values of :func:`profile_aggregates`."""
+    fields = _profiled(df, columns)
+    wide = df.sparkSession.createDataFrame([tuple(values)], schema).coalesce(1)
 
     def num_or_null(name, typ):
         return F.col(name).cast(typ) if name in wide.columns else F.lit(None).cast(typ)
@@ -159,12 +175,18 @@ def _dec(x: Column, scale: int) -> Column:
     return F.round(x, scale).cast(f"decimal(38,{scale})").cast("string")
 
 
+def _quoted(v: Column, mark: str) -> Column:
+    """A text literal: backslashes first, then the quotation mark."""
+    v = F.replace(F.replace(v, F.lit("\\"), F.lit("\\\\")), F.lit(mark), F.lit("\\" + mark))
+    return F.concat(F.lit(mark), v, F.lit(mark))
+
+
 def _quote_sql(v: Column) -> Column:
-    return F.concat(F.lit("'"), F.replace(v, F.lit("'"), F.lit("\\'")), F.lit("'"))
+    return _quoted(v, "'")
 
 
 def _quote_code(v: Column) -> Column:
-    return F.concat(F.lit('"'), F.replace(v, F.lit('"'), F.lit('\\"')), F.lit('"'))
+    return _quoted(v, '"')
 
 
 def _record(column: Column, rule: str, constraint: str, current: Column, description: Column,
@@ -318,26 +340,41 @@ def rules_from_profile(prof: DataFrame, hist: DataFrame, th: Thresholds = Thresh
 
 def suggest(df: DataFrame, columns=None, th: Thresholds = Thresholds(),
             rsd: float = 0.05) -> DataFrame:
-    """Suggestion rows for ``df``; two scans (profile, then histograms).
+    """Suggestion rows for ``df``; two scans (profile, then histograms)."""
+    return suggest_from_profile(df, column_profile(df, columns, rsd), th)
+
+
+def suggest_from_profile(df: DataFrame, prof_df: DataFrame,
+                         th: Thresholds = Thresholds()) -> DataFrame:
+    """Suggestions from a column profile at hand; one scan for the histograms.
 
     The profile has one row per column, so it is brought to the driver (bounded by the
     schema, not the data) and the histogram columns are chosen from it.
     """
     spark = df.sparkSession
-    prof_df = column_profile(df, columns, rsd)
     rows = prof_df.collect()
     # one row per column: a single partition avoids a task per empty slice
     prof = spark.createDataFrame(rows, prof_df.schema).coalesce(1)
     low = [r["column"] for r in rows
            if r["kind"] == "string" and r["approx_distinct"] <= th.max_histogram_values]
-    hist_df = histograms(df, low)
-    # at most about max_histogram_values rows per chosen column (the HLL estimate is
-    # within a few percent): bounded, so it is brought over once instead of being
-    # recomputed by each rule that reads it
-    hist = spark.createDataFrame(hist_df.collect(), hist_df.schema).coalesce(1)
+    # about max_histogram_values rows per chosen column; written, as values may be long texts
+    hist = written(histograms(df, low), "histograms") if low else histograms(df, low)
     return rules_from_profile(prof, hist, th)
 
 
+def profile_and_suggest(df: DataFrame, th: Thresholds = Thresholds(), rsd: float = 0.05,
+                        chunk: int = 256) -> tuple[DataFrame, DataFrame]:
+    """``(metric rows, suggestions)`` of a table in two scans: one aggregate gives the metrics
+    (D10) and the column profile (E1), one the histograms (E3)."""
+    specs = metric_specs(df.schema, None, True, rsd)
+    own = profile_aggregates(df, None, rsd)
+    aggs = [s.expr.alias(f"_m{i}") for i, s in enumerate(specs)]
+    schema, values = one_row(df, aggs + own, chunk)
+    metrics = metric_frame(df.sparkSession, specs, values[:len(specs)])
+    prof = profile_frame(df, StructType(schema.fields[len(specs):]), values[len(specs):])
+    return metrics, suggest_from_profile(df, prof, th)
+
+
 def flat(suggestions: DataFrame) -> DataFrame:
     """The reference's seven text fields."""
     return suggestions.select(*SUGGESTION_FIELDS)
@@ -368,7 +405,9 @@ def check_suggestions(df: DataFrame, suggestions, chunk: int = 256) -> DataFrame
     out = None
     for start in range(0, len(rows), chunk):
         part = rows[start:start + chunk]
-        aggs = [F.avg(F.expr(r["sql_predicate"]).cast("double")).alias(f"p{i}")
+        # a predicate that cannot be decided (a number test on other text) is not met
+        aggs = [F.avg(F.coalesce(F.expr(r["sql_predicate"]), F.lit(False)).cast("double"))
+                .alias(f"p{i}")
                 for i, r in enumerate(part)]
         wide = df.agg(*aggs)
         structs = [F.struct(F.lit(r["column_name"]).alias("column_name"),
@@ -383,6 +422,6 @@ def check_suggestions(df: DataFrame, suggestions, chunk: int = 256) -> DataFrame
                                                F.lit(True)))
 
 
-__all__ = ["column_profile", "histograms", "rules_from_profile", "suggest", "flat", "grouped",
+__all__ = ["column_profile", "profile_and_suggest", "histograms", "rules_from_profile", "suggest", "flat", "grouped",
            "check_suggestions", "Thresholds", "SUGGESTION_FIELDS", "INTEGRAL_PATTERN",
            "FRACTIONAL_PATTERN"]

@@ -3,12 +3,13 @@
 J1 ``table_report``   whole table -> suggestions + profile
 J2 ``quality_report`` slice at a time -> suggestions + profile of the slice; the same slot
                       on ``n_days`` days -> sample -> drift classifier -> metric rows
-J3 ``drift_report``   newest slot + the same slot the day before -> sample -> profile of
-                      the sample -> drift classifier -> metric rows
+J3 ``drift_report``   newest slot + the same slot the day before -> profile of the slice;
+                      sample -> drift classifier (no accuracy) -> metric rows
 J4 ``RunConfig``      run parameters, from keyword arguments or the Spark conf
 
-Each report is a set of DataFrames; ``rows()`` gives one long frame
-``(section, table, type, column, metric, value)`` for a metrics sink.  Secrets (JDBC
+Each report is a set of small, materialised DataFrames; ``rows()`` gives one long frame
+``(timestamp, path, section, table, type, column, metric, value)`` for a metrics sink, so that
+rows of several runs can be told apart.  Secrets (JDBC
 credentials) are never defaults: the caller passes them in ``source_options``.
 """
 
@@ -25,7 +26,7 @@ from tablewise.operators.drift import DriftParams, drift_model
 from tablewise.operators.profile import label_counts, profile
 from tablewise.operators.sampling import sample_by_class
 from tablewise.operators.slices import latest_slice, slice_at, slice_days
-from tablewise.operators.suggest import suggest
+from tablewise.operators.suggest import profile_and_suggest
 
 CONF_PREFIX = "spark.tablewise."
 
@@ -36,7 +37,12 @@ CONF_ALIASES = {
     "run_ts": ("spark.ts.value",),
 }
 JDBC_CONF_ALIASES = {"url": "spark.jdbc.url", "user": "spark.jdbc.user",
-                     "password": "spark.jdbc.password"}
+                     "password": "spark.jdbc.password", "driver": "spark.jdbc.driver",
+                     "partition_column": "spark.jdbc.partitionColumn",
+                     "lower_bound": "spark.jdbc.lowerBound",
+                     "upper_bound": "spark.jdbc.upperBound",
+                     "num_partitions": "spark.jdbc.numPartitions",
+                     "fetchsize": "spark.jdbc.fetchsize"}
 
 
 @dataclass(frozen=True)
@@ -51,20 +57,22 @@ class RunConfig:
     sample_frac: float = 0.5
     seed: int = 42
     test_share: float = 0.2
-    max_iter: int = 20
+    max_iter: int = 500
+    patience: int = 20
     max_depth: int = 6
-    shap_rows: int = 5000
+    shap_rows: int | None = None     # None: every test row
     exclude: tuple = ()
     exclude_prefixes: tuple = ()
     run_ts: str | None = None        # time stamp on metric rows (M12); None = now
     path: str | None = None          # source path (written on metric rows too)
     source_format: str = "parquet"   # any Spark format; "jdbc" reads ``table`` via options
-    source_options: dict = field(default_factory=dict, hash=False, compare=False)
+    # may hold credentials, so it is left out of the printed form
+    source_options: dict = field(default_factory=dict, hash=False, compare=False, repr=False)
 
     @classmethod
     def from_conf(cls, spark: SparkSession, **overrides) -> "RunConfig":
         """``spark.tablewise.<field>`` keys, else the aliases in ``CONF_ALIASES``; JDBC
-        url / user / password from their alias keys make the source a JDBC table."""
+        connection, driver and split from their alias keys make the source a JDBC table."""
         vals = {}
         for f in fields(cls):
             if f.name == "source_options":
@@ -78,7 +86,7 @@ class RunConfig:
             default = f.default
             if isinstance(default, bool):
                 vals[f.name] = raw.lower() == "true"
-            elif isinstance(default, int):
+            elif isinstance(default, int) or f.name == "shap_rows":
                 vals[f.name] = int(raw)
             elif isinstance(default, float):
                 vals[f.name] = float(raw)
@@ -106,17 +114,25 @@ class RunConfig:
         return read_path(spark, self.path, self.source_format, **self.source_options)
 
     def drift_params(self) -> DriftParams:
-        return DriftParams(max_iter=self.max_iter, max_depth=self.max_depth, seed=self.seed,
+        return DriftParams(max_iter=self.max_iter, patience=self.patience,
+                           max_depth=self.max_depth, seed=self.seed,
                            test_share=self.test_share, shap_rows=self.shap_rows)
 
+    def stamp(self) -> dict:
+        """Run time (now, if none is set) and source path of a report."""
+        return {"ts": self.run_ts or dt.datetime.now().strftime("%Y-%m-%d %H:%M:%S"),
+                "path": self.path or self.table}
+
 
 @dataclass
 class Report:
     table: str
     frames: dict
+    ts: str | None = None
+    path: str | None = None
 
     def rows(self) -> DataFrame:
-        """One long frame: section, table, type, column, metric, value."""
+        """One long frame: timestamp, path, section, table, type, column, metric, value."""
         out = None
         for section, df in self.frames.items():
             cols = set(df.columns)
@@ -135,12 +151,16 @@ class Report:
             else:
                 continue
             out = part if out is None else out.unionByName(part)
-        return out
+        return out.select(F.lit(self.ts).cast("timestamp").alias("timestamp"),
+                          F.lit(self.path).cast("string").alias("path"), "*")
 
 
-def table_report(df: DataFrame, table: str) -> Report:
-    """Suggestions and profile of a whole table."""
-    return Report(table, {"suggestions": suggest(df), "profile": profile(df)})
+def table_report(df: DataFrame, table: str, ts: str | None = None,
+                 path: str | None = None) -> Report:
+    """Suggestions and profile of a whole table, which is read twice."""
+    metrics, suggestions = profile_and_suggest(df)
+    return Report(table, {"suggestions": _materialise(suggestions), "profile": metrics}, ts,
+                  path or table)
 
 
 def _label_counts_rows(sl: DataFrame, table: str) -> DataFrame:
@@ -157,39 +177,45 @@ def quality_report(df: DataFrame, cfg: RunConfig, with_shap: bool = True) -> Rep
     if at is None:
         from tablewise.operators.slices import newest_slot
         at = newest_slot(df, cfg.ts_col)
-    current = slice_at(df, cfg.ts_col, at, cfg.grain)
-    frames = {"suggestions": suggest(current), "profile": profile(current)}
-    days = slice_days(df, cfg.ts_col, at, cfg.grain, cfg.n_days)
-    sampled = sample_by_class(days, "label", cfg.sample_frac, cfg.seed, method="hash",
-                              key=cfg.key).persist(StorageLevel.MEMORY_AND_DISK)
+    current = slice_at(df, cfg.ts_col, at, cfg.grain).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        frames["counts"] = _materialise(_label_counts_rows(days, cfg.table))
-        res = drift_model(sampled, cfg.key, cfg.table, exclude=(cfg.ts_col,) + tuple(cfg.exclude),
-                          exclude_prefixes=cfg.exclude_prefixes, params=cfg.drift_params(),
-                          with_shap=with_shap)
-        frames["drift"] = res.metrics
+        metrics, suggestions = profile_and_suggest(current)
+        frames = {"suggestions": _materialise(suggestions), "profile": metrics}
     finally:
-        sampled.unpersist()
-    return Report(cfg.table, frames)
+        current.unpersist()
+    days = slice_days(df, cfg.ts_col, at, cfg.grain, cfg.n_days)
+    return _with_drift(days, cfg, frames, cfg.drift_params(), with_shap)
 
 
-def drift_report(df: DataFrame, cfg: RunConfig, with_shap: bool = True,
-                 n_days: int = 2) -> Report:
-    """Newest slot against the same slot of the previous day(s)."""
+def drift_report(df: DataFrame, cfg: RunConfig, with_shap: bool = True, n_days: int = 2,
+                 profile_sample: bool = False) -> Report:
+    """Newest slot against the same slot of the previous day(s).  The profile reads the
+    whole slice; ``profile_sample`` profiles the sample instead."""
     sl = latest_slice(df, cfg.ts_col, cfg.grain, n_days=n_days)
-    sampled = sample_by_class(sl, "label", cfg.sample_frac, cfg.seed, method="hash",
-                              key=cfg.key).persist(StorageLevel.MEMORY_AND_DISK)
+    params = replace(cfg.drift_params(), with_accuracy=False)
+    return _with_drift(sl, cfg, {}, params, with_shap, "sample" if profile_sample else "slice")
+
+
+def _with_drift(labelled: DataFrame, cfg: RunConfig, frames: dict, params: DriftParams,
+                with_shap: bool, profiled: str | None = None) -> Report:
+    """Counts, profile (of the ``slice`` or the ``sample``) and drift metrics of a labelled
+    slice, which is read once and kept while they are computed."""
+    stamp = cfg.stamp()
+    labelled = labelled.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        ts = cfg.run_ts or dt.datetime.now().strftime("%Y-%m-%d %H:%M:%S")
-        frames = {"profile": _materialise(profile(sampled.drop("label"))),
-                  "counts": _materialise(_label_counts_rows(sl, cfg.table))}
-        res = drift_model(sampled, cfg.key, cfg.table, exclude=(cfg.ts_col,) + tuple(cfg.exclude),
-                          exclude_prefixes=cfg.exclude_prefixes, params=cfg.drift_params(),
-                          ts=ts, path=cfg.path or cfg.table, with_shap=with_shap)
-        frames["drift"] = res.metrics
+        sampled = sample_by_class(labelled, "label", cfg.sample_frac, cfg.seed, method="hash",
+                                  key=cfg.key)
+        if profiled:
+            part = sampled if profiled == "sample" else labelled
+            frames["profile"] = _materialise(profile(part.drop("label")))
+        frames["counts"] = _materialise(_label_counts_rows(labelled, cfg.table))
+        frames["drift"] = drift_model(
+            sampled, cfg.key, cfg.table, exclude=(cfg.ts_col,) + tuple(cfg.exclude),
+            exclude_prefixes=cfg.exclude_prefixes, params=params, ts=stamp["ts"],
+            path=stamp["path"], with_shap=with_shap).metrics
     finally:
-        sampled.unpersist()
-    return Report(cfg.table, frames)
+        labelled.unpersist()
+    return Report(cfg.table, frames, **stamp)
 
 
 def _materialise(df: DataFrame) -> DataFrame:

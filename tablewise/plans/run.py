@@ -27,7 +27,7 @@ from tablewise.session import get_spark
 from tablewise.sources.sinks import (append_metrics, exposition_lines, suggestions_by_column,
                                      suggestions_document, write_json_lines, write_lines)
 
-JOBS = {"table": lambda df, cfg: table_report(df, cfg.table),
+JOBS = {"table": lambda df, cfg: table_report(df, cfg.table, **cfg.stamp()),
         "quality": quality_report,
         "drift": drift_report}
 
@@ -39,7 +39,7 @@ def run(spark, job: str | None = None, output: str | None = None):
     report = JOBS[job](cfg.load(spark), cfg)
     rows = report.rows()
     if not output:
-        rows.show(1000, truncate=False)
+        rows.show(rows.count(), truncate=False)
         return report
     out = output.rstrip("/")
     append_metrics(rows, f"{out}/metrics")
@@ -48,7 +48,8 @@ def run(spark, job: str | None = None, output: str | None = None):
         write_json_lines(suggestions_document(sugg, cfg.table), f"{out}/suggestions_flat/{cfg.table}")
         write_json_lines(suggestions_by_column(sugg), f"{out}/suggestions_by_column/{cfg.table}")
     lines = exposition_lines(rows.filter(F.col("section") != "suggestions"), "tablewise_report",
-                             [("table", F.col("table")), ("section", F.col("section")),
+                             [("timestamp", F.col("timestamp")), ("path", F.col("path")),
+                              ("table", F.col("table")), ("section", F.col("section")),
                               ("type", F.col("type")), ("column", F.col("column")),
                               ("metric", F.col("metric"))])
     write_lines(lines, f"{out}/exposition/{cfg.table}")
