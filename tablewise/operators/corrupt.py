@@ -17,7 +17,8 @@ Per chosen column, independently:
 
 from __future__ import annotations
 
-import numpy as np
+import hashlib
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType, NumericType, StringType
@@ -42,16 +43,16 @@ SCHEMES = {
 
 
 def choose_columns(df: DataFrame, k: int, exclude=(), seed: int = 42) -> list[str]:
-    """``k`` columns drawn without replacement (schema only, no data read)."""
+    """The ``k`` columns whose names rank first by hash (schema only, no data read)."""
     return choose_columns_from(df.columns, k, exclude, seed)
 
 
 def choose_columns_from(columns, k: int, exclude=(), seed: int = 42) -> list[str]:
     """X1 on a list of column names (same draw as :func:`choose_columns`)."""
-    pool = [c for c in columns if c not in set(exclude)]
-    k = min(k, len(pool))
-    rng = np.random.default_rng(seed)
-    return [str(c) for c in rng.choice(pool, size=k, replace=False)] if k else []
+    def rank(name: str) -> str:
+        return hashlib.md5(f"{name}:{seed}".encode()).hexdigest()
+
+    return sorted((c for c in columns if c not in exclude), key=rank)[:k]
 
 
 def hit_expr(key, column: str, frac: float, salt) -> Column:

@@ -63,9 +63,8 @@ def slice_days(df: DataFrame, ts_col: str, at, grain: str = "minute", n_days: in
 
 
 def newest_slot(df: DataFrame, ts_col: str, lenient: bool = True):
-    """Newest time of the column as a wall-clock ``datetime``.  Reads one column
-    (A3); on parquet without a filter the max can come from footers (aggregate
-    pushdown).  The value is formatted by Spark (session zone for zoned timestamps), so
+    """Newest time of the column as a wall-clock ``datetime``.  Reads that
+    column only (A3).  The value is formatted by Spark (session zone for zoned timestamps), so
     the slot ranges built from it mean the same wall clock."""
     df, c, _ = _with_time(df.select(qcol(ts_col)), ts_col, lenient)
     text = df.agg(F.date_format(F.max(c), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("m")).first()["m"]
@@ -82,9 +81,4 @@ def latest_slice(df: DataFrame, ts_col: str, grain: str = "minute", n_days: int
     return slice_days(df, ts_col, newest, grain, n_days, label_col, lenient)
 
 
-def preview(df: DataFrame, n: int = 20) -> DataFrame:
-    """The first ``n`` rows (the reference's ``show(20)``)."""
-    return df.limit(n)
-
-
-__all__ = ["slice_at", "slice_days", "newest_slot", "latest_slice", "preview"]
+__all__ = ["slice_at", "slice_days", "newest_slot", "latest_slice"]

@@ -59,17 +59,22 @@ def escape_label(c: Column) -> Column:
     return F.replace(v, F.lit("\n"), F.lit("\\n"))
 
 
-def number_text(c: Column, decimals: int | None = 6) -> Column:
-    """Value text: fixed ``decimals`` places, or Spark's shortest double text (None)."""
+def number_text(c: Column, decimals: int | None = None) -> Column:
+    """Value text: the shortest text that reads back as the same double, ``NaN``, ``+Inf`` or
+    ``-Inf``; with ``decimals``, finite values below 1e18 have that many fixed places."""
     d = c.cast("double")
-    if decimals is None:
-        return d.cast("string")
-    return F.round(d, decimals).cast(f"decimal(38,{decimals})").cast("string")
+    text = d.cast("string")
+    if decimals is not None:
+        text = F.when(F.abs(d) < 1e18, F.round(d, decimals).cast(f"decimal(38,{decimals})")
+                      .cast("string")).otherwise(text)
+    return (F.when(F.isnan(d), F.lit("NaN")).when(d == float("inf"), F.lit("+Inf"))
+            .when(d == float("-inf"), F.lit("-Inf")).otherwise(text))
 
 
 def exposition_lines(df: DataFrame, metric: str, labels, value_col: str = "value",
-                     decimals: int | None = 6) -> DataFrame:
-    """``metric{l1="..",l2=".."} value`` per row with a numeric value.
+                     decimals: int | None = None) -> DataFrame:
+    """``metric{l1="..",l2=".."} value`` per row whose value is a number (NaN and the
+    infinities included).
 
     ``labels``: list of (label name, Column).
     """
@@ -82,7 +87,7 @@ def exposition_lines(df: DataFrame, metric: str, labels, value_col: str = "value
 
 
 def profile_exposition(profile_df: DataFrame, table: str, metric: str = PROFILE_METRIC,
-                       decimals: int | None = 6) -> DataFrame:
+                       decimals: int | None = None) -> DataFrame:
     """Labels (table, entity, instance, name)."""
     return exposition_lines(profile_df, metric,
                             [("table", F.lit(table)), ("entity", F.col("entity")),
@@ -91,7 +96,7 @@ def profile_exposition(profile_df: DataFrame, table: str, metric: str = PROFILE_
 
 
 def ml_exposition(ml_df: DataFrame, metric: str = ML_METRIC, with_path: bool = False,
-                  decimals: int | None = 6) -> DataFrame:
+                  decimals: int | None = None) -> DataFrame:
     """Labels ([path,] table, metric_type, column, metric)."""
     labels = ([("path", F.col("path"))] if with_path else []) + [
         ("table", F.col("table")), ("metric_type", F.col("type")),
