@@ -39,6 +39,9 @@ HEADLINE = [
     "drift_model_metrics",         # M1-M8 (GBT)
     "shap_mean_abs",               # M9-M10 (TreeSHAP in mapInPandas)
     "exposition_lines",            # A8
+    "table_report",                # J1
+    "quality_report",              # J2
+    "drift_report",                # J3
 ]
 
 

@@ -92,6 +92,8 @@ SUGGEST_KINDS = {
                  ("l_extendedprice", "fractional"), ("l_discount", "fractional"),
                  ("l_tax", "fractional"), ("l_returnflag", "string"), ("l_linestatus", "string"),
                  ("l_shipdate", "other")],
+    "events": [("event_id", "integral"), ("ts", "other"), ("user_id", "integral"),
+               ("event_type", "string"), ("value", "fractional"), ("props", "string")],
     "events_k": [("event_id", "integral"), ("k", "string"), ("event_type", "string")],
 }
 
@@ -139,8 +141,8 @@ def suggest_sql(src: str, kinds) -> str:
                 "WHEN n_bool > 0 THEN 'Boolean' WHEN n_frac > 0 THEN 'Fractional' "
                 "ELSE 'Integral' END")
     bq = "'`' || col || '`'"
-    q_sql = "'''' || replace(value, '''', '\\''') || ''''"
-    q_code = "'\"' || replace(value, '\"', '\\\"') || '\"'"
+    q_sql = r"'''' || replace(replace(value, '\', '\\'), '''', '\''') || ''''"
+    q_code = r"""'"' || replace(replace(value, '\', '\\'), '"', '\"') || '"'"""
     b5 = _floor2(f"p - 1.96 * sqrt(p * (1 - p) / n)")
     b8 = _floor2("cov - 1.96 * sqrt(cov * (1 - cov) / non_null)")
     num_pat = _NUM_RE.replace("\\", "\\\\")

@@ -10,15 +10,16 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tablewise.functions.hashing import row_key, unit_hash
+from tablewise.functions.hashing import portable_hash, row_key, unit_hash
 from tablewise.functions.timeslice import hour_bucket, lenient_timestamp
 from tablewise.operators import corrupt as X
-from tablewise.operators.profile import label_counts, profile
+from tablewise.operators.profile import label_counts, metric_specs, profile, run_specs
 from tablewise.operators.sampling import bounded_sample, sample_by_class, stratified_split
 from tablewise.operators.slices import latest_slice, slice_at, slice_days
+from tablewise.sources.readers import read_path
 from tablewise.plans.oracle_sql import (ROUND_VALUE_SQL, TABLE_COLUMNS, hash_sql,
                                         profile_sql, ts_text_sql, uhash_sql)
 
@@ -47,7 +48,8 @@ def register(name: str, sql: str | None = None):
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
+    """A2: a table of one scale factor."""
+    return read_path(spark, f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
 def rounded(df: DataFrame) -> DataFrame:
@@ -104,12 +106,14 @@ SELECT instance, exact, true AS within_10pct FROM ex
 def approx_distinct_lineitem(spark, sf_dir):
     """D3: the HLL++ estimate is within 10 % of the exact distinct count, per column."""
     li = load(spark, sf_dir, "lineitem")
-    approx = profile(li).filter(F.col("name") == "ApproxCountDistinct") \
-        .select("instance", F.col("value").alias("approx"))
-    exact = li.agg(*[F.count_distinct(F.col(c)).cast("double").alias(c) for c in li.columns])
-    exact_long = exact.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("instance"), F.col(c).alias("exact")) for c in li.columns])))
-    return (approx.join(exact_long, "instance")
+    sketches = [m for m in metric_specs(li.schema) if m.name == "ApproxCountDistinct"]
+    approx = run_specs(li, sketches).select("instance", F.col("value").alias("approx"))
+    # every distinct (column, value) once, then counted
+    exact = (li.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("instance"), F.col(c).cast("string").alias("v"))
+        for c in li.columns]))).where("v is not null").distinct()
+        .groupBy("instance").agg(F.count("*").cast("double").alias("exact")))
+    return (approx.join(exact, "instance")
             .select("instance", "exact",
                     (F.abs(F.col("approx") - F.col("exact")) <= 0.1 * F.col("exact"))
                     .alias("within_10pct")))
@@ -340,7 +344,7 @@ def hash_sample(spark, sf_dir):
 
 @register("stratified_split", f"""
 WITH h AS (SELECT doc_id, quality, {hash_sql('doc_id', f'split:{SEED}')} AS h FROM labels),
-r AS (SELECT *, row_number() OVER (PARTITION BY quality ORDER BY h, doc_id) AS rn,
+r AS (SELECT *, row_number() OVER (PARTITION BY quality ORDER BY h, CAST(doc_id AS VARCHAR)) AS rn,
              count(*) OVER (PARTITION BY quality) AS n FROM h)
 SELECT doc_id, quality, rn <= round(n * {TEST_SHARE}) AS is_test FROM r
 """)
@@ -363,13 +367,48 @@ def bounded_sample_q(spark, sf_dir):
     return bounded_sample(li, SHAP_ROWS, "k", SEED).select("l_orderkey", "l_linenumber")
 
 
+# a seventh of the rows has no key, the others share it in threes; rows of a key are equal
+_NULL_KEYS_SQL = ("(SELECT CASE WHEN event_id % 7 = 0 THEN NULL ELSE event_id // 3 END AS k, "
+                  "CAST(event_id % 2 AS INTEGER) AS label FROM events)")
+_KEY_TEXT_SQL = "coalesce(CAST(k AS VARCHAR), 'null||' || CAST(label AS VARCHAR))"
+
+
+def _null_keys(spark, sf_dir) -> DataFrame:
+    i = F.col("event_id")
+    return load(spark, sf_dir, "events").select(
+        F.when(i % 7 != 0, F.floor(i / 3)).alias("k"), (i % 2).cast("int").alias("label"))
+
+
+@register("split_null_keys", f"""
+WITH h AS (SELECT *, {_KEY_TEXT_SQL} AS t FROM {_NULL_KEYS_SQL} AS s),
+r AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY {hash_sql('t', f'split:{SEED}')}, t)
+             AS rn, count(*) OVER (PARTITION BY label) AS n FROM h)
+SELECT coalesce(k, -1) AS k, label, rn <= round(n * {TEST_SHARE}) AS is_test FROM r
+""")
+def split_null_keys(spark, sf_dir):
+    """F4 with null and repeated keys: no row is lost and the quotas are exact."""
+    out = stratified_split(_null_keys(spark, sf_dir), "label", "k", TEST_SHARE, SEED)
+    return out.select(F.coalesce("k", F.lit(-1)).alias("k"), "label", "is_test")
+
+
+@register("sample_null_keys", f"""
+SELECT coalesce(k, -1) AS k, label FROM (SELECT *, {_KEY_TEXT_SQL} AS t FROM {_NULL_KEYS_SQL} AS s)
+WHERE {uhash_sql('t', f'sample:{SEED}')} < {SAMPLE_FRAC}
+""")
+def sample_null_keys(spark, sf_dir):
+    """F1 with null keys: rows without a key are sampled by their content."""
+    out = sample_by_class(_null_keys(spark, sf_dir), "label", SAMPLE_FRAC, SEED, key="k")
+    return out.select(F.coalesce("k", F.lit(-1)).alias("k"), "label")
+
+
 __all__ = ["QUERIES", "ORACLES", "register", "load", "rounded", "ROUND_VALUE_SQL", "AT",
            "GRAIN", "N_DAYS", "corrupted_orders", "CORRUPT_ORDERS_SQL"]
 
 
 # ---------------------------------------------------------------- B12-B18: features
 
-from tablewise.operators.features import category_table, encode, plan_features  # noqa: E402
+from tablewise.operators.features import (FOLDS, category_table, encode, label_rates,  # noqa: E402
+                                          plan_features, with_rates)
 
 MAX_CATS = 62
 
@@ -412,6 +451,70 @@ def feature_table(spark, sf_dir):
     return encode(ev, plan, keep=["event_id"], vector_col=None)
 
 
+_FOLD_SQL = hash_sql("key", "fold") + f" % {FOLDS}"
+_RATE_COLS = ("props", "source")
+_RATE_SRC_SQL = f"""
+WITH s AS (SELECT 'e' || CAST(event_id AS VARCHAR) AS key, props, event_type AS source,
+                  CAST(ts >= {_ts_lit(AT)} AS INTEGER) AS label FROM events
+           UNION ALL
+           SELECT 'd' || CAST(doc_id AS VARCHAR), substr(text, 1, 4), source,
+                  CAST(n_chars > 2000 AS INTEGER) FROM documents),
+b AS (SELECT *, {_FOLD_SQL} AS fold, {uhash_sql('key', 'test')} < {TEST_SHARE} AS is_test FROM s)"""
+
+
+def _rate_sql(c: str) -> str:
+    own = f"CASE WHEN b.is_test THEN 0 ELSE coalesce({c}_f.{{0}}, 0) END"
+    return (f"round((coalesce({c}_t.n1, 0) - {own.format('n1')} + 5.0) / "
+            f"(coalesce({c}_t.n, 0) - {own.format('n')} + 10.0), 9) AS {c}")
+
+
+def _rate_joins(c: str) -> str:
+    agg = f"SELECT {c} AS v, {{0}}count(*) AS n, sum(label) AS n1 FROM b WHERE NOT is_test GROUP BY ALL"
+    return (f"LEFT JOIN ({agg.format('')}) AS {c}_t ON {c}_t.v IS NOT DISTINCT FROM b.{c} "
+            f"LEFT JOIN ({agg.format('fold, ')}) AS {c}_f "
+            f"ON {c}_f.v IS NOT DISTINCT FROM b.{c} AND {c}_f.fold = b.fold ")
+
+
+@register("feature_table_all_values", f"""{_RATE_SRC_SQL}
+SELECT key, {', '.join(_rate_sql(c) for c in _RATE_COLS)}
+FROM b {' '.join(_rate_joins(c) for c in _RATE_COLS)}
+""")
+def feature_table_all_values(spark, sf_dir):
+    """Every value of text columns with far more than 62 values, by smoothed label rate."""
+    ev, docs = load(spark, sf_dir, "events"), load(spark, sf_dir, "documents")
+    s = ev.select(F.concat(F.lit("e"), F.col("event_id").cast("string")).alias("key"), "props",
+                  F.col("event_type").alias("source"),
+                  (F.col("ts") >= F.lit(str(AT)).cast("timestamp_ntz")).cast("int").alias("label"))
+    s = s.unionByName(docs.select(
+        F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("key"),
+        F.substring("text", 1, 4).alias("props"), "source",
+        (F.col("n_chars") > 2000).cast("int").alias("label")))
+    train, fold = unit_hash("key", "test") >= TEST_SHARE, portable_hash("key", "fold") % FOLDS
+    out = with_rates(s, label_rates(s, _RATE_COLS, "label", fold, train), _RATE_COLS, fold, train,
+                     base=0.5)
+    return out.select("key", *[F.round(f"{c}__rate", 9).alias(c) for c in _RATE_COLS])
+
+
+@register("feature_options", _encoded_sql(
+    "(SELECT event_id, value, event_type, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts FROM events)",
+    "event_id", ["value"], ["event_type", "ts"]))
+def feature_options(spark, sf_dir):
+    """A column left out by name, one by prefix, times as text categories."""
+    ev = load(spark, sf_dir, "events")
+    plan = plan_features(ev, keep=["event_id"], exclude=["user_id"], exclude_prefixes=["pro"],
+                         time_as_category=True, max_categories=MAX_CATS)
+    return encode(ev, plan, keep=["event_id"], vector_col=None)
+
+
+@register("array_feature", """
+SELECT vec_id, CAST(len(embedding) AS DOUBLE) AS embedding FROM embeddings
+""")
+def array_feature(spark, sf_dir):
+    """An array column as its length."""
+    emb = load(spark, sf_dir, "embeddings")
+    return encode(emb, plan_features(emb, keep=["vec_id"]), keep=["vec_id"], vector_col=None)
+
+
 _EV_NULLED_SQL = ("(SELECT event_id, " + ", ".join(
     f"CASE WHEN {_hit_sql('event_id', c)} AND {uhash_sql('event_id', f'{SALT}:null:{c}')} < 0.5 "
     f"THEN NULL WHEN {_hit_sql('event_id', c)} THEN round({c} + {_gauss_sql('event_id', c)}, 2) "
@@ -449,7 +552,8 @@ from tablewise.operators.suggest import (SUGGESTION_FIELDS, check_suggestions,
                                          grouped, suggest)
 from tablewise.plans.oracle_sql import SUGGEST_KINDS, suggest_sql  # noqa: E402
 
-_FIELDS_SQL = ", ".join(SUGGESTION_FIELDS)
+_COMPARED = SUGGESTION_FIELDS + ["sql_predicate"]
+_FIELDS_SQL = ", ".join(_COMPARED)
 
 
 def _suggest_query(table_fn, rule=None, with_rule=False):
@@ -457,7 +561,7 @@ def _suggest_query(table_fn, rule=None, with_rule=False):
         s = suggest(table_fn(spark, sf_dir))
         if rule:
             s = s.filter(F.col("rule") == rule)
-        cols = SUGGESTION_FIELDS + (["rule"] if with_rule else [])
+        cols = _COMPARED + (["rule"] if with_rule else [])
         return s.select(*cols)
     return q
 
@@ -510,7 +614,7 @@ def suggest_non_negative(spark, sf_dir):
     parts = []
     for t in ("customer", "lineitem"):
         s = suggest(load(spark, sf_dir, t)).filter(F.col("rule") == "non_negative")
-        parts.append(s.select(F.lit(t).alias("table"), *SUGGESTION_FIELDS))
+        parts.append(s.select(F.lit(t).alias("table"), *_COMPARED))
     return parts[0].unionByName(parts[1])
 
 
@@ -570,6 +674,45 @@ def check_suggestions_q(spark, sf_dir):
                       (F.round("pass_fraction", 4) + F.lit(0.0)).alias("pass_fraction"), "passed")
 
 
+_TEXTS = ("a\\b", "it's", 'x"y', "tail\\")        # values with marks that predicates must escape
+_TEXT_SQL = ("CASE o_orderkey % 4 " + " ".join(
+    f"WHEN {i} THEN '{v}'".replace("'s'", "''s'") for i, v in enumerate(_TEXTS)) + " END")
+_TEXT_BAD_SQL = f"""(SELECT o_orderkey,
+  CASE WHEN {uhash_sql('o_orderkey', 'text')} < 0.25 THEN {_TEXT_SQL} || '\\' ELSE {_TEXT_SQL} END AS t,
+  CASE WHEN {uhash_sql('o_orderkey', 'num')} < 0.1 THEN 'n/a'
+       WHEN {uhash_sql('o_orderkey', 'num')} < 0.2 THEN '-' || CAST(o_custkey AS VARCHAR)
+       WHEN {uhash_sql('o_orderkey', 'num')} < 0.3 THEN NULL
+       ELSE CAST(o_custkey AS VARCHAR) END AS num FROM orders)"""
+
+
+@register("check_suggestions_text", f"""
+SELECT c AS column_name, rule, round(share, 6) AS pass_fraction, share >= 1.0 AS passed FROM (
+  SELECT 'o_orderkey' AS c, 'complete' AS rule, avg(CAST(o_orderkey IS NOT NULL AS DOUBLE)) AS share
+  FROM {_TEXT_BAD_SQL} AS a UNION ALL
+  SELECT 'o_orderkey', 'non_negative', avg(CAST(o_orderkey >= 0 AS DOUBLE)) FROM {_TEXT_BAD_SQL} AS b
+  UNION ALL SELECT 't', 'complete', avg(CAST(t IS NOT NULL AS DOUBLE)) FROM {_TEXT_BAD_SQL} AS c
+  UNION ALL SELECT 't', 'categorical', avg(CAST(t IN (SELECT {_TEXT_SQL} FROM orders) AS DOUBLE))
+  FROM {_TEXT_BAD_SQL} AS d
+  UNION ALL SELECT 'num', 'complete', avg(CAST(num IS NOT NULL AS DOUBLE)) FROM {_TEXT_BAD_SQL} AS e
+  UNION ALL SELECT 'num', 'type', avg(CAST(num IS NULL OR regexp_full_match(num, '[+-]?[0-9]+')
+                                           AS DOUBLE)) FROM {_TEXT_BAD_SQL} AS f
+  UNION ALL SELECT 'num', 'non_negative', avg(CAST(num IS NULL OR
+      coalesce(TRY_CAST(num AS DOUBLE) >= 0, false) AS DOUBLE)) FROM {_TEXT_BAD_SQL} AS g) AS r
+""")
+def check_suggestions_text(spark, sf_dir):
+    """E7, E9, E13 on values with quotes and backslashes and on text that is no number."""
+    o = load(spark, sf_dir, "orders")
+    t = F.element_at(F.array(*[F.lit(v) for v in _TEXTS]), (F.col("o_orderkey") % 4).cast("int") + 1)
+    num = F.col("o_custkey").cast("string")
+    u, v = unit_hash("o_orderkey", "text"), unit_hash("o_orderkey", "num")
+    bad = o.select("o_orderkey", F.when(u < 0.25, F.concat(t, F.lit("\\"))).otherwise(t).alias("t"),
+                   F.when(v < 0.1, F.lit("n/a")).when(v < 0.2, F.concat(F.lit("-"), num))
+                   .when(v >= 0.3, num).alias("num"))
+    rules = suggest(o.select("o_orderkey", t.alias("t"), num.alias("num")))
+    return check_suggestions(bad, rules).select(
+        "column_name", "rule", F.round("pass_fraction", 6).alias("pass_fraction"), "passed")
+
+
 # ---------------------------------------------------------------- M4-M8, M11: metrics
 
 from tablewise.operators.metrics import confusion, metric_rows, rates, roc_auc  # noqa: E402
@@ -616,13 +759,15 @@ def roc_auc_q(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- M1-M3, M9-M12, J1-J3
-# No SQL equivalent (a trained model): row checks here, identities in tests.
+# A trained model has no SQL equivalent: its numbers are compared with bounds, recomputed
+# from the scored rows, or checked row by row; everything around it is compared as it is.
 
 from tablewise.operators.drift import DriftParams, drift_model  # noqa: E402
 from tablewise.plans.jobs import RunConfig, drift_report, quality_report, table_report  # noqa: E402
 
 DRIFT_DAY = dt.datetime(2024, 1, 30)
-DRIFT_PARAMS = DriftParams(max_iter=10, max_depth=4)
+DRIFT_PARAMS = DriftParams(max_depth=4)
+RUN_TS = "2024-01-31 00:00:00"
 
 
 def _drifted_events(spark, sf_dir):
@@ -638,57 +783,157 @@ def _drifted_events(spark, sf_dir):
 def _drift_result(spark, sf_dir, with_shap):
     s = _drifted_events(spark, sf_dir).cache()
     try:
-        # the metric rows come back materialised, so the sample can be released
+        # the results come back written, so the sample can be released
         return drift_model(s, "event_id", "events", exclude=["ts"], params=DRIFT_PARAMS,
-                           with_shap=with_shap)
+                           with_shap=with_shap, keep_rows=True)
     finally:
         s.unpersist()
 
 
-@register("drift_model_metrics")
-def drift_model_metrics(spark, sf_dir):
-    """AUC, accuracy, precision, recall, F1 of the day-vs-day classifier."""
-    return _drift_result(spark, sf_dir, with_shap=False).metrics
+def _day_sql(n_days: int, from_day: str = "TIMESTAMP '2024-01-30'") -> str:
+    days = " OR ".join(f"(ts >= {from_day} - to_days({i}) AND ts < {from_day} + to_days({1 - i}))"
+                       for i in range(n_days))
+    return (f"(SELECT *, CASE WHEN ts >= {from_day} THEN 1 ELSE 0 END AS label FROM events "
+            f"WHERE {days})")
+
 
+_TEST_KEYS_SQL = f"""
+SELECT event_id FROM (
+  SELECT event_id, row_number() OVER (PARTITION BY label ORDER BY
+           {hash_sql('event_id', f'split:{SEED}')}, CAST(event_id AS VARCHAR)) AS rn,
+         count(*) OVER (PARTITION BY label) AS n
+  FROM {_day_sql(3)} AS s WHERE {uhash_sql('event_id', f'sample:{SEED}')} < {SAMPLE_FRAC}) AS r
+WHERE rn <= round(n * {TEST_SHARE})"""
 
-@register("shap_mean_abs")
+
+@register("drift_model_metrics", """
+SELECT metric, true AS as_recomputed, true AS in_bounds
+FROM (VALUES ('roc_auc'), ('accuracy'), ('precision'), ('recall'), ('f1_score')) AS v(metric)
+""")
+def drift_model_metrics(spark, sf_dir):
+    """The metric rows equal those recomputed from the scored test rows by plain
+    aggregates, and the injected drift is found."""
+    res = _drift_result(spark, sf_dir, with_shap=False)
+    p, y = F.col("prediction") == 1, F.col("label") == 1
+    c = res.scored.select(
+        F.count_if(p & y).alias("tp"), F.count_if(p & ~y).alias("fp"), F.count_if(~p & y).alias("fn"),
+        F.count_if(p == y).alias("ok"), F.count("*").alias("n"), F.count_if(y).alias("pos"))
+    c = c.first()
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    auc = BinaryClassificationEvaluator(rawPredictionCol="score", labelCol="label",
+                                        numBins=0).evaluate(res.scored)
+    numbers = {"roc_auc": auc, "accuracy": c.ok / c.n, "precision": c.tp / (c.tp + c.fp),
+               "recall": c.tp / (c.tp + c.fn), "f1_score": 2 * c.tp / (2 * c.tp + c.fp + c.fn)}
+    again = spark.createDataFrame(list(numbers.items()), "metric string, again double")
+    return res.metrics.join(again, "metric").select(
+        "metric", (F.abs(F.col("value") - F.col("again")) < 1e-9).alias("as_recomputed"),
+        F.col("value").between(F.when(F.col("metric") == "roc_auc", 0.6).otherwise(0.0), 1.0)
+        .alias("in_bounds"))
+
+
+@register("shap_mean_abs", f"""
+SELECT event_id, true AS additive, true AS injected_lead FROM ({_TEST_KEYS_SQL}) AS t
+""")
 def shap_mean_abs_q(spark, sf_dir):
-    """Mean |SHAP| per source column (corrupted columns come first)."""
-    m = _drift_result(spark, sf_dir, with_shap=True).metrics
-    return m.filter(F.col("type") == "SHAP")
+    """Every test row is explained, its SHAP values add up to the model's log-odds, and
+    the corrupted columns have the largest mean |SHAP|."""
+    res = _drift_result(spark, sf_dir, with_shap=True)
+    mean = {r["column"]: r["value"] for r in res.metrics.where("type = 'SHAP'").collect()}
+    lead = min(mean["value"], mean["event_type"]) > max(
+        v for c, v in mean.items() if c not in ("value", "event_type"))
+    rows = res.shap.join(res.scored.select("event_id", "margin"), "event_id")
+    total = F.aggregate("shap", F.col("expected_value"), lambda a, x: a + x)
+    return rows.select("event_id", (F.abs(total - 2 * F.col("margin")) < 1e-6).alias("additive"),
+                       F.lit(lead).alias("injected_lead"))
 
 
 def _events_cfg(**kw):
     base = dict(table="events", ts_col="ts", key="event_id", grain="day", n_days=3,
-                sample_frac=SAMPLE_FRAC, seed=SEED, max_iter=10, max_depth=4,
-                run_ts="2024-01-31 00:00:00", path="events")
+                sample_frac=SAMPLE_FRAC, seed=SEED, max_depth=4, run_ts=RUN_TS, path="events")
     base.update(kw)
     return RunConfig(**base)
 
 
-@register("drift_report")
+def _report_rows(rows: DataFrame, df: DataFrame, auc=(0.0, 1.0)) -> DataFrame:
+    """Report rows for the comparison: distinct counts as 1 if within 10 % of the exact ones (or
+    off by at most one), drift metrics as 1 if within bounds, SHAP rows left to their own query."""
+    exact = (df.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("v"))
+        for c in df.columns]))).where("v is not null").distinct()
+        .groupBy("column").agg(F.count("*").alias("exact")))
+    rows = rows.where("type <> 'SHAP'").join(exact, "column", "left")
+    v = F.col("value")
+    close = F.abs(v - F.col("exact")) <= F.greatest(F.lit(1.0), 0.1 * F.col("exact"))
+    bounded = F.when(F.col("metric") == "roc_auc", v.between(*auc)).otherwise(v.between(0.0, 1.0))
+    value = (F.when(F.col("metric") == "ApproxCountDistinct", close.cast("double"))
+             .when(F.col("section") == "drift", bounded.cast("double"))
+             .when(F.col("metric") == "Sum", F.round(v, 2)).otherwise(F.round(v, 4)))
+    return rows.select(ts_text("timestamp").alias("timestamp"), "path", "section", "table", "type",
+                       F.coalesce("column", F.lit("")).alias("column"), "metric",
+                       (value + F.lit(0.0)).alias("value"))
+
+
+def _report_sql(table: str, src: str, path: str, ts: str, profile_cols, kinds=None, counts=None,
+                metrics=()) -> str:
+    """The rows of a report: profile, suggestions (``kinds``), counts (of ``counts``), and one row
+    of 1.0 for each of the drift ``metrics``."""
+    cols = ", ".join(f"('{c}')" for c, _ in profile_cols)
+    parts = [f"SELECT 'profile' AS section, entity AS type, instance AS \"column\", name AS metric, value "
+             f"FROM ({profile_sql(src, profile_cols)}) AS p",
+             f"SELECT 'profile', 'Column', c, 'ApproxCountDistinct', 1.0 FROM (VALUES {cols}) AS v(c)"]
+    if kinds:
+        parts.append(f"SELECT 'suggestions', rule, column_name, code_for_constraint, "
+                     f"round(min_fraction, 4) FROM ({suggest_sql(src, kinds)}) AS s")
+    if counts:
+        for name, cond in (("n_total", "true"), ("n_current", "label = 1"), ("n_previous", "label = 0")):
+            parts.append(f"SELECT 'counts', 'Count', '', '{name}', "
+                         f"CAST(count_if({cond}) AS DOUBLE) FROM {counts} AS c")
+    parts += [f"SELECT 'drift', 'MLMetric', '', '{m}', 1.0" for m in metrics]
+    body = " UNION ALL ".join(parts)
+    return (f"SELECT '{ts}.000000' AS timestamp, '{path}' AS path, section, '{table}' AS \"table\", "
+            f"type, \"column\", metric, value FROM ({body}) AS r")
+
+
+_MODEL_METRICS = ("roc_auc", "precision", "recall", "f1_score")
+_LAST_DAY_SQL = "(SELECT date_trunc('day', max(ts)) FROM events)"
+
+
+@register("drift_report", _report_sql(
+    "events", f"(SELECT * EXCLUDE (label) FROM {_day_sql(2, _LAST_DAY_SQL)})", "events", RUN_TS,
+    TABLE_COLUMNS["events"], counts=_day_sql(2, _LAST_DAY_SQL), metrics=_MODEL_METRICS))
 def drift_report_q(spark, sf_dir):
-    """Newest day against the day before, on the clean table."""
-    return drift_report(load(spark, sf_dir, "events"), _events_cfg()).rows()
+    """Newest day against the day before, on the clean table (AUC near one half)."""
+    ev = load(spark, sf_dir, "events")
+    sl = latest_slice(ev, "ts", "day", n_days=2).drop("label")
+    return _report_rows(drift_report(ev, _events_cfg()).rows(), sl, (0.25, 0.75))
 
 
-@register("quality_report")
+@register("quality_report", _report_sql(
+    "events", "(SELECT * FROM events WHERE ts >= TIMESTAMP '2024-01-30' AND ts < TIMESTAMP '2024-01-31')",
+    "events", RUN_TS, TABLE_COLUMNS["events"], kinds=SUGGEST_KINDS["events"], counts=_day_sql(3),
+    metrics=_MODEL_METRICS + ("accuracy",)))
 def quality_report_q(spark, sf_dir):
     """Suggestions + profile of one day, then the three-day drift model."""
-    return quality_report(load(spark, sf_dir, "events"), _events_cfg(at="2024-01-30")).rows()
+    ev = load(spark, sf_dir, "events")
+    rows = quality_report(ev, _events_cfg(at="2024-01-30")).rows()
+    return _report_rows(rows, slice_at(ev, "ts", DRIFT_DAY, "day"), (0.25, 0.75))
 
 
-@register("table_report")
+@register("table_report", _report_sql("orders", "orders", "orders", RUN_TS, TABLE_COLUMNS["orders"],
+                                      kinds=SUGGEST_KINDS["orders"]))
 def table_report_q(spark, sf_dir):
     """Suggestions + profile of a whole table."""
-    return table_report(load(spark, sf_dir, "orders"), "orders").rows()
+    o = load(spark, sf_dir, "orders")
+    return _report_rows(table_report(o, "orders", RUN_TS).rows(), o)
 
 
 # ---------------------------------------------------------------- A: sources and sinks
 
 from tablewise.session import shared_dir  # noqa: E402
 from tablewise.sources.readers import read_csv, write_csv  # noqa: E402
-from tablewise.sources.sinks import PROFILE_METRIC, append_metrics, profile_exposition  # noqa: E402
+from tablewise.functions.timeslice import day_key  # noqa: E402
+from tablewise.sources.sinks import (PROFILE_METRIC, append_metrics, exposition_lines,  # noqa: E402
+                                     profile_exposition)
 
 
 def _esc_sql(x: str) -> str:
@@ -708,11 +953,53 @@ def exposition_lines_q(spark, sf_dir):
     """Profile metrics of region and nation as exposition text lines."""
     out = None
     for t in ("region", "nation"):
-        lines = profile_exposition(rounded(profile(load(spark, sf_dir, t), approx_distinct=False)), t)
+        lines = profile_exposition(rounded(profile(load(spark, sf_dir, t), approx_distinct=False)), t,
+                                   decimals=6)
         out = lines if out is None else out.unionByName(lines)
     return out
 
 
+@register("exposition_edge_values", """
+SELECT 'm{region="' || r_name || '"} ' || v AS line FROM (
+  SELECT r_name, CASE r_regionkey WHEN 0 THEN 'NaN' WHEN 1 THEN '+Inf' WHEN 2 THEN '1.0E33'
+                                  WHEN 3 THEN '2.0E-8' END AS v FROM region) AS t WHERE v IS NOT NULL
+""")
+def exposition_edge_values(spark, sf_dir):
+    """NaN, an infinity, very large and very small values as they are; text is skipped."""
+    values = F.array(*[F.lit(v) for v in ("NaN", "Infinity", "1e33", "2e-8", "no number")])
+    df = load(spark, sf_dir, "region").select(
+        "r_name", F.element_at(values, F.col("r_regionkey").cast("int") + 1).alias("value"))
+    return exposition_lines(df, "m", [("region", F.col("r_name"))])
+
+
+@register("csv_events", f"""
+SELECT event_id, {ts_text_sql('ts + to_microseconds(event_id % 1000)')} AS ts,
+       CASE event_id % 5 WHEN 0 THEN NULL WHEN 1 THEN event_type || chr(10) || 'a, "b" \\ '
+                         WHEN 2 THEN '' WHEN 3 THEN ' ' || event_type ELSE event_type END AS note
+FROM events
+""")
+def csv_events(spark, sf_dir):
+    """A4: microseconds, nulls, empty texts, line breaks, quotes and blanks survive CSV."""
+    i, t = F.col("event_id"), F.col("event_type")
+    note = (F.when(i % 5 == 1, F.concat(t, F.lit('\na, "b" \\ '))).when(i % 5 == 2, F.lit(""))
+            .when(i % 5 == 3, F.concat(F.lit(" "), t)).when(i % 5 == 4, t))
+    ev = load(spark, sf_dir, "events").select("event_id", F.timestamp_micros(
+        F.unix_micros(F.col("ts").cast("timestamp")) + i % 1000).cast("timestamp_ntz").alias("ts"),
+        note.alias("note"))
+    path = shared_dir(spark, "csv-events")
+    write_csv(ev, path)
+    return read_csv(spark, path, ev.schema).select("event_id", ts_text("ts").alias("ts"), "note")
+
+
+@register("events_per_day", """
+SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS n FROM events GROUP BY ALL
+""")
+def events_per_day(spark, sf_dir):
+    """Rows per day key."""
+    ev = load(spark, sf_dir, "events")
+    return (ev.groupBy(day_key("ts").cast("string").alias("day")).agg(F.count("*").alias("n")))
+
+
 @register("csv_roundtrip", "SELECT * FROM nation")
 def csv_roundtrip(spark, sf_dir):
     """A4: nation written as CSV (header, no index) to the shared folder, read back typed."""
@@ -753,7 +1040,7 @@ FROM ({_CONF_SQL}) AS m
 """)
 def ml_exposition_lines(spark, sf_dir):
     """A9 + A10: model metric rows as exposition lines; the null column label is empty."""
-    return ml_exposition(confusion_metrics(spark, sf_dir))
+    return ml_exposition(confusion_metrics(spark, sf_dir), decimals=6)
 
 
 _DIRTY_COLS = X.choose_columns_from(["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",

@@ -16,7 +16,7 @@ KEY = {
     "profile_by_label": "slice ranges pushed into the scan; grouped partial + final aggregate",
     "slice_three_days": "OR of three half-open ranges in PushedFilters; no shuffle",
     "corrupt_mixed": "hash expressions only: a single narrow codegen'd stage",
-    "category_topk": "unpivot -> map-side combined count -> salted two-stage top-k",
+    "category_topk": "unpivot -> map-side combined count -> group limit -> rank",
     "stratified_split": "bounded per-class tables broadcast; final pass narrow except the boundary bucket",
     "bounded_sample": "TakeOrderedAndProject (top-k, memory bounded by k)",
     "roc_auc": "labels broadcast at runtime; distinct scores aggregated; running sums per range",
