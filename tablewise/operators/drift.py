@@ -5,9 +5,9 @@ A boosted-tree classifier learns to tell the newest slice (label 1) from earlier
 mean absolute SHAP value per column names the columns that changed.
 
 Spark's ``GBTClassifier`` trains level by level on the executors with binned features;
-early stopping uses the test rows (``validationIndicatorCol``), as the reference used
-its test set for early stopping and for the final metrics.  The feature table is
-persisted once for the boosting passes and released afterwards.
+boosting stops by the loss on the test rows, which also give the final metrics.  Every value of
+a text column counts (label rates, see ``features``), and every test row is explained.  The
+feature table is persisted once for the boosting passes and released afterwards.
 """
 
 from __future__ import annotations
@@ -15,33 +15,35 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
+from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewise.operators.features import FeaturePlan, encode, plan_features
+from tablewise.functions.hashing import fast_hash
+from tablewise.operators.features import (FOLDS, FeaturePlan, encode, label_rates, plan_features,
+                                          with_rates)
 from tablewise.operators.metrics import (ACCURACY, F1, PRECISION, RECALL, ROC_AUC,
                                          classification_report, metric_rows)
-from tablewise.operators.profile import qcol
-from tablewise.operators.sampling import bounded_sample, stratified_split
+from tablewise.operators.profile import label_counts, qcol
+from tablewise.operators.sampling import bounded_sample, key_text, stratified_split
 from tablewise.operators.shap import mean_abs_shap, shap_values
-from tablewise.session import ensure_checkpoint_dir
+from tablewise.session import ensure_checkpoint_dir, written
 
 
 @dataclass(frozen=True)
 class DriftParams:
-    max_iter: int = 20           # boosting rounds (the reference allowed 500 with patience 20)
+    max_iter: int = 500          # boosting rounds at most
+    patience: int = 20           # rounds after the best one before boosting stops
+    first_rounds: int = 30       # rounds of the first fit; doubled while the best is too new
     max_depth: int = 6
     step_size: float = 0.3
     seed: int = 42
     test_share: float = 0.2
-    validation_tol: float = 0.0
-    max_categories: int = 62
-    high_card_ratio: float = 0.9
-    shap_rows: int | None = 5000  # the reference's SHAP row cap; None = every test row
+    shap_rows: int | None = None  # None: every test row is explained
     auc_buckets: int = 1024
     with_accuracy: bool = True
-    rows_per_partition: int = 250_000   # training partitions ~ rows / this (narrow coalesce)
+    rows_per_partition: int = 250_000
 
 
 @dataclass
@@ -49,8 +51,8 @@ class DriftResult:
     metrics: DataFrame                 # [ts, path,] table, type, column, metric, value
     plan: FeaturePlan | None = None
     model: object = None
-    scored: DataFrame | None = None
-    shap: DataFrame | None = None
+    scored: DataFrame | None = None    # with keep_rows: key, label, margin, prediction, score
+    shap: DataFrame | None = None      # with keep_rows: the SHAP rows
     notes: dict = field(default_factory=dict)
 
 
@@ -62,7 +64,8 @@ def _null_metrics(spark, table, params: DriftParams, ts=None, path=None) -> Data
 
 def drift_model(labelled: DataFrame, key: str, table: str, label_col: str = "label",
                 exclude=(), exclude_prefixes=(), params: DriftParams = DriftParams(),
-                ts=None, path: str | None = None, with_shap: bool = True) -> DriftResult:
+                ts=None, path: str | None = None, with_shap: bool = True,
+                keep_rows: bool = False) -> DriftResult:
     """M1-M3 + metrics (M4-M8, M11) + SHAP (M9-M10) for a labelled slice.
 
     ``key``: a unique row key (hash split and SHAP sample are keyed on it).
@@ -71,56 +74,82 @@ def drift_model(labelled: DataFrame, key: str, table: str, label_col: str = "lab
     """
     spark = labelled.sparkSession
     ensure_checkpoint_dir(spark)   # GBT cuts its lineage there every 10 iterations
-    counts = {r[0]: r[1] for r in labelled.groupBy(qcol(label_col)).count().collect()}
-    # Spark caps the bins of a tree at the number of training rows and needs every
-    # categorical feature (kept values + other + null) to fit in them
-    n_rows = sum(counts.values())
-    n_train = n_rows - int(n_rows * params.test_share + 0.5)
-    max_cats = max(1, min(params.max_categories, n_train - 3))
+    counts = label_counts(labelled, label_col).first()
     plan = plan_features(labelled, label_col=label_col, exclude=set(exclude) | {key},
-                         exclude_prefixes=exclude_prefixes, max_categories=max_cats,
-                         high_card_ratio=params.high_card_ratio, keep=[key])
-    notes = {"class_counts": counts, "dropped": plan.dropped}
-    if not plan.slots or counts.get(1, 0) < 2 or counts.get(0, 0) < 2:
+                         exclude_prefixes=exclude_prefixes, keep=[key], encoding="rate")
+    notes = {"class_counts": {1: counts["n_current"], 0: counts["n_previous"]},
+             "dropped": plan.dropped, "distinct_ratio": plan.distinct_ratio}
+    if not plan.slots or counts["n_current"] < 2 or counts["n_previous"] < 2:
         return DriftResult(_null_metrics(spark, table, params, ts, path), plan, notes=notes)
 
-    enc = encode(labelled, plan, keep=[key, label_col], vector_col="features")
-    enc = enc.withColumn(label_col, qcol(label_col).cast("double"))
-    split = stratified_split(enc, label_col, key, params.test_share, params.seed)
-    # every boosting level is a pass over the data: small slices should not pay for
-    # dozens of near-empty tasks per pass; large ones keep their partitioning
-    n_parts = max(1, -(-n_rows // params.rows_per_partition))
-    data = split.coalesce(n_parts).persist(StorageLevel.MEMORY_AND_DISK)
+    split = stratified_split(labelled, label_col, key, params.test_share, params.seed)
+    split = split.persist(StorageLevel.MEMORY_AND_DISK)
+    n_parts = max(spark.sparkContext.defaultParallelism,
+                  -(-counts["n_total"] // params.rows_per_partition))
+    train = ~F.col("is_test")
+    if plan.rated:
+        fold = fast_hash(key_text(labelled, key), f"fold:{params.seed}") % FOLDS
+        rates = label_rates(split, plan.rated, label_col, fold, train)
+        rated = with_rates(split, rates, plan.rated, fold, train,
+                           counts["n_current"] / counts["n_total"])
+    else:
+        rated = split
+    # the encoded rows are what every boosting level reads: cached once, spread over the cluster
+    data = (encode(rated, plan, keep=[key, label_col, "is_test"], vector_col="features")
+            .withColumn(label_col, qcol(label_col).cast("double"))
+            .repartition(n_parts).persist(StorageLevel.MEMORY_AND_DISK))
+    scored = None
     try:
-        from pyspark.ml.classification import GBTClassifier
-        gbt = GBTClassifier(featuresCol="features", labelCol=label_col,
-                            maxIter=params.max_iter, maxDepth=params.max_depth,
-                            stepSize=params.step_size, seed=params.seed,
-                            maxBins=max(32, plan.max_categories()),
-                            validationIndicatorCol="is_test",
-                            validationTol=params.validation_tol)
-        model = gbt.fit(data)
         test = data.filter(F.col("is_test"))
-        scored = model.transform(test).withColumn(
-            "score", vector_to_array("probability")[1])
-        n_test = n_rows - n_train
-        metrics = classification_report(scored, table, label_col, "prediction", "score",
-                                        params.with_accuracy, params.auc_buckets, ts, path,
-                                        rows_hint=n_test)
-        metrics = _materialise(metrics)
-        shap_df = None
+        model, losses = fit_boosted(data.filter(train), test, label_col, params)
+        scored = (model.transform(test).withColumn("score", vector_to_array("probability")[1])
+                  .persist(StorageLevel.MEMORY_AND_DISK))
+        metrics = _materialise(classification_report(
+            scored, table, label_col, "prediction", "score", params.with_accuracy,
+            params.auc_buckets, ts, path))
+        kept_scores = kept_shap = None
+        if keep_rows:
+            kept_scores = written(scored.select(
+                qcol(key), qcol(label_col), vector_to_array("rawPrediction")[1].alias("margin"),
+                "prediction", "score"), "scored")
         if with_shap:
             sample = (bounded_sample(test, params.shap_rows, key, params.seed)
+                      .repartition(spark.sparkContext.defaultParallelism)
                       if params.shap_rows else test)
             shap_df = shap_values(sample, model, plan.slot_names, plan.slot_sources,
                                   keep=[key, label_col])
+            if keep_rows:
+                shap_df = kept_shap = written(shap_df, "shap")
             sources = list(dict.fromkeys(plan.slot_sources))
-            shap_rows = _materialise(mean_abs_shap(shap_df, sources, table, ts, path))
-            metrics = metrics.unionByName(shap_rows)
-        notes["trees"] = model.getNumTrees
-        return DriftResult(metrics, plan, model, scored, shap_df, notes)
+            metrics = metrics.unionByName(_materialise(
+                mean_abs_shap(shap_df, sources, table, ts, path)))
+        notes["trees"], notes["test_loss"] = model.getNumTrees, losses
+        return DriftResult(metrics, plan, model, kept_scores, kept_shap, notes)
     finally:
-        data.unpersist()
+        for frame in (scored, data, split):
+            if frame is not None:
+                frame.unpersist()
+
+
+def fit_boosted(train: DataFrame, test: DataFrame, label_col: str, params: DriftParams):
+    """M1 + M2: boosted trees up to the round with the smallest loss on the test rows, found
+    with ``patience``.  Spark's own early stopping has none, so more rounds are fitted (twice as
+    many each time) until the best one is ``patience`` rounds old, or ``max_iter`` is reached.
+    The trees of a shorter fit are the first trees of a longer one (same seed and rows)."""
+    def fit(rounds: int):
+        return GBTClassifier(featuresCol="features", labelCol=label_col, maxIter=rounds,
+                             maxDepth=params.max_depth, stepSize=params.step_size,
+                             seed=params.seed).fit(train)
+
+    rounds = min(params.max_iter, max(params.first_rounds, params.patience + 1))
+    while True:
+        model = fit(rounds)
+        losses = list(model.evaluateEachIteration(test))
+        best = min(range(len(losses)), key=losses.__getitem__)
+        if rounds >= params.max_iter or len(losses) - 1 - best >= params.patience:
+            break
+        rounds = min(params.max_iter, 2 * rounds)
+    return (model if best + 1 == len(losses) else fit(best + 1)), losses
 
 
 def _materialise(df: DataFrame) -> DataFrame:
@@ -128,4 +157,4 @@ def _materialise(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(df.collect(), df.schema)
 
 
-__all__ = ["DriftParams", "DriftResult", "drift_model"]
+__all__ = ["DriftParams", "DriftResult", "drift_model", "fit_boosted"]

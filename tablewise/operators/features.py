@@ -11,12 +11,13 @@ decisions are taken from the schema plus one small aggregate, and the encoding i
 * B15      array -> ``size`` (null stays missing)
 * B16      timestamps: excluded by default (in a day-vs-day test the time column gives
            the label away); ``time_as_category=True`` formats them as text categories
-* B17      categories: the ``max_categories`` most frequent values (count desc, value
-           asc) keep a code, the rest share ``other``, null has its own code; the code
-           column carries nominal metadata so the trees split it as a category.
-           Text columns whose distinct/rows ratio exceeds ``high_card_ratio`` (ids) are
-           dropped and reported
-* B18      numeric nulls: filled with 0 plus a 0/1 ``<col>__isnull`` indicator, both
+* B17      categories, two encodings.  ``encoding="rate"`` (the drift model): every value of
+           every text column counts; a value becomes the smoothed share of label-1 rows
+           among the training rows that have it (for a training row: those of the other
+           folds), joined from a ``(column, value)`` table.  ``encoding="codes"``: the
+           ``max_categories`` most frequent values (count desc, value asc) keep a code, the
+           rest share ``other``, null has its own; the column carries nominal metadata
+* B18      numeric nulls and NaNs: filled with 0 plus a 0/1 ``<col>__isnull`` indicator, both
            attributed to the source column
 """
 
@@ -24,14 +25,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import (ArrayType, BinaryType, BooleanType, DateType, MapType,
+from pyspark.sql.types import (ArrayType, BinaryType, BooleanType, DateType, DoubleType, FloatType, MapType,
                                NumericType, StringType, StructType, TimestampNTZType,
                                TimestampType)
 
 from tablewise.operators.profile import qcol
-from tablewise.operators.topk import top_k_per_group
+from tablewise.session import shared_dir
 
 OTHER = "__other__"
 NULL = "__null__"
@@ -45,7 +46,9 @@ class FeaturePlan:
     time_text: list = field(default_factory=list)      # time columns used as text categories
     null_flags: list = field(default_factory=list)     # numeric columns with an indicator
     dropped: dict = field(default_factory=dict)        # column -> reason
+    rated: list = field(default_factory=list)          # text columns encoded by label rate
     slots: list = field(default_factory=list)          # (slot name, source column)
+    distinct_ratio: dict = field(default_factory=dict)  # text column -> approx distinct / rows
 
     @property
     def slot_names(self):
@@ -75,11 +78,12 @@ def _kind(dtype) -> str:
     return "other"
 
 
-def category_table(df: DataFrame, columns, k: int = 62, salt_buckets: int = 64) -> DataFrame:
+def category_table(df: DataFrame, columns, k: int = 62) -> DataFrame:
     """``(column, value, n, code)`` for the ``k`` most frequent values of each column.
 
     All columns are unpivoted into one ``(column, value)`` frame and counted with one
-    shuffle (map-side combined); the top-k uses the salted two-stage rank.
+    shuffle (map-side combined); Spark plans the rank filter as a limit per group before the
+    second one, so a column with very many values sends ``k`` rows per task.
     """
     cols = list(columns)
     if not cols:
@@ -88,18 +92,61 @@ def category_table(df: DataFrame, columns, k: int = 62, salt_buckets: int = 64)
         F.struct(F.lit(c).alias("column"), qcol(c).cast("string").alias("value"))
         for c in cols]))).filter(F.col("value").isNotNull())
     freq = pairs.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    top = top_k_per_group(freq, ["column"], [F.desc("n"), F.asc("value")], k,
-                          salt_cols=["value"], salt_buckets=salt_buckets, rank_col="rank")
-    return top.select("column", "value", "n", (F.col("rank") - 1).cast("int").alias("code"))
+    rank = F.row_number().over(Window.partitionBy("column").orderBy(F.desc("n"), F.asc("value")))
+    return (freq.withColumn("rank", rank).filter(F.col("rank") <= k)
+            .select("column", "value", "n", (F.col("rank") - 1).cast("int").alias("code")))
+
+
+FOLDS = 5
+
+
+def value_text(c: Column) -> Column:
+    """A value as join text; null is a value of its own."""
+    return F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit("null"))
+
+
+def label_rates(df: DataFrame, columns, label_col: str, fold: Column, train: Column) -> DataFrame:
+    """``(column, value, n, n1, folds)`` over the training rows: rows and label-1 rows of every
+    value of every column, in all and per fold.  Written to the shared folder, one part per
+    column, so that joins know the sizes."""
+    lab = qcol(label_col).cast("int")
+    pairs = (df.where(train).select(lab.alias("y"), fold.alias("f"), F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), value_text(qcol(c)).alias("value")) for c in columns]))))
+    per = pairs.groupBy("column", "value", "f").agg(F.count(F.lit(1)).alias("n"),
+                                                    F.sum("y").alias("n1"))
+    rates = per.groupBy("column", "value").agg(
+        F.sum("n").alias("n"), F.sum("n1").alias("n1"),
+        F.map_from_entries(F.collect_list(F.struct("f", F.struct("n", "n1")))).alias("folds"))
+    path = shared_dir(df.sparkSession, "label-rates")
+    rates.write.partitionBy("column").parquet(path)
+    return df.sparkSession.read.schema(rates.schema).parquet(path)
+
+
+def with_rates(df: DataFrame, rates: DataFrame, columns, fold: Column, train: Column,
+               base: float, smooth: float = 10.0) -> DataFrame:
+    """``df`` with ``<column>__rate``: the smoothed label-1 share of the row's value, without the
+    row's own fold for training rows; unseen values get the base rate."""
+    for i, c in enumerate(columns):
+        table = rates.where(F.col("column") == c).select(
+            F.col("value").alias("_v"), F.col("n").alias("_n"), F.col("n1").alias("_n1"),
+            F.col("folds").alias("_f"))
+        own = F.when(train, F.try_element_at("_f", fold))
+        n = F.coalesce("_n", F.lit(0)) - F.coalesce(own["n"], F.lit(0))
+        n1 = F.coalesce("_n1", F.lit(0)) - F.coalesce(own["n1"], F.lit(0))
+        rate = (n1 + F.lit(smooth * base)) / (n + F.lit(smooth))
+        df = (df.join(table, value_text(qcol(c)) == F.col("_v"), "left")
+              .withColumn(f"{c}__rate", rate).drop("_v", "_n", "_n1", "_f"))
+    return df
 
 
 def plan_features(df: DataFrame, label_col: str = "label", exclude=(), exclude_prefixes=(),
-                  max_categories: int = 62, high_card_ratio: float = 0.9,
-                  time_as_category: bool = False, keep=()) -> FeaturePlan:
+                  max_categories: int = 62, time_as_category: bool = False, keep=(),
+                  encoding: str = "codes") -> FeaturePlan:
     """Decide the feature slots from the schema plus one aggregate.
 
-    Data reaching the driver: one row of counts and at most ``max_categories`` values per
-    text column.
+    No text column is left out for its number of values (``distinct_ratio`` reports it); the
+    caller excludes ids.  Data reaching the driver: one row of counts and, for codes, at most
+    ``max_categories`` values per text column.
     """
     plan = FeaturePlan()
     skip = set(exclude) | {label_col} | set(keep)
@@ -123,7 +170,7 @@ def plan_features(df: DataFrame, label_col: str = "label", exclude=(), exclude_p
     for name, kind in fields:
         c = qcol(name)
         if kind in ("num", "bool", "array"):
-            aggs.append(F.count(c).alias(f"nn::{name}"))
+            aggs.append(F.count(present(df, name)).alias(f"nn::{name}"))
         elif kind in ("text", "time"):
             aggs.append(F.approx_count_distinct(c).alias(f"nd::{name}"))
     stats = {}
@@ -138,37 +185,38 @@ def plan_features(df: DataFrame, label_col: str = "label", exclude=(), exclude_p
         elif kind == "array":
             plan.arrays.append(name)
         elif kind in ("text", "time"):
-            nd = stats.get(f"nd::{name}") or 0
-            if rows and nd / rows > high_card_ratio and rows > 1:
-                plan.dropped[name] = f"high cardinality ({nd}/{rows})"
-                continue
+            plan.distinct_ratio[name] = (stats.get(f"nd::{name}") or 0) / max(rows, 1)
             cat_cols.append(name)
             if kind == "time":
                 plan.time_text.append(name)
         if kind in ("num", "bool", "array") and stats.get(f"nn::{name}", rows) < rows:
             plan.null_flags.append(name)
 
-    if cat_cols:
+    if cat_cols and encoding == "rate":
+        plan.rated = cat_cols
+    elif cat_cols:
         src = df.select(*[_text_of(df, c, plan) for c in cat_cols])
-        # salted top-k groups hold distinct values / salts rows: keep them near 1M
-        max_nd = max(stats.get(f"nd::{c}") or 0 for c in cat_cols)
-        salts = max(64, -(-max_nd // 1_000_000))
-        top = category_table(src, cat_cols, max_categories, salt_buckets=salts).collect()
-        by_col = {c: [] for c in cat_cols}
-        for r in sorted(top, key=lambda r: (r["column"], r["code"])):
-            by_col[r["column"]].append(r["value"])
-        plan.categorical = by_col
+        plan.categorical = {c: [] for c in cat_cols}
+        for r in category_table(src, cat_cols, max_categories).orderBy("column", "code").collect():
+            plan.categorical[r["column"]].append(r["value"])
 
     for name, kind in fields:
         if name in plan.numeric or name in plan.arrays:
             plan.slots.append((name, name))
             if name in plan.null_flags:
                 plan.slots.append((f"{name}__isnull", name))
-        elif name in plan.categorical:
+        elif name in plan.categorical or name in plan.rated:
             plan.slots.append((name, name))
     return plan
 
 
+def present(df: DataFrame, name: str) -> Column:
+    """The value, or null if it is null or NaN."""
+    c = qcol(name)
+    return F.nanvl(c, F.lit(None).cast(df.schema[name].dataType)) if isinstance(
+        df.schema[name].dataType, (FloatType, DoubleType)) else c
+
+
 def _text_of(df: DataFrame, name: str, plan: FeaturePlan) -> Column:
     """Time columns as ``yyyy-MM-dd HH:mm:ss`` text; text columns as they are."""
     if _kind(df.schema[name].dataType) == "time":
@@ -191,8 +239,10 @@ def feature_columns(df: DataFrame, plan: FeaturePlan) -> list:
     """The encoded slot columns (doubles; categories with nominal metadata)."""
     out = []
     for slot, src in plan.slots:
-        c = qcol(src)
-        if slot.endswith("__isnull"):
+        c = present(df, src)
+        if src in plan.rated:
+            out.append(qcol(f"{src}__rate").alias(slot))
+        elif slot.endswith("__isnull"):
             out.append(F.when(c.isNull(), F.lit(1.0)).otherwise(F.lit(0.0)).alias(slot))
         elif src in plan.arrays:
             # size(null) is -1 under the legacy (non-ANSI) setting: guard it explicitly
@@ -222,5 +272,6 @@ def encode(df: DataFrame, plan: FeaturePlan, keep=(), vector_col: str | None = "
     return enc
 
 
-__all__ = ["FeaturePlan", "plan_features", "encode", "feature_columns", "category_table",
+__all__ = ["FeaturePlan", "plan_features", "encode", "feature_columns", "category_table", "label_rates",
+           "with_rates", "value_text", "FOLDS",
            "category_code", "OTHER", "NULL"]

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from tablewise.functions.mathx import safe_ratio
 from tablewise.operators.profile import qcol
+from tablewise.session import written
 
 # Metric names of the metric table.
 ROC_AUC = "roc_auc"
@@ -52,44 +53,37 @@ def rates(conf: DataFrame) -> DataFrame:
 
 
 def score_bucket_splits(g: DataFrame, score_col: str, buckets: int) -> list:
-    """Approximate quantiles of the distinct scores (at most ``buckets`` values)."""
+    """Approximate quantiles of the distinct scores (at most ``buckets`` values); the sketch is
+    ten times finer than the ranges."""
     if buckets <= 1:
         return []
     probs = [i / buckets for i in range(1, buckets)]
-    q = g.agg(F.percentile_approx(F.col(score_col), probs, 10000).alias("q")).first()["q"]
+    q = g.agg(F.percentile_approx(F.col(score_col), probs, max(10_000, 10 * buckets))
+              .alias("q")).first()["q"]
     return sorted({float(v) for v in (q or []) if v is not None})
 
 
-SMALL_ROWS = 250_000
 RANGE_ROWS = 1_000_000     # distinct scores per range (one window each)
-MAX_BUCKETS = 100_000      # split points brought to the driver
+MAX_BUCKETS = 8_192        # split points brought to the driver
 
 
 def roc_auc(scored: DataFrame, label_col: str = "label", score_col: str = "score",
-            buckets: int = 1024, rows_hint: int | None = None,
-            range_rows: int = RANGE_ROWS) -> DataFrame:
+            buckets: int = 1024, range_rows: int = RANGE_ROWS) -> DataFrame:
     """M4: one row ``roc_auc`` (null when a class is missing).
 
-    ``rows_hint``: a known upper bound on the scored rows; at most ``SMALL_ROWS`` means
-    one range (one window over at most that many distinct scores) and no quantile job.
-    Without it the distinct scores are counted first and the number of ranges is raised
-    so that each holds about ``range_rows`` of them at most (``buckets`` is the minimum
-    once there is more than one range).
+    The scored rows are read once: their counts per distinct score are written to the shared
+    folder, and everything else reads that table.  Up to ``range_rows`` distinct scores are one
+    range; beyond, there are at least ``buckets`` ranges, and as many as keep about
+    ``range_rows`` scores in each (at most ``MAX_BUCKETS``; then ranges get larger).
     """
-    if rows_hint is not None and rows_hint <= SMALL_ROWS:
-        buckets = 1
     y = qcol(label_col).cast("int")
     s = qcol(score_col).cast("double")
-    g = (scored.select(s.alias("_s"), y.alias("_y")).filter(F.col("_s").isNotNull())
-         .groupBy("_s").agg(F.count_if(F.col("_y") == 1).alias("_pos"),
-                            F.count_if(F.col("_y") == 0).alias("_neg")))
-    if buckets > 1 and rows_hint is None:
-        # ranges of at most ~1M distinct scores each (one counting job, bounded output)
-        n_distinct = g.count()
-        buckets = min(MAX_BUCKETS, max(buckets, -(-n_distinct // range_rows)))
-        if n_distinct <= range_rows:
-            buckets = 1
-    splits = score_bucket_splits(g, "_s", buckets)
+    g = written(scored.select(s.alias("_s"), y.alias("_y")).filter(F.col("_s").isNotNull())
+                .groupBy("_s").agg(F.count_if(F.col("_y") == 1).alias("_pos"),
+                                   F.count_if(F.col("_y") == 0).alias("_neg")), "auc")
+    n_distinct = g.count()
+    buckets = min(MAX_BUCKETS, max(buckets, -(-n_distinct // range_rows)))
+    splits = score_bucket_splits(g, "_s", 1 if n_distinct <= range_rows else buckets)
     if splits:
         # bucket = number of split points <= score (binary search in the JVM)
         from pyspark.ml.feature import Bucketizer
@@ -130,11 +124,10 @@ def metric_rows(wide: DataFrame, names, table: str, mtype: str = ML_METRIC_TYPE,
 def classification_report(scored: DataFrame, table: str, label_col: str = "label",
                           pred_col: str = "prediction", score_col: str = "score",
                           with_accuracy: bool = True, buckets: int = 1024,
-                          ts=None, path: str | None = None,
-                          rows_hint: int | None = None) -> DataFrame:
+                          ts=None, path: str | None = None) -> DataFrame:
     """M4-M8 + M11: metric rows of a scored frame (AUC, [accuracy,] precision, recall, F1)."""
     r = rates(confusion(scored, label_col, pred_col))
-    auc = roc_auc(scored, label_col, score_col, buckets, rows_hint)
+    auc = roc_auc(scored, label_col, score_col, buckets)
     names = ([ACCURACY] if with_accuracy else []) + [PRECISION, RECALL, F1]
     # two one-row aggregates -> long rows each, then a union (no join needed)
     return (metric_rows(auc, [ROC_AUC], table, ts=ts, path=path)
