@@ -45,16 +45,23 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Bytes covered by a 100-byte string that starts earlier go; all rows stay.  Characters
     that lose some of their bytes go whole, and ``n_chars`` follows the text."""
-    out = suffix_dedup.deduplicate(docs, with_kept=True, carry=tuple(docs.columns))
-    text = F.when(F.col(f"row.{TEXT}").isNull(), F.lit(None).cast("string")).when(
-        F.col("n_removed") == 0, F.col(f"row.{TEXT}")).otherwise(
-        F.col("kept_text"))
-    edited = out.select("row.*", text.alias("__kept"), "n_removed")
-    columns = [F.col("__kept").alias(TEXT) if c == TEXT
-               else F.when(F.col("n_removed") > 0, F.length("__kept")).otherwise(F.col(c))
-               .cast(docs.schema[c].dataType).alias(c) if c == "n_chars"
-               else F.col(f"`{c}`") for c in docs.columns]
-    return edited.select(*columns)
+    others = [c for c in docs.columns if c != TEXT]
+    empty = "no_text" + "_" * max(map(len, docs.columns))        # not a name of theirs
+    out = suffix_dedup.deduplicate(docs.withColumn(empty, F.col(TEXT).isNull()), with_kept=True,
+                                   carry=(*others, empty))
+    text = F.when(~F.col(f"row.{empty}"), F.col("kept_text"))
+    kinds = dict(docs.dtypes)
+
+    def column(name: str):
+        if name == TEXT:
+            return text.alias(TEXT)
+        old = F.col(f"row.`{name}`")
+        if name == "n_chars":
+            return F.when(F.col("n_removed") > 0, F.length(text)).otherwise(old).cast(
+                kinds[name]).alias(name)
+        return old.alias(name)
+
+    return out.select(*[column(c) for c in docs.columns])
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

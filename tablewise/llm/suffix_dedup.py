@@ -273,7 +273,9 @@ def deduplicate(documents: DataFrame, id_col: str = "doc_id", text_col: str = "t
         "suffix-phrases")
 
     todo = owned.where("size(todo_left) + size(todo_right) > 0").drop("owned")
-    open_docs = docs.join(todo, ID).select(ID, TEXT, "todo_left", "todo_right")
+    # from ``rows``, so that the join below can use the same exchange of the texts
+    open_docs = rows.join(todo, ID).select(ID, TEXT, "todo_left", "todo_right",
+                                           *(["row"] if carry else []))
     ranked = owners(suffix_rows(open_docs, length), "s")
     suffix_owned = ranked.groupBy(F.col("owner").alias(ID)).agg(
         F.collect_list("g").alias("suffix_owned"))

@@ -39,9 +39,9 @@ def test_order_and_columns(stages, spark, sf01):
 def test_toxicity(stages, spark, sf01):
     _, docs, done = stages[0]
     model = toxicity.fit(docs, spark.read.parquet(f"{sf01}/labels.parquet"))
-    low = toxicity.score(docs, model).where(F.col("score") < toxicity.THRESHOLD)
-    assert rows(done) == {i: t for i, t in rows(docs).items()
-                          if i in {r.doc_id for r in low.collect()}}
+    low = {r.doc_id for r in toxicity.score(docs, model)
+           .where(F.col("score") < toxicity.THRESHOLD).collect()}
+    assert rows(done) == {i: t for i, t in rows(docs).items() if i in low}
 
 
 def test_near_copies(stages):
