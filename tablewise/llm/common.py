@@ -86,7 +86,7 @@ def bucket_of(key: Column, bounds: list[int]) -> Column:
                            lambda b: b <= key))
 
 
-def small_batches(spark: SparkSession, rows: int = 256) -> None:
+def small_batches(spark: SparkSession, rows: int = 128) -> None:
     """Bound the rows of an Arrow batch, as rows hold whole texts."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(key)) > rows or int(spark.conf.get(key)) <= 0:
