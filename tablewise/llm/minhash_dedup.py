@@ -334,7 +334,28 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
                       F.coalesce(F.col(ID) == F.col("component"), F.lit(True)).alias("kept"))
 
 
-@register("op10_minhash_dedup")
+ORACLE = r"""
+WITH RECURSIVE t AS (SELECT doc_id, regexp_extract_all(
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(
+         range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+         WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM t),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+      FROM s a JOIN s b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+      WHERE 100 * c >= 85 * (x.n + y.n - c)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id, doc_id AS other FROM documents
+      UNION SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.other),
+g AS (SELECT doc_id, min(other) AS component_id FROM r GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM g LEFT JOIN n USING (doc_id)
+"""
+
+
+@register("op10_minhash_dedup", ORACLE)
 def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(load(spark, sf_dir, "documents"), percent=85)
 

@@ -322,7 +322,29 @@ def deduplicate(documents: DataFrame, id_col: str = "doc_id", text_col: str = "t
             .withColumnRenamed(ID, id_col))
 
 
-@register("op7_suffix_dedup")
+ORACLE = """
+WITH d AS (SELECT doc_id, hex(coalesce(text, '')) AS h FROM documents),
+w AS (SELECT doc_id, p, md5(substr(h, 2 * p + 1, 200)) AS k
+      FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 99)) AS p FROM d WHERE len(h) >= 200)),
+r AS (SELECT doc_id, p FROM w
+      QUALIFY row_number() OVER (PARTITION BY k ORDER BY doc_id, p) > 1),
+i AS (SELECT doc_id, p, CASE WHEN p <= lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 100 THEN 0
+                             ELSE 1 END AS fresh FROM r),
+g AS (SELECT doc_id, p, sum(fresh) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM i),
+s AS (SELECT doc_id, run, min(p) AS a, max(p) + 100 AS z FROM g GROUP BY doc_id, run),
+k AS (SELECT doc_id, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS f, a AS t FROM s
+      UNION ALL SELECT d.doc_id, coalesce(max(z), 0), len(any_value(h)) // 2
+      FROM d LEFT JOIN s USING (doc_id) GROUP BY d.doc_id),
+b AS (SELECT doc_id, string_agg(substr(h, 2 * f + 1, 2 * (t - f)), '' ORDER BY f) AS kept
+      FROM k JOIN d USING (doc_id) WHERE t > f GROUP BY doc_id),
+n AS (SELECT doc_id, sum(z - a) AS n_removed, count(*) AS n_spans FROM s GROUP BY doc_id)
+SELECT d.doc_id, len(h) // 2 AS n_bytes, cast(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN b USING (doc_id)
+"""
+
+
+@register("op7_suffix_dedup", ORACLE)
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deduplicate(load(spark, sf_dir, "documents"))
 
