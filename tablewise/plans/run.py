@@ -23,7 +23,7 @@ import sys
 from pyspark.sql import functions as F
 
 from tablewise.plans.jobs import CONF_PREFIX, RunConfig, drift_report, quality_report, table_report
-from tablewise.session import get_spark
+from tablewise.session import get_spark, release_shared
 from tablewise.sources.sinks import (append_metrics, exposition_lines, suggestions_by_column,
                                      suggestions_document, write_json_lines, write_lines)
 
@@ -58,7 +58,10 @@ def run(spark, job: str | None = None, output: str | None = None):
 
 def main(argv=None) -> int:
     spark = get_spark()
-    run(spark)
+    try:
+        run(spark)
+    finally:
+        release_shared(spark)
     return 0
 
 

@@ -71,11 +71,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def _application_dir(spark: SparkSession) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tablewise-{spark.sparkContext.applicationId}"
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared checkpoint folder (for written tables, models)."""
-    base = ensure_checkpoint_dir(spark)
-    base = base.rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh sub-folder of the application's part of the shared checkpoint folder (for written
+    tables, models)."""
+    return f"{_application_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def release_shared(spark: SparkSession) -> None:
+    """Delete everything the application has put into the shared folder.  Results that are still
+    lazy read it: call this when they have been written."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_application_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -86,4 +96,5 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-__all__ = ["get_spark", "ensure_checkpoint_dir", "shared_dir", "written", "DEFAULT_CONF"]
+__all__ = ["get_spark", "ensure_checkpoint_dir", "shared_dir", "release_shared", "written",
+           "DEFAULT_CONF"]

@@ -19,17 +19,22 @@ def test_every_query_has_an_oracle():
 
 def test_session_without_configuration(tmp_path):
     """No checkpoint folder is configured: a local session gets a scratch one, removed at exit."""
-    code = ("from tablewise.session import get_spark, shared_dir, written\n"
+    code = ("from tablewise.session import get_spark, release_shared, shared_dir, written\n"
+            "import os\n"
             "s = get_spark('local[1]', 1)\n"
             "t = written(s.range(5).toDF('x'), 'numbers')\n"
-            "print('RESULT', t.count(), s.sparkContext.getCheckpointDir(), shared_dir(s, 'a'))\n")
+            "n, folder = t.count(), os.path.dirname(shared_dir(s, 'a')).removeprefix('file:')\n"
+            "there = os.path.isdir(folder)\n"
+            "release_shared(s)\n"
+            "print('RESULT', n, there, os.path.isdir(folder), folder)\n")
     env = {**os.environ, "SPARK_CONF_DIR": str(tmp_path), "PYTHONPATH": ROOT}
     out = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True,
                          timeout=300)
     line = [x for x in out.stdout.splitlines() if x.startswith("RESULT")]
     assert line, out.stderr[-2000:]
-    _, n, _, folder = line[0].split()
-    assert n == "5" and not os.path.exists(os.path.dirname(folder.removeprefix("file:")))
+    _, n, there, after, folder = line[0].split()
+    assert (n, there, after) == ("5", "True", "False")
+    assert not os.path.exists(os.path.dirname(folder))
 
 
 def test_jdbc_run_parameters(spark):
