@@ -17,9 +17,10 @@ KEY = {
     "slice_three_days": "OR of three half-open ranges in PushedFilters; no shuffle",
     "corrupt_mixed": "hash expressions only: a single narrow codegen'd stage",
     "category_topk": "unpivot -> map-side combined count -> group limit -> rank",
-    "stratified_split": "bounded per-class tables broadcast; final pass narrow except the boundary bucket",
+    "stratified_split": "written class table broadcast (size checked); one narrow final pass",
+    "feature_table_all_values": "label rates joined per column from written parts",
     "bounded_sample": "TakeOrderedAndProject (top-k, memory bounded by k)",
-    "roc_auc": "labels broadcast at runtime; distinct scores aggregated; running sums per range",
+    "roc_auc": "counts per distinct score written once; running sums per range",
 }
 
 
