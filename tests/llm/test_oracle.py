@@ -17,3 +17,12 @@ def test_one_query_per_operator():
     names = [n for n in entry.queries() if n.startswith("op")]
     assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
     assert "pipeline" in entry.queries()
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_plan_has_no_pairs_of_everything(spark, sf001, name):
+    df = QUERIES[name](spark, sf001)
+    assert df.count() >= 0
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
+        assert node not in plan
