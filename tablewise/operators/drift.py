@@ -35,7 +35,7 @@ from tablewise.session import ensure_checkpoint_dir, written
 class DriftParams:
     max_iter: int = 500          # boosting rounds at most
     patience: int = 20           # rounds after the best one before boosting stops
-    first_rounds: int = 30       # rounds of the first fit; doubled while the best is too new
+    first_rounds: int = 40       # rounds of the first fit; doubled while the best is too new
     max_depth: int = 6
     step_size: float = 0.3
     seed: int = 42
