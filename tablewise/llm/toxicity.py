@@ -1,33 +1,36 @@
 """Toxicity by the nearest labelled examples, found exactly with a block-max inverted index.
 
 Fit
-    Terms are lower-cased words and their four-character stems (``loser``, ``lose*``).  From a
-    bounded sample of labelled rows (``max_examples``, the documented bound) the terms tied to
-    the toxic label are kept (``max_terms`` at most, by signed chi).  Their document counts,
-    and so the idf, come from *all* documents.  The examples' TF-IDF vectors over these terms
-    (sublinear tf, unit length) make the index: postings in example order, cut into aligned
-    blocks with the largest weight of each term per block.
+    Terms are lower-cased words and their four-character stems (``loser``, ``lose*``).  All terms
+    of a bounded sample of labelled rows (``max_examples``, the documented bound) are kept.  Their
+    document counts, and so the idf, come from *all* documents.  A term tied to the toxic label
+    weighs more (``label_tie``, 1 and up: no term is left out by it, at any share of toxic rows).
+    The examples' TF-IDF vectors (sublinear tf, unit length) make the index: postings of each
+    term, and a dense matrix for the terms found in many examples.
 
 Score
-    A document's cosine with an example is the dot product of their unit vectors.  Blocks are
-    taken by falling upper bound (sum over its terms of query weight times block maximum)
-    until no block left can reach the k-th best cosine: the neighbours are exact.  Every example as
-    near as the k-th counts, so ties do not depend on order.  The vote is the
-    cosine-weighted share of toxic neighbours; a monotone curve fitted on the
-    examples' leave-one-out votes turns it into a probability.  The nearest example's id
-    and cosine are returned as evidence.
-
-Defined results: a null or empty text, and any text without a kept term, gets the share
-of toxic rows among the examples without a kept term; with no labelled rows or no toxic
-ones, every score is the (smoothed) share of toxic rows.  Labels with null id or label are not
+    A document's cosine with an example is the dot product of their unit vectors.  All examples
+    get it in single precision; blocks of examples whose best one cannot reach the k-th block's
+    best are left out, and the rest is computed again in double precision: the neighbours are
+    exact.  Every example as near as the k-th counts, so ties do not depend on order.  The vote
+    is the share of toxic neighbours weighted by the fourth power of the cosine (a copy outweighs
+    what only shares common words); a monotone curve fitted on the examples' leave-one-out
+    votes turns it into a probability.  The nearest example's id and cosine are returned as
+    evidence.
+
+Defined results: a null or empty text, and any text without a term of the examples, has no
+toxic neighbour and gets the score of vote 0; with no labelled rows or no toxic ones, every score
+is the (smoothed) share of toxic rows.  Labels with null id or label are not
 used; an id with several labels is toxic if one of them is.  Repeated rows score alike.
 """
 
 from __future__ import annotations
 
+import functools
 import math
 import re
 from collections import Counter
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -38,11 +41,14 @@ from pyspark.sql import functions as F
 from tablewise.llm.common import (ID, TEXT, column, cut, keyed, load, register, small_batches)
 
 MAX_EXAMPLES = 20_000        # bound of the labelled sample (rows)
-MAX_TERMS = 4_096            # bound of the kept vocabulary
-MIN_TOXIC_DOCS = 4           # a kept term occurs in so many toxic examples
-MIN_CHI = 6.0                # and is tied to the label this strongly
+TIE_DOCS = 3.0               # a tie seen in so many toxic examples counts half
 NEIGHBOURS = 15
+NEARNESS = 4                 # power of the cosine in the vote
 BLOCK = 64
+DENSE = 32                   # terms in more than 1 / DENSE of the examples go to the matrix
+MAX_DENSE = 384              # and so many at most
+SLACK = 2e-4                 # more than single precision can be off
+BATCH = 128                  # texts multiplied with the matrix at once
 BINS = 20
 THRESHOLD = 0.3
 PRIOR_WEIGHT = 2.0           # pseudo-examples of the base rate in every calibration bin
@@ -60,88 +66,179 @@ def term_counts(text: str) -> Counter:
     return out
 
 
+def numbers_of(terms, vocabulary: dict[str, int]) -> np.ndarray:
+    """Number of each term, -1 for terms that are not kept."""
+    return np.fromiter(map(vocabulary.get, terms, repeat(-1)), np.int64, len(terms))
+
+
+def term_numbers(text: str, vocabulary: dict[str, int]) -> np.ndarray:
+    """Numbers of the distinct kept terms."""
+    words = set(WORD.findall(text.lower()))
+    words |= {w[:STEM] + "*" for w in words if len(w) > STEM}
+    found = numbers_of(words, vocabulary)
+    return found[found >= 0]
+
+
+def counted(text: str, vocabulary: dict[str, int]):
+    """``(term numbers, occurrences)`` of the kept terms, by number."""
+    words = Counter(WORD.findall(text.lower()))
+    long = [w for w in words if len(w) > STEM]
+    terms = numbers_of([*words, *[w[:STEM] + "*" for w in long]], vocabulary)
+    counts = np.array([*words.values(), *[words[w] for w in long]], np.int64)
+    order = np.argsort(terms, kind="stable")
+    order = order[np.searchsorted(terms[order], 0):]
+    terms, counts = terms[order], counts[order]
+    first = np.flatnonzero(np.diff(terms, prepend=-1))
+    return terms[first], np.add.reduceat(counts, first) if len(first) else counts
+
+
+def unit(terms: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """Unit TF-IDF weights."""
+    w = (1.0 + np.log(counts)) * idf[terms]
+    return w / math.sqrt(float(w @ w)) if len(w) else w
+
+
 def vector(text: str, vocabulary: dict[str, int], idf: np.ndarray):
     """Unit TF-IDF vector over the kept terms: ``(term numbers, weights)``."""
-    words = Counter(WORD.findall(text.lower()))
-    tf: dict[int, int] = {}
-    for w, n in words.items():
-        t = vocabulary.get(w)
-        if t is not None:
-            tf[t] = tf.get(t, 0) + n
-        if len(w) > STEM:
-            t = vocabulary.get(w[:STEM] + "*")
-            if t is not None:
-                tf[t] = tf.get(t, 0) + n
-    if not tf:
-        return np.empty(0, np.int64), np.empty(0)
-    terms = np.array(sorted(tf), np.int64)
-    w = np.array([1.0 + math.log(tf[t]) for t in terms.tolist()]) * idf[terms]
-    return terms, w / math.sqrt(float(w @ w))
+    terms, counts = counted(text, vocabulary)
+    return terms, unit(terms, counts, idf)
+
+
+def packed(numbers: np.ndarray) -> bytes:
+    """Compressed whole numbers (32 bits), byte by byte."""
+    planes = np.ascontiguousarray(numbers.astype("<i4").view(np.uint8).reshape(-1, 4).T)
+    return pa.Codec("zstd").compress(planes.tobytes(), asbytes=True)
+
+
+def unpacked(data: bytes, n: int) -> np.ndarray:
+    planes = np.frombuffer(pa.Codec("zstd").decompress(data, 4 * n, asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(4, n).T).view("<i4").ravel()
+
+
+def packed_words(words: list[str]) -> tuple[bytes, int]:
+    data = "\n".join(words).encode()
+    return pa.Codec("zstd").compress(data, asbytes=True), len(data)
+
+
+@functools.lru_cache(maxsize=1)
+def numbered_words(data: bytes, size: int) -> dict[str, int]:
+    words = pa.Codec("zstd").decompress(data, size, asbytes=True).decode().split("\n")
+    return {w: i for i, w in enumerate(words)}
+
+
+def label_tie(n: np.ndarray, n_toxic: np.ndarray, share: float) -> np.ndarray:
+    """Factor of each term's weight, 1 and up: grows with the square of the smoothed log odds of
+    the toxic label, as far as toxic examples bear them out."""
+    p = (n_toxic + 2.0 * share) / (n + 2.0)
+    share, p = (np.clip(x, 1e-9, 1.0 - 1e-9) for x in (share, p))
+    odds = np.maximum(np.log(p / (1.0 - p)) - np.log(share / (1.0 - share)), 0.0)
+    return 1.0 + (odds * n_toxic / (n_toxic + TIE_DOCS)) ** 2
+
+
+def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges, one after the other."""
+    ends = np.cumsum(lengths)
+    return np.repeat(starts - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)
 
 
 class BlockMaxIndex:
-    """Inverted index of unit vectors in blocks of examples, with each block's maxima."""
+    """Unit vectors of examples: postings by term, a matrix of the common terms, and for a query
+    the best cosine of every block of examples."""
 
     def __init__(self, vectors, labels, ids):
-        # similar examples go to the same blocks: order by their heaviest terms
-        order = sorted(range(len(vectors)), key=lambda i: (
-            vectors[i][0][np.argsort(-vectors[i][1], kind="stable")[:3]].tolist(), ids[i]))
-        self.labels = np.array([labels[i] for i in order], float)
-        self.ids = np.array([ids[i] for i in order], np.int64)
-        self.blocks = -(-len(order) // BLOCK)
-        lists: dict[int, list] = {}
-        for at, i in enumerate(order):
-            for t, w in zip(vectors[i][0].tolist(), vectors[i][1].tolist()):
-                lists.setdefault(t, []).append((at, w))
-        self.postings = {}
-        for t, pairs in lists.items():
-            at = np.array([p[0] for p in pairs], np.int64)
-            w = np.array([p[1] for p in pairs])
-            blocks, first = np.unique(at // BLOCK, return_index=True)
-            self.postings[t] = (at, w, blocks, np.maximum.reduceat(w, first),
-                                dict(zip(blocks.tolist(), zip(
-                                    first.tolist(), first[1:].tolist() + [len(at)]))))
+        sizes = np.array([len(v[0]) for v in vectors], np.int64)
+        order = np.lexsort((sizes, np.array(ids, np.int64)))
+        self.labels = np.array(labels, float)[order]
+        self.ids = np.array(ids, np.int64)[order]
+        self.start = np.concatenate([[0], np.cumsum(sizes[order])])
+        self.terms = np.concatenate([np.empty(0, np.int32)] + [
+            np.asarray(vectors[i][0], np.int32) for i in order])
+        self.weights = np.concatenate([np.empty(0)] + [vectors[i][1] for i in order])
+        self.size = int(self.terms.max()) + 1 if len(self.terms) else 0
+        self.lists = None
+
+    def inverted(self):
+        """``first, examples, weights, column, matrix``: postings of term ``t`` are
+        ``first[t]:first[t + 1]``; common terms have a row of the matrix, ``column[t]``."""
+        if self.lists is None:
+            n = len(self.ids)
+            order = np.argsort(self.terms, kind="stable")
+            examples = np.repeat(np.arange(n, dtype=np.int32), np.diff(self.start))[order]
+            weights = self.weights[order].astype(np.float32)
+            found = np.bincount(self.terms, minlength=self.size)
+            first = np.concatenate([[0], np.cumsum(found)])
+            common = np.argsort(-found, kind="stable")[:MAX_DENSE]
+            common = common[found[common] * DENSE > n]
+            column = np.full(self.size, -1, np.int64)
+            column[common] = np.arange(len(common))
+            matrix = np.zeros((len(common), -(-n // BLOCK) * BLOCK), np.float32)
+            for c, t in enumerate(common.tolist()):
+                at = slice(first[t], first[t + 1])
+                matrix[c, examples[at]] = weights[at]
+            self.lists = first, examples, weights, column, matrix
+        return self.lists
+
+    def nearest_of(self, queries, k: int, skips):
+        """``(examples, cosines)`` per query, see ``nearest``."""
+        first, examples, weights, column, matrix = self.inverted()
+        queries = [(t[t < self.size], w[t < self.size]) for t, w in queries]
+        dense = np.zeros((len(queries), len(matrix)), np.float32)
+        for row, (t, w) in zip(dense, queries):
+            c = column[t]
+            row[c[c >= 0]] = w[c >= 0]
+        every = dense @ matrix
+        scratch = np.zeros(self.size)
+        out = []
+        for sims, (t, w), skip in zip(every, queries, skips):
+            rare = column[t] < 0
+            start, lengths = first[t[rare]], first[t[rare] + 1] - first[t[rare]]
+            at = ranges(start, lengths)
+            if len(at):
+                sims += np.bincount(examples[at], weights[at] * np.repeat(w[rare], lengths),
+                                    len(sims))
+            if skip is not None:
+                sims[np.searchsorted(self.ids, skip):
+                     np.searchsorted(self.ids, skip, "right")] = 0.0
+            best = sims.reshape(-1, BLOCK).max(axis=1)
+            # as many examples as blocks reach the k-th best block
+            least = np.partition(best, len(best) - k)[len(best) - k] if len(best) >= k else 0.0
+            blocks = np.flatnonzero((best > 0) & (best >= least - SLACK))
+            at = ranges(blocks * BLOCK, np.full(len(blocks), BLOCK))
+            at = at[(sims[at] > 0) & (sims[at] >= least - SLACK)]
+            if len(at) > k:
+                at = at[sims[at] >= np.partition(sims[at], len(at) - k)[len(at) - k] - SLACK]
+            if not len(at):
+                out.append((np.empty(0, np.int64), np.empty(0)))
+                continue
+            scratch[t] = w
+            lengths = self.start[at + 1] - self.start[at]
+            spans = ranges(self.start[at], lengths)
+            exact = np.round(np.add.reduceat(scratch[self.terms[spans]] * self.weights[spans],
+                                             np.cumsum(lengths) - lengths), 9)
+            scratch[t] = 0.0
+            kth = np.partition(exact, len(exact) - k)[len(exact) - k] if len(exact) > k else 0.0
+            near = (exact >= kth) & (exact > 0)
+            out.append((at[near], exact[near]))
+        return out
 
     def nearest(self, terms, weights, k: int, skip: int | None = None):
         """``(examples, cosines)`` of the k nearest, and all as near as the k-th.  ``skip``
         leaves out the examples of that id."""
-        found = [(self.postings[t], q) for t, q in zip(terms.tolist(), weights.tolist())
-                 if t in self.postings]
-        if not found:
-            return np.empty(0, np.int64), np.empty(0)
-        bound = np.zeros(self.blocks)
-        for (_, _, blocks, top, _), q in found:
-            bound[blocks] += q * top
-        best_at, best_sim = [], []
-        kth = 0.0
-        for b in np.argsort(-bound, kind="stable").tolist():
-            if bound[b] <= 0.0 or bound[b] < kth - 1e-9:
-                break
-            sims = np.zeros(BLOCK)
-            for (at, w, _, _, spans), q in found:
-                if b in spans:
-                    lo, hi = spans[b]
-                    sims[at[lo:hi] - b * BLOCK] += q * w[lo:hi]
-            hit = np.flatnonzero(sims)
-            at = hit + b * BLOCK
-            if skip is not None:
-                hit, at = hit[self.ids[at] != skip], at[self.ids[at] != skip]
-            best_at.append(at)
-            best_sim.append(np.round(sims[hit], 9))
-            sims = np.concatenate(best_sim)
-            if len(sims) >= k:
-                kth = float(np.partition(sims, len(sims) - k)[len(sims) - k])
-        at, sims = np.concatenate(best_at), np.concatenate(best_sim)
-        return at[sims >= kth], sims[sims >= kth]
-
-    def vote(self, terms, weights, k: int, skip: int | None = None):
-        """``(vote, neighbours, nearest id, nearest cosine)``; vote None without neighbours."""
-        at, sims = self.nearest(terms, weights, k, skip)
-        if not len(at):
-            return None, 0, None, None
-        top = sims.max()
-        return (float((sims * self.labels[at]).sum() / sims.sum()), len(at),
-                int(self.ids[at][sims == top].min()), float(top))
+        return self.nearest_of([(terms, weights)], k, [skip])[0]
+
+    def votes(self, queries, k: int, skips):
+        """``(vote, neighbours, nearest id, nearest cosine)`` per query; vote None without
+        neighbours."""
+        out = []
+        for at, sims in self.nearest_of(queries, k, skips):
+            if not len(at):
+                out.append((None, 0, None, None))
+                continue
+            top = sims.max()
+            near = (sims / top) ** NEARNESS
+            out.append((float((near * self.labels[at]).sum() / near.sum()), len(at),
+                        int(self.ids[at][sims == top].min()), float(top)))
+        return out
 
 
 def monotone(values: list[float], weights: list[float]) -> list[float]:
@@ -155,22 +252,63 @@ def monotone(values: list[float], weights: list[float]) -> list[float]:
     return [p[0] for p in pools for _ in range(int(p[2]))]
 
 
+class Examples:
+    """Term counts of the labelled rows, small enough to be sent; their index is made from them."""
+
+    def __init__(self, rows, labels, ids):
+        """``rows``: numbers and counts of the terms of every example (32 bits, as bytes)."""
+        self.labels, self.ids = labels, ids
+        self.sizes = np.array([len(t) // 4 for t, _ in rows], np.int64)
+        terms = np.frombuffer(b"".join(t for t, _ in rows), np.int32)
+        self.terms = packed(np.diff(terms, prepend=np.int32(0)))
+        self.counts = packed(np.frombuffer(b"".join(c for _, c in rows), np.int32))
+
+    def index(self, weights: np.ndarray) -> BlockMaxIndex:
+        n = int(self.sizes.sum())
+        terms = np.cumsum(unpacked(self.terms, n), dtype=np.int32)
+        counts = unpacked(self.counts, n)
+        ends = np.cumsum(self.sizes)
+        spans = [slice(a, b) for a, b in zip((ends - self.sizes).tolist(), ends.tolist())]
+        return BlockMaxIndex([(terms[x], unit(terms[x], counts[x], weights)) for x in spans],
+                             self.labels, self.ids)
+
+
 class Model:
-    """Vocabulary, idf, index and calibration curve: all bounded by the fit's parameters."""
+    """Vocabulary, idf, term weights, examples and calibration curve: all bounded by the
+    sample."""
 
-    def __init__(self, vocabulary, idf, index, base, neighbours):
-        self.vocabulary, self.idf, self.index = vocabulary, idf, index
-        self.neighbours, self.empty = neighbours, base
+    def __init__(self, vocabulary, idf, weights, examples, base, neighbours):
+        self.vocabulary, self.idf, self.weights = vocabulary, idf, weights
+        self.examples, self.neighbours = examples, neighbours
         self.curve = [base] * BINS
 
-    def vote(self, text, skip=None):
-        terms, weights = vector(text, self.vocabulary, self.idf)
-        if not len(terms):
-            return None, 0, None, None
-        return self.index.vote(terms, weights, self.neighbours, skip)
+    def __getstate__(self):
+        # every process numbers the words and makes the index for itself
+        state = {k: v for k, v in self.__dict__.items() if k not in ("vocabulary", "idf", "index")}
+        return {**state, "words": packed_words(list(self.vocabulary))}
+
+    def __setstate__(self, state):
+        words = state.pop("words")
+        self.__dict__.update(state)
+        self.vocabulary = numbered_words(*words) if self.examples else {}
+
+    @functools.cached_property
+    def index(self):
+        return self.examples.index(self.weights) if self.examples else None
+
+    def votes(self, texts, skips=None):
+        """``(vote, neighbours, nearest id, nearest cosine)`` of every text."""
+        if self.index is None:
+            return [(None, 0, None, None)] * len(texts)
+        out = []
+        for i in range(0, len(texts), BATCH):
+            queries = [vector(t, self.vocabulary, self.weights) for t in texts[i:i + BATCH]]
+            out += self.index.votes(queries, self.neighbours,
+                                    skips[i:i + BATCH] if skips else [None] * len(queries))
+        return out
 
     def score(self, vote):
-        return self.empty if vote is None else self.curve[min(int(vote * BINS), BINS - 1)]
+        return self.curve[0 if vote is None else min(int(vote * BINS), BINS - 1)]
 
 
 def held_out(id_col: Column) -> Column:
@@ -196,14 +334,16 @@ def examples_of(docs: DataFrame, labels: DataFrame, label_col: str, label_id: st
 
 def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         label_col: str = "toxic", label_id: str = "doc_id", max_examples: int = MAX_EXAMPLES,
-        max_terms: int = MAX_TERMS, neighbours: int = NEIGHBOURS) -> Model:
+        neighbours: int = NEIGHBOURS) -> Model:
     """Learn the model (see the module text)."""
     spark = documents.sparkSession
     small_batches(spark)
     docs = keyed(documents, id_col, text_col)
     rows = cut(examples_of(docs, labels, label_col, label_id, max_examples), "tox-examples")
     n, toxic = rows.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
-    base = (toxic + 0.1) / (n + 1.0)
+    model = Model({}, np.empty(0), np.empty(0), None, (toxic + 0.1) / (n + 1.0), neighbours)
+    if not toxic:
+        return model
 
     def count_terms(batches):
         for b in batches:
@@ -218,58 +358,60 @@ def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
                  pa.array([v[0] for v in seen.values()], pa.int64()),
                  pa.array([v[1] for v in seen.values()], pa.int64())], ["term", "n", "n_toxic"])
 
-    expected = F.col("n") * F.lit(float(toxic) / max(n, 1))
-    chosen = (rows.select(TEXT, "y").mapInArrow(count_terms, "term string, n bigint, n_toxic bigint")
-              .groupBy("term").agg(F.sum("n").alias("n"), F.sum("n_toxic").alias("n_toxic"))
-              .where(F.col("n_toxic") >= MIN_TOXIC_DOCS)
-              .withColumn("chi", (F.col("n_toxic") - expected) / F.sqrt(expected))
-              .where((F.col("chi") >= MIN_CHI) & (F.col("n_toxic") >= 3 * expected))
-              .orderBy(F.desc("chi"), "term").limit(max_terms).collect()) if toxic else []
-    vocabulary = {r.term: i for i, r in enumerate(sorted(chosen, key=lambda r: r.term))}
-    model = Model(vocabulary, np.zeros(len(vocabulary)), None, base, neighbours)
+    # the terms of at most max_examples texts reach the driver
+    terms = (rows.select(TEXT, "y").mapInArrow(count_terms, "term string, n bigint, n_toxic bigint")
+             .groupBy("term").agg(F.sum("n").alias("n"), F.sum("n_toxic").alias("n_toxic"))
+             .toArrow().sort_by("term"))
+    vocabulary = {t: i for i, t in enumerate(terms["term"].to_pylist())}
+    tie = label_tie(terms["n"].to_numpy().astype(float), terms["n_toxic"].to_numpy().astype(float),
+                    toxic / n)
+    del terms
     if not vocabulary:
         return model
+    known = spark.sparkContext.broadcast(packed_words(list(vocabulary)))
 
     def count_documents(batches):
-        total, seen = 0, np.zeros(len(vocabulary), np.int64)
-        flat = np.ones(len(vocabulary))
+        numbers = numbered_words(*known.value)
+        total, seen = 0, np.zeros(len(numbers), np.int64)
         for b in batches:
             total += b.num_rows
             for text in b.column(0).to_pylist():
-                seen[vector(text, vocabulary, flat)[0]] += 1
+                seen[term_numbers(text, numbers)] += 1
         at = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([-1] + at.tolist(), pa.int32()),
-             pa.array([total] + seen[at].tolist(), pa.int64())], ["term", "n"])
-
-    counts = dict(docs.select(TEXT).mapInArrow(count_documents, "term int, n bigint")
-                  .groupBy("term").agg(F.sum("n")).collect())
-    for t in range(len(vocabulary)):
-        model.idf[t] = math.log((1.0 + counts.get(-1, 0)) / (1.0 + counts.get(t, 0))) + 1e-6
-    idf = model.idf
-
-    def vectors(batches):
+            [pa.array(np.concatenate([[-1], at]), pa.int32()),
+             pa.array(np.concatenate([[total], seen[at]]), pa.int64())], ["term", "n"])
+
+    counts = (docs.select(TEXT).mapInArrow(count_documents, "term int, n bigint")
+              .groupBy("term").agg(F.sum("n").alias("n")).toArrow())
+    found = np.zeros(len(vocabulary) + 1, np.int64)      # the last one counts the documents
+    found[counts["term"].to_numpy()] = counts["n"].to_numpy()
+    idf = np.log((1.0 + found[-1]) / (1.0 + found[:-1])) + 1e-6
+    weights = idf * tie
+
+    def counts_of(batches):
+        numbers = numbered_words(*known.value)
         for b in batches:
-            found = [vector(t, vocabulary, idf) for t in b.column(1).to_pylist()]
+            made = [counted(t, numbers) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([v[0] for v in found], pa.list_(pa.int64())),
-                 pa.array([v[1] for v in found], pa.list_(pa.float64())), b.column(2)],
-                [ID, "terms", "weights", "y"])
-
-    # at most max_examples short vectors reach the driver
-    kept = (rows.select(ID, TEXT, "y")
-            .mapInArrow(vectors, f"{ID} bigint, terms array<bigint>, weights array<double>, y int")
-            .where(F.size("terms") > 0).collect())
-    model.index = BlockMaxIndex([(np.array(r.terms, np.int64), np.array(r.weights))
-                                 for r in kept], [r.y for r in kept], [r[ID] for r in kept])
-    n0, toxic0 = n - len(kept), toxic - sum(r.y for r in kept)
-    model.empty = (toxic0 + base * PRIOR_WEIGHT) / (n0 + PRIOR_WEIGHT)
+                [b.column(0), *(pa.array([v[i].astype(np.int32).tobytes() for v in made],
+                                         pa.binary()) for i in (0, 1)), b.column(2)],
+                [ID, "terms", "counts", "y"])
+
+    # at most max_examples rows reach the driver
+    made = (rows.select(ID, TEXT, "y")
+            .mapInArrow(counts_of, f"{ID} bigint, terms binary, counts binary, y int").toArrow())
+    model.examples = Examples([(t.as_py(), c.as_py()) for t, c in zip(made["terms"], made["counts"])],
+                              made["y"].to_pylist(), made[ID].to_pylist())
+    del made
+    known.unpersist()
+    model.vocabulary, model.idf, model.weights = vocabulary, idf, weights
     sent = spark.sparkContext.broadcast(model)
 
     def leave_one_out(batches):
         for b in batches:
             ids, texts, ys = (b.column(i).to_pylist() for i in range(3))
-            votes = [sent.value.vote(t, i)[0] for t, i in zip(texts, ids)]
+            votes = [v[0] for v in sent.value.votes(texts, ids)]
             bins = [-1 if v is None else min(int(v * BINS), BINS - 1) for v in votes]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(bins, pa.int32()), pa.array(ys, pa.int32())], ["bin", "y"])
@@ -297,7 +439,7 @@ def score(documents: DataFrame, model: Model, id_col: str = "doc_id",
     def run(batches):
         m = sent.value
         for b in batches:
-            found = [m.vote(t) for t in b.column(1).to_pylist()]
+            found = m.votes(b.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([m.score(v[0]) for v in found], pa.float64()),
                  pa.array([v[0] for v in found], pa.float64()),
@@ -321,7 +463,8 @@ def with_score(documents: DataFrame, model: Model, text_col: str = "text",
     @F.pandas_udf("double")
     def probability(texts: pd.Series) -> pd.Series:
         m = sent.value
-        return pd.Series([m.score(m.vote(t or "")[0]) for t in texts], dtype="float64")
+        return pd.Series([m.score(v[0]) for v in m.votes([t or "" for t in texts])],
+                         dtype="float64")
 
     return documents.withColumn(out_col, probability(column(text_col).cast("string")))
 

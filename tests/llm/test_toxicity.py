@@ -2,6 +2,7 @@ import math
 import zlib
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tablewise.llm import toxicity as op
@@ -94,3 +95,17 @@ def test_edge_and_empty(spark):
         got = op.score(edge_docs(spark), model).collect()
         assert len(got) == edge_docs(spark).count() and all(0 <= r.score <= 1 for r in got)
     assert op.score(empty_docs(spark), op.fit(empty_docs(spark), labels)).count() == 0
+
+
+@pytest.mark.parametrize("every", [3, 2])
+def test_any_share_of_toxic_labels(spark, every):
+    docs = [(i, "vile word here" if i % every == 0 else "plain text here") for i in range(60)]
+    docs += [(100 + i, "vile") for i in range(40)] + [(200, None), (201, "")]
+    labels = [(i, int(i % every == 0)) for i in range(60)]
+    d = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    model = op.fit(d, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    got = {r.doc_id: r for r in op.score(d, model).collect()}
+    assert all(got[i].score > 0.5 for i in range(0, 60, every)) and got[100].score > 0.5
+    assert all(got[i].score < op.THRESHOLD for i in range(60) if i % every)
+    assert got[200].score == got[201].score == got[1].score
+    assert got[100].nearest_cosine > 0 and got[100].nearest_id % every == 0
