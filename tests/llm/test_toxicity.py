@@ -97,6 +97,26 @@ def test_edge_and_empty(spark):
     assert op.score(empty_docs(spark), op.fit(empty_docs(spark), labels)).count() == 0
 
 
+def test_search_is_exact_with_rare_terms():
+    rng = np.random.default_rng(5)
+    vectors = []
+    for _ in range(1200):
+        t = np.unique(rng.zipf(1.3, 30) % 5000)
+        w = rng.integers(1, 4, len(t)).astype(float)
+        vectors.append((t, w / math.sqrt(w @ w)))
+    index = op.BlockMaxIndex(vectors, [0] * 1200, list(range(1200)))
+    assert 0 < len(index.inverted()[4]) < 5000
+    for i in range(0, 1200, 40):
+        dense = np.zeros(5000)
+        dense[vectors[i][0]] = vectors[i][1]
+        sims = np.round([float(dense[t] @ w) for t, w in vectors], 9)
+        sims[i] = 0
+        kth = np.sort(sims)[-15]
+        at, got = index.nearest(*vectors[i], 15, i)
+        assert set(index.ids[at].tolist()) == set(np.flatnonzero(sims >= kth - 1e-9).tolist())
+        assert np.allclose(got, sims[index.ids[at]], atol=2e-9)
+
+
 @pytest.mark.parametrize("every", [3, 2])
 def test_any_share_of_toxic_labels(spark, every):
     docs = [(i, "vile word here" if i % every == 0 else "plain text here") for i in range(60)]
@@ -109,3 +129,34 @@ def test_any_share_of_toxic_labels(spark, every):
     assert all(got[i].score < op.THRESHOLD for i in range(60) if i % every)
     assert got[200].score == got[201].score == got[1].score
     assert got[100].nearest_cosine > 0 and got[100].nearest_id % every == 0
+
+
+def test_toxic_documents_of_a_rare_language(spark):
+    """Two toxic examples of a small language share no word with the other toxic ones; a third
+    text near them and an exact copy of one are found, plain texts of that language are not."""
+    rng = np.random.default_rng(8)
+    train = [i for i in range(2000) if zlib.crc32(str(i).encode()) % 4 != 2]
+
+    def text(language, words, extra=""):
+        return " ".join(f"{language}{w}" for w in rng.integers(0, 300, words)) + " " + extra
+
+    docs, labels = [], []
+    for at, i in enumerate(train[:300]):
+        toxic = at % 10 == 0
+        docs.append((i, text("en", 30, "idiot loser" if toxic else "")))
+        labels.append((i, int(toxic)))
+    for i in train[300:320]:
+        docs.append((i, text("de", 30)))
+        labels.append((i, 0))
+    copied = text("de", 20, "dummkopf versager")
+    for i, t in zip(train[320:322], (copied, text("de", 20, "dummkopf versager"))):
+        docs.append((i, t))
+        labels.append((i, 1))
+    docs += [(5000, text("de", 20, "dummkopf versager")), (5001, copied), (5002, text("de", 20)),
+             (5003, text("en", 30, "idiot loser")), (5004, text("en", 30))]
+    d = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    model = op.fit(d, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    got = {r.doc_id: r for r in op.score(d, model).collect()}
+    assert len(model.index.ids) == len(labels)
+    assert got[5001].nearest_id == train[320] and got[5001].nearest_cosine == 1
+    assert [int(got[i].score >= op.THRESHOLD) for i in range(5000, 5005)] == [1, 1, 0, 1, 0]
