@@ -208,7 +208,7 @@ def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, percent: int,
     """The pairs ``(a, b)`` that are links: union-sketch estimate, then the full sets."""
     one, two = (reps.select(F.col(ID).alias(x), F.col("sketch").alias(f"s{x}")) for x in "ab")
     hopeful = cut(pairs.distinct().join(one, "a").join(two, "b")
-                  .where(estimate("sa", "sb") >= ESTIMATE).select("a", "b"), "minhash-pairs")
+                  .where(estimate("sa", "sb") >= bounds(percent)[1]).select("a", "b"), "minhash-pairs")
     return cut(compared(hopeful, docs, words).where(is_link(percent)).select("a", "b"),
                "minhash-links")
 
@@ -293,7 +293,9 @@ def family_links(members: DataFrame, links: DataFrame, docs: DataFrame, reps: Da
 def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     percent: int = 80, words: int = WORDS) -> DataFrame:
     """``id_col, n_shingles, component_id, kept`` of every row; documents are linked at a
-    Jaccard similarity of ``percent`` / 100 or more on their shingle sets."""
+    Jaccard similarity of ``percent`` / 100 or more on their shingle sets (a percent that the
+    sketch cannot see, below 40, is an error)."""
+    shared, _ = bounds(percent)
     small_batches(documents.sparkSession)
     docs = keyed(documents, id_col, text_col)
     rows = cut(sketches(docs, words), "minhash-sketches")
@@ -305,7 +307,7 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     members = (rows.where(f"n > 0 and {ID} is not null").select(ID, "c1", "c2", "n")
                .join(classes, ["c1", "c2", "n"]).select(ID, "rep"))
 
-    lists = inverted_lists(reps, percent)
+    lists = inverted_lists(reps, percent, shared=shared)
     alone = F.col(ID).alias("component")
     few = (lists.where(F.col("length") <= SMALL_LIST)
            .select(F.col("v").alias("key"), ID, "n", F.lit(2 ** 62).alias("most"), alone,
@@ -366,4 +368,15 @@ def miss_probability(t: float, k: int = SKETCH, shared: int = SHARED) -> float:
     return sum(math.comb(k, i) * t ** i * (1 - t) ** (k - i) for i in range(shared))
 
 
+def bounds(percent: int) -> tuple[int, float]:
+    """Shared sketch values and estimate that a link of ``percent`` / 100 falls below with a
+    probability of less than 1e-7 (80 and more: SHARED and ESTIMATE)."""
+    if percent >= 80:
+        return SHARED, ESTIMATE
+    safe = [c for c in range(1, SHARED + 1) if miss_probability(percent / 100, shared=c) < 1e-7]
+    if not safe:
+        raise ValueError(f"percent {percent}: a sketch of {SKETCH} values would miss links")
+    return safe[-1], min(ESTIMATE, safe[-1] / SKETCH)
+
+
 __all__ = ["near_duplicates", "sketches", "shingler", "estimate", "miss_probability"]

@@ -1,3 +1,4 @@
+import math
 import random
 
 import pytest
@@ -104,6 +105,24 @@ def test_chance_of_missing_a_link_is_negligible():
     assert op.miss_probability(0.8, shared=int(op.ESTIMATE * op.SKETCH) + 1) < 1e-6
 
 
+def test_bounds_follow_percent(spark):
+    assert op.bounds(80) == op.bounds(100) == (op.SHARED, op.ESTIMATE)
+    assert op.miss_probability(0.5, shared=int(op.ESTIMATE * op.SKETCH) + 1) > 0.1
+    for percent in range(40, 80):
+        shared, least = op.bounds(percent)
+        assert op.miss_probability(percent / 100, shared=shared) < 1e-7
+        assert op.miss_probability(percent / 100, shared=math.ceil(least * op.SKETCH)) < 1e-7
+    with pytest.raises(ValueError):
+        op.near_duplicates(empty_docs(spark), percent=30)
+    rng = random.Random(4)                     # pairs of long sets of similarity 0.5
+    rows = []
+    for i in range(60):
+        w = [f"w{rng.randrange(10 ** 9)}" for _ in range(600)]
+        rows += [(2 * i, " ".join(w[:453])), (2 * i + 1, " ".join(w[151:]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert run(df, percent=49) == brute(rows, 49)
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(0, 40)] + [(100, i) for i in range(101, 160)] + [
         (200, 201), (201, 200), (300, 300), (159, 90)]
