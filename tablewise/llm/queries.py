@@ -1,6 +1,6 @@
 """All corpus queries: importing the operator modules fills the registries."""
 
-from tablewise.llm import (bpe, decontaminate, language_id, license_scan, minhash_dedup,
+from tablewise.llm import (bpe, centroid_clustering, decontaminate, language_id, license_scan, minhash_dedup,
                            substring_dedup, suffix_dedup, token_output, toxicity, winnowing)
 from tablewise.llm.common import ORACLES, QUERIES
 
