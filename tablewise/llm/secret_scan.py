@@ -27,6 +27,7 @@ with their length.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -77,9 +78,14 @@ SCOPE_END = r"\n[\x20\t\r]*\n"       # a blank line
 BREAK = -1                           # kind number of a scope's end
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed once, however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def running_sums(v: Column) -> Column:
     """Running sums of an int array, block by block: appending to one long array would copy it
-    for every entry."""
+    for every entry.  Null for an empty or null array."""
     zero = F.lit(0).cast("int")
 
     def scan(x: Column, start: Column) -> Column:
@@ -88,11 +94,17 @@ def running_sums(v: Column) -> Column:
             (s["at"] + n).alias("at"), F.array_append(s["out"], s["at"] + n).alias("out")),
             lambda s: s["out"])
 
-    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(v) - 1) / BLOCK).cast("int")),
-                         lambda b: F.slice(v, b * BLOCK + 1, F.lit(BLOCK)))
-    totals = F.transform(blocks, lambda x: F.aggregate(x, zero, lambda a, n: a + n))
-    before = F.zip_with(scan(totals, zero), totals, lambda a, n: a - n)
-    return F.when(F.size(v) > 0, F.flatten(F.zip_with(blocks, before, scan)))
+    def blocks(x: Column) -> Column:
+        last = F.floor((F.size(x) - 1) / BLOCK).cast("int")
+        return F.transform(F.sequence(F.lit(0), last),
+                           lambda b: F.slice(x, b * BLOCK + 1, F.lit(BLOCK)))
+
+    def joined(parts: Column) -> Column:
+        totals = F.transform(parts, lambda x: F.aggregate(x, zero, lambda a, n: a + n))
+        before = _let(totals, lambda t: F.zip_with(scan(t, zero), t, lambda a, n: a - n))
+        return F.flatten(F.zip_with(parts, before, scan))
+
+    return F.when(F.size(v) > 0, _let(v, lambda x: _let(blocks(x), joined)))
 
 
 def _places(rows: DataFrame, text: str, patterns: dict[int, str]) -> DataFrame:
@@ -104,8 +116,8 @@ def _places(rows: DataFrame, text: str, patterns: dict[int, str]) -> DataFrame:
         F.split(F.col(text), p, -1), f"m{n}",
         lambda gap, m: F.when(m.isNotNull(), F.length(gap) + F.length(m)))).alias(f"l{n}")
         for n, p in patterns.items()])
-    rows = rows.select("*", *[running_sums(F.slice(f"l{n}", F.lit(1), F.size(f"m{n}"))).alias(f"e{n}")
-                              for n in patterns])
+    rows = rows.select("*", *[F.when(F.size(f"m{n}") > 0, running_sums(
+        F.slice(f"l{n}", F.lit(1), F.size(f"m{n}")))).alias(f"e{n}") for n in patterns])
     return rows.select(*keep, *[F.zip_with(f"e{n}", f"m{n}", lambda e, m: F.struct(
         (e - F.length(m)).alias("start"), e.alias("end"), m.alias("match"))).alias(f"p{n}")
         for n in patterns])
