@@ -11,14 +11,20 @@ decisions are taken from the schema plus one small aggregate, and the encoding i
 * B15      array -> ``size`` (null stays missing)
 * B16      timestamps: excluded by default (in a day-vs-day test the time column gives
            the label away); ``time_as_category=True`` formats them as text categories
-* B17      categories, two encodings.  ``encoding="rate"`` (the drift model): every value of
+* B17      categories, three encodings.  ``encoding="rate"``: every value of
            every text column counts; a value becomes the smoothed share of label-1 rows
            among the training rows that have it (for a training row: those of the other
            folds), joined from a ``(column, value)`` table.  ``encoding="codes"``: the
            ``max_categories`` most frequent values (count desc, value asc) keep a code, the
-           rest share ``other``, null has its own; the column carries nominal metadata
+           rest share ``other``, null has its own; the column carries nominal metadata.
+           ``encoding="native"`` (the drift model, whose trees split categories themselves): a
+           text column with at most ``NATIVE_CATEGORIES`` values, and ``ROWS_PER_CATEGORY``
+           rows for each on average, has a code for every one of them and null for null; a
+           column with more values, or too few rows to tell them apart, gets its (smoothed)
+           label rates
 * B18      numeric nulls and NaNs: filled with 0 plus a 0/1 ``<col>__isnull`` indicator, both
-           attributed to the source column
+           attributed to the source column; with ``native`` they stay null and the trees learn
+           the side of missing rows
 """
 
 from __future__ import annotations
@@ -49,6 +55,7 @@ class FeaturePlan:
     rated: list = field(default_factory=list)          # text columns encoded by label rate
     slots: list = field(default_factory=list)          # (slot name, source column)
     distinct_ratio: dict = field(default_factory=dict)  # text column -> approx distinct / rows
+    native: bool = False                               # missing stays null, codes for all values
 
     @property
     def slot_names(self):
@@ -98,6 +105,8 @@ def category_table(df: DataFrame, columns, k: int = 62) -> DataFrame:
 
 
 FOLDS = 5
+NATIVE_CATEGORIES = 254      # codes that fit a byte beside the mark of missing rows
+ROWS_PER_CATEGORY = 20       # fewer rows a value: free subsets of values would fit noise
 
 
 def value_text(c: Column) -> Column:
@@ -192,8 +201,20 @@ def plan_features(df: DataFrame, label_col: str = "label", exclude=(), exclude_p
         if kind in ("num", "bool", "array") and stats.get(f"nn::{name}", rows) < rows:
             plan.null_flags.append(name)
 
+    plan.native = encoding == "native"
+    if plan.native:
+        plan.null_flags = []
     if cat_cols and encoding == "rate":
         plan.rated = cat_cols
+    elif cat_cols and plan.native:
+        src = df.select(*[_text_of(df, c, plan) for c in cat_cols])
+        found = {c: [] for c in cat_cols}
+        most = min(NATIVE_CATEGORIES, rows // ROWS_PER_CATEGORY)
+        # one value more than fits tells a column that has too many
+        for r in category_table(src, cat_cols, most + 1).orderBy("column", "code").collect():
+            found[r["column"]].append(r["value"])
+        plan.categorical = {c: v for c, v in found.items() if len(v) <= most}
+        plan.rated = [c for c in cat_cols if c not in plan.categorical]
     elif cat_cols:
         src = df.select(*[_text_of(df, c, plan) for c in cat_cols])
         plan.categorical = {c: [] for c in cat_cols}
@@ -235,8 +256,15 @@ def category_code(c: Column, values) -> Column:
              .otherwise(F.lit(float(m))))
 
 
+def native_code(c: Column, values) -> Column:
+    """Position of a value in ``values`` (0-based), null for null and for any other value."""
+    known = F.array(*[F.lit(v) for v in values]) if values else F.array().cast("array<string>")
+    return F.nullif(F.array_position(known, c), F.lit(0)).cast("double") - 1.0
+
+
 def feature_columns(df: DataFrame, plan: FeaturePlan) -> list:
-    """The encoded slot columns (doubles; categories with nominal metadata)."""
+    """The encoded slot columns (doubles; categories of the ``codes`` encoding with nominal
+    metadata)."""
     out = []
     for slot, src in plan.slots:
         c = present(df, src)
@@ -252,6 +280,8 @@ def feature_columns(df: DataFrame, plan: FeaturePlan) -> list:
         elif src in plan.numeric:
             d = c.cast("double")
             out.append((F.coalesce(d, F.lit(0.0)) if src in plan.null_flags else d).alias(slot))
+        elif plan.native:
+            out.append(native_code(_text_of(df, src, plan), plan.categorical[src]).alias(slot))
         else:
             values = plan.categorical[src]
             text = _text_of(df, src, plan)
@@ -273,5 +303,5 @@ def encode(df: DataFrame, plan: FeaturePlan, keep=(), vector_col: str | None = "
 
 
 __all__ = ["FeaturePlan", "plan_features", "encode", "feature_columns", "category_table", "label_rates",
-           "with_rates", "value_text", "FOLDS",
+           "with_rates", "value_text", "FOLDS", "NATIVE_CATEGORIES",
            "category_code", "OTHER", "NULL"]

@@ -1,172 +1,148 @@
-"""SHAP values of a Spark GBT classifier (M9) and their mean absolute value.
+"""SHAP values of boosted trees (M9) and their mean absolute value.
 
-Path-dependent TreeSHAP (Lundberg et al. 2018) in its per-leaf form.  For a leaf with
-value v whose path splits on the distinct features U (d = |U|):
+Path-dependent TreeSHAP (Lundberg et al. 2018), leaf by leaf.  For a leaf with value v whose path
+splits on the distinct slots U (d = |U|):
 
-* z_j  = product of cover(child) / cover(parent) over the path's splits on feature j
-* o_j  = 1 when the row meets every condition of the path on feature j, else 0
+* z_j  = product of cover(child) / cover(parent) over the path's splits on slot j
+* o_j  = 1 when the row meets every condition of the path on slot j, else 0
 
-and the leaf adds to feature i in U
+and the leaf adds to slot i in U
 
     v * (o_i - z_i) * sum_{S subset of U - i} |S|! (d - |S| - 1)! / d!
                       * prod_{j in S} o_j * prod_{j in U - S - i} z_j
 
-The inner sum is a polynomial product over j != i - (z_j + t) when o_j = 1, z_j when
-o_j = 0 - evaluated for a whole batch of rows at once with NumPy (d <= max depth).
+That number depends on the row only through its pattern of d bits (o_j).  So it is worked out once
+per leaf for all 2^d patterns, on the driver.  A row's bins give its pattern by d table look-ups
+and additions, and the pattern gives the contributions; a batch of rows costs d look-ups per leaf.
+d is at most the depth (``MAX_DEPTH`` bounds the tables).
 
-The trees (bounded: trees x 2^(depth+1) nodes) are written once by Spark to the shared
-folder, read back, and shipped to the tasks with the closure; rows are never moved to
-the driver.  Values are in log-odds units: Spark's GBT margin is sum(w_t * tree_t) and
-P(1) = 1 / (1 + exp(-2 margin)), so leaf values are scaled by 2 w_t.  Per row,
-sum(phi) + expected_value == 2 * margin.
+Values are in log-odds units: per row, sum(phi) + expected_value == margin.  Rows are never moved
+to the driver.
 """
 
 from __future__ import annotations
 
 import sys
+from dataclasses import dataclass
 from math import factorial
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
+from tablewise.operators import boosting
+from tablewise.operators.boosting import WIDTH, BoostedTrees, Tree, slot_columns
 from tablewise.operators.profile import qcol
-from tablewise.session import shared_dir
 
 # Type and metric name of the SHAP rows of the metric table.
 SHAP_TYPE = "SHAP"
 SHAP_METRIC = "shap_mean_abs"
 
+MAX_DEPTH = 12               # a leaf's table has at most 2^12 patterns
+
+
+@dataclass
+class Leaf:
+    """``bits[k][bin]`` is 2^k if a bin of slot ``slots[k]`` meets the path, else 0;
+    ``table[pattern, k]`` is what the leaf adds to that slot."""
+    slots: list
+    bits: np.ndarray
+    table: np.ndarray
+    expected: float
+
+
+def pattern_table(value: float, z: np.ndarray) -> np.ndarray:
+    """Contributions to each of d slots for all 2^d patterns (2^d x d)."""
+    d = len(z)
+    o = (np.arange(1 << d)[:, None] >> np.arange(d) & 1).astype(float)
+    weight = np.array([factorial(s) * factorial(d - s - 1) / factorial(d) for s in range(d)])
+    out = np.empty((1 << d, d))
+    for i in range(d):
+        # coefficients by |S| of the product over j <> i of (z_j + o_j t)
+        c = np.zeros((1 << d, d))
+        c[:, 0] = 1.0
+        for j in range(d):
+            if j != i:
+                more = c * z[j]
+                more[:, 1:] += o[:, j:j + 1] * c[:, :-1]
+                c = more
+        out[:, i] = value * (o[:, i] - z[i]) * (c @ weight)
+    return out
+
 
-def load_trees(model, spark) -> list:
-    """Nodes of every tree: list (per tree) of dict id -> node tuple."""
-    path = shared_dir(spark, "gbt-model")
-    model.write().save(path)
-    rows = spark.read.parquet(f"{path}/data").select(
-        "treeID", "nodeData.id", "nodeData.prediction", "nodeData.rawCount",
-        "nodeData.leftChild", "nodeData.rightChild", "nodeData.split.featureIndex",
-        "nodeData.split.leftCategoriesOrThreshold", "nodeData.split.numCategories").collect()
-    trees: dict = {}
-    for r in rows:
-        trees.setdefault(r["treeID"], {})[r["id"]] = (
-            float(r["prediction"]), float(r["rawCount"]), int(r["leftChild"]),
-            int(r["rightChild"]), int(r["featureIndex"]),
-            [float(x) for x in (r["leftCategoriesOrThreshold"] or [])], int(r["numCategories"]))
-    return [trees[k] for k in sorted(trees)]
-
-
-def leaf_paths(tree: dict, scale: float) -> list:
-    """Per leaf: (value, [(feature, z, [(kind, arg, goes_left)]) ...])."""
+def leaves_of(tree: Tree) -> list[Leaf]:
+    """Every leaf with its pattern table."""
     out = []
 
-    def walk(node_id, conds):
-        pred, cover, left, right, feat, arg, ncat = tree[node_id]
-        if left < 0:
-            by_feat: dict = {}
-            for f, z, cond in conds:
-                zf, cl = by_feat.get(f, (1.0, []))
-                by_feat[f] = (zf * z, cl + [cond])
-            out.append((pred * scale, [(f, z, cl) for f, (z, cl) in by_feat.items()]))
+    def walk(node: int, path: dict):
+        if tree.slot[node] < 0:
+            slots = list(path)
+            z = np.array([path[s][0] for s in slots])
+            bits = np.array([path[s][1].astype(np.uint16) << k for k, s in enumerate(slots)],
+                            np.uint16).reshape(len(slots), WIDTH)
+            value = float(tree.value[node])
+            out.append(Leaf(slots, bits, pattern_table(value, z), value * float(np.prod(z))))
             return
-        kind = "cat" if ncat >= 0 else "num"
-        a = arg if kind == "cat" else arg[0]
-        for child, goes_left in ((left, True), (right, False)):
-            ccover = tree[child][1]
-            z = ccover / cover if cover > 0 else 0.0
-            walk(child, conds + [(feat, z, (kind, a, goes_left))])
-
-    walk(0, [])
+        slot = int(tree.slot[node])
+        share, meets = path.get(slot, (1.0, np.ones(WIDTH, bool)))
+        for child, side in ((tree.left[node], tree.goes_left[node]),
+                            (tree.right[node], ~tree.goes_left[node])):
+            part = float(tree.cover[child] / tree.cover[node]) if tree.cover[node] > 0 else 0.0
+            walk(int(child), {**path, slot: (share * part, meets & side)})
+
+    walk(0, {})
     return out
 
 
-def _meets(x: np.ndarray, cond) -> np.ndarray:
-    kind, arg, goes_left = cond
-    if kind == "num":
-        left = x <= arg
-    else:
-        left = np.isin(x, np.asarray(arg, dtype=float))
-    return left if goes_left else ~left
-
-
-def tree_shap(X: np.ndarray, model_leaves: list) -> tuple:
-    """phi (n x m) and expected value for a batch ``X`` (n x m) of feature rows."""
-    n, m = X.shape
-    phi = np.zeros((n, m))
+def tree_shap(bins: np.ndarray, leaves: list[Leaf]) -> tuple[np.ndarray, float]:
+    """``phi`` (slots x rows) and the expected value, for rows given by their bins."""
+    phi = np.zeros(bins.shape)
     expected = 0.0
-    for leaves in model_leaves:
-        for value, feats in leaves:
-            d = len(feats)
-            zs = np.array([z for _, z, _ in feats])
-            expected += value * float(np.prod(zs)) if d else value
-            if d == 0:
-                continue
-            O = np.ones((n, d))
-            for k, (f, _, conds) in enumerate(feats):
-                ok = np.ones(n, dtype=bool)
-                for c in conds:
-                    ok &= _meets(X[:, f], c)
-                O[:, k] = ok
-            w = np.array([factorial(s) * factorial(d - s - 1) / factorial(d) for s in range(d)])
-            for i in range(d):
-                c = np.zeros((n, d))
-                c[:, 0] = 1.0
-                for j in range(d):
-                    if j == i:
-                        continue
-                    nxt = c * zs[j]
-                    nxt[:, 1:] += O[:, j:j + 1] * c[:, :-1]
-                    c = nxt
-                total = c @ w
-                phi[:, feats[i][0]] += value * (O[:, i] - zs[i]) * total
+    for leaf in leaves:
+        expected += leaf.expected
+        if not leaf.slots:
+            continue
+        pattern = leaf.bits[0][bins[leaf.slots[0]]]
+        for bit, slot in zip(leaf.bits[1:], leaf.slots[1:]):
+            pattern = pattern + bit[bins[slot]]
+        for k, slot in enumerate(leaf.slots):
+            phi[slot] += leaf.table[pattern, k]
     return phi, expected
 
 
-def model_leaves(model, spark) -> list:
-    trees = load_trees(model, spark)
-    weights = list(model.treeWeights)
-    return [leaf_paths(t, 2.0 * w) for t, w in zip(trees, weights)]
-
-
-def shap_values(df: DataFrame, model, slot_names, slot_sources, keep=(), spark=None) -> DataFrame:
-    """M9: per row of ``df`` the SHAP value of every *source* column (slots of one column,
-    e.g. value + null indicator, are summed), plus ``expected_value`` and ``log_odds``.
-
-    ``df`` must hold the slot columns (doubles).  Runs as ``mapInPandas``: Spark splits
-    and schedules the rows, NumPy works a batch at a time.
-    """
-    spark = spark or df.sparkSession
-    # the batch function and the helpers it calls travel by value: Python workers need
-    # numpy and pandas, not this package on their path
-    from pyspark import cloudpickle
-    cloudpickle.register_pickle_by_value(sys.modules[__name__])
-    leaves = model_leaves(model, spark)
+def shap_values(df: DataFrame, model: BoostedTrees, slot_sources, keep=()) -> DataFrame:
+    """M9: per row of ``df`` (slot columns as doubles) the ``keep`` columns, ``shap``: the value of
+    every *source* column (slots of one column are summed), ``expected_value``, ``log_odds``."""
+    for module in (sys.modules[__name__], boosting):
+        cloudpickle.register_pickle_by_value(module)   # workers need not have this package
+    leaves = [leaf for t in model.trees for leaf in leaves_of(t)]
     sources = list(dict.fromkeys(slot_sources))
-    src_index = np.array([sources.index(s) for s in slot_sources])
-    keep = list(keep)
-    keep_fields = [df.schema[k] for k in keep]
-    out_schema = StructType(keep_fields + [
-        StructField("shap", ArrayType(DoubleType()), False),
-        StructField("expected_value", DoubleType(), False),
-        StructField("log_odds", DoubleType(), False)])
-    slots = list(slot_names)
+    index = np.array([sources.index(s) for s in slot_sources])
+    keep, slots = list(keep), list(model.slots)
+    sent = df.sparkSession.sparkContext.broadcast(leaves)    # trees x 2^depth small tables
 
     def run(batches):
-        for pdf in batches:
-            if pdf.empty:
+        for b in batches:
+            if not b.num_rows:
                 continue
-            X = pdf[slots].to_numpy(dtype=float)
-            phi, base = tree_shap(X, leaves)
-            per_src = np.zeros((X.shape[0], len(sources)))
-            np.add.at(per_src.T, src_index, phi.T)
-            res = pdf[keep].copy() if keep else pd.DataFrame(index=pdf.index)
-            res["shap"] = list(per_src)
-            res["expected_value"] = base
-            res["log_odds"] = phi.sum(axis=1) + base
-            yield res
-
-    return df.select(*[qcol(c) for c in keep + slots]).mapInPandas(run, out_schema)
+            phi, expected = tree_shap(model.bins_of(slot_columns(b, slots)), sent.value)
+            per = np.zeros((len(sources), b.num_rows))
+            np.add.at(per, index, phi)
+            base = expected + model.base
+            values = pa.FixedSizeListArray.from_arrays(pa.array(per.T.ravel()), len(sources))
+            yield pa.RecordBatch.from_arrays(
+                [*(b.column(k) for k in keep), values.cast(pa.list_(pa.float64())),
+                 pa.array(np.full(b.num_rows, base)), pa.array(per.sum(axis=0) + base)],
+                [*keep, "shap", "expected_value", "log_odds"])
+
+    schema = StructType([df.schema[k] for k in keep] + [
+        StructField("shap", ArrayType(DoubleType()), False),
+        StructField("expected_value", DoubleType(), False),
+        StructField("log_odds", DoubleType(), False)])
+    return df.select(*[qcol(c) for c in dict.fromkeys([*keep, *slots])]).mapInArrow(run, schema)
 
 
 def mean_abs_shap(shap_df: DataFrame, sources, table: str, ts=None,
@@ -185,5 +161,5 @@ def mean_abs_shap(shap_df: DataFrame, sources, table: str, ts=None,
                       F.lit(SHAP_METRIC).alias("metric"), F.col("value").cast("double"))
 
 
-__all__ = ["load_trees", "leaf_paths", "tree_shap", "model_leaves", "shap_values",
-           "mean_abs_shap", "SHAP_TYPE", "SHAP_METRIC"]
+__all__ = ["Leaf", "pattern_table", "leaves_of", "tree_shap", "shap_values", "mean_abs_shap",
+           "SHAP_TYPE", "SHAP_METRIC", "MAX_DEPTH"]

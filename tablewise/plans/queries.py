@@ -8,6 +8,7 @@ so that the compare does not depend on float summation order or time units.
 from __future__ import annotations
 
 import datetime as dt
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -762,6 +763,8 @@ def roc_auc_q(spark, sf_dir):
 # A trained model has no SQL equivalent: its numbers are compared with bounds, recomputed
 # from the scored rows, or checked row by row; everything around it is compared as it is.
 
+from tablewise.operators.boosting import (MISSING, BoostedTrees, gradient_table,  # noqa: E402
+                                          quantile_edges, root_split)
 from tablewise.operators.drift import DriftParams, drift_model  # noqa: E402
 from tablewise.plans.jobs import RunConfig, drift_report, quality_report, table_report  # noqa: E402
 
@@ -843,10 +846,122 @@ def shap_mean_abs_q(spark, sf_dir):
         v for c, v in mean.items() if c not in ("value", "event_type"))
     rows = res.shap.join(res.scored.select("event_id", "margin"), "event_id")
     total = F.aggregate("shap", F.col("expected_value"), lambda a, x: a + x)
-    return rows.select("event_id", (F.abs(total - 2 * F.col("margin")) < 1e-6).alias("additive"),
+    return rows.select("event_id", (F.abs(total - F.col("margin")) < 1e-6).alias("additive"),
                        F.lit(lead).alias("injected_lead"))
 
 
+# A table with numbers, categories and missing values for the trees: ``late`` is the label, one row
+# in five is a test row, and ``known_price`` is missing for some rows of the later ones.
+_TREE_ROWS_SQL = f"""
+SELECT *, CASE WHEN l_shipdate >= TIMESTAMP '1999-01-01' THEN 1 ELSE 0 END AS late,
+       {uhash_sql('l_orderkey', 'tree-test')} < {TEST_SHARE} AS is_test,
+       CASE WHEN NOT (l_shipdate >= TIMESTAMP '1999-01-01' AND l_quantity > 30) THEN l_tax END
+         AS known_tax,
+       CAST(CAST(l_quantity AS INT) % 23 AS VARCHAR) AS lot
+FROM lineitem"""
+
+
+def _tree_rows(spark, sf_dir):
+    li = load(spark, sf_dir, "lineitem")
+    late = F.col("l_shipdate") >= F.lit("1999-01-01").cast(li.schema["l_shipdate"].dataType)
+    return li.withColumns({
+        "late": late.cast("int"),
+        "is_test": unit_hash("l_orderkey", "tree-test") < TEST_SHARE,
+        "known_tax": F.when(~(late & (F.col("l_quantity") > 30)), F.col("l_tax")),
+        "lot": (F.col("l_quantity").cast("int") % 23).cast("string")})
+
+
+def _tree_model(rows, plan):
+    """A model without trees: the margin is the log-odds of the label share."""
+    train = rows.where("not is_test")
+    share = train.agg(F.avg("late")).first()[0]
+    category = [c in plan.categorical for c in plan.slot_sources]
+    data = encode(rows, plan, keep=["late", "is_test"], vector_col=None)
+    edges = quantile_edges(data.where("not is_test"), plan.slot_names, category)
+    return data, BoostedTrees(plan.slot_names, edges, math.log(share / (1.0 - share)), [])
+
+
+def _tree_plan(rows, *columns):
+    return plan_features(rows.select("late", "is_test", *columns), label_col="late",
+                         keep=["is_test"], encoding="native")
+
+
+@register("gradient_histogram", f"""
+WITH t AS (SELECT * FROM ({_TREE_ROWS_SQL}) AS r WHERE NOT is_test),
+p AS (SELECT avg(late) AS p FROM t),
+v AS (SELECT 'l_linenumber' AS slot, CAST(l_linenumber AS VARCHAR) AS bin, late FROM t
+      UNION ALL SELECT 'known_tax', coalesce(CAST(known_tax AS VARCHAR), 'missing'), late FROM t
+      UNION ALL SELECT 'lot', lot, late FROM t
+      UNION ALL SELECT 'l_returnflag', l_returnflag, late FROM t)
+SELECT slot, bin, round(sum(p - late), 4) AS gradient, round(sum(p * (1 - p)), 4) AS hessian
+FROM v, p GROUP BY slot, bin
+""")
+def gradient_histogram(spark, sf_dir):
+    """M1: gradient and hessian sums per slot and bin at the root, bins by their values."""
+    rows = _tree_rows(spark, sf_dir)
+    plan = _tree_plan(rows, "l_linenumber", "known_tax", "lot", "l_returnflag")
+    data, model = _tree_model(rows, plan)
+    names = []
+    for slot, edges in zip(model.slots, model.edges):
+        values = (plan.categorical[slot] if edges is None else
+                  [str(int(e)) if slot == "l_linenumber" else str(float(e)) for e in edges])
+        names += [(slot, i, v) for i, v in enumerate(values)] + [(slot, MISSING, "missing")]
+    table = gradient_table(data, model, "late", "is_test")
+    return table.withColumnRenamed("bin", "number").join(F.broadcast(spark.createDataFrame(
+        names, "slot string, number int, bin string")), ["slot", "number"]).select(
+        "slot", "bin", F.round("gradient", 4).alias("gradient"), F.round("hessian", 4).alias("hessian"))
+
+
+@register("category_split_gain", f"""
+WITH t AS (SELECT * FROM ({_TREE_ROWS_SQL}) AS r WHERE NOT is_test),
+p AS (SELECT avg(late) AS p FROM t),
+c AS (SELECT lot, sum(p - late) AS g, sum(p * (1 - p)) AS h FROM t, p GROUP BY lot),
+s AS (SELECT lot, g, h, sum(g) OVER w AS lg, sum(h) OVER w AS lh, sum(g) OVER () AS tg,
+             sum(h) OVER () AS th, row_number() OVER w AS n
+      FROM c WINDOW w AS (ORDER BY g / h)),
+x AS (SELECT *, 0.5 * (lg * lg / (lh + 1) + (tg - lg) * (tg - lg) / (th - lh + 1)
+                       - tg * tg / (th + 1)) AS gain FROM s WHERE lh >= 1 AND th - lh >= 1),
+b AS (SELECT arg_max(n, gain) AS n, max(gain) AS gain FROM x)
+SELECT string_agg(lot, ',' ORDER BY lot) AS left_values, round(any_value(b.gain), 6) AS gain
+FROM s, b WHERE s.n <= b.n
+""")
+def category_split_gain(spark, sf_dir):
+    """The best subset of a category's values, by the order of gradient / hessian."""
+    rows = _tree_rows(spark, sf_dir)
+    plan = _tree_plan(rows, "lot")
+    data, model = _tree_model(rows, plan)
+    split = root_split(data, model, "late", "is_test")
+    left = sorted(v for i, v in enumerate(plan.categorical["lot"]) if split.goes_left[i])
+    return spark.createDataFrame([(",".join(left), round(split.gain, 6))],
+                                 "left_values string, gain double")
+
+
+@register("missing_direction", f"""
+WITH t AS (SELECT * FROM ({_TREE_ROWS_SQL}) AS r WHERE NOT is_test),
+p AS (SELECT avg(late) AS p FROM t),
+c AS (SELECT known_tax AS x, sum(p - late) AS g, sum(p * (1 - p)) AS h FROM t, p GROUP BY known_tax),
+m AS (SELECT coalesce(sum(g) FILTER (x IS NULL), 0) AS mg, coalesce(sum(h) FILTER (x IS NULL), 0) AS mh,
+             sum(g) AS tg, sum(h) AS th FROM c),
+s AS (SELECT x, sum(g) OVER (ORDER BY x) AS lg, sum(h) OVER (ORDER BY x) AS lh FROM c WHERE x IS NOT NULL),
+k AS (SELECT x, side, lg + CASE WHEN side THEN mg ELSE 0 END AS lg,
+             lh + CASE WHEN side THEN mh ELSE 0 END AS lh, tg, th
+      FROM s, m, (VALUES (false), (true)) AS d(side)),
+b AS (SELECT x, side, 0.5 * (lg * lg / (lh + 1) + (tg - lg) * (tg - lg) / (th - lh + 1)
+                             - tg * tg / (th + 1)) AS gain
+      FROM k WHERE lh >= 1 AND th - lh >= 1)
+SELECT x AS threshold, side AS missing_left, round(gain, 6) AS gain
+FROM b ORDER BY gain DESC LIMIT 1
+""")
+def missing_direction(spark, sf_dir):
+    """The best threshold of a column with nulls, and the side on which they are better."""
+    rows = _tree_rows(spark, sf_dir)
+    data, model = _tree_model(rows, _tree_plan(rows, "known_tax"))
+    split = root_split(data, model, "late", "is_test")
+    bound = float(model.edges[0][split.goes_left[:MISSING].sum() - 1])
+    return spark.createDataFrame([(bound, bool(split.goes_left[MISSING]), round(split.gain, 6))],
+                                 "threshold double, missing_left boolean, gain double")
+
+
 def _events_cfg(**kw):
     base = dict(table="events", ts_col="ts", key="event_id", grain="day", n_days=3,
                 sample_frac=SAMPLE_FRAC, seed=SEED, max_depth=4, run_ts=RUN_TS, path="events")
