@@ -3,10 +3,14 @@
 The rank file is read once on the driver and travels to the tasks as bytes (a vocabulary
 file has a fixed size, independent of the corpus).  Long texts are encoded in segments that
 end where no match of the split pattern can cross: before white space that follows other
-text.  Decoding joins the raw bytes of the ids, so no text is lost to replacement characters.
+text.  A run of white space longer than a segment is one match by the pattern (all of it at the
+end of a text, else all but its last character, which goes with what follows); its bytes are
+merged by the ranks as one piece, as the library's regex engine has not the stack for it.
+Decoding joins the raw bytes of the ids, so no text is lost to replacement characters.
 
 Defined results: a null text is the empty text (no ids, no bytes); special-token strings in
-a text are ordinary text; repeated rows give repeated results; a null id stays null.
+a text are ordinary text; repeated rows give repeated results; a null id stays null; texts of
+any length, of one character class too, are encoded whole.
 """
 
 from __future__ import annotations
@@ -26,9 +30,14 @@ SEGMENT_CHARS = 1 << 16
 ASCII_SPACE = re.compile(r"[ \t\n\r\x0b\x0c]")
 
 
-def segments(text: str, size: int = SEGMENT_CHARS):
+# fixed values: the characters that the split pattern's \s matches
+WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
+def segments(text: str, size: int | None = None):
     """Pieces of a long text, cut only before ASCII white space that follows a character
     which is not white space; no match of the split pattern spans such a place."""
+    size = size or SEGMENT_CHARS
     start, n = 0, len(text)
     while n - start > size:
         end = None
@@ -53,11 +62,33 @@ def codec(rank_bytes: bytes, pattern: str):
     def encode(text: str) -> list[int]:
         if len(text) <= SEGMENT_CHARS:
             return coder.encode_ordinary(text)
-        return [i for part in segments(text) for i in coder.encode_ordinary(part)]
+        ids: list[int] = []
+        for part, is_white in without_long_runs(text):
+            if is_white:
+                ids += coder._encode_single_piece(part.encode())
+            else:
+                for segment in segments(part):
+                    ids += coder.encode_ordinary(segment)
+        return ids
 
     return encode, coder.decode_bytes
 
 
+def without_long_runs(text: str, size: int | None = None):
+    """``(part, is white space)`` in order: runs of more than ``size`` white-space characters as the
+    split pattern takes them (without their last character if text follows), and the rest."""
+    size = size or SEGMENT_CHARS
+    start = 0
+    for m in re.finditer(f"[{WHITE}]{{{size + 1},}}", text):
+        end = m.end() if m.end() == len(text) else m.end() - 1
+        if start < m.start():
+            yield text[start:m.start()], False
+        yield text[m.start():end], True
+        start = end
+    if start < len(text):
+        yield text[start:], False
+
+
 def read_rank_file(path: str) -> bytes:
     with open(path, "rb") as f:
         return f.read()
@@ -144,4 +175,4 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(load(spark, sf_dir, "documents"), path, pattern)
 
 
-__all__ = ["encode", "decode", "round_trip", "segments", "codec", "default_rank_file"]
+__all__ = ["encode", "decode", "round_trip", "segments", "without_long_runs", "codec", "default_rank_file"]

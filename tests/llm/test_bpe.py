@@ -49,6 +49,38 @@ def test_segments_do_not_change_ids(coder, text):
         assert [i for p in parts for i in coder.encode_ordinary(p)] == coder.encode_ordinary(text)
 
 
+def by_definition(coder, text):
+    """Every match of the pattern by itself, merged by the ranks."""
+    regex = pytest.importorskip("regex")
+    return [i for m in regex.finditer(PATTERN, text) for i in coder._encode_single_piece(m[0].encode())]
+
+
+@pytest.mark.parametrize("text", [
+    "a" + " " * 30, " " * 30 + "b", "a" + " " * 30 + "b", "a" + " " * 29 + "\nb", "\n" * 31 + " 1",
+    "x" + "\u3000 \xa0" * 12 + "'s", " " * 40 + "\x1c" + "\t" * 40, "a b" + " " * 25 + "c d" + "\n" * 25,
+    "\x1f" * 40, "\u200b" * 40 + " " * 22, " " * 21, "a" + " " * 20 + "b"])
+def test_long_white_space_by_the_definition(monkeypatch, coder, text):
+    monkeypatch.setattr(op, "SEGMENT_CHARS", 20)
+    encode, decode = op.codec(op.read_rank_file(PATH), PATTERN)
+    assert encode(text) == by_definition(coder, text) == coder.encode_ordinary(text)
+    assert decode(encode(text)) == text.encode()
+
+
+@pytest.mark.parametrize("n", [900_000, 1_100_000, 5_000_000])
+def test_white_space_beyond_the_regex_stack(coder, n):
+    encode, decode = op.codec(op.read_rank_file(PATH), PATTERN)
+    for text in (" " * n, "a" + " " * n + "b", "\n" * n + "c", " \n" * (n // 2) + " "):
+        ids = encode(text)
+        assert decode(ids) == text.encode()
+        assert ids == by_definition(coder, text)
+
+
+def test_very_long_texts_of_other_kinds(coder):
+    encode, decode = op.codec(op.read_rank_file(PATH), PATTERN)
+    for text in ("ab" * 2_500_000, "日本" * 800_000, "1" * 5_000_000, "word " * 1_000_000):
+        assert decode(encode(text)) == text.encode()
+
+
 def test_long_texts_are_cut(monkeypatch, spark, coder):
     monkeypatch.setattr(op, "SEGMENT_CHARS", 100)
     got = op.round_trip(edge_docs(spark), PATH, PATTERN).collect()
