@@ -18,6 +18,7 @@ from tablewise.session import ensure_checkpoint_dir, shared_dir
 ID = "__id"
 TEXT = "__text"
 NO_ID = -2 ** 63               # sorts rows without an id first
+LEAST_ID = -2 ** 62            # ids of rows that have none are made below it
 FLUSH_ROWS = 400_000           # rows pre-aggregated in a task before they are sent
 
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -50,6 +51,19 @@ def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                        F.coalesce(column(text_col).cast("string"), F.lit("")).alias(TEXT))
 
 
+def with_made_ids(docs: DataFrame) -> DataFrame:
+    """``keyed`` rows; a row without an id gets one below ``LEAST_ID``, made of its text: rows
+    without an id come first, and only those with equal texts share one (as repeated rows
+    do)."""
+    made = F.lit(NO_ID) + F.pmod(F.xxhash64(TEXT), F.lit(-LEAST_ID))
+    return docs.withColumn(ID, F.coalesce(ID, made))
+
+
+def without_made_ids(key: str = ID) -> Column:
+    """The id, null again if it was made."""
+    return F.when(F.col(key) >= LEAST_ID, F.col(key))
+
+
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: the lineage ends here, a lost
     executor cannot force a recomputation, and the size of the table is known to the
@@ -123,5 +137,6 @@ def sender(names: list[str]):
 
 
 __all__ = ["ID", "TEXT", "NO_ID", "QUERIES", "ORACLES", "register", "load", "column", "keyed",
+           "with_made_ids", "without_made_ids",
            "cut", "id_bounds", "bucket_of", "small_batches", "first_rows",
            "owners", "sender", "FLUSH_ROWS", "ensure_checkpoint_dir", "shared_dir"]

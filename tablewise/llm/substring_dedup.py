@@ -1,19 +1,23 @@
 """Substring dedup by hashing text units.
 
-A text is cut into pieces that put together are the text: by default sentences (a run of other
-characters with the sentence marks and the line break that follow), or lines, or paragraphs.  A piece with
-at least ``min_words`` words is a unit; its words (runs of digits, letters and characters beyond
-ASCII, A-Z lower-cased) joined by spaces are its normal form, so case, punctuation and spacing do
-not matter.  Digests of normal forms (128 bits) are grouped over the whole corpus; the earliest
-occurrence by (id, place) stays and the others are removed, with their offsets in the original text.
+A text is cut into pieces that put together are the text: by default lines, or paragraphs, or
+sentences (a run of other characters with the sentence marks and the line break that follow).
+Every piece that is not blank is a unit (``min_words`` can ask for more); its words (runs of digits,
+letters and characters beyond ASCII, A-Z lower-cased) joined by spaces are its normal form, so
+case, punctuation and spacing do not matter, and a line of a script without spaces is its
+characters; a unit without words is its marks.  Digests of normal forms (128 bits) are grouped over
+the whole corpus; the earliest occurrence by (id, place) stays and the others are removed, with
+their offsets in the original text.
 
 Every task sends a digest once per flush with its smallest id; the grouping yields one owner per
 digest, and a document gets the digests it owns.  What it does not own, or has seen further up,
 goes.  So a line found in a third of all documents is one row per task and never a group.
 
-Defined results: null text is empty text; pieces below ``min_words`` always stay; rows
-without an id come first; rows that share an id count as one document and do not remove each
-other's units, so repeated rows repeat the same result.
+Defined results: null text is empty text; blank pieces and pieces below ``min_words`` always
+stay; rows without an id come first, in the order of a hash of their text; rows that share an id
+(and rows without one that share a text) count as one document and do not remove each other's
+units, so repeated rows repeat the same result.  A text is read whole whatever its length, in one
+pass per step.
 """
 
 from __future__ import annotations
@@ -26,10 +30,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewise.llm.common import (FLUSH_ROWS, ID, NO_ID, cut, first_rows, keyed, load, owners,
-                                  register, sender, small_batches)
+from tablewise.llm.common import (FLUSH_ROWS, ID, cut, first_rows, keyed, load, owners, register,
+                                  sender, small_batches, with_made_ids, without_made_ids)
 
-MIN_WORDS = 6
+MIN_WORDS = 0
 PIECES = {"sentence": r"[^\n.!?]+[.!?]*\n?|[.!?\n]+",
           "line": r"[^\n]+\n?|\n+",
           "paragraph": r"(?:[^\n]+\n?)+|\n+"}
@@ -45,9 +49,11 @@ def unit_reader(unit: str, min_words: int):
         pieces = pieces_of(text)
         at, high, low = [], [], []
         for i, p in enumerate(pieces):
-            words = words_of(p.encode().lower())
-            if len(words) >= min_words:
-                h = xxhash.xxh3_128_intdigest(b" ".join(words))
+            raw = p.encode()
+            words = words_of(raw.lower())
+            if len(words) >= min_words and (words or raw.strip()):
+                # no words: the marks, after a space that no run of words begins with
+                h = xxhash.xxh3_128_intdigest(b" ".join(words or [b"", *raw.split()]))
                 at.append(i)
                 high.append(h >> 64)
                 low.append(h & 0xFFFFFFFFFFFFFFFF)
@@ -58,13 +64,13 @@ def unit_reader(unit: str, min_words: int):
 
 
 def deduplicate(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                unit: str = "sentence", min_words: int = MIN_WORDS,
+                unit: str = "line", min_words: int = MIN_WORDS,
                 with_kept: bool = False) -> DataFrame:
     """Per row: ``n_units, n_removed, removed_chars, first_removed`` (offset, -1 if none), ``kept_sha256``;
     ``with_kept`` adds ``kept_text`` and ``removed`` (start and end of every removed unit in
     characters of the original text)."""
     small_batches(documents.sparkSession)
-    docs = keyed(documents, id_col, text_col).withColumn(ID, F.coalesce(ID, F.lit(NO_ID)))
+    docs = with_made_ids(keyed(documents, id_col, text_col))
 
     def units(batches):
         read = unit_reader(unit, min_words)
@@ -118,19 +124,21 @@ def deduplicate(documents: DataFrame, id_col: str = "doc_id", text_col: str = "t
         schema += ", kept_text string, removed array<array<bigint>>"
     names = [c.split()[0] for c in schema.split(", ")]
     out = docs.join(cut(owned, "substring-owned"), ID, "left").mapInArrow(remove, schema)
-    return (out.withColumn(ID, F.nullif(F.col(ID), F.lit(NO_ID)))
-            .withColumnRenamed(ID, id_col))
+    return out.withColumn(ID, without_made_ids()).withColumnRenamed(ID, id_col)
 
 
 ORACLE = r"""
 WITH p AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''),
-                  '[^\n.!?]+[.!?]*\n?|[.!?\n]+') AS ps FROM documents),
+                  '[^\n]+\n?|\n+') AS ps FROM documents),
 x AS (SELECT doc_id, unnest(ps) AS s, generate_subscripts(ps, 1) AS i FROM p),
 y AS (SELECT *, array_to_string(regexp_extract_all(
              translate(s, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-             '[0-9a-z\x{80}-\x{10FFFF}]+'), ' ') AS norm,
+             '[0-9a-z\x{80}-\x{10FFFF}]+'), ' ') AS words,
              sum(length(s)) OVER (PARTITION BY doc_id ORDER BY i) - length(s) AS pos FROM x),
-z AS (SELECT *, len(string_split(norm, ' ')) >= 6 AS unit FROM y),
+z AS (SELECT *, regexp_matches(s, '[^\x20\x09-\x0D]') AS unit,
+             CASE WHEN words <> '' THEN words
+                  ELSE ' ' || array_to_string(regexp_extract_all(s, '[^\x20\x09-\x0D]+'), ' ') END AS norm
+      FROM y),
 r AS (SELECT *, unit AND row_number() OVER (PARTITION BY unit, norm ORDER BY doc_id, i) > 1 AS gone
       FROM z),
 k AS (SELECT doc_id, count(*) FILTER (unit) AS n_units, count(*) FILTER (gone) AS n_removed,
