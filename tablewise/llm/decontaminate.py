@@ -10,13 +10,16 @@ so a document only offers its shingle hashes up to it (about the share ``1 - t``
 them); they meet the items' minima in an equi-join (broadcast only if the written minima table
 is below the session's broadcast limit).  Documents with too few words for the item's partition are not
 candidates.  Candidates are verified on the exact shingle strings of the whole text.
+An item of fewer than five words is one shingle, its whole word sequence, and is held by a
+document in which these words stand consecutively (an equi-join on runs of so many words).
 
-Words are lower-cased runs of letters and digits.
+Words are lower-cased runs of letters and digits; a script without spaces has one word per run.
 
-Defined results: null or empty texts, and items of fewer than five words (which have no
-shingle), match nothing; an empty benchmark gives an empty result.  Rows that share an item id
-are items of their own and are reported once, with the best containment; repeated documents rows
-with one id give one row per item.  A null id is reported as null.
+Defined results: null or empty texts and items without words match nothing; an empty benchmark
+gives an empty result.  Rows that share an item id are items of their own and are reported once,
+with the best containment; repeated documents rows with one id give one row per item.  A null
+id is reported as null: each row without an id is a document of its own, rows without one that
+share a text are one.  Texts are searched whole, whatever their length.
 """
 
 from __future__ import annotations
@@ -24,7 +27,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewise.llm.common import (ID, NO_ID, TEXT, column, cut, keyed, load, register)
+from tablewise.llm.common import (ID, TEXT, column, cut, keyed, load, register, with_made_ids,
+                                  without_made_ids)
 
 WORDS = 5
 PERCENT = 80
@@ -56,16 +60,41 @@ def item_minima(items: DataFrame, percent: int, words: int) -> DataFrame:
                        F.slice(hashes, F.lit(1), kept).alias("minima"))
 
 
+def short_items(docs: DataFrame, items: DataFrame, words: int) -> DataFrame | None:
+    """``__id, item_id, n, c, containment`` of items too short for a shingle: their whole word
+    sequence is one, and a document holds it where the words stand consecutively.  None if
+    there is no such item, which saves a pass over the documents."""
+    w = F.col("w")
+    short = cut(items.select("item_id", words_of(F.col("text")).alias("w"))
+                .where((F.size("w") > 0) & (F.size("w") < words))
+                .select("item_id", F.size("w").alias("size"), F.concat_ws(" ", "w").alias("s")),
+                "decon-short")
+    sizes = sorted(r["size"] for r in short.select("size").distinct().collect())   # 1 to words - 1
+    if not sizes:
+        return None
+    found = None
+    for k in sizes:
+        starts = F.explode(F.sequence(F.lit(0), F.size("w") - k))
+        part = (docs.select(ID, words_of(F.col(TEXT)).alias("w")).where(F.size("w") >= k)
+                .select(ID, "w", starts.alias("i"))
+                .select(ID, F.concat_ws(" ", *[w[F.col("i") + j] for j in range(k)]).alias("s")))
+        met = part.join(short.where(F.col("size") == k).select("item_id", "s"), "s").select(ID, "item_id")
+        found = met if found is None else found.unionByName(met)
+    one = F.lit(1).cast("bigint")
+    return found.select(ID, "item_id", one.alias("n"), one.alias("c"), F.lit(1.0).alias("containment"))
+
+
 def contained_items(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                     text_col: str = "text", item_col: str = "item_id",
                     item_text: str = "text", percent: int = PERCENT,
                     words: int = WORDS) -> DataFrame:
     """``id_col, item_id, n_item, n_common, containment`` of all pairs in which the document
     holds at least ``percent`` % of the item's distinct shingles."""
-    docs = keyed(documents, id_col, text_col).withColumn(ID, F.coalesce(ID, F.lit(NO_ID)))
+    docs = with_made_ids(keyed(documents, id_col, text_col))
     items = (benchmark.select(column(item_col).alias("item_id"),
                               F.coalesce(column(item_text).cast("string"), F.lit("")).alias("text"))
              .withColumn("item", F.xxhash64("item_id", "text")).dropDuplicates(["item"]))
+    short = short_items(docs, items, words)
     items = cut(item_minima(items, percent, words), "decon-items")
     minima = cut(items.select(F.explode("minima").alias("h"), "item", "n"), "decon-minima")
     bound = minima.agg(F.max("h")).first()[0]            # one number
@@ -90,9 +119,11 @@ def contained_items(documents: DataFrame, benchmark: DataFrame, id_col: str = "d
                      F.size(F.array_intersect("shingles", "held")).cast("bigint").alias("c"))
              .where(f"100 * c >= {percent} * n")
              .withColumn("containment", F.col("c") / F.col("n")))
+    if short is not None:
+        exact = exact.unionByName(short)
     best = exact.groupBy(ID, "item_id").agg(
         F.max(F.struct("containment", "n", "c")).alias("b"))
-    return best.select(F.nullif(F.col(ID), F.lit(NO_ID)).alias(id_col), "item_id",
+    return best.select(without_made_ids().alias(id_col), "item_id",
                        F.col("b.n").alias("n_item"), F.col("b.c").alias("n_common"),
                        F.col("b.containment").alias("containment"))
 
@@ -110,6 +141,9 @@ n AS (SELECT item_id, count(*) AS n_item FROM i GROUP BY item_id)
 SELECT doc_id, item_id, n_item, count(*) AS n_common, count(*) / n_item AS containment
 FROM ds JOIN i USING (s) JOIN n USING (item_id)
 GROUP BY doc_id, item_id, n_item HAVING 100 * count(*) >= 80 * n_item
+UNION ALL
+SELECT DISTINCT doc_id, item_id, 1, 1, 1.0::DOUBLE FROM dw JOIN (SELECT * FROM iw WHERE len(w) BETWEEN 1 AND 4) s
+ON list_contains(list_transform(range(1, len(dw.w) - len(s.w) + 2), lambda i: dw.w[i:i + len(s.w) - 1]), s.w)
 """
 
 

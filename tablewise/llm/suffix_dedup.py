@@ -28,8 +28,9 @@ A document learns which phrases and suffixes it owns, not which ones it lost, so
 shared by a third of the corpus is one row, never a group.
 
 Defined results: null text is empty text; texts shorter than ``length`` bytes keep everything.
-Rows without an id come first.  Rows that share an id count as one document and do not remove each
-other's text, so repeated rows repeat the same result.
+Rows without an id come first, in the order of a hash of their text.  Rows that share an id (and
+rows without one that share a text) count as one document and do not remove each other's text, so
+repeated rows repeat the same result.
 """
 
 from __future__ import annotations
@@ -42,8 +43,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewise.llm.common import (FLUSH_ROWS, ID, NO_ID, TEXT, column, cut, first_rows, keyed,
-                                  load, owners, register, sender, small_batches)
+from tablewise.llm.common import (FLUSH_ROWS, ID, TEXT, column, cut, first_rows, keyed, load, owners,
+                                  register, sender, small_batches, with_made_ids, without_made_ids)
 
 LENGTH = 100
 GRAM = 24
@@ -255,11 +256,11 @@ def deduplicate(documents: DataFrame, id_col: str = "doc_id", text_col: str = "t
     bytes (``kept_text``), and the removed ``spans`` (start, end).  The columns named in
     ``carry`` travel along as the struct ``row``."""
     small_batches(documents.sparkSession)
-    docs = keyed(documents, id_col, text_col).withColumn(ID, F.coalesce(ID, F.lit(NO_ID)))
-    rows = documents.select(
-        F.coalesce(column(id_col).cast("bigint"), F.lit(NO_ID)).alias(ID),
+    docs = with_made_ids(keyed(documents, id_col, text_col))
+    rows = with_made_ids(documents.select(
+        column(id_col).cast("bigint").alias(ID),
         F.coalesce(column(text_col).cast("string"), F.lit("")).alias(TEXT),
-        *([F.struct(*[column(c) for c in carry]).alias("row")] if carry else []))
+        *([F.struct(*[column(c) for c in carry]).alias("row")] if carry else [])))
 
     found = owners(dictionary_rows(docs, length), "e", "sides").selectExpr(
         "g", "e", "owner", "shiftright(sides, 32) as l", "sides & 4294967295L as r")
@@ -318,8 +319,7 @@ def deduplicate(documents: DataFrame, id_col: str = "doc_id", text_col: str = "t
            .select(ID, TEXT, "owned", "todo_left", "todo_right", "suffix_owned",
                    *(["row"] if carry else []))
            .mapInArrow(run, schema))
-    return (out.withColumn(ID, F.nullif(F.col(ID), F.lit(NO_ID)))
-            .withColumnRenamed(ID, id_col))
+    return out.withColumn(ID, without_made_ids()).withColumnRenamed(ID, id_col)
 
 
 ORACLE = """

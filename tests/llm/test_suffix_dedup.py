@@ -2,14 +2,19 @@ import hashlib
 import random
 
 import pytest
+import xxhash
 
 from tablewise.llm import suffix_dedup as op
 from tests.llm.data import edge_docs, edge_rows, empty_docs
 
 
+def made_id(text):
+    return -2 ** 63 + xxhash.xxh64_intdigest(text.encode(), 42) % 2 ** 62
+
+
 def brute(rows, length=100):
     """Rows in corpus order; rows with one id do not remove each other's text."""
-    rows = sorted((-2 ** 63 if i is None else i, (t or "").encode()) for i, t in rows)
+    rows = sorted((made_id(t or "") if i is None else i, (t or "").encode()) for i, t in rows)
     first, out = {}, []
     for i, b in rows:
         for p in range(len(b) - length + 1):
@@ -23,7 +28,8 @@ def brute(rows, length=100):
             seen.add(s)
         kept = bytes(x for x, g in zip(b, gone) if not g)
         spans = sum(1 for p in range(len(b)) if gone[p] and (p == 0 or not gone[p - 1]))
-        out.append((i, len(b), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
+        out.append((i if i >= -2 ** 62 else -2 ** 63, len(b), sum(gone), spans,
+                    hashlib.sha256(kept).hexdigest()))
     return sorted(out)
 
 
@@ -44,6 +50,13 @@ def repetitive(n=60):
     return rows
 
 
+def test_rows_without_an_id_are_documents_of_their_own(spark):
+    rng = random.Random(9)
+    base = "".join(rng.choice("abcdef ") for _ in range(400))
+    rows = [(None, f"{i} " + base + f" {i}") for i in range(40)] + [(None, "7 " + base + " 7"), (5, base)]
+    assert run(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)) == brute(rows)
+
+
 def test_edge_rows(spark):
     assert run(edge_docs(spark)) == brute([(i, t) for i, t, *_ in edge_rows()])
     assert run(empty_docs(spark)) == []
