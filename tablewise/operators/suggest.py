@@ -10,8 +10,10 @@ E1  column profile: one aggregate over the table - rows, non-null count, approxi
 E2  type of a text column from counts of integral / fractional / boolean values:
     other text present, or booleans mixed with numbers -> String; only booleans ->
     Boolean; any fractional -> Fractional; else Integral
-E3  value histogram of text columns with approx distinct <= ``max_histogram_values``:
-    all chosen columns unpivoted and counted with one shuffle
+E3  value histogram of text columns with at most ``max_histogram_values`` values, decided by
+    exact counts: the aggregate of E1 also holds a bounded value summary per text column
+    (``approx_top_k`` with more room than the limit, which counts exactly as long as a column
+    fits).  Only columns with very long values are counted in a scan of their own
 E4  CompleteIfComplete          completeness = 1             -> isComplete
 E5  RetainCompleteness          0.2 < p < 1                  -> hasCompleteness(>= p - z*sqrt(p(1-p)/n), cut to 2 places)
 E6  RetainType                  text column inferred Integral / Fractional / Boolean -> hasDataType
@@ -24,8 +26,8 @@ E10 the suggestion record (7 text fields) plus ``rule``, ``min_fraction``, ``val
 E13 ``check_suggestions``: share of rows meeting each predicate on other data, one scan
 
 Everything after E1/E3 works on frames with one row per column (or per histogram
-value), so rule evaluation costs nothing next to the two scans; ``profile_and_suggest`` shares
-the first of them with the metric profile.
+value), so rule evaluation costs nothing next to the scan; ``profile_and_suggest`` shares it with
+the metric profile.
 """
 
 from __future__ import annotations
@@ -73,10 +75,20 @@ def _kind(dtype) -> str:
     return "other"
 
 
-def profile_aggregates(df: DataFrame, columns=None, rsd: float = 0.05,
-                       sketch_all: bool = False) -> list[Column]:
-    """E1 + E2 as aggregate expressions over ``df``.  The rules only use the distinct count of
-    text columns (histogram choice), so only those are sketched unless ``sketch_all``."""
+LONG_VALUE = 1_000           # longer texts stay out of the value summary, which holds values
+
+
+def summary_room(limit: int) -> int:
+    """Values that a column's summary holds exactly; the distinct estimate below half of it
+    proves that they fitted (an error of over ten standard deviations apart)."""
+    return 4 * limit + 32
+
+
+def profile_aggregates(df: DataFrame, columns=None, rsd: float = 0.05, sketch_all: bool = False,
+                       limit: int = 120) -> list[Column]:
+    """E1 + E2 + E3 as aggregate expressions over ``df``.  The rules only use the distinct count
+    of text columns, so only those are sketched unless ``sketch_all``; ``limit`` is the largest
+    number of values of a histogram."""
     aggs = [F.count(F.lit(1)).alias("_n")]
     for i, f in enumerate(_profiled(df, columns)):
         c = qcol(f.name)
@@ -93,6 +105,10 @@ def profile_aggregates(df: DataFrame, columns=None, rsd: float = 0.05,
             is_bool = F.lower(t).isin(*BOOLEAN_VALUES)
             # cast only text that reads as a number: a failing cast costs an exception
             numeric = F.when(t.rlike(NUMBER_PATTERN), t.cast("double"))
+            short = F.when(F.length(c) <= LONG_VALUE, c)
+            aggs += [F.call_function("approx_top_k", short, F.lit(limit + 2),
+                                     F.lit(summary_room(limit))).alias(f"tk{i}"),
+                     F.count_if(F.length(c) > LONG_VALUE).alias(f"lg{i}")]
             aggs += [F.min(numeric).alias(f"mn{i}"),
                      F.count_if(is_int).alias(f"ci{i}"), F.count_if(is_frac).alias(f"cf{i}"),
                      F.count_if(is_bool).alias(f"cb{i}")]
@@ -114,17 +130,20 @@ def one_row(df: DataFrame, aggs: list[Column], chunk: int = 256):
     return StructType(fields), values
 
 
-def column_profile(df: DataFrame, columns=None, rsd: float = 0.05,
-                   sketch_all: bool = False, chunk: int = 256) -> DataFrame:
-    """E1 + E2: one row per column, from one aggregate over ``df``.
+def column_profile(df: DataFrame, columns=None, rsd: float = 0.05, sketch_all: bool = False,
+                   chunk: int = 256, limit: int = 120) -> DataFrame:
+    """E1 + E2 + E3: one row per column, from one aggregate over ``df``.
 
     Columns: column, kind, n, non_null, completeness, approx_distinct, minimum,
-    n_integral, n_fractional, n_boolean, inferred_type.
+    n_integral, n_fractional, n_boolean, n_long, top (the value summary), inferred_type.
     """
-    schema, values = one_row(df, profile_aggregates(df, columns, rsd, sketch_all), chunk)
+    schema, values = one_row(df, profile_aggregates(df, columns, rsd, sketch_all, limit), chunk)
     return profile_frame(df, schema, values, columns)
 
 
+TOP_TYPE = "array<struct<item:string,count:bigint>>"
+
+
 def profile_frame(df: DataFrame, schema: StructType, values, columns=None) -> DataFrame:
     """The column profile from the values of :func:`profile_aggregates`."""
     fields = _profiled(df, columns)
@@ -143,7 +162,9 @@ def profile_frame(df: DataFrame, schema: StructType, values, columns=None) -> Da
             num_or_null(f"mn{i}", "double").alias("minimum"),
             num_or_null(f"ci{i}", "bigint").alias("n_integral"),
             num_or_null(f"cf{i}", "bigint").alias("n_fractional"),
-            num_or_null(f"cb{i}", "bigint").alias("n_boolean")))
+            num_or_null(f"cb{i}", "bigint").alias("n_boolean"),
+            num_or_null(f"lg{i}", "bigint").alias("n_long"),
+            num_or_null(f"tk{i}", TOP_TYPE).alias("top")))
     prof = wide.select(F.inline(F.array(*structs)))
     n_other = F.col("non_null") - F.col("n_integral") - F.col("n_fractional") - F.col("n_boolean")
     inferred = (F.when(F.col("kind") != "string",
@@ -340,34 +361,54 @@ def rules_from_profile(prof: DataFrame, hist: DataFrame, th: Thresholds = Thresh
 
 def suggest(df: DataFrame, columns=None, th: Thresholds = Thresholds(),
             rsd: float = 0.05) -> DataFrame:
-    """Suggestion rows for ``df``; two scans (profile, then histograms)."""
-    return suggest_from_profile(df, column_profile(df, columns, rsd), th)
+    """Suggestion rows for ``df``, from one scan."""
+    return suggest_from_profile(df, column_profile(df, columns, rsd, limit=th.max_histogram_values),
+                                th)
+
+
+def exact_values(row, limit: int) -> list | None:
+    """``(value, count)`` of all values of a text column of the profile; an empty list if it has more than
+    ``limit``; None if its summary cannot tell, as some values are long."""
+    if row["approx_distinct"] > summary_room(limit) // 2:
+        return []
+    if row["n_long"]:
+        return None
+    values = [(t["item"], t["count"]) for t in row["top"] if t["item"] is not None]
+    # more than fitted: the summary was cut at limit + 2 entries, one of them null
+    return values if len(values) <= limit and sum(n for _, n in values) == row["non_null"] else []
 
 
 def suggest_from_profile(df: DataFrame, prof_df: DataFrame,
                          th: Thresholds = Thresholds()) -> DataFrame:
-    """Suggestions from a column profile at hand; one scan for the histograms.
+    """Suggestions from a column profile at hand (of the same ``max_histogram_values``).
 
-    The profile has one row per column, so it is brought to the driver (bounded by the
-    schema, not the data) and the histogram columns are chosen from it.
+    The profile has one row per column with at most ``limit + 2`` short values, so it is brought to
+    the driver (bounded by the schema, not the data).  Text columns that have values beyond
+    ``LONG_VALUE`` characters and few values by the estimate are counted in one more scan.
     """
     spark = df.sparkSession
+    limit = th.max_histogram_values
     rows = prof_df.collect()
     # one row per column: a single partition avoids a task per empty slice
     prof = spark.createDataFrame(rows, prof_df.schema).coalesce(1)
-    low = [r["column"] for r in rows
-           if r["kind"] == "string" and r["approx_distinct"] <= th.max_histogram_values]
-    # about max_histogram_values rows per chosen column; written, as values may be long texts
-    hist = written(histograms(df, low), "histograms") if low else histograms(df, low)
+    known = {r["column"]: exact_values(r, limit) for r in rows if r["kind"] == "string"}
+    hist = spark.createDataFrame([(c, v, n) for c, values in known.items() for v, n in values or []],
+                                 "column string, value string, cnt long").coalesce(1)
+    long = [c for c, values in known.items() if values is None]
+    if long:
+        # written, as values may be long texts
+        counted = written(histograms(df, long), "histograms")
+        few = counted.groupBy("column").count().where(F.col("count") <= limit).select("column")
+        hist = hist.unionByName(counted.join(F.broadcast(few), "column"))   # a row per column
     return rules_from_profile(prof, hist, th)
 
 
 def profile_and_suggest(df: DataFrame, th: Thresholds = Thresholds(), rsd: float = 0.05,
                         chunk: int = 256) -> tuple[DataFrame, DataFrame]:
-    """``(metric rows, suggestions)`` of a table in two scans: one aggregate gives the metrics
-    (D10) and the column profile (E1), one the histograms (E3)."""
+    """``(metric rows, suggestions)`` of a table in one scan: one aggregate gives the metrics
+    (D10), the column profile (E1) and the value summaries (E3)."""
     specs = metric_specs(df.schema, None, True, rsd)
-    own = profile_aggregates(df, None, rsd)
+    own = profile_aggregates(df, None, rsd, limit=th.max_histogram_values)
     aggs = [s.expr.alias(f"_m{i}") for i, s in enumerate(specs)]
     schema, values = one_row(df, aggs + own, chunk)
     metrics = metric_frame(df.sparkSession, specs, values[:len(specs)])

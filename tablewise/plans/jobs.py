@@ -157,7 +157,7 @@ class Report:
 
 def table_report(df: DataFrame, table: str, ts: str | None = None,
                  path: str | None = None) -> Report:
-    """Suggestions and profile of a whole table, which is read twice."""
+    """Suggestions and profile of a whole table, which is read once."""
     metrics, suggestions = profile_and_suggest(df)
     return Report(table, {"suggestions": _materialise(suggestions), "profile": metrics}, ts,
                   path or table)

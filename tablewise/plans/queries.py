@@ -254,6 +254,27 @@ def corrupt_null(spark, sf_dir):
                                     for c in _ORD_TEXT + _ORD_NUM])
 
 
+def _exact_sql(col, frac):
+    place = (f"{hash_sql('o_orderkey', f'{SALT}:hit:{col}')} * 2147483648 + "
+             f"({hash_sql('o_orderkey', f'{SALT}:tie:{col}')} >> 1)")
+    return f"row_number() OVER (ORDER BY {place}) <= floor(count(*) OVER () * {frac})"
+
+
+@register("corrupt_exact", f"""
+SELECT o_orderkey,
+  {', '.join(f"CASE WHEN {_exact_sql(c, 0.3)} THEN NULL ELSE {c} END AS {c}"
+             for c in _ORD_TEXT + _ORD_NUM)}
+FROM orders
+""")
+def corrupt_exact(spark, sf_dir):
+    """X2 with exact counts + X3: int(n * 0.3) rows of each of three columns nulled."""
+    o = load(spark, sf_dir, "orders")
+    cols = _ORD_TEXT + _ORD_NUM
+    limits = X.exact_limits(o, cols, "o_orderkey", 0.3, salt=SALT)
+    return o.select("o_orderkey", *[X.corrupt_column(o, c, "o_orderkey", "null", salt=SALT,
+                                                     limits=limits) for c in cols])
+
+
 @register("corrupt_suffix", f"""
 SELECT o_orderkey,
   {', '.join(f"CASE WHEN {_hit_sql('o_orderkey', c)} THEN coalesce({c}, '') || {_suffix_sql('o_orderkey', c, 4)} ELSE {c} END AS {c}"
@@ -549,8 +570,9 @@ def category_topk(spark, sf_dir):
 
 # ---------------------------------------------------------------- E: suggestions
 
-from tablewise.operators.suggest import (SUGGESTION_FIELDS, check_suggestions,  # noqa: E402
-                                         grouped, suggest)
+from tablewise.operators.suggest import (SUGGESTION_FIELDS, check_suggestions, column_profile,  # noqa: E402
+                                         grouped, suggest,
+                                         suggest_from_profile)
 from tablewise.plans.oracle_sql import SUGGEST_KINDS, suggest_sql  # noqa: E402
 
 _COMPARED = SUGGESTION_FIELDS + ["sql_predicate"]
@@ -759,6 +781,39 @@ def roc_auc_q(spark, sf_dir):
         F.round("roc_auc", 6).alias("roc_auc"))
 
 
+# Text columns with 115 to 125 values around the limit of 120, one of them nullable.
+_EDGE_VALUES = (115, 119, 120, 121, 125)
+
+
+def _edge_values_sql(n: int) -> str:
+    return f"SELECT 'v{n}' AS column_name, CAST(l_partkey % {n} AS VARCHAR) AS v FROM lineitem"
+
+
+@register("histogram_limit", f"""
+WITH v AS ({' UNION ALL '.join(_edge_values_sql(n) for n in _EDGE_VALUES)}
+           UNION ALL SELECT 'nullable', CASE WHEN l_linenumber > 1 THEN CAST(l_partkey % 120 AS VARCHAR) END
+           FROM lineitem),
+c AS (SELECT column_name, v, count(*) AS n FROM v WHERE v IS NOT NULL GROUP BY column_name, v),
+s AS (SELECT column_name, count(*) AS n_values, sum(n) AS n_rows,
+             count_if(n = 1) / count(*) AS once FROM c GROUP BY column_name)
+SELECT column_name, n_values, CAST(n_rows AS BIGINT) AS n_rows FROM s WHERE n_values <= 120 AND once <= 0.1
+""")
+def histogram_limit(spark, sf_dir):
+    """Which columns get a categorical rule is decided by their exact number of values,
+    from the one scan of the profile."""
+    li = load(spark, sf_dir, "lineitem")
+    text = [(F.col("l_partkey") % n).cast("string").alias(f"v{n}") for n in _EDGE_VALUES]
+    nullable = F.when(F.col("l_linenumber") > 1, (F.col("l_partkey") % 120).cast("string"))
+    df = li.select(*text, nullable.alias("nullable"))
+    prof = column_profile(df)
+    rules = suggest_from_profile(df, prof).where("rule = 'categorical'")
+    counts = prof.select(F.col("column").alias("column_name"), F.expr(
+        "filter(top, t -> t.item is not null)").alias("top"))
+    return rules.join(counts, "column_name").select(
+        "column_name", F.size("top").cast("bigint").alias("n_values"),
+        F.aggregate("top", F.lit(0).cast("bigint"), lambda a, t: a + t["count"]).alias("n_rows"))
+
+
 # ---------------------------------------------------------------- M1-M3, M9-M12, J1-J3
 # A trained model has no SQL equivalent: its numbers are compared with bounds, recomputed
 # from the scored rows, or checked row by row; everything around it is compared as it is.

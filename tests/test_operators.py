@@ -206,6 +206,30 @@ def test_corrupt_only_where(spark, sf01):
     assert 2000 < changed_new.count() < 3000
 
 
+@pytest.mark.parametrize("n,frac", [(1, 0.5), (10, 0.3), (997, 0.31), (5000, 0.5), (300, 0.0), (300, 1.0)])
+def test_exact_number_of_rows_per_column(spark, n, frac):
+    from tablewise.operators.corrupt import exact_limits
+    df = spark.range(n).select(F.col("id").alias("k"), F.lit("t").alias("a"), F.lit(1.5).alias("b"))
+    df = df.unionByName(df.limit(2).select(F.lit(None).cast("long").alias("k"), "a", "b"))
+    bad = corrupt(df, ["a", "b"], "k", frac, null_share=1.0, exact=True).cache()
+    assert {c: bad.where(F.col(c).isNull()).count() for c in "ab"} == dict.fromkeys("ab", int(n * frac))
+    some = corrupt(df, ["a"], "k", frac, null_share=1.0, exact=True, only_where=F.col("k") % 2 == 0)
+    assert some.where("a is null").count() == int(((n + 1) // 2) * frac)
+    assert some.where("a is null and (k is null or k % 2 = 1)").isEmpty()
+    assert exact_limits(df.limit(0), ["a"], "k", 0.5) == {"a": (1 << 63) - 1}
+
+
+def test_exact_limits_through_all_steps(spark, monkeypatch):
+    """Draws that agree in their upper bits are told apart by the lower ones."""
+    from tablewise.operators import corrupt as X
+    places = [5, 5 + (1 << 47), 7, 6, (1 << 31) + 1, (1 << 31), 1 << 15, 3 << 15, (3 << 15) + 1]
+    df = spark.createDataFrame(list(enumerate(places)), "k long, d long")
+    monkeypatch.setattr(X, "draw", lambda key, column, salt: F.col("d"))
+    for k in range(1, len(places)):
+        limit = X.exact_limits(df, ["c"], "k", k / len(places) + 1e-9)["c"]
+        assert sum(p <= limit for p in places) == k
+
+
 # ------------------------------------------------------------------ drift
 
 def test_drift_detects_corruption(spark, sf01):
@@ -448,6 +472,31 @@ def test_bernoulli_sample_by_class(spark, sf01):
     assert sample_by_class(ev, "label", 1.0, 42, method="bernoulli").count() == ev.count()
 
 
+def test_value_summary_decides_by_exact_counts(spark):
+    """Around the limit, with nulls, with very many values and with very long ones."""
+    from tablewise.operators.suggest import column_profile, exact_values
+    n = 6000
+    ids = spark.range(n).repartition(5)
+    names = {"few": 3, "at": 120, "over": 121, "near": 300, "many": n}
+    df = ids.select(*[(F.col("id") % k).cast("string").alias(c) for c, k in names.items()],
+                    F.when(F.col("id") % 2 == 0, (F.col("id") % 240).cast("string")).alias("half"),
+                    F.concat(F.repeat(F.lit("x"), 2000), (F.col("id") % 4).cast("string")).alias("long"),
+                    F.lit(None).cast("string").alias("none"))
+    got = {r["column"]: exact_values(r, 120) for r in column_profile(df).collect()}
+    assert {c: len(v) for c, v in got.items() if v} == {"few": 3, "at": 120, "half": 120}
+    assert got["over"] == got["near"] == got["many"] == got["none"] == [] and got["long"] is None
+    assert dict(got["at"]) == {str(i): n // 120 for i in range(120)}
+
+
+def test_long_values_are_counted_in_a_scan_of_their_own(spark):
+    from tablewise.operators.suggest import suggest
+    df = spark.range(400).select(
+        F.concat(F.repeat(F.lit("x"), 2000), (F.col("id") % 4).cast("string")).alias("long"),
+        F.concat(F.repeat(F.lit("y"), 2000), (F.col("id") % 130).cast("string")).alias("over"))
+    rules = suggest(df).where("rule = 'categorical'").collect()
+    assert [r["column_name"] for r in rules] == ["long"] and len(rules[0]["value_list"]) == 4
+
+
 def test_column_profile_chunks_agree(spark, sf01):
     from tablewise.operators.suggest import column_profile
     o = spark.read.parquet(f"{sf01}/orders.parquet")
