@@ -20,6 +20,7 @@ from tablewise.operators import corrupt as X
 from tablewise.operators.profile import label_counts, metric_specs, profile, run_specs
 from tablewise.operators.sampling import bounded_sample, sample_by_class, stratified_split
 from tablewise.operators.slices import latest_slice, slice_at, slice_days
+from tablewise.sources.publish import publish_run, read_published
 from tablewise.sources.readers import read_path
 from tablewise.plans.oracle_sql import (ROUND_VALUE_SQL, TABLE_COLUMNS, hash_sql,
                                         profile_sql, ts_text_sql, uhash_sql)
@@ -1194,6 +1195,31 @@ def metrics_append(spark, sf_dir):
     return back.select("table", "entity", "instance", "name", "value")
 
 
+@register("metrics_published", ORACLES["metrics_append"])
+def metrics_published(spark, sf_dir):
+    """A5: two runs published, the second after an attempt that died between its outputs and a
+    first success that a retry replaces: every metric row once, read through the manifests."""
+    out = shared_dir(spark, "published")
+
+    def write(table, dies=False):
+        def put(folder):
+            rows = rounded(profile(load(spark, sf_dir, table), approx_distinct=False))
+            append_metrics(rows.withColumn("table", F.lit(table)), f"{folder}/metrics",
+                           partition_by=())
+            if dies:
+                raise InterruptedError(table)
+        return put
+
+    publish_run(spark, out, "run region", write("region"))
+    for attempt in (True, False, False):
+        try:
+            publish_run(spark, out, "run nation", write("nation", dies=attempt))
+        except InterruptedError:
+            continue
+    back = read_published(spark, out, "metrics")
+    return back.select("table", "entity", "instance", "name", "value")
+
+
 # ---------------------------------------------------------------- more surface
 
 from tablewise.functions.timeslice import hhmm  # noqa: E402

@@ -6,12 +6,15 @@
                  -m tablewise.plans.run
 
 ``spark.tablewise.job``: ``table`` (J1), ``quality`` (J2, default) or ``drift`` (J3).
-With ``spark.tablewise.output`` set, the report is written there:
+With ``spark.tablewise.output`` set, the report is published there as a whole (``sources.publish``),
+under the run id ``spark.tablewise.run_id`` (default: job, table and time stamp).  A run's folder
+holds
 
-* ``metrics/``            all rows, appended, partitioned by table (A5)
-* ``suggestions_flat/``   one JSON document per run (A6)
+* ``metrics/``            all rows (A5)
+* ``suggestions_flat/``   one JSON document (A6)
 * ``suggestions_by_column/`` one JSON line per column (A7)
-* ``exposition/``         metric exposition lines (A8, A9)
+* ``exposition/profile/`` metric exposition lines of the profile (A8)
+* ``exposition/ml/``      those of the drift model (A9)
 
 Otherwise the rows are printed.
 """
@@ -20,12 +23,12 @@ from __future__ import annotations
 
 import sys
 
-from pyspark.sql import functions as F
-
 from tablewise.plans.jobs import CONF_PREFIX, RunConfig, drift_report, quality_report, table_report
 from tablewise.session import get_spark, release_shared
-from tablewise.sources.sinks import (append_metrics, exposition_lines, suggestions_by_column,
-                                     suggestions_document, write_json_lines, write_lines)
+from tablewise.sources.publish import publish_run
+from tablewise.sources.sinks import (append_metrics, ml_exposition, profile_exposition,
+                                     suggestions_by_column, suggestions_document, write_json_lines,
+                                     write_lines)
 
 JOBS = {"table": lambda df, cfg: table_report(df, cfg.table, **cfg.stamp()),
         "quality": quality_report,
@@ -41,18 +44,23 @@ def run(spark, job: str | None = None, output: str | None = None):
     if not output:
         rows.show(rows.count(), truncate=False)
         return report
-    out = output.rstrip("/")
-    append_metrics(rows, f"{out}/metrics")
-    sugg = report.frames.get("suggestions")
-    if sugg is not None:
-        write_json_lines(suggestions_document(sugg, cfg.table), f"{out}/suggestions_flat/{cfg.table}")
-        write_json_lines(suggestions_by_column(sugg), f"{out}/suggestions_by_column/{cfg.table}")
-    lines = exposition_lines(rows.filter(F.col("section") != "suggestions"), "tablewise_report",
-                             [("timestamp", F.col("timestamp")), ("path", F.col("path")),
-                              ("table", F.col("table")), ("section", F.col("section")),
-                              ("type", F.col("type")), ("column", F.col("column")),
-                              ("metric", F.col("metric"))])
-    write_lines(lines, f"{out}/exposition/{cfg.table}")
+    frames = report.frames
+
+    def write(folder: str) -> None:
+        append_metrics(rows, f"{folder}/metrics", partition_by=())     # one table a run
+        if "suggestions" in frames:
+            write_json_lines(suggestions_document(frames["suggestions"], cfg.table),
+                             f"{folder}/suggestions_flat")
+            write_json_lines(suggestions_by_column(frames["suggestions"]),
+                             f"{folder}/suggestions_by_column")
+        if "profile" in frames:
+            write_lines(profile_exposition(frames["profile"], cfg.table),
+                        f"{folder}/exposition/profile")
+        if "drift" in frames:
+            write_lines(ml_exposition(frames["drift"], with_path=True), f"{folder}/exposition/ml")
+
+    run_id = spark.conf.get(CONF_PREFIX + "run_id", f"{job}-{cfg.table}-{report.ts}")
+    publish_run(spark, output, run_id, write)
     return report
 
 

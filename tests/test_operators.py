@@ -447,7 +447,8 @@ def test_run_from_conf_writes_sinks(spark, sf001):
     keys = {"spark.tablewise.table": "events", "spark.tablewise.path": f"{sf001}/events.parquet",
             "spark.tablewise.ts_col": "ts", "spark.tablewise.key": "event_id",
             "spark.tablewise.grain": "day", "spark.tablewise.at": "2024-01-30",
-            "spark.tablewise.max_iter": "3", "spark.tablewise.max_depth": "3"}
+            "spark.tablewise.max_iter": "3", "spark.tablewise.max_depth": "3",
+            "spark.tablewise.run_id": "night/1"}
     for k, v in keys.items():
         spark.conf.set(k, v)
     try:
@@ -455,13 +456,46 @@ def test_run_from_conf_writes_sinks(spark, sf001):
     finally:
         for k in keys:
             spark.conf.unset(k)
-    m = spark.read.parquet(f"{out}/metrics")
+    from tablewise.sources.publish import published, read_published
+    (folder,) = published(spark, out).values()
+    m = read_published(spark, out, "metrics")
     assert {r[0] for r in m.select("section").distinct().collect()} == \
         {"suggestions", "profile", "counts", "drift"}
-    doc = json.loads(spark.read.text(f"{out}/suggestions_flat/events").first()[0])
+    doc = json.loads(spark.read.text(f"{folder}/suggestions_flat").first()[0])
     assert doc["table"] == "events" and doc["suggestions"]
-    lines = [r[0] for r in spark.read.text(f"{out}/exposition/events").collect()]
-    assert lines and all(l.startswith("tablewise_report{timestamp=\"") and ",path=\"" in l for l in lines)
+    lines = [r[0] for r in spark.read.text(f"{folder}/exposition/profile").collect()]
+    assert lines and all(l.startswith('tablewise_profile_metric{table="events",entity="') for l in lines)
+    lines = [r[0] for r in spark.read.text(f"{folder}/exposition/ml").collect()]
+    assert lines and all(l.startswith('tablewise_ml_metric{path="') and ',metric_type="' in l for l in lines)
+
+
+def test_a_killed_run_publishes_nothing_and_a_retry_replaces(spark):
+    from tablewise.session import shared_dir
+    from tablewise.sources.publish import drop_unpublished, publish_run, published, read_published
+    out = shared_dir(spark, "publish")
+    rows = spark.createDataFrame([(1, "a"), (2, "b")], "n long, t string")
+
+    def write(folder, df=rows, dies=False):
+        df.write.parquet(f"{folder}/metrics")
+        if dies:
+            raise RuntimeError("killed between two outputs")
+        df.write.parquet(f"{folder}/more")
+
+    assert published(spark, out) == {} and read_published(spark, out, "metrics", "n long").count() == 0
+    with pytest.raises(RuntimeError):
+        publish_run(spark, out, "monday 1", lambda f: write(f, dies=True))
+    assert published(spark, out) == {}
+    publish_run(spark, out, "monday 1", write)
+    publish_run(spark, out, "monday_1", lambda f: write(f, rows.limit(1)))
+    assert set(published(spark, out)) == {"monday 1", "monday_1"}
+    assert read_published(spark, out, "metrics").count() == 3
+    with pytest.raises(RuntimeError):                  # a later attempt that dies changes nothing
+        publish_run(spark, out, "monday 1", lambda f: write(f, rows.limit(0), dies=True))
+    assert read_published(spark, out, "more", runs=["monday 1"]).count() == 2
+    publish_run(spark, out, "monday 1", lambda f: write(f, rows.limit(1)))
+    assert read_published(spark, out, "metrics").count() == 2
+    assert drop_unpublished(spark, out) == 3
+    assert read_published(spark, out, "metrics").count() == 2
 
 
 def test_bernoulli_sample_by_class(spark, sf01):
