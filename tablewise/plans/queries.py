@@ -20,6 +20,9 @@ from tablewise.operators import corrupt as X
 from tablewise.operators.profile import label_counts, metric_specs, profile, run_specs
 from tablewise.operators.sampling import bounded_sample, sample_by_class, stratified_split
 from tablewise.operators.slices import latest_slice, slice_at, slice_days
+from tablewise.operators.states import (profile_from_states, read_states, slot_states,
+                                        write_states)
+from tablewise.session import shared_dir
 from tablewise.sources.publish import publish_run, read_published
 from tablewise.sources.readers import read_path
 from tablewise.plans.oracle_sql import (ROUND_VALUE_SQL, TABLE_COLUMNS, hash_sql,
@@ -136,6 +139,24 @@ _THREE_DAYS_SQL = (f"(SELECT *, CASE WHEN ts >= {_ts_lit(AT)} THEN 1 ELSE 0 END
                    f"FROM events WHERE {_slot_sql('ts', AT, N_DAYS)})")
 
 
+@register("profile_from_states", profile_sql(
+    "(SELECT * FROM events WHERE ts >= TIMESTAMP '2024-01-28' AND ts < TIMESTAMP '2024-01-31')",
+    TABLE_COLUMNS["events"]))
+def profile_from_states_q(spark, sf_dir):
+    """The profile of three days merged from stored states of the days; one day is written
+    twice, and its second state counts."""
+    ev = load(spark, sf_dir, "events")
+    path = shared_dir(spark, "states")
+    day = F.to_date("ts")
+    write_states(slot_states(ev.where(day <= F.lit("2024-01-29")), "ts"), path)
+    write_states(slot_states(ev.where((day == F.lit("2024-01-30")) & (F.col("event_id") % 2 == 0)), "ts"),
+                 path)
+    write_states(slot_states(ev.where(day >= F.lit("2024-01-30")), "ts"), path)
+    days = [dt.datetime(2024, 1, d) for d in (28, 29, 30)]
+    found = profile_from_states(read_states(spark, path, days))
+    return rounded(found.where("name <> 'ApproxCountDistinct'"))
+
+
 @register("profile_by_label", profile_sql(_THREE_DAYS_SQL, TABLE_COLUMNS["events"],
                                           group="label"))
 def profile_by_label(spark, sf_dir):

@@ -469,6 +469,34 @@ def test_run_from_conf_writes_sinks(spark, sf001):
     assert lines and all(l.startswith('tablewise_ml_metric{path="') and ',metric_type="' in l for l in lines)
 
 
+def test_states_merge_like_the_rows(spark, sf01):
+    """Any set of slots equals the profile of its rows; sketches within their error; odd slots."""
+    from tablewise.operators.states import profile_from_states, slot_states
+    ev = spark.read.parquet(f"{sf01}/events.parquet")
+    ev = ev.withColumn("value", F.when(F.col("event_id") % 7 > 0, F.col("value")))
+    states = slot_states(ev, "ts", "hour").cache()
+    for where in ("true", "hour(slot) = 3", "slot < timestamp_ntz '2024-01-10 00:00:00'", "false"):
+        rows = ev.where(where.replace("slot", "date_trunc('hour', ts)"))
+        want = {(r.entity, r.instance, r.name): r.value for r in profile(rows).collect()}
+        got = {(r.entity, r.instance, r.name): r.value
+               for r in profile_from_states(states.where(where)).collect()}
+        if where == "false":
+            assert got == {}
+            continue
+        assert set(got) == set(want)
+        exact = rows.agg(*[F.countDistinct(c).alias(c) for c in ev.columns]).first()
+        for k, v in got.items():
+            if k[2] == "ApproxCountDistinct":
+                assert abs(v - exact[k[1]]) <= max(1, 0.06 * exact[k[1]])
+            else:
+                assert v == pytest.approx(want[k], rel=1e-9)
+    text = ev.select(F.col("ts").cast("string").alias("ts"), "user_id").unionByName(
+        spark.createDataFrame([(None, 1), ("no time", 2)], "ts string, user_id long"))
+    total = {r.instance: r.value for r in profile_from_states(slot_states(text, "ts")).where(
+        "name in ('Size', 'Completeness')").collect()}
+    assert total == {"*": ev.count(), "ts": 1.0, "user_id": 1.0}
+
+
 def test_a_killed_run_publishes_nothing_and_a_retry_replaces(spark):
     from tablewise.session import shared_dir
     from tablewise.sources.publish import drop_unpublished, publish_run, published, read_published
