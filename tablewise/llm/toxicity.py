@@ -9,10 +9,13 @@ Fit
     term, and a dense matrix for the terms found in many examples.
 
 Score
-    A document's cosine with an example is the dot product of their unit vectors.  All examples
-    get it in single precision; blocks of examples whose best one cannot reach the k-th block's
-    best are left out, and the rest is computed again in double precision: the neighbours are
-    exact.  Every example as near as the k-th counts, so ties do not depend on order.  The vote
+    A document's cosine with an example is the dot product of their unit vectors.  Examples with
+    the same common terms stand together in blocks of ``BLOCK``.  The postings of a document's rare
+    terms are added in full; with the largest weights of the common terms in a block they bound
+    the block's cosines.  The blocks with the largest bounds are visited, then those of the
+    others whose bound reaches the k-th cosine found, and no more.  What comes near the k-th is
+    computed again in double precision: the neighbours are exact.  Every example as near as the k-th
+    counts, so ties do not depend on order.  The vote
     is the share of toxic neighbours weighted by the fourth power of the cosine (a copy outweighs
     what only shares common words); a monotone curve fitted on the examples' leave-one-out
     votes turns it into a probability.  The nearest example's id and cosine are returned as
@@ -21,7 +24,8 @@ Score
 Defined results: a null or empty text, and any text without a term of the examples, has no
 toxic neighbour and gets the score of vote 0; with no labelled rows or no toxic ones, every score
 is the (smoothed) share of toxic rows.  Labels with null id or label are not
-used; an id with several labels is toxic if one of them is.  Repeated rows score alike.
+used; an id with several labels is toxic if one of them is.  Repeated rows score alike.  Texts
+are read whole, whatever their length, in time that grows with it.
 """
 
 from __future__ import annotations
@@ -40,11 +44,12 @@ from pyspark.sql import functions as F
 
 from tablewise.llm.common import (ID, TEXT, column, cut, keyed, load, register, small_batches)
 
-MAX_EXAMPLES = 20_000        # bound of the labelled sample (rows)
+MAX_EXAMPLES = 6_000         # bound of the labelled sample (rows)
 TIE_DOCS = 3.0               # a tie seen in so many toxic examples counts half
 NEIGHBOURS = 15
 NEARNESS = 4                 # power of the cosine in the vote
 BLOCK = 64
+FIRST_BLOCKS = 4             # blocks that are visited before the others are judged
 DENSE = 32                   # terms in more than 1 / DENSE of the examples go to the matrix
 MAX_DENSE = 384              # and so many at most
 SLACK = 2e-4                 # more than single precision can be off
@@ -141,25 +146,60 @@ def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(starts - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)
 
 
+def common_terms(found: np.ndarray, n: int) -> np.ndarray:
+    """The most frequent terms, if more than 1 / ``DENSE`` of the ``n`` examples have them."""
+    common = np.argsort(-found, kind="stable")[:MAX_DENSE]
+    return common[found[common] * DENSE > n]
+
+
+def near_order(vectors) -> np.ndarray:
+    """An order that puts examples with the same common terms together, so that blocks differ
+    and their largest weights say something: by the nearest of every ``BLOCK``-th example."""
+    n = len(vectors)
+    terms = np.concatenate([np.empty(0, np.int64)] + [np.asarray(t, np.int64) for t, _ in vectors])
+    found = np.bincount(terms)
+    common = common_terms(found, n)
+    column = np.full(len(found), -1, np.int64)
+    column[common] = np.arange(len(common))
+    matrix = np.zeros((n, len(common)), np.float32)
+    for row, (t, w) in zip(matrix, vectors):
+        c = column[t]
+        row[c[c >= 0]] = w[c >= 0]
+    matrix /= np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-9)
+    pivots = matrix[::BLOCK]
+    group = np.concatenate([np.empty(0, np.int64)] + [
+        np.argmax(matrix[i:i + 1024] @ pivots.T, axis=1) for i in range(0, n, 1024)])
+    # groups of one kind (language, wording) stand together too
+    kind = np.argsort(np.argmax(pivots @ pivots[::max(1, len(pivots) // 8)].T, axis=1), kind="stable") \
+        if len(pivots) else np.empty(0, np.int64)
+    rank = np.empty(len(pivots), np.int64)
+    rank[kind] = np.arange(len(pivots))
+    return np.argsort(rank[group], kind="stable") if n else np.empty(0, np.int64)
+
+
 class BlockMaxIndex:
-    """Unit vectors of examples: postings by term, a matrix of the common terms, and for a query
-    the best cosine of every block of examples."""
+    """Unit vectors of examples in blocks of similar ones: postings by term, and for the common
+    terms a matrix per block with its largest weights."""
 
     def __init__(self, vectors, labels, ids):
         sizes = np.array([len(v[0]) for v in vectors], np.int64)
         order = np.lexsort((sizes, np.array(ids, np.int64)))
+        order = order[near_order([vectors[i] for i in order])]
         self.labels = np.array(labels, float)[order]
         self.ids = np.array(ids, np.int64)[order]
+        self.by_id = np.argsort(self.ids, kind="stable")
         self.start = np.concatenate([[0], np.cumsum(sizes[order])])
         self.terms = np.concatenate([np.empty(0, np.int32)] + [
             np.asarray(vectors[i][0], np.int32) for i in order])
         self.weights = np.concatenate([np.empty(0)] + [vectors[i][1] for i in order])
         self.size = int(self.terms.max()) + 1 if len(self.terms) else 0
         self.lists = None
+        self.visited = self.offered = 0     # blocks whose cosines were computed, and all
 
     def inverted(self):
-        """``first, examples, weights, column, matrix``: postings of term ``t`` are
-        ``first[t]:first[t + 1]``; common terms have a row of the matrix, ``column[t]``."""
+        """``first, examples, weights, column, blocks, tops``: postings of term ``t`` are
+        ``first[t]:first[t + 1]``; a common term has a row in the matrix of every block,
+        ``blocks[b][column[t]]``, and its largest weight in every block, ``tops[column[t]]``."""
         if self.lists is None:
             n = len(self.ids)
             order = np.argsort(self.terms, kind="stable")
@@ -167,46 +207,71 @@ class BlockMaxIndex:
             weights = self.weights[order].astype(np.float32)
             found = np.bincount(self.terms, minlength=self.size)
             first = np.concatenate([[0], np.cumsum(found)])
-            common = np.argsort(-found, kind="stable")[:MAX_DENSE]
-            common = common[found[common] * DENSE > n]
             column = np.full(self.size, -1, np.int64)
+            common = common_terms(found, n)
             column[common] = np.arange(len(common))
             matrix = np.zeros((len(common), -(-n // BLOCK) * BLOCK), np.float32)
             for c, t in enumerate(common.tolist()):
                 at = slice(first[t], first[t + 1])
                 matrix[c, examples[at]] = weights[at]
-            self.lists = first, examples, weights, column, matrix
+            blocks = matrix.reshape(len(common), -(-n // BLOCK), BLOCK)
+            self.lists = (first, examples, weights, column,
+                          np.ascontiguousarray(blocks.transpose(1, 0, 2)), blocks.max(axis=2))
         return self.lists
 
     def nearest_of(self, queries, k: int, skips):
-        """``(examples, cosines)`` per query, see ``nearest``."""
-        first, examples, weights, column, matrix = self.inverted()
+        """``(examples, cosines)`` per query, see ``nearest``.
+
+        The postings of a query's rare terms are added in full; with the block's largest weights
+        of the common terms they bound the cosines of a block.  The blocks with the largest
+        bounds are visited first; of the others only those whose bound reaches the k-th cosine found
+        so far."""
+        first, examples, weights, column, blocks, tops = self.inverted()
+        n_blocks = len(blocks)
         queries = [(t[t < self.size], w[t < self.size]) for t, w in queries]
-        dense = np.zeros((len(queries), len(matrix)), np.float32)
-        for row, (t, w) in zip(dense, queries):
+        dense = np.zeros((len(queries), len(tops)), np.float32)
+        sims = np.zeros((len(queries), n_blocks * BLOCK), np.float32)
+        for row, line, (t, w) in zip(dense, sims, queries):
             c = column[t]
             row[c[c >= 0]] = w[c >= 0]
-        every = dense @ matrix
-        scratch = np.zeros(self.size)
-        out = []
-        for sims, (t, w), skip in zip(every, queries, skips):
-            rare = column[t] < 0
-            start, lengths = first[t[rare]], first[t[rare] + 1] - first[t[rare]]
+            start, lengths = first[t[c < 0]], first[t[c < 0] + 1] - first[t[c < 0]]
             at = ranges(start, lengths)
             if len(at):
-                sims += np.bincount(examples[at], weights[at] * np.repeat(w[rare], lengths),
-                                    len(sims))
+                line += np.bincount(examples[at], weights[at] * np.repeat(w[c < 0], lengths), len(line))
+        cosines = sims.reshape(len(queries), n_blocks, BLOCK)
+        bound = dense @ tops + cosines.max(axis=2)
+        for line, skip in zip(sims, skips):
             if skip is not None:
-                sims[np.searchsorted(self.ids, skip):
-                     np.searchsorted(self.ids, skip, "right")] = 0.0
-            best = sims.reshape(-1, BLOCK).max(axis=1)
-            # as many examples as blocks reach the k-th best block
-            least = np.partition(best, len(best) - k)[len(best) - k] if len(best) >= k else 0.0
-            blocks = np.flatnonzero((best > 0) & (best >= least - SLACK))
-            at = ranges(blocks * BLOCK, np.full(len(blocks), BLOCK))
-            at = at[(sims[at] > 0) & (sims[at] >= least - SLACK)]
+                line[self.at_id(skip)] = -4.0
+        seen = np.zeros(bound.shape, bool)
+
+        def visit(wanted):
+            for b in np.flatnonzero(wanted.any(axis=0)).tolist():
+                rows = np.flatnonzero(wanted[:, b])
+                cosines[rows, b] += dense[rows] @ blocks[b]
+            seen[wanted] = True
+            self.visited += int(wanted.sum())
+
+        self.offered += bound.size
+        ahead = min(FIRST_BLOCKS, n_blocks)
+        best = np.argpartition(-bound, ahead - 1, axis=1)[:, :ahead]
+        wanted = np.zeros(bound.shape, bool)
+        np.put_along_axis(wanted, best, True, axis=1)
+        visit(wanted & (bound > 0))
+        held = np.take_along_axis(cosines, best[:, :, None], axis=1).reshape(len(queries), -1)
+        reach = np.zeros(len(queries))
+        if held.shape[1] >= k:
+            reach = np.maximum(np.partition(held, held.shape[1] - k, axis=1)[:, -k], 0.0)
+        visit((bound > 0) & (bound >= reach[:, None] - SLACK) & ~seen)
+        scratch = np.zeros(self.size)
+        out = []
+        for line, there, least, (t, w) in zip(cosines, seen, reach, queries):
+            at = ranges(np.flatnonzero(there) * BLOCK, np.full(int(there.sum()), BLOCK))
+            near = line[there].ravel()
+            close = (near > 0) & (near >= least - SLACK)
+            at, near = at[close], near[close]
             if len(at) > k:
-                at = at[sims[at] >= np.partition(sims[at], len(at) - k)[len(at) - k] - SLACK]
+                at = at[near >= np.partition(near, len(at) - k)[len(at) - k] - SLACK]
             if not len(at):
                 out.append((np.empty(0, np.int64), np.empty(0)))
                 continue
@@ -221,6 +286,11 @@ class BlockMaxIndex:
             out.append((at[near], exact[near]))
         return out
 
+    def at_id(self, i: int) -> np.ndarray:
+        """Places of the examples with one id."""
+        return self.by_id[np.searchsorted(self.ids[self.by_id], i):
+                          np.searchsorted(self.ids[self.by_id], i, "right")]
+
     def nearest(self, terms, weights, k: int, skip: int | None = None):
         """``(examples, cosines)`` of the k nearest, and all as near as the k-th.  ``skip``
         leaves out the examples of that id."""
