@@ -26,8 +26,9 @@ def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score reaches the threshold go."""
     model = toxicity.fit(docs, load(spark, sf_dir, "labels"))
-    scored = toxicity.with_score(docs, model, out_col="__toxicity")
-    return scored.where(F.col("__toxicity") < toxicity.THRESHOLD).drop("__toxicity")
+    score = "toxicity" + "_" * max(map(len, docs.columns))         # not a name of theirs
+    scored = toxicity.with_score(docs, model, out_col=score)
+    return scored.where(F.col(score) < toxicity.THRESHOLD).drop(score)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
