@@ -20,6 +20,7 @@ gives an empty result.  Rows that share an item id are items of their own and ar
 with the best containment; repeated documents rows with one id give one row per item.  A null
 id is reported as null: each row without an id is a document of its own, rows without one that
 share a text are one.  Texts are searched whole, whatever their length.
+``clean`` judges each row by its own text, repeated ids or none.
 """
 
 from __future__ import annotations
@@ -90,7 +91,29 @@ def contained_items(documents: DataFrame, benchmark: DataFrame, id_col: str = "d
                     words: int = WORDS) -> DataFrame:
     """``id_col, item_id, n_item, n_common, containment`` of all pairs in which the document
     holds at least ``percent`` % of the item's distinct shingles."""
-    docs = with_made_ids(keyed(documents, id_col, text_col))
+    found = held_items(with_made_ids(keyed(documents, id_col, text_col)), benchmark, item_col,
+                       item_text, percent, words)
+    return found.withColumn(ID, without_made_ids()).withColumnRenamed(ID, id_col)
+
+
+def clean(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
+          text_col: str = "text", item_col: str = "item_id", item_text: str = "text",
+          percent: int = PERCENT, words: int = WORDS) -> DataFrame:
+    """The rows of ``documents`` that hold no item.  A row is judged by its own text, also if it
+    has no id or shares one: rows go by a 64-bit digest of id and text."""
+    key = "_" * (1 + max(map(len, documents.columns)))         # no column of theirs
+    text = F.coalesce(column(text_col).cast("string"), F.lit(""))
+    marked = documents.withColumn(key, F.xxhash64(column(id_col).cast("bigint"), text))
+    found = held_items(marked.select(F.col(key).alias(ID), text.alias(TEXT)), benchmark, item_col,
+                       item_text, percent, words)
+    # written, as their size decides whether the join may broadcast them
+    gone = cut(found.select(F.col(ID).alias(key)).distinct(), "decon-found")
+    return marked.join(gone, key, "left_anti").select(*[column(c) for c in documents.columns])
+
+
+def held_items(docs: DataFrame, benchmark: DataFrame, item_col: str, item_text: str, percent: int,
+               words: int) -> DataFrame:
+    """``contained_items`` of ``docs(__id, __text)``, by their ``__id``."""
     items = (benchmark.select(column(item_col).alias("item_id"),
                               F.coalesce(column(item_text).cast("string"), F.lit("")).alias("text"))
              .withColumn("item", F.xxhash64("item_id", "text")).dropDuplicates(["item"]))
@@ -123,7 +146,7 @@ def contained_items(documents: DataFrame, benchmark: DataFrame, id_col: str = "d
         exact = exact.unionByName(short)
     best = exact.groupBy(ID, "item_id").agg(
         F.max(F.struct("containment", "n", "c")).alias("b"))
-    return best.select(without_made_ids().alias(id_col), "item_id",
+    return best.select(ID, "item_id",
                        F.col("b.n").alias("n_item"), F.col("b.c").alias("n_common"),
                        F.col("b.containment").alias("containment"))
 
@@ -152,4 +175,4 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contained_items(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
 
 
-__all__ = ["contained_items", "item_minima", "shingle_strings", "words_of"]
+__all__ = ["contained_items", "clean", "item_minima", "shingle_strings", "words_of"]

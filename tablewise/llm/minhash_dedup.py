@@ -20,23 +20,32 @@
 5. The rest is verified on the full shingle sets of the whole texts.
 6. Components of the links by star contraction.
 
+A node of the links is a class, not an id, so rows that share an id but not the text are compared
+each with its own text.  A class goes by a number, given when the table of classes is written; its
+text is that of its first row, found by id and a 128-bit digest of the text.
+
 Defined results: null, empty or blank texts have no shingles and are linked with nothing; texts
-of one to four words have one shingle, the whole word sequence.  Rows without an id are linked
-with nothing (component null, kept).  Rows that share an id are one node; repeated rows
-therefore repeat the same result.
+of one to four words have one shingle, the whole word sequence; whole texts are read, whatever their
+length.  ``near_duplicates`` speaks of ids: an id with several texts links what any of them links,
+repeated rows repeat the same result, rows without an id are linked with nothing (component null,
+kept).  ``deduplicate`` speaks of rows: each row is a document of its own, also without an id or
+with one that others have; of a group of near copies the row with the smallest id stays (rows without
+one come last, then by the digest of the text), of rows equal in id and text the one whose other
+columns have the smallest digest.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tablewise.llm.common import ID, TEXT, cut, keyed, load, register, small_batches
+from tablewise.llm.common import ID, TEXT, column, cut, keyed, load, register, small_batches
 from tablewise.llm.components import components
 
 WORDS = 5
@@ -48,6 +57,8 @@ ESTIMATE = 0.4            # pairs estimated below this are dropped
 FAMILY_DEPTH = 4          # rounds of centres before the rest of a family is paired
 CENTRE_ROWS = 512         # pairs of one centre that one task verifies
 MEMO = 200_000
+TEXT_KEYS = ["t1", "t2"]  # digest of a text
+SET_KEYS = ["c1", "c2", "n"]          # digest and size of a shingle set: a class
 
 
 def shingler(words: int = WORDS):
@@ -89,8 +100,8 @@ def shingler(words: int = WORDS):
 
 
 def sketches(docs: DataFrame, words: int = WORDS, k: int = SKETCH) -> DataFrame:
-    """``__id, n, c1, c2, sketch`` per row: size of the shingle set, its digest, and its k
-    smallest hashes."""
+    """``__id, t1, t2, n, c1, c2, sketch`` per row: digest of the text, size of the shingle set, its
+    digest, and its k smallest hashes."""
     def run(batches):
         shingles = shingler(words)
         for b in batches:
@@ -104,11 +115,41 @@ def sketches(docs: DataFrame, words: int = WORDS, k: int = SKETCH) -> DataFrame:
                 c2.append(int((u ^ (u >> np.uint64(29))).sum().view(np.int64)) if len(s) else 0)
                 low.append(s[:k])
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(n, pa.int64()), pa.array(c1, pa.int64()),
-                 pa.array(c2, pa.int64()), pa.array(low, pa.list_(pa.int64()))],
-                [ID, "n", "c1", "c2", "sketch"])
+                [b.column(0), b.column(2), b.column(3), pa.array(n, pa.int64()),
+                 pa.array(c1, pa.int64()), pa.array(c2, pa.int64()),
+                 pa.array(low, pa.list_(pa.int64()))],
+                [ID, *TEXT_KEYS, *SET_KEYS[2:], *SET_KEYS[:2], "sketch"])
+
+    return with_text_keys(docs.select(ID, TEXT)).mapInArrow(
+        run, f"{ID} bigint, t1 bigint, t2 bigint, n bigint, c1 bigint, c2 bigint, "
+             "sketch array<bigint>")
+
+
+def with_text_keys(docs: DataFrame) -> DataFrame:
+    """Adds the digest ``t1, t2`` of the text: two hashes with different seeds."""
+    return docs.withColumn("t1", F.xxhash64(TEXT)).withColumn("t2", F.xxhash64(F.lit(1), TEXT))
+
+
+def same_rows(a: DataFrame, b: DataFrame, names: dict[str, str]) -> Column:
+    """Join condition: the named columns of ``a`` and ``b`` are equal, nulls too."""
+    found = [a[x].eqNullSafe(b[y]) for x, y in names.items()]
+    return reduce(lambda x, y: x & y, found)
+
+
+class ClassTexts:
+    """Texts of classes by their numbers: only the documents asked for are fetched."""
 
-    return docs.mapInArrow(run, f"{ID} bigint, n bigint, c1 bigint, c2 bigint, sketch array<bigint>")
+    def __init__(self, docs: DataFrame, classes: DataFrame):
+        self.docs, self.classes = with_text_keys(docs), classes
+
+    def of(self, ids: DataFrame) -> DataFrame:
+        """``__id, __text`` for every class number ``__id`` of ``ids`` (repeated rows repeat it)."""
+        keys = (self.classes.join(ids, self.classes.rep == ids[ID])
+                .select(F.col("rep").alias("k"), F.col("first.id").alias("kid"),
+                        F.col("first.t1").alias("k1"), F.col("first.t2").alias("k2")))
+        names = {ID: "kid", "t1": "k1", "t2": "k2"}
+        return (self.docs.join(keys, same_rows(self.docs, keys, names))
+                .select(F.col("k").alias(ID), TEXT))
 
 
 def estimate(a: str, b: str, k: int = SKETCH):
@@ -136,8 +177,8 @@ def inverted_lists(reps: DataFrame, percent: int, k: int = SKETCH,
     return cut(rows.join(length, "v"), "minhash-lists")
 
 
-def shared_sizes(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
-    """``__id, u``: how many shingles of each document of ``ids`` occur in another one of them."""
+def shared_sizes(docs: ClassTexts, ids: DataFrame, words: int) -> DataFrame:
+    """``__id, u``: how many shingles of each class of ``ids`` occur in another one of them."""
     def explode(batches):
         shingles = shingler(words)
         for b in batches:
@@ -148,7 +189,7 @@ def shared_sizes(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(value), pa.array(owner[first]), pa.array(n)], ["s", "owner", "n"])
 
-    single = (docs.join(ids, ID).select(ID, TEXT)
+    single = (docs.of(ids.select(ID))
               .mapInArrow(explode, "s bigint, owner bigint, n bigint")
               .groupBy("s").agg(F.sum("n").alias("n"), F.min("owner").alias("owner"))
               .where("n = 1").groupBy(F.col("owner").alias(ID)).agg(F.count("*").alias("own")))
@@ -156,12 +197,12 @@ def shared_sizes(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
         ID, (F.col("n") - F.coalesce("own", F.lit(0))).alias("u"))
 
 
-def compared(pairs: DataFrame, docs: DataFrame, words: int, extras: bool = False) -> DataFrame:
+def compared(pairs: DataFrame, docs: ClassTexts, words: int, extras: bool = False) -> DataFrame:
     """``a, b, na, nb, both`` on the full shingle sets of the pairs' texts; ``extras`` adds the
     shingles of b that a does not have."""
     ids = cut(pairs.select(F.explode(F.array("a", "b")).alias(ID)).distinct(), "minhash-ids")
-    texts = cut(docs.join(ids, ID).groupBy(ID).agg(F.min(TEXT).alias(TEXT)), "minhash-texts")
-    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    texts = cut(docs.of(ids).groupBy(ID).agg(F.min(TEXT).alias(TEXT)), "minhash-texts")
+    tasks = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # a centre with many members is copied to several tasks, each with a share of them
     parts = (pairs.groupBy("a").agg(F.count("*").alias("n"))
              .select("a", F.ceil(F.col("n") / CENTRE_ROWS).cast("int").alias("parts")))
@@ -203,7 +244,7 @@ def is_link(percent: int):
     return F.expr(f"100 * both >= {percent} * (na + nb - both)")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, percent: int,
+def verified(pairs: DataFrame, docs: ClassTexts, reps: DataFrame, percent: int,
              words: int) -> DataFrame:
     """The pairs ``(a, b)`` that are links: union-sketch estimate, then the full sets."""
     one, two = (reps.select(F.col(ID).alias(x), F.col("sketch").alias(f"s{x}")) for x in "ab")
@@ -225,7 +266,7 @@ def pairs_within(lists: DataFrame, percent: int) -> DataFrame:
             .select(F.col(ID).alias("a"), "b"))
 
 
-def family_links(members: DataFrame, links: DataFrame, docs: DataFrame, reps: DataFrame,
+def family_links(members: DataFrame, links: DataFrame, docs: ClassTexts, reps: DataFrame,
                  percent: int, words: int) -> DataFrame:
     """Links among the ``members(key, __id, n, own, most)`` of long lists (see step 3), added to
     ``links``; only links between different components are looked for."""
@@ -290,45 +331,72 @@ def family_links(members: DataFrame, links: DataFrame, docs: DataFrame, reps: Da
                                       docs, reps, percent, words))
 
 
-def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    percent: int = 80, words: int = WORDS) -> DataFrame:
-    """``id_col, n_shingles, component_id, kept`` of every row; documents are linked at a
-    Jaccard similarity of ``percent`` / 100 or more on their shingle sets (a percent that the
-    sketch cannot see, below 40, is an error)."""
+def class_components(docs: DataFrame, rows: DataFrame, percent: int,
+                     words: int) -> tuple[DataFrame, DataFrame]:
+    """Classes ``c1, c2, n, first, rep`` of the ``rows`` (written ``sketches`` with shingles) and
+    the links' components ``node, component`` among their numbers ``rep``.  ``first`` is the
+    class's first row ``(none, id, t1, t2)``: ids before missing ones, the smallest first."""
     shared, _ = bounds(percent)
-    small_batches(documents.sparkSession)
-    docs = keyed(documents, id_col, text_col)
-    rows = cut(sketches(docs, words), "minhash-sketches")
-    classes = (rows.where(f"n > 0 and {ID} is not null").groupBy("c1", "c2", "n")
-               .agg(F.min(ID).alias("rep")))
-    classes = cut(classes, "minhash-classes")
-    reps = cut(rows.join(classes.select("c1", "c2", F.col("rep").alias(ID)), ["c1", "c2", ID])
-               .dropDuplicates([ID]).select(ID, "n", "sketch"), "minhash-reps")
-    members = (rows.where(f"n > 0 and {ID} is not null").select(ID, "c1", "c2", "n")
-               .join(classes, ["c1", "c2", "n"]).select(ID, "rep"))
+    first = F.struct(F.col(ID).isNull().alias("none"), F.col(ID).alias("id"), *TEXT_KEYS)
+    classes = cut(rows.groupBy(*SET_KEYS).agg(F.min(first).alias("first"))
+                  .withColumn("rep", F.monotonically_increasing_id()), "minhash-classes")
+    texts = ClassTexts(docs, classes)
+    one = F.col("first.id").eqNullSafe(F.col(ID)) & (F.col("first.t1") == F.col("t1")) & (
+        F.col("first.t2") == F.col("t2"))
+    reps = cut(rows.join(classes, SET_KEYS).where(one).dropDuplicates(["rep"])
+               .select(F.col("rep").alias(ID), "n", "sketch"), "minhash-reps")
 
     lists = inverted_lists(reps, percent, shared=shared)
     alone = F.col(ID).alias("component")
     few = (lists.where(F.col("length") <= SMALL_LIST)
            .select(F.col("v").alias("key"), ID, "n", F.lit(2 ** 62).alias("most"), alone,
                    F.lit(True).alias("failed")))
-    links = verified(cut(pairs_within(few, percent), "minhash-candidates"), docs, reps,
+    links = verified(cut(pairs_within(few, percent), "minhash-candidates"), texts, reps,
                      percent, words)
     long = lists.where(F.col("length") > SMALL_LIST).select(F.col("v").alias("key"), ID, "n")
     family = cut(long.groupBy(ID).agg(F.min("n").alias("n")), "minhash-family")
     if not family.isEmpty():
         # the largest set that a class can still be linked to
         most = F.floor(F.col("u") * (100 + percent) / percent - F.col("n") + 1e-9)
-        long = (long.join(shared_sizes(docs, family, words), ID)
+        long = (long.join(shared_sizes(texts, family, words), ID)
                 .where(most * 100 >= F.col("n") * percent)
                 .withColumn("most", most.cast("bigint"))
                 .withColumn("own", F.col("n") - F.col("u")).drop("u"))
-        links = family_links(cut(long, "minhash-long"), links, docs, reps, percent, words)
-    found = components(links)
+        links = family_links(cut(long, "minhash-long"), links, texts, reps, percent, words)
+    return classes, components(links)
+
+
+def firsts_of(classes: DataFrame, found: DataFrame) -> DataFrame:
+    """``c1, c2, n, rep, lead``: the first row of all classes in a class's component."""
+    found = found.withColumnRenamed("node", "rep")
+    lead = (found.join(classes, "rep").groupBy("component").agg(F.min("first").alias("lead"))
+            .join(found, "component").select("rep", "lead"))
+    return (classes.join(lead, "rep", "left")
+            .select(*SET_KEYS, "rep", F.coalesce("lead", "first").alias("lead")))
+
 
-    groups = (members.join(found.withColumnRenamed("node", "rep"), "rep", "left")
-              .select(ID, F.coalesce("component", "rep").alias("component"))
-              .groupBy(ID).agg(F.min("component").alias("component")))
+def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    percent: int = 80, words: int = WORDS) -> DataFrame:
+    """``id_col, n_shingles, component_id, kept`` of every row; documents are linked at a
+    Jaccard similarity of ``percent`` / 100 or more on their shingle sets (a percent that the
+    sketch cannot see, below 40, is an error)."""
+    bounds(percent)
+    small_batches(documents.sparkSession)
+    docs = keyed(documents, id_col, text_col)
+    rows = cut(sketches(docs, words), "minhash-sketches")
+    known = rows.where(f"n > 0 and {ID} is not null")
+    classes, found = class_components(docs, known, percent, words)
+
+    members = known.select(ID, *SET_KEYS).join(classes, SET_KEYS).select(ID, "rep")
+    # an id with several texts links their classes
+    several = cut(members.groupBy(ID).agg(F.min("rep").alias("a"), F.max("rep").alias("b"))
+                  .where("a < b"), "minhash-several")
+    if not several.isEmpty():
+        joint = members.join(several, ID).where("rep <> a").select("a", F.col("rep").alias("b"))
+        found = components(found.select(F.col("component").alias("a"), F.col("node").alias("b"))
+                           .unionByName(joint))
+    groups = (members.join(firsts_of(classes, found).select("rep", "lead"), "rep")
+              .groupBy(ID).agg(F.min("lead.id").alias("component")))
     out = (rows.select(ID, "n").join(groups, ID, "left")
            .withColumn("component", F.coalesce("component", ID)))
     return out.select(F.col(ID).alias(id_col), F.col("n").alias("n_shingles"),
@@ -336,6 +404,48 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
                       F.coalesce(F.col(ID) == F.col("component"), F.lit(True)).alias("kept"))
 
 
+def deduplicate(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                percent: int = 80, words: int = WORDS) -> DataFrame:
+    """The rows of ``documents`` without near copies: one row of each group stays.  Rows are
+    told apart by id and text, so a row goes by its own text and not by what shares its id."""
+    bounds(percent)
+    small_batches(documents.sparkSession)
+    docs = keyed(documents, id_col, text_col)
+    rows = cut(sketches(docs, words), "minhash-sketches").where("n > 0")
+    classes, found = class_components(docs, rows, percent, words)
+
+    keys = ["kid", "k1", "k2"]
+    rows = (rows.join(firsts_of(classes, found), SET_KEYS)
+            .select(F.col(ID).alias("kid"), F.col("t1").alias("k1"), F.col("t2").alias("k2"), "lead"))
+    leads = (F.col("lead.id").eqNullSafe(F.col("kid")) & (F.col("lead.t1") == F.col("k1"))
+             & (F.col("lead.t2") == F.col("k2")))
+    counted = rows.groupBy(*keys).agg(F.min(leads).alias("leads"), F.count("*").alias("times"))
+    counted = cut(counted.where("not leads or times > 1"), "minhash-rows")
+
+    mark = "_" * (1 + max(map(len, documents.columns)))       # no column of theirs
+    own = {c: f"{mark}{c}" for c in keys}
+    text = F.coalesce(column(text_col).cast("string"), F.lit(""))
+    marked = (documents.withColumn(own["kid"], column(id_col).cast("bigint"))
+              .withColumn(own["k1"], F.xxhash64(text)).withColumn(own["k2"], F.xxhash64(F.lit(1), text)))
+
+    def condition(found: DataFrame, rows: DataFrame = marked) -> Column:
+        return same_rows(rows, found, {own[c]: c for c in keys})
+
+    copies = counted.where("not leads").select(*keys)
+    out = marked.join(copies, condition(copies), "left_anti")
+    repeated = counted.where("leads").select(*keys)
+    if repeated.isEmpty():
+        return out.drop(*own.values())
+    once = out.join(repeated, condition(repeated), "left_anti")
+    again = out.join(repeated, condition(repeated), "left_semi").withColumn(
+        mark, F.xxhash64(F.to_json(F.struct(*[column(c) for c in documents.columns if c != text_col]))))
+    least = again.groupBy(*own.values()).agg(F.min(mark).alias("least")).select(
+        *[F.col(own[c]).alias(c) for c in keys], "least")
+    again = (again.join(least, condition(least, again) & (again[mark] == least["least"]),
+                        "left_semi").dropDuplicates([*own.values()]))
+    return once.unionByName(again.drop(mark)).drop(*own.values())
+
+
 ORACLE = r"""
 WITH RECURSIVE t AS (SELECT doc_id, regexp_extract_all(
          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -379,4 +489,4 @@ def bounds(percent: int) -> tuple[int, float]:
     return safe[-1], min(ESTIMATE, safe[-1] / SKETCH)
 
 
-__all__ = ["near_duplicates", "sketches", "shingler", "estimate", "miss_probability"]
+__all__ = ["near_duplicates", "deduplicate", "sketches", "shingler", "estimate", "miss_probability"]

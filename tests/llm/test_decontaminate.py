@@ -1,5 +1,7 @@
 import re
 
+from pyspark.sql import functions as F
+
 from tablewise.llm import decontaminate as op
 from tests.llm.data import edge_docs, empty_docs, prose
 
@@ -81,3 +83,17 @@ def test_edge_and_empty(spark):
 def test_no_python_in_the_plan(spark, sf01):
     plan = op.op3_decontamination(spark, sf01)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_clean_judges_each_row(spark):
+    """Rows without an id or with a shared one stay or go by their own text."""
+    item = "alpha beta gamma delta epsilon zeta eta"
+    rows = [(None, f"x {item} y"), (None, "clean text of no item at all here"), (1, f"{item}"),
+            (1, "another clean text under the same id"), (2, None), (None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("item", F.lit(1))
+    items = spark.createDataFrame([(7, item)], "item_id long, text string")
+    out = op.clean(df, items)
+    assert out.columns == df.columns
+    got = [(r.doc_id, r.text) for r in out.collect()]
+    assert sorted(got, key=str) == sorted([rows[1], *rows[3:]], key=str)
+    assert op.clean(df, items.limit(0)).count() == len(rows)

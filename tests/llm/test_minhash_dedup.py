@@ -2,6 +2,7 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tablewise.llm import minhash_dedup as op
 from tablewise.llm.components import components
@@ -131,3 +132,69 @@ def test_components(spark):
     assert got == {**{i: 0 for i in range(41)}, **{i: 90 for i in range(100, 160)}, 90: 90,
                    200: 200, 201: 200}
     assert components(df.limit(0)).count() == 0
+
+
+def test_texts_that_share_an_id(spark):
+    """Each of two texts of one id finds its near copy."""
+    a, b = prose(31, 60), prose(32, 60)
+    rows = [(1, a), (1, b), (2, a + " end"), (3, b + " end"), (4, prose(33, 60))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert run(df) == brute(rows, 80)
+    assert {c for i, _, c, _ in run(df) if i in "123"} == {"1"}
+    left = sorted((r.doc_id, r.text) for r in op.deduplicate(df).collect())
+    assert left == sorted([rows[0], rows[1], rows[4]])
+
+
+def rows_left(rows, percent):
+    """Brute force of ``deduplicate``: each row is a node; ids first, then rows without one."""
+    left, sets = [], [shingle_set(t) for _, t in rows]
+    group = list(range(len(rows)))
+    for x in range(len(rows)):
+        for y in range(x):
+            both = len(sets[x] & sets[y])
+            if sets[x] and sets[y] and 100 * both >= percent * (
+                    len(sets[x]) + len(sets[y]) - both):
+                old, new = group[x], group[y]
+                group = [new if g == old else g for g in group]
+    for g in set(group):
+        found = [rows[i] for i in range(len(rows)) if group[i] == g]
+        known = [r for r in found if r[0] is not None]
+        if known:
+            low = min(i for i, _ in known)
+            left.append((low, {t for i, t in known if i == low}))
+        else:
+            left.append((None, {t for _, t in found}))
+    return left
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_deduplicate_by_rows(spark, seed):
+    rng = random.Random(seed)
+    bases = [prose(40 + i, 50) for i in range(6)]
+    rows = []
+    for _ in range(60):
+        w = rng.choice(bases).split()
+        if rng.random() < 0.6:
+            w[rng.randrange(50)] = f"x{rng.randrange(4)}"
+        rows.append((rng.choice([None, *range(8)]), " ".join(w)))
+    rows += [(None, None), (None, ""), (3, None), (3, " ")] + rows[:5]
+    df = (spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+          .withColumn("n", F.lit(1)).withColumn("kid", F.lit("k")).withColumn("t1", F.rand(seed)))
+    out = op.deduplicate(df)
+    assert out.columns == df.columns
+    got = [(r.doc_id, r.text) for r in out.collect()]
+    for row in [(None, None), (None, ""), (3, None), (3, " ")]:
+        got.remove(row)                                  # without words: all stay
+    want = rows_left([r for r in rows if shingle_set(r[1])], 80)
+    assert len(got) == len(want)
+    for i, texts in want:
+        at = next(n for n, (j, t) in enumerate(got) if j == i and t in texts)
+        got.pop(at)
+
+
+def test_all_rows_without_an_id(spark):
+    base = prose(50, 40)
+    rows = [(None, base)] * 30 + [(None, prose(51 + i, 40)) for i in range(5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(r.text for r in op.deduplicate(df).collect())
+    assert got == sorted({t for _, t in rows})
