@@ -14,13 +14,7 @@ from pyspark.sql import functions as F
 from tablewise.llm import bpe, decontaminate, minhash_dedup, suffix_dedup, toxicity
 from tablewise.llm.common import cut, load
 
-ID, TEXT = "doc_id", "text"
-
-
-def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows whose id is not in ``ids(doc_id)`` (rows without an id stay).  The ids are written
-    first: their size decides whether the join may broadcast them."""
-    return docs.join(cut(ids, "pipeline-dropped"), ID, "left_anti")
+TEXT = "text"
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,14 +27,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (similarity 0.8 and more) stays: the one with
-    the smallest id.  Of rows that share an id one stays."""
-    groups = minhash_dedup.near_duplicates(docs)
-    out = without(docs, groups.where("not kept").select(ID).distinct())
-    repeated = docs.where(F.col(ID).isNotNull()).groupBy(ID).count().where("count > 1")
-    if repeated.isEmpty():
-        return out
-    return (out.where(F.col(ID).isNotNull()).dropDuplicates([ID])
-            .unionByName(out.where(F.col(ID).isNull())))
+    the smallest id.  Each row is a document: rows that share an id but not the text are judged
+    apart, rows without an id too."""
+    return minhash_dedup.deduplicate(docs)
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -66,9 +55,8 @@ def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
-    found = decontaminate.contained_items(docs, load(spark, sf_dir, "benchmark"))
-    return without(docs, found.select(ID).distinct())
+    """Documents that hold a benchmark item go, with an id or without."""
+    return decontaminate.clean(docs, load(spark, sf_dir, "benchmark"))
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
