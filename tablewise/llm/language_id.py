@@ -19,6 +19,7 @@ kinds of evidence a row does not have add nothing.  ``probability`` is the norma
 Defined results: null or empty text has no text evidence and is not counted; a row without any
 evidence gets the corpus prior; without labelled documents the language is ``und`` with
 probability 0; ties go to the language first in the alphabet; repeated rows give repeated results.
+Whole texts and pages are read, in time linear in their length.
 """
 
 from __future__ import annotations
@@ -43,8 +44,11 @@ SMOOTH_SITE = 8.0             # of the corpus in a site, and of the site in a ho
 SMOOTH_HOST = 8.0
 
 INVISIBLE = re.compile(r"(?is)<(script|style)\b.*?(?:</\1\s*>|$)|<!--.*?(?:-->|$)|<[^>]*>?")
-DECLARED = re.compile(r"(?is)<html\b[^>]*?\blang\s*=\s*[\"']?\s*([a-z]{2,3})(?![a-z])"
-                      r"|<meta\b[^>]*?content-language[^>]*?content\s*=\s*[\"']?\s*([a-z]{2,3})(?![a-z])")
+TAG = re.compile(r"(?i)<(?:html|meta)\b[^>]*")            # spans do not overlap: one pass over a page
+HTML, META = re.compile(r"(?i)<html\b"), re.compile(r"(?i)<meta\b")
+LANG = re.compile(r"(?i)\blang\s*=\s*(?:[\"']\s*)?([a-z]{2,3})(?![a-z])")
+HEADER = re.compile(r"(?i)content-language")
+CONTENT = re.compile(r"(?i)content\s*=\s*(?:[\"']\s*)?([a-z]{2,3})(?![a-z])")
 HOST = re.compile(r"(?i)^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)")
 
 
@@ -59,13 +63,31 @@ def trigram_bins(text: str) -> np.ndarray:
     return ((code * np.uint32(0x9E3779B1)) >> np.uint32(20)).astype(np.int64)
 
 
+def summed(weights: np.ndarray, bins: np.ndarray) -> np.ndarray:
+    """Sum of the rows ``bins``; a long text goes by its counts per bin, so memory is bounded by the
+    table whatever the text."""
+    if len(bins) <= BINS:
+        return weights[bins].sum(axis=0)
+    return np.bincount(bins, minlength=BINS) @ weights
+
+
 def visible_text(markup: str) -> str:
     return html.unescape(INVISIBLE.sub(" ", markup))
 
 
 def declared_language(markup: str) -> str | None:
-    m = DECLARED.search(markup)
-    return (m.group(1) or m.group(2)).lower() if m else None
+    """The first declaration in page order; linear in the page, also with tags never closed."""
+    for span in TAG.finditer(markup):
+        tag, found = span.group(), []
+        if at := HTML.search(tag):
+            found.append((at.start(), LANG.search(tag, at.end())))
+        if at := META.search(tag):
+            if header := HEADER.search(tag, at.end()):
+                found.append((at.start(), CONTENT.search(tag, header.end())))
+        for _, m in sorted(found, key=lambda x: x[0]):
+            if m:
+                return m.group(1).lower()
+    return None
 
 
 def host_of(url: str) -> str | None:
@@ -126,7 +148,7 @@ def evidence(rows: DataFrame, table: np.ndarray) -> DataFrame:
                 bins = trigram_bins(text or "")
                 host = host_of(url) if url is not None else host
                 labels = host.split(".") if host else []
-                likelihood = (weights[bins].sum(axis=0) * TEMPER).tolist() if len(bins) else None
+                likelihood = (summed(weights, bins) * TEMPER).tolist() if len(bins) else None
                 named = len(labels) > 1 and not labels[-1].isdigit()
                 for col, v in zip(cols, (
                         likelihood, declared_language(markup) if markup is not None else None,

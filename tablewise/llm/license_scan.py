@@ -194,9 +194,10 @@ class Automaton:
     def accepted(self, words: list[bytes]):
         """``(template, index of the last word)`` of every match, in text order."""
         known, state = self.words, 0
+        idle = not any(self.any[s] for s in self.sets[0])      # no template begins with any word
         for i, w in enumerate(words):
             if w not in known:
-                if state == 0:
+                if state == 0 and idle:
                     continue
                 w = None
             to = self.moves[state].get(w)

@@ -71,3 +71,30 @@ def test_edge_and_empty(spark, model):
     names, table = op.fit_text(empty_docs(spark))
     none = op.identify(op.document_rows(edge_docs(spark)), names, table).collect()
     assert {(r.lang, r.probability) for r in none} == {("und", 0.0)}
+
+
+def test_long_texts_and_pages():
+    """Counts per bin give the same sums; tags never closed cost one pass."""
+    import time
+    rng = np.random.default_rng(1)
+    weights = rng.normal(size=(op.BINS, 3))
+    bins = op.trigram_bins("the quick brown fox " * 250_000)            # 5 MB
+    counts = np.bincount(bins, minlength=op.BINS)
+    assert np.allclose(op.summed(weights, bins), (counts[:, None] * weights).sum(axis=0))
+    few = bins[:100]
+    assert np.allclose(op.summed(weights, few), weights[few].sum(axis=0))
+    start = time.time()
+    for page in ("<html " * 800_000, "<meta content-language " * 200_000,
+                 "<html lang=" + " " * 5_000_000 + "1", "<html <meta content-language " * 150_000):
+        assert op.declared_language(page) is None
+    assert time.time() - start < 20
+
+
+def test_declared_language_in_page_order():
+    found = op.declared_language
+    assert found('<html data-a="x" LANG = " EN-us">') == "en"
+    assert found('<meta name=a content="fr"><html lang=de>') == "de"
+    assert found('<META http-equiv="content-language" x content="it">') == "it"
+    assert found('<html <meta http-equiv=content-language content=es lang=pt>') == "pt"
+    assert found('<meta http-equiv=content-language content=es><html lang=pt>') == "es"
+    assert found('<html lang="abcd"> lang="fr"') is None and found("") is None

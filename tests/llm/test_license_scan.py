@@ -60,3 +60,11 @@ def test_edge_rows(spark):
     assert sorted((str(r.doc_id), r.n_words, len(r.matches)) for r in got) == \
         sorted((str(i), base_by_hand(t)[0], 0) for i, t, *_ in edge_rows())
     assert op.scan(empty_docs(spark), op.BASE).count() == 0
+
+
+def test_template_that_begins_with_any_words():
+    a = op.Automaton([("x", "{1-2} foo license"), ("y", "[the] bar")])
+    words = op.words_of("zzz foo license then zzz qqq the bar foo license")
+    assert list(a.accepted(words)) == [(0, 2), (1, 7), (0, 9)]
+    assert a.start_of(0, words, 2) == 0
+    assert list(a.accepted(op.words_of("foo license"))) == []
