@@ -144,9 +144,11 @@ class ClassTexts:
 
     def of(self, ids: DataFrame) -> DataFrame:
         """``__id, __text`` for every class number ``__id`` of ``ids`` (repeated rows repeat it)."""
-        keys = (self.classes.join(ids, self.classes.rep == ids[ID])
-                .select(F.col("rep").alias("k"), F.col("first.id").alias("kid"),
-                        F.col("first.t1").alias("k1"), F.col("first.t2").alias("k2")))
+        # written, as their size decides whether the texts have to be shuffled
+        keys = cut(self.classes.join(ids, self.classes.rep == ids[ID])
+                   .select(F.col("rep").alias("k"), F.col("first.id").alias("kid"),
+                           F.col("first.t1").alias("k1"), F.col("first.t2").alias("k2")),
+                   "minhash-keys")
         names = {ID: "kid", "t1": "k1", "t2": "k2"}
         return (self.docs.join(keys, same_rows(self.docs, keys, names))
                 .select(F.col("k").alias(ID), TEXT))
