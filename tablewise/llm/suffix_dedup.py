@@ -59,6 +59,7 @@ def parser(length: int, gram: int = GRAM):
     size = CHUNK + 2 * length
     inverse = np.uint64(pow(int(base), -1, 2 ** 64))
     cache: dict[str, np.ndarray] = {}
+    last_chunk: list = [None, 0, None]     # text, place and sums of the chunk hashed last
     reach = (length - gram + 1) // 2
 
     def powers(n):
@@ -74,16 +75,19 @@ def parser(length: int, gram: int = GRAM):
 
     def mix(x):
         x = x ^ (x >> np.uint64(32))
-        x = x * np.uint64(0xD6E8FEB86659FD93)
-        x = x ^ (x >> np.uint64(32))
-        x = x * np.uint64(0xD6E8FEB86659FD93)
-        return x ^ (x >> np.uint64(32))
+        x *= np.uint64(0xD6E8FEB86659FD93)
+        x ^= x >> np.uint64(32)
+        x *= np.uint64(0xD6E8FEB86659FD93)
+        x ^= x >> np.uint64(32)
+        return x
 
-    def prefixes(data):
+    def prefixes(text, at, data):
         up, down = powers(len(data) + 1)
-        sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:len(data)], out=sums[1:])
-        return sums, down
+        if last_chunk[0] is not text or last_chunk[1] != at:
+            sums = np.zeros(len(data) + 1, np.uint64)
+            np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:len(data)], out=sums[1:])
+            last_chunk[:] = text, at, sums
+        return last_chunk[2], down
 
     def window_minimum(x, w):
         step = 1
@@ -102,9 +106,10 @@ def parser(length: int, gram: int = GRAM):
         two 32-bit hashes of the trigger with the bytes beside it (left, right)."""
         found = []
         for at, data in chunks(text):
-            sums, down = prefixes(data)
+            sums, down = prefixes(text, at, data)
             grams = mix((sums[gram:] - sums[:-gram]) * down[:len(data) - gram + 1])
-            packed = (grams & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(grams), dtype=np.uint64)
+            packed = grams & np.uint64(0xFFFFFFFF00000000)
+            packed |= np.arange(len(grams), dtype=np.uint64)
             low = window_minimum(packed, length - gram + 1)
             cuts = np.flatnonzero(low[1:] != low[:-1])
             first = np.concatenate([np.zeros(1, np.int64), cuts + 1])
@@ -140,7 +145,7 @@ def parser(length: int, gram: int = GRAM):
         for at, data in chunks(text):
             here = (starts >= at) & (starts < at + CHUNK)
             if here.any():
-                sums, down = prefixes(data)
+                sums, down = prefixes(text, at, data)
                 p = starts[here] - at
                 out[here] = mix((sums[p + length] - sums[p]) * down[p]).view(np.int64)
         return starts, which, out
@@ -191,14 +196,22 @@ def dictionary_rows(docs: DataFrame, length: int) -> DataFrame:
     return docs.mapInArrow(run, "g bigint, e bigint, owner bigint, sides bigint")
 
 
+def among(values: np.ndarray, wanted) -> np.ndarray:
+    """Which of the values are in the list (or None)."""
+    wanted = np.sort(np.array(wanted or [], np.int64))
+    if not len(wanted):
+        return np.zeros(len(values), bool)
+    return wanted[np.minimum(np.searchsorted(wanted, values), len(wanted) - 1)] == values
+
+
 def open_suffixes(data: bytes, todo_left, todo_right, parse, own=None):
     """``g, starts, hashes`` of the windows that may be repeats, in first occurrences (``own``: only
     of these phrase numbers)."""
     phrases, suffixes = parse
     first, last, trigger, g, e, _ = phrases(data) if own is None else own[0]
     at = first_rows(e) if own is None else own[1]
-    on_left = np.isin(e[at], np.array(todo_left or [], np.int64))
-    on_right = np.isin(e[at], np.array(todo_right or [], np.int64))
+    on_left = among(e[at], todo_left)
+    on_right = among(e[at], todo_right)
     some = on_left | on_right
     at = at[some]
     starts, which, s = suffixes(data, first[at], last[at], trigger[at], on_left[some],
@@ -234,7 +247,7 @@ def removed_bytes(text: bytes, owned, todo_left, todo_right, suffix_owned, parse
     if len(e):
         kept = np.zeros(len(e), bool)
         kept[first_rows(e)] = True
-        kept &= np.isin(e, np.array(owned or [], np.int64))
+        kept &= among(e, owned)
         np.add.at(cover, first[~kept], 1)
         np.add.at(cover, last[~kept] + length, -1)
         _, starts, s = open_suffixes(text, todo_left, todo_right, parse,
@@ -242,7 +255,7 @@ def removed_bytes(text: bytes, owned, todo_left, todo_right, suffix_owned, parse
         if len(s):
             stays = np.zeros(len(s), bool)
             stays[first_rows(s)] = True
-            stays &= np.isin(s, np.array(suffix_owned or [], np.int64))
+            stays &= among(s, suffix_owned)
             np.add.at(cover, starts[~stays], 1)
             np.add.at(cover, starts[~stays] + length, -1)
     return np.cumsum(cover[:-1]) > 0

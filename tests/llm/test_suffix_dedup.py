@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 import xxhash
 
@@ -92,3 +93,28 @@ def test_kept_text_and_carried_columns(spark):
         assert r.kept_text == bytes(r.kept).decode("utf-8", "ignore")
         assert r.row.kept == extra and r.row.text == text
     assert got[1].n_removed > 0 and got[2].spans[0] == [1, 121]
+
+
+def test_texts_are_shuffled_once(spark):
+    """The join with the open phrases and the join at the end use one exchange of the texts."""
+    rows = [(i, "x" * 40 + str(i) + "y" * 130) for i in range(30)] + [(None, "y" * 150)]
+    before = {k: spark.conf.get(k) for k in
+              ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = op.deduplicate(spark.createDataFrame(rows, "doc_id long, text string"))
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    # the last join's side with the texts is the exchange that the suffixes come from, or the reverse
+    assert "ReusedExchange [__id" in plan
+
+
+def test_members_of_lists():
+    values = np.array([5, -3, 2 ** 62, 7, 5], np.int64)
+    assert op.among(values, [7, 5, 11]).tolist() == [True, False, False, True, True]
+    assert op.among(values, [-3, 2 ** 62, 2 ** 63 - 1]).tolist() == [False, True, True, False, False]
+    assert not op.among(values, None).any() and not op.among(values, []).any()
+    assert op.among(values[:0], [1]).tolist() == []
