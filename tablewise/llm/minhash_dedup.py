@@ -137,21 +137,22 @@ def same_rows(a: DataFrame, b: DataFrame, names: dict[str, str]) -> Column:
 
 
 class ClassTexts:
-    """Texts of classes by their numbers: only the documents asked for are fetched."""
-
-    def __init__(self, docs: DataFrame, classes: DataFrame):
-        self.docs, self.classes = with_text_keys(docs), classes
+    """Texts of classes by their numbers.  ``wanted`` are the numbers ``__id`` of all classes that
+    will be asked for: their texts are fetched from the documents once and written."""
+
+    def __init__(self, docs: DataFrame, classes: DataFrame, wanted: DataFrame):
+        docs = with_text_keys(docs)
+        keys = (classes.join(wanted, classes.rep == wanted[ID])
+                .select(F.col("rep").alias("k"), F.col("first.id").alias("kid"),
+                        F.col("first.t1").alias("k1"), F.col("first.t2").alias("k2")))
+        names = {ID: "kid", "t1": "k1", "t2": "k2"}
+        # by one plan at every size, as the keys of a large corpus are too many to broadcast
+        self.texts = cut(docs.join(keys.hint("merge"), same_rows(docs, keys, names))
+                         .select(F.col("k").alias(ID), TEXT), "minhash-wanted")
 
     def of(self, ids: DataFrame) -> DataFrame:
         """``__id, __text`` for every class number ``__id`` of ``ids`` (repeated rows repeat it)."""
-        # written, as their size decides whether the texts have to be shuffled
-        keys = cut(self.classes.join(ids, self.classes.rep == ids[ID])
-                   .select(F.col("rep").alias("k"), F.col("first.id").alias("kid"),
-                           F.col("first.t1").alias("k1"), F.col("first.t2").alias("k2")),
-                   "minhash-keys")
-        names = {ID: "kid", "t1": "k1", "t2": "k2"}
-        return (self.docs.join(keys, same_rows(self.docs, keys, names))
-                .select(F.col("k").alias(ID), TEXT))
+        return self.texts.join(ids, ID)
 
 
 def estimate(a: str, b: str, k: int = SKETCH):
@@ -342,13 +343,14 @@ def class_components(docs: DataFrame, rows: DataFrame, percent: int,
     first = F.struct(F.col(ID).isNull().alias("none"), F.col(ID).alias("id"), *TEXT_KEYS)
     classes = cut(rows.groupBy(*SET_KEYS).agg(F.min(first).alias("first"))
                   .withColumn("rep", F.monotonically_increasing_id()), "minhash-classes")
-    texts = ClassTexts(docs, classes)
     one = F.col("first.id").eqNullSafe(F.col(ID)) & (F.col("first.t1") == F.col("t1")) & (
         F.col("first.t2") == F.col("t2"))
     reps = cut(rows.join(classes, SET_KEYS).where(one).dropDuplicates(["rep"])
                .select(F.col("rep").alias(ID), "n", "sketch"), "minhash-reps")
 
     lists = inverted_lists(reps, percent, shared=shared)
+    # only classes in these lists are ever compared
+    texts = ClassTexts(docs, classes, lists.select(ID).distinct())
     alone = F.col(ID).alias("component")
     few = (lists.where(F.col("length") <= SMALL_LIST)
            .select(F.col("v").alias("key"), ID, "n", F.lit(2 ** 62).alias("most"), alone,

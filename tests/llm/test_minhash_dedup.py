@@ -198,3 +198,24 @@ def test_all_rows_without_an_id(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     got = sorted(r.text for r in op.deduplicate(df).collect())
     assert got == sorted({t for _, t in rows})
+
+
+def test_documents_are_read_for_texts_once(spark, tmp_path, monkeypatch):
+    """The sketches and one table of the wanted texts read the documents, whatever the number of
+    rounds; the join of that table has the same plan at every size."""
+    path = str(tmp_path / "docs")
+    rows = list(enumerate(family(60, 4, 3) + [prose(i, 60) for i in range(8)]))
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(path)
+    reads, plans = [], {}
+
+    def cut(df, name, old=op.cut):
+        if any("/docs/" in f for f in df.inputFiles()):
+            reads.append(name)
+            plans[name] = df._jdf.queryExecution().sparkPlan().toString()
+        return old(df, name)
+
+    monkeypatch.setattr(op, "cut", cut)
+    monkeypatch.setattr(op, "SMALL_LIST", 8)
+    assert run(spark.read.parquet(path), percent=80) == brute(rows, 80)
+    assert reads == ["minhash-sketches", "minhash-wanted"]
+    assert "SortMergeJoin" in plans["minhash-wanted"]
