@@ -71,28 +71,46 @@ def term_counts(text: str) -> Counter:
     return out
 
 
-def numbers_of(terms, vocabulary: dict[str, int]) -> np.ndarray:
-    """Number of each term, -1 for terms that are not kept."""
-    return np.fromiter(map(vocabulary.get, terms, repeat(-1)), np.int64, len(terms))
+class Vocabulary(dict):
+    """Term -> number, 0 and up."""
+
+    @functools.cached_property
+    def stems(self) -> np.ndarray:
+        """Number of the stem of each term, -1 for short words; one more -1 at the end."""
+        found = np.full(len(self) + 1, -1, np.int32)
+        for w, i in self.items():
+            if len(w) > STEM:
+                found[i] = self.get(w[:STEM] + "*", -1)
+        return found
+
+
+def numbers_of(words: list[str], vocabulary: dict[str, int]) -> np.ndarray:
+    """Number of each word and then of each word's stem, -1 for what is not kept."""
+    if not isinstance(vocabulary, Vocabulary):
+        vocabulary = Vocabulary(vocabulary)
+    own = np.fromiter(map(vocabulary.get, words, repeat(-1)), np.int64, len(words))
+    stems = vocabulary.stems[own].astype(np.int64)
+    # a word that is not kept can have a stem that is
+    for i in np.flatnonzero(own < 0).tolist():
+        if len(words[i]) > STEM:
+            stems[i] = vocabulary.get(words[i][:STEM] + "*", -1)
+    return np.concatenate([own, stems])
 
 
 def term_numbers(text: str, vocabulary: dict[str, int]) -> np.ndarray:
-    """Numbers of the distinct kept terms."""
-    words = set(WORD.findall(text.lower()))
-    words |= {w[:STEM] + "*" for w in words if len(w) > STEM}
-    found = numbers_of(words, vocabulary)
+    """Numbers of the kept terms (a stem's is there once for each of its words)."""
+    found = numbers_of(list(set(WORD.findall(text.lower()))), vocabulary)
     return found[found >= 0]
 
 
 def counted(text: str, vocabulary: dict[str, int]):
     """``(term numbers, occurrences)`` of the kept terms, by number."""
     words = Counter(WORD.findall(text.lower()))
-    long = [w for w in words if len(w) > STEM]
-    terms = numbers_of([*words, *[w[:STEM] + "*" for w in long]], vocabulary)
-    counts = np.array([*words.values(), *[words[w] for w in long]], np.int64)
-    order = np.argsort(terms, kind="stable")
-    order = order[np.searchsorted(terms[order], 0):]
-    terms, counts = terms[order], counts[order]
+    terms = numbers_of(list(words), vocabulary)
+    counts = np.fromiter(words.values(), np.int64, len(words))
+    kept = np.flatnonzero(terms >= 0)
+    order = kept[np.argsort(terms[kept], kind="stable")]
+    terms, counts = terms[order], np.concatenate([counts, counts])[order]
     first = np.flatnonzero(np.diff(terms, prepend=-1))
     return terms[first], np.add.reduceat(counts, first) if len(first) else counts
 
@@ -126,9 +144,9 @@ def packed_words(words: list[str]) -> tuple[bytes, int]:
 
 
 @functools.lru_cache(maxsize=1)
-def numbered_words(data: bytes, size: int) -> dict[str, int]:
+def numbered_words(data: bytes, size: int) -> Vocabulary:
     words = pa.Codec("zstd").decompress(data, size, asbytes=True).decode().split("\n")
-    return {w: i for i, w in enumerate(words)}
+    return Vocabulary(zip(words, range(len(words))))
 
 
 def label_tie(n: np.ndarray, n_toxic: np.ndarray, share: float) -> np.ndarray:
@@ -360,7 +378,7 @@ class Model:
     def __setstate__(self, state):
         words = state.pop("words")
         self.__dict__.update(state)
-        self.vocabulary = numbered_words(*words) if self.examples else {}
+        self.vocabulary = numbered_words(*words) if self.examples else Vocabulary()
 
     @functools.cached_property
     def index(self):
@@ -411,7 +429,7 @@ def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     docs = keyed(documents, id_col, text_col)
     rows = cut(examples_of(docs, labels, label_col, label_id, max_examples), "tox-examples")
     n, toxic = rows.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
-    model = Model({}, np.empty(0), np.empty(0), None, (toxic + 0.1) / (n + 1.0), neighbours)
+    model = Model(Vocabulary(), np.empty(0), np.empty(0), None, (toxic + 0.1) / (n + 1.0), neighbours)
     if not toxic:
         return model
 
@@ -432,7 +450,7 @@ def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     terms = (rows.select(TEXT, "y").mapInArrow(count_terms, "term string, n bigint, n_toxic bigint")
              .groupBy("term").agg(F.sum("n").alias("n"), F.sum("n_toxic").alias("n_toxic"))
              .toArrow().sort_by("term"))
-    vocabulary = {t: i for i, t in enumerate(terms["term"].to_pylist())}
+    vocabulary = Vocabulary({t: i for i, t in enumerate(terms["term"].to_pylist())})
     tie = label_tie(terms["n"].to_numpy().astype(float), terms["n_toxic"].to_numpy().astype(float),
                     toxic / n)
     del terms
