@@ -32,13 +32,13 @@ from __future__ import annotations
 
 import functools
 import math
-import re
 from collections import Counter
 from itertools import repeat
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,19 +51,29 @@ NEARNESS = 4                 # power of the cosine in the vote
 BLOCK = 64
 FIRST_BLOCKS = 4             # blocks that are visited before the others are judged
 DENSE = 32                   # terms in more than 1 / DENSE of the examples go to the matrix
-MAX_DENSE = 384              # and so many at most
+MAX_DENSE = 1024             # and so many at most
+ORDER_TERMS = 384            # terms that decide which examples stand together
 SLACK = 2e-4                 # more than single precision can be off
 BATCH = 128                  # texts multiplied with the matrix at once
+GROUP_CHARS = 1 << 21        # characters of texts whose words are counted at once
+GROUP_ROWS = 1 << 12         # and so many texts at most
 BINS = 20
 THRESHOLD = 0.3
 PRIOR_WEIGHT = 2.0           # pseudo-examples of the base rate in every calibration bin
 STEM = 4
-WORD = re.compile(r"[0-9a-z\x80-\U0010ffff]+")
+# a word is a run of 0-9, a-z and characters beyond ASCII, whose bytes in UTF-8 are 128 and up
+BREAKS = bytes(c if c > 127 or chr(c).isdigit() or chr(c).islower() else 32 for c in range(256))
+
+
+def plain(text: str) -> bytes:
+    """The text lower-cased, with a space for every character that is in no word."""
+    return text.lower().encode().translate(BREAKS)
 
 
 def term_counts(text: str) -> Counter:
     """Term -> number of occurrences: words, and stems of longer words (``abcd*``)."""
-    words = Counter(WORD.findall(text.lower()))
+    words = Counter(plain(text).decode().split(" "))
+    words.pop("", None)
     out = Counter(words)
     for w, n in words.items():
         if len(w) > STEM:
@@ -71,30 +81,57 @@ def term_counts(text: str) -> Counter:
     return out
 
 
-def numbers_of(terms, vocabulary: dict[str, int]) -> np.ndarray:
-    """Number of each term, -1 for terms that are not kept."""
-    return np.fromiter(map(vocabulary.get, terms, repeat(-1)), np.int64, len(terms))
-
-
-def term_numbers(text: str, vocabulary: dict[str, int]) -> np.ndarray:
-    """Numbers of the distinct kept terms."""
-    words = set(WORD.findall(text.lower()))
-    words |= {w[:STEM] + "*" for w in words if len(w) > STEM}
-    found = numbers_of(words, vocabulary)
-    return found[found >= 0]
+def stems_of(vocabulary: dict[str, int]) -> np.ndarray:
+    """Number of the stem of each term, by the term's number; -1 for short words, and -1 once more
+    at the end."""
+    out = np.full(len(vocabulary) + 1, -1, np.int64)
+    stems = [(i, vocabulary.get(w[:STEM] + "*", -1)) for w, i in vocabulary.items() if len(w) > STEM]
+    if stems:
+        at, found = np.array(stems, np.int64).T
+        out[at] = found
+    return out
 
 
-def counted(text: str, vocabulary: dict[str, int]):
-    """``(term numbers, occurrences)`` of the kept terms, by number."""
-    words = Counter(WORD.findall(text.lower()))
-    long = [w for w in words if len(w) > STEM]
-    terms = numbers_of([*words, *[w[:STEM] + "*" for w in long]], vocabulary)
-    counts = np.array([*words.values(), *[words[w] for w in long]], np.int64)
-    order = np.argsort(terms, kind="stable")
-    order = order[np.searchsorted(terms[order], 0):]
-    terms, counts = terms[order], counts[order]
-    first = np.flatnonzero(np.diff(terms, prepend=-1))
-    return terms[first], np.add.reduceat(counts, first) if len(first) else counts
+def groups(texts):
+    """Runs of texts of about ``GROUP_CHARS`` characters, so that long texts go one by one."""
+    held, size = [], 0
+    for t in texts:
+        held.append(t)
+        size += len(t)
+        if size >= GROUP_CHARS or len(held) == GROUP_ROWS:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
+def counted(texts: list[str], vocabulary: dict[str, int], stems: np.ndarray):
+    """``(term numbers, occurrences, ends)`` of the kept terms, by text and number; the terms of
+    text ``i`` end at ``ends[i]``.  A word is looked up once for all texts."""
+    parts = pc.split_pattern(pa.array([plain(t) for t in texts], pa.large_string()), " ")
+    found = parts.values.dictionary_encode()
+    words = found.dictionary.to_numpy(zero_copy_only=False).tolist()
+    own = np.fromiter(map(vocabulary.get, words, repeat(-1)), np.int64, len(words))
+    stem = stems[own]
+    # a word that is not kept may have a stem that is
+    for i in np.flatnonzero(own < 0).tolist():
+        if len(words[i]) > STEM:
+            stem[i] = vocabulary.get(words[i][:STEM] + "*", -1)
+    row = np.repeat(np.arange(len(texts)), np.diff(parts.offsets.to_numpy()))
+    both = np.sort(row * len(words) + found.indices.to_numpy())
+    first = np.flatnonzero(np.diff(both, prepend=-1))
+    counts = np.diff(first, append=len(both))
+    row, place = np.divmod(both[first], len(words))
+    row = np.concatenate([row, row]) * len(stems)
+    terms = np.concatenate([own[place], stem[place]])
+    # text, term and count in one number, as plain sorting is fast
+    bits = int(counts.max()).bit_length()
+    both = np.sort((row + terms << bits | np.concatenate([counts, counts]))[terms >= 0])
+    keys, counts = both >> bits, both & (1 << bits) - 1
+    first = np.flatnonzero(np.diff(keys, prepend=-1))
+    row, terms = np.divmod(keys[first], len(stems))
+    counts = np.add.reduceat(counts, first) if len(first) else counts
+    return terms, counts, np.searchsorted(row, np.arange(len(texts)), "right")
 
 
 def unit(terms: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
@@ -103,10 +140,21 @@ def unit(terms: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return w / math.sqrt(float(w @ w)) if len(w) else w
 
 
+def vectors(texts: list[str], vocabulary: dict[str, int], idf: np.ndarray, stems: np.ndarray):
+    """Unit TF-IDF vector of every text over the kept terms: ``(term numbers, weights)``."""
+    out = []
+    for group in groups(texts):
+        terms, counts, ends = counted(group, vocabulary, stems)
+        start = 0
+        for end in ends.tolist():
+            out.append((terms[start:end], unit(terms[start:end], counts[start:end], idf)))
+            start = end
+    return out
+
+
 def vector(text: str, vocabulary: dict[str, int], idf: np.ndarray):
-    """Unit TF-IDF vector over the kept terms: ``(term numbers, weights)``."""
-    terms, counts = counted(text, vocabulary)
-    return terms, unit(terms, counts, idf)
+    """``vectors`` of one text."""
+    return vectors([text], vocabulary, idf, stems_of(vocabulary))[0]
 
 
 def packed(numbers: np.ndarray) -> bytes:
@@ -126,9 +174,11 @@ def packed_words(words: list[str]) -> tuple[bytes, int]:
 
 
 @functools.lru_cache(maxsize=1)
-def numbered_words(data: bytes, size: int) -> dict[str, int]:
+def numbered_words(data: bytes, size: int) -> tuple[dict[str, int], np.ndarray]:
+    """The vocabulary and the stems of its terms, once in a process."""
     words = pa.Codec("zstd").decompress(data, size, asbytes=True).decode().split("\n")
-    return {w: i for i, w in enumerate(words)}
+    vocabulary = {w: i for i, w in enumerate(words)}
+    return vocabulary, stems_of(vocabulary)
 
 
 def label_tie(n: np.ndarray, n_toxic: np.ndarray, share: float) -> np.ndarray:
@@ -143,12 +193,14 @@ def label_tie(n: np.ndarray, n_toxic: np.ndarray, share: float) -> np.ndarray:
 def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The numbers of all ranges, one after the other."""
     ends = np.cumsum(lengths)
-    return np.repeat(starts - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)
+    out = np.repeat(starts - ends + lengths, lengths)
+    out += np.arange(len(out))
+    return out
 
 
-def common_terms(found: np.ndarray, n: int) -> np.ndarray:
+def common_terms(found: np.ndarray, n: int, most: int) -> np.ndarray:
     """The most frequent terms, if more than 1 / ``DENSE`` of the ``n`` examples have them."""
-    common = np.argsort(-found, kind="stable")[:MAX_DENSE]
+    common = np.argsort(-found, kind="stable")[:most]
     return common[found[common] * DENSE > n]
 
 
@@ -158,7 +210,7 @@ def near_order(vectors) -> np.ndarray:
     n = len(vectors)
     terms = np.concatenate([np.empty(0, np.int64)] + [np.asarray(t, np.int64) for t, _ in vectors])
     found = np.bincount(terms)
-    common = common_terms(found, n)
+    common = common_terms(found, n, ORDER_TERMS)
     column = np.full(len(found), -1, np.int64)
     column[common] = np.arange(len(common))
     matrix = np.zeros((n, len(common)), np.float32)
@@ -197,26 +249,26 @@ class BlockMaxIndex:
         self.visited = self.offered = 0     # blocks whose cosines were computed, and all
 
     def inverted(self):
-        """``first, examples, weights, column, blocks, tops``: postings of term ``t`` are
-        ``first[t]:first[t + 1]``; a common term has a row in the matrix of every block,
+        """``first, examples, weights, column, blocks, tops``: postings of a rare term ``t`` are
+        ``first[t]:first[t + 1]``; a common term has none, but a row in the matrix of every block,
         ``blocks[b][column[t]]``, and its largest weight in every block, ``tops[column[t]]``."""
         if self.lists is None:
             n = len(self.ids)
-            order = np.argsort(self.terms, kind="stable")
-            examples = np.repeat(np.arange(n, dtype=np.int32), np.diff(self.start))[order]
-            weights = self.weights[order].astype(np.float32)
             found = np.bincount(self.terms, minlength=self.size)
-            first = np.concatenate([[0], np.cumsum(found)])
-            column = np.full(self.size, -1, np.int64)
-            common = common_terms(found, n)
+            common = common_terms(found, n, MAX_DENSE)
+            column = np.full(self.size, -1, np.int32)
             column[common] = np.arange(len(common))
-            matrix = np.zeros((len(common), -(-n // BLOCK) * BLOCK), np.float32)
-            for c, t in enumerate(common.tolist()):
-                at = slice(first[t], first[t + 1])
-                matrix[c, examples[at]] = weights[at]
-            blocks = matrix.reshape(len(common), -(-n // BLOCK), BLOCK)
-            self.lists = (first, examples, weights, column,
-                          np.ascontiguousarray(blocks.transpose(1, 0, 2)), blocks.max(axis=2))
+            examples = np.repeat(np.arange(n, dtype=np.int32), np.diff(self.start))
+            row = column[self.terms]
+            at = np.flatnonzero(row >= 0)
+            blocks = np.zeros((-(-n // BLOCK), len(common), BLOCK), np.float32)
+            blocks[examples[at] // BLOCK, row[at], examples[at] % BLOCK] = self.weights[at]
+            at = np.flatnonzero(row < 0)
+            at = at[np.argsort(self.terms[at], kind="stable")]
+            found[common] = 0
+            self.lists = (np.concatenate([[0], np.cumsum(found)]), examples[at],
+                          self.weights[at].astype(np.float32), column, blocks,
+                          np.ascontiguousarray(blocks.max(axis=2).T))
         return self.lists
 
     def nearest_of(self, queries, k: int, skips):
@@ -234,10 +286,13 @@ class BlockMaxIndex:
         for row, line, (t, w) in zip(dense, sims, queries):
             c = column[t]
             row[c[c >= 0]] = w[c >= 0]
-            start, lengths = first[t[c < 0]], first[t[c < 0] + 1] - first[t[c < 0]]
+            start = first[t[c < 0]]
+            lengths = first[t[c < 0] + 1] - start
             at = ranges(start, lengths)
             if len(at):
-                line += np.bincount(examples[at], weights[at] * np.repeat(w[c < 0], lengths), len(line))
+                near = weights.take(at)
+                near *= np.repeat(w[c < 0].astype(np.float32), lengths)
+                line += np.bincount(examples.take(at), near, len(line))
         cosines = sims.reshape(len(queries), n_blocks, BLOCK)
         bound = dense @ tops + cosines.max(axis=2)
         for line, skip in zip(sims, skips):
@@ -276,10 +331,12 @@ class BlockMaxIndex:
                 out.append((np.empty(0, np.int64), np.empty(0)))
                 continue
             scratch[t] = w
-            lengths = self.start[at + 1] - self.start[at]
-            spans = ranges(self.start[at], lengths)
-            exact = np.round(np.add.reduceat(scratch[self.terms[spans]] * self.weights[spans],
-                                             np.cumsum(lengths) - lengths), 9)
+            starts, ends = self.start[at], self.start[at + 1]
+            spans = [slice(a, b) for a, b in zip(starts.tolist(), ends.tolist())]
+            products = scratch.take(np.concatenate([self.terms[x] for x in spans]))
+            products *= np.concatenate([self.weights[x] for x in spans])
+            lengths = ends - starts
+            exact = np.round(np.add.reduceat(products, np.cumsum(lengths) - lengths), 9)
             scratch[t] = 0.0
             kth = np.partition(exact, len(exact) - k)[len(exact) - k] if len(exact) > k else 0.0
             near = (exact >= kth) & (exact > 0)
@@ -354,13 +411,18 @@ class Model:
 
     def __getstate__(self):
         # every process numbers the words and makes the index for itself
-        state = {k: v for k, v in self.__dict__.items() if k not in ("vocabulary", "idf", "index")}
+        state = {k: v for k, v in self.__dict__.items()
+                 if k not in ("vocabulary", "stems", "idf", "index")}
         return {**state, "words": packed_words(list(self.vocabulary))}
 
     def __setstate__(self, state):
         words = state.pop("words")
         self.__dict__.update(state)
-        self.vocabulary = numbered_words(*words) if self.examples else {}
+        self.vocabulary, self.stems = numbered_words(*words) if self.examples else ({}, stems_of({}))
+
+    @functools.cached_property
+    def stems(self):
+        return stems_of(self.vocabulary)
 
     @functools.cached_property
     def index(self):
@@ -372,7 +434,7 @@ class Model:
             return [(None, 0, None, None)] * len(texts)
         out = []
         for i in range(0, len(texts), BATCH):
-            queries = [vector(t, self.vocabulary, self.weights) for t in texts[i:i + BATCH]]
+            queries = vectors(texts[i:i + BATCH], self.vocabulary, self.weights, self.stems)
             out += self.index.votes(queries, self.neighbours,
                                     skips[i:i + BATCH] if skips else [None] * len(queries))
         return out
@@ -428,10 +490,11 @@ def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
                  pa.array([v[0] for v in seen.values()], pa.int64()),
                  pa.array([v[1] for v in seen.values()], pa.int64())], ["term", "n", "n_toxic"])
 
-    # the terms of at most max_examples texts reach the driver
+    # the terms of at most max_examples texts reach the driver; what is found most often gets the
+    # first numbers, so that most reads by number stay close together
     terms = (rows.select(TEXT, "y").mapInArrow(count_terms, "term string, n bigint, n_toxic bigint")
              .groupBy("term").agg(F.sum("n").alias("n"), F.sum("n_toxic").alias("n_toxic"))
-             .toArrow().sort_by("term"))
+             .toArrow().sort_by([("n", "descending"), ("term", "ascending")]))
     vocabulary = {t: i for i, t in enumerate(terms["term"].to_pylist())}
     tie = label_tie(terms["n"].to_numpy().astype(float), terms["n_toxic"].to_numpy().astype(float),
                     toxic / n)
@@ -441,12 +504,11 @@ def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     known = spark.sparkContext.broadcast(packed_words(list(vocabulary)))
 
     def count_documents(batches):
-        numbers = numbered_words(*known.value)
+        numbers, stems = numbered_words(*known.value)
         total, seen = 0, np.zeros(len(numbers), np.int64)
-        for b in batches:
-            total += b.num_rows
-            for text in b.column(0).to_pylist():
-                seen[term_numbers(text, numbers)] += 1
+        for group in groups(t for b in batches for t in b.column(0).to_pylist()):
+            total += len(group)
+            seen += np.bincount(counted(group, numbers, stems)[0], minlength=len(seen))
         at = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.concatenate([[-1], at]), pa.int32()),
@@ -460,9 +522,9 @@ def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     weights = idf * tie
 
     def counts_of(batches):
-        numbers = numbered_words(*known.value)
+        numbers, stems = numbered_words(*known.value)
         for b in batches:
-            made = [counted(t, numbers) for t in b.column(1).to_pylist()]
+            made = [counted([t], numbers, stems) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), *(pa.array([v[i].astype(np.int32).tobytes() for v in made],
                                          pa.binary()) for i in (0, 1)), b.column(2)],

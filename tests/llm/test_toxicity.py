@@ -182,3 +182,45 @@ def test_toxic_documents_of_a_rare_language(spark):
     assert len(model.index.ids) == len(labels)
     assert got[5001].nearest_id == train[320] and got[5001].nearest_cosine == 1
     assert [int(got[i].score >= op.THRESHOLD) for i in range(5000, 5005)] == [1, 1, 0, 1, 0]
+
+
+def test_a_word_is_looked_up_once_for_many_texts(spark):
+    """The votes of 100 texts of the same words read the vocabulary as often as it has words (and
+    its stems once), not for every text again; they are the votes of each text alone."""
+    docs = [(i, "vile nasty words here" if i % 3 == 0 else "plain longer words there") for i in range(60)]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    model = op.fit(d, spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(60)],
+                                            "doc_id long, toxic int"))
+    texts = [" ".join(["vile", "plain", "wordy", "unknown"][:1 + i % 4] + ["there"] * (i % 3))
+             for i in range(100)]
+    alone = [model.votes([t])[0] for t in texts]
+
+    class Counting(dict):
+        asked = 0
+
+        def get(self, *key):
+            self.asked += 1
+            return super().get(*key)
+
+    model.vocabulary = Counting(model.vocabulary)
+    assert model.votes(texts) == alone
+    assert 0 < model.vocabulary.asked < 60
+
+
+def test_vectors_of_texts_are_those_of_their_term_counts(monkeypatch):
+    texts = ["", "Bad bad WORDS, words; wordy", "\x00 a\x1cb", "日本語テキスト ÀBCDÉ àbcdéf", "İstanbul ΣΑΣ",
+             "no\u00a0break\u3000space\x85x", "words " * 300, " .,", "wordless unseen"]
+    terms = sorted(set().union(*map(op.term_counts, texts[:-1])))
+    vocabulary = {t: i for i, t in enumerate(terms)}
+    idf = np.linspace(1.0, 2.0, len(terms))
+    for chars in (1, 40, 1 << 20):
+        monkeypatch.setattr(op, "GROUP_CHARS", chars)
+        got = op.vectors(texts, vocabulary, idf, op.stems_of(vocabulary))
+        assert len(got) == len(texts)
+        for text, (at, w) in zip(texts, got):
+            want = {vocabulary[t]: (1 + math.log(n)) * idf[vocabulary[t]]
+                    for t, n in op.term_counts(text).items() if t in vocabulary}
+            norm = math.sqrt(sum(x * x for x in want.values()))
+            assert at.tolist() == sorted(want)
+            assert np.allclose(w, [want[t] / norm for t in at.tolist()])
+    assert {"word*", "日本語テ*", "no\u00a0b*"} <= set(terms) and len(got[-1][0]) == 1
