@@ -55,7 +55,7 @@ MAX_DENSE = 1024             # and so many at most
 ORDER_TERMS = 384            # terms that decide which examples stand together
 SLACK = 2e-4                 # more than single precision can be off
 BATCH = 128                  # texts multiplied with the matrix at once
-GROUP_CHARS = 1 << 21        # characters of texts whose words are counted at once
+GROUP_CHARS = 1 << 20        # characters of texts whose words are counted at once
 GROUP_ROWS = 1 << 12         # and so many texts at most
 BINS = 20
 THRESHOLD = 0.3
@@ -84,11 +84,10 @@ def term_counts(text: str) -> Counter:
 def stems_of(vocabulary: dict[str, int]) -> np.ndarray:
     """Number of the stem of each term, by the term's number; -1 for short words, and -1 once more
     at the end."""
-    out = np.full(len(vocabulary) + 1, -1, np.int64)
-    stems = [(i, vocabulary.get(w[:STEM] + "*", -1)) for w, i in vocabulary.items() if len(w) > STEM]
-    if stems:
-        at, found = np.array(stems, np.int64).T
-        out[at] = found
+    out = np.full(len(vocabulary) + 1, -1, np.int32)
+    out[np.fromiter(vocabulary.values(), np.int64, len(vocabulary))] = np.fromiter(
+        (vocabulary.get(w[:STEM] + "*", -1) if len(w) > STEM else -1 for w in vocabulary),
+        np.int32, len(vocabulary))
     return out
 
 
@@ -258,13 +257,13 @@ class BlockMaxIndex:
             common = common_terms(found, n, MAX_DENSE)
             column = np.full(self.size, -1, np.int32)
             column[common] = np.arange(len(common))
-            examples = np.repeat(np.arange(n, dtype=np.int32), np.diff(self.start))
-            row = column[self.terms]
-            at = np.flatnonzero(row >= 0)
             blocks = np.zeros((-(-n // BLOCK), len(common), BLOCK), np.float32)
-            blocks[examples[at] // BLOCK, row[at], examples[at] % BLOCK] = self.weights[at]
-            at = np.flatnonzero(row < 0)
+            for i, (a, b) in enumerate(zip(self.start[:-1].tolist(), self.start[1:].tolist())):
+                row = column[self.terms[a:b]]
+                blocks[i // BLOCK, row[row >= 0], i % BLOCK] = self.weights[a:b][row >= 0]
+            at = np.flatnonzero(column[self.terms] < 0).astype(np.int32)
             at = at[np.argsort(self.terms[at], kind="stable")]
+            examples = np.repeat(np.arange(n, dtype=np.int32), np.diff(self.start))
             found[common] = 0
             self.lists = (np.concatenate([[0], np.cumsum(found)]), examples[at],
                           self.weights[at].astype(np.float32), column, blocks,
